@@ -105,3 +105,90 @@ def page_outline_job(spark, sf_dir):
     ol = html.outline(ex)
     return ol.select("page_id", F.col("line_no").cast("int").alias("line_no"),
                      F.col("level").cast("int").alias("level"), "text")
+
+
+# --------------------------------------------------------------------------- URLs and links
+
+from ..functions import urls  # noqa: E402
+from ..operators import links as L  # noqa: E402
+
+
+@job("url_gate")
+def url_gate_job(spark, sf_dir):
+    """Page URLs and raw hrefs as fetch candidates -> accepted (normalised) or reason."""
+    return L.url_gate(spark, sf_dir)
+
+
+@job("link_resolve")
+def link_resolve_job(spark, sf_dir):
+    """Every raw href resolved against its page's final URL, or the drop reason."""
+    r = L.resolved_links(spark, sf_dir)
+    return r.select("page_id", F.col("link_pos").cast("int").alias("link_pos"), "href", "resolved", "drop_reason")
+
+
+@job("link_drop_stats")
+def link_drop_stats_job(spark, sf_dir):
+    """U4: link outcomes (resolved or drop reason) counted per page host."""
+    return L.drop_stats(L.resolved_links(spark, sf_dir))
+
+
+@job("page_links")
+def page_links_job(spark, sf_dir):
+    """L1: all resolved links per page, not deduplicated, document order."""
+    return L.page_links(L.resolved_links(spark, sf_dir)).select(
+        "page_id", F.col("link_pos").cast("int").alias("link_pos"), "text", "href")
+
+
+@job("link_inventory")
+def link_inventory_job(spark, sf_dir):
+    """L2/A4: resolved, deduplicated by href (first label wins), first 50 per page."""
+    return L.inventory(L.resolved_links(spark, sf_dir), limit=None)
+
+
+@job("link_count")
+def link_count_job(spark, sf_dir):
+    """A1: links per page after dedupe + limit; pages without links count 0."""
+    inv = L.inventory(L.resolved_links(spark, sf_dir), limit=None)
+    return L.link_count(tables.pages(spark, sf_dir), inv)
+
+
+@job("host_edges")
+def host_edges_job(spark, sf_dir):
+    """A5: host-to-host link counts (links and distinct source pages)."""
+    return L.host_edges(L.resolved_links(spark, sf_dir))
+
+
+@job("link_to_page")
+def link_to_page_job(spark, sf_dir):
+    """Resolved links that point at captured pages."""
+    return L.link_to_page(L.resolved_links(spark, sf_dir), L.gated_pages(spark, sf_dir))
+
+
+@job("frontier")
+def frontier_job(spark, sf_dir):
+    """Resolved link targets that are not captured pages, with how many pages point there."""
+    return L.frontier(L.resolved_links(spark, sf_dir), L.gated_pages(spark, sf_dir))
+
+
+@job("page_extract")
+def page_extract_job(spark, sf_dir):
+    """P20 (flagship of web_fetch): title, markdown content, length, truncated, resolved links."""
+    return L.page_extract(spark, sf_dir, ExtractOptions.of("markdown"))
+
+
+# --------------------------------------------------------------------------- reports
+
+from ..operators import reports as R  # noqa: E402
+
+
+@job("fetch_report")
+def fetch_report_job(spark, sf_dir):
+    """Readable page listing per page."""
+    return R.fetch_report(L.page_extract(spark, sf_dir, ExtractOptions.of("markdown")))
+
+
+@job("links_report")
+def links_report_job(spark, sf_dir):
+    """Numbered link listing per page ('no links found' for pages without)."""
+    pg = L.gated_pages(spark, sf_dir)
+    return R.links_report(pg, L.inventory(L.resolved_links(spark, sf_dir), limit=None))

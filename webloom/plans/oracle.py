@@ -71,3 +71,118 @@ SELECT page_id, CAST(line_no AS INTEGER) AS line_no,
   regexp_replace(line, '^#{{1,6}} ', '') AS text
 FROM lines WHERE regexp_matches(line, '^#{{1,6}} ')
 """)
+
+
+# --------------------------------------------------------------------------- URLs and links
+
+from . import sqlurl as U  # noqa: E402
+from .sqlfn import q  # noqa: E402
+from ..functions.constants import TRUNCATED_PAGE_NOTE  # noqa: E402
+
+GATED = U.gate_ctes("pages", "url", "pgg") + """,
+gp AS (SELECT page_id, url, final_url FROM pgg WHERE final_url IS NOT NULL)"""
+
+RESOLVED = P.raw_links_ctes() + ",\n" + GATED + """,
+rj AS (SELECT r.*, g.final_url FROM raw_links r JOIN gp g USING (page_id)),
+""" + U.resolve_ctes("rj", "href", "final_url", "rs")
+
+INVENTORY = RESOLVED + """,
+inv0 AS (SELECT page_id, resolved, min(link_pos) AS link_pos, arg_min(text, link_pos) AS text
+         FROM rs WHERE resolved IS NOT NULL GROUP BY page_id, resolved),
+inv1 AS (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY link_pos) AS rnk, text, resolved FROM inv0),
+inv AS (SELECT page_id, CAST(rnk AS INTEGER) AS rank, text, resolved AS href FROM inv1 WHERE rnk <= 50)"""
+
+sql("url_gate", f"""
+WITH {P.raw_links_ctes()},
+cand AS (SELECT page_id, CAST(NULL AS INTEGER) AS link_pos, url AS input FROM pages
+         UNION ALL SELECT page_id, CAST(link_pos AS INTEGER), href FROM raw_links),
+{U.gate_ctes("cand", "input", "cg")}
+SELECT page_id, link_pos, input, reason IS NULL AS accepted, final_url, reason FROM cg
+""")
+
+sql("link_resolve", f"""
+WITH {RESOLVED}
+SELECT page_id, CAST(link_pos AS INTEGER) AS link_pos, href, resolved, drop_reason FROM rs
+""")
+
+sql("link_drop_stats", f"""
+WITH {RESOLVED}
+SELECT {U.host_of('final_url')} AS host, coalesce(drop_reason, 'resolved') AS outcome, count(*) AS n
+FROM rs GROUP BY ALL
+""")
+
+sql("page_links", f"""
+WITH {RESOLVED}
+SELECT page_id, CAST(link_pos AS INTEGER) AS link_pos, text, resolved AS href FROM rs WHERE resolved IS NOT NULL
+""")
+
+sql("link_inventory", f"""
+WITH {INVENTORY}
+SELECT page_id, rank, text, href FROM inv
+""")
+
+sql("link_count", f"""
+WITH {INVENTORY}
+SELECT p.page_id, coalesce(c.n, 0) AS n_links
+FROM pages p LEFT JOIN (SELECT page_id, count(*) AS n FROM inv GROUP BY page_id) c USING (page_id)
+""")
+
+sql("host_edges", f"""
+WITH {RESOLVED}
+SELECT {U.host_of('final_url')} AS src_host, {U.host_of('resolved')} AS dst_host,
+  count(*) AS n_links, count(DISTINCT page_id) AS n_pages
+FROM rs WHERE resolved IS NOT NULL GROUP BY ALL
+""")
+
+sql("link_to_page", f"""
+WITH {RESOLVED},
+pairs AS (SELECT page_id, resolved, count(*) AS n_links FROM rs WHERE resolved IS NOT NULL GROUP BY ALL)
+SELECT pairs.page_id AS src_page_id, gp.page_id AS dst_page_id, n_links
+FROM pairs JOIN gp ON gp.final_url = pairs.resolved
+""")
+
+sql("frontier", f"""
+WITH {RESOLVED},
+targets AS (SELECT DISTINCT resolved AS href, page_id FROM rs WHERE resolved IS NOT NULL)
+SELECT href, count(*) AS n_pages FROM targets
+WHERE NOT EXISTS (SELECT 1 FROM gp WHERE gp.final_url = targets.href) GROUP BY href
+""")
+
+PAGE_EXTRACT = P.extract_ctes(True, 50_000) + ",\n" + GATED + """,
+exj AS (SELECT ex.*, gp.url, gp.final_url FROM ex JOIN gp USING (page_id)),
+lk0 AS (SELECT page_id, final_url, unnest(links) AS l, unnest(range(len(links))) AS lpos FROM exj),
+lk1 AS (SELECT page_id, final_url, lpos, l.text AS l_text, l.href AS l_href FROM lk0),
+""" + U.resolve_ctes("lk1", "l_href", "final_url", "lk2") + """,
+lk AS (SELECT page_id, list(struct_pack(lpos := lpos, text := l_text, href := resolved)) AS lk
+       FROM lk2 WHERE resolved IS NOT NULL GROUP BY page_id),
+pe AS (
+  SELECT exj.page_id, url, final_url, 200 AS status, title, content, CAST(length AS INTEGER) AS length, truncated,
+    CAST(coalesce(len(lk.lk), 0) AS INTEGER) AS link_count,
+    coalesce(array_to_string(list_transform(list_sort(lk.lk), lambda x: x.text || chr(9) || x.href), chr(10)), '')
+      AS links_text
+  FROM exj LEFT JOIN lk USING (page_id))"""
+
+sql("page_extract", f"""
+WITH {PAGE_EXTRACT}
+SELECT * FROM pe
+""")
+
+sql("fetch_report", f"""
+WITH {PAGE_EXTRACT}
+SELECT page_id, 'HTTP ' || CAST(status AS VARCHAR)
+  || CASE WHEN url <> final_url THEN ' (redirected from ' || url || ')' ELSE '' END || ' — '
+  || CASE WHEN title <> '' THEN 'title: ' || title ELSE '(no title)' END || chr(10) || content
+  || CASE WHEN truncated THEN {q(TRUNCATED_PAGE_NOTE)} ELSE '' END AS report
+FROM pe
+""")
+
+sql("links_report", f"""
+WITH {INVENTORY},
+per AS (SELECT page_id, count(*) AS n,
+  list_sort(list(struct_pack(rank := rank, line := '  ' || CAST(rank AS VARCHAR) || '. ' ||
+    CASE WHEN text = '' THEN href ELSE text || ' — ' || href END))) AS ls FROM inv GROUP BY page_id)
+SELECT gp.page_id, CASE WHEN n IS NULL THEN 'no links found on ' || final_url
+  ELSE CAST(n AS VARCHAR) || ' link(s) on ' || final_url || ':' || chr(10)
+    || array_to_string(list_transform(ls, lambda x: x.line), chr(10)) END AS report
+FROM gp LEFT JOIN per USING (page_id)
+""")
