@@ -192,3 +192,57 @@ def links_report_job(spark, sf_dir):
     """Numbered link listing per page ('no links found' for pages without)."""
     pg = L.gated_pages(spark, sf_dir)
     return R.links_report(pg, L.inventory(L.resolved_links(spark, sf_dir), limit=None))
+
+
+# --------------------------------------------------------------------------- feeds
+
+from ..operators import feeds as FD  # noqa: E402
+
+
+@job("feed_kind")
+def feed_kind_job(spark, sf_dir):
+    """feed kind and title; pages read as feeds are rejected with the reference message."""
+    f = tables.feeds(spark, sf_dir).select("feed_id", "xml")
+    pg = tables.pages(spark, sf_dir).select(F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("feed_id"),
+                                            F.col("html").alias("xml"))
+    return FD.parse_feeds(f.unionByName(pg)).select("feed_id", "kind", "feed_title", "error")
+
+
+@job("rss_items")
+def rss_items_job(spark, sf_dir):
+    """Every RSS item with cleaned fields."""
+    e = FD.entries(FD.parse_feeds(tables.feeds(spark, sf_dir)))
+    return e.filter(F.col("kind") == "rss").drop("kind")
+
+
+@job("atom_entries")
+def atom_entries_job(spark, sf_dir):
+    """Every Atom entry with cleaned fields and the chosen link."""
+    e = FD.entries(FD.parse_feeds(tables.feeds(spark, sf_dir)))
+    return e.filter(F.col("kind") == "atom").drop("kind")
+
+
+@job("feed_entries")
+def feed_entries_job(spark, sf_dir):
+    """web_feed entries, default 10 per feed, summaries only."""
+    return FD.feed_items(FD.parse_feeds(tables.feeds(spark, sf_dir)))
+
+
+@job("feed_entries_full")
+def feed_entries_full_job(spark, sf_dir):
+    """F10 with maxItems=50 and includeContent=true."""
+    return FD.feed_items(FD.parse_feeds(tables.feeds(spark, sf_dir)), max_items=50, include_content=True)
+
+
+@job("feed_entry_count")
+def feed_entry_count_job(spark, sf_dir):
+    """A2: entries returned per feed."""
+    p = FD.parse_feeds(tables.feeds(spark, sf_dir))
+    return FD.entry_counts(p, FD.feed_items(p))
+
+
+@job("feed_report")
+def feed_report_job(spark, sf_dir):
+    """Rendered feed listing."""
+    p = FD.parse_feeds(tables.feeds(spark, sf_dir)).filter(F.col("kind").isNotNull())
+    return R.feed_report(p, FD.feed_items(p))

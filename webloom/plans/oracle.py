@@ -186,3 +186,172 @@ SELECT gp.page_id, CASE WHEN n IS NULL THEN 'no links found on ' || final_url
     || array_to_string(list_transform(ls, lambda x: x.line), chr(10)) END AS report
 FROM gp LEFT JOIN per USING (page_id)
 """)
+
+
+# --------------------------------------------------------------------------- feeds
+
+from ..operators import feeds as FD  # noqa: E402
+from ..functions.constants import TRUNCATED_FEED_NOTE, UNTITLED, ELLIPSIS  # noqa: E402
+from .sqlfn import clean_feed_text, cap_with_ellipsis  # noqa: E402
+from ..sources.tables import FEED_BUCKET  # noqa: E402
+
+
+def _esc(x):
+    return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+_TS = "strftime(TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(doc_id AS INTEGER)), '%Y-%m-%dT%H:%M:%SZ')"
+FEEDS = f"""
+fd0 AS (
+  SELECT source, lang, doc_id // {FEED_BUCKET} AS bucket, string_agg(CASE WHEN lang = 'en' THEN
+    '<item><title>' || {_esc('substring(text, 1, 40)')} || '</title><link>/doc/' || CAST(doc_id AS VARCHAR)
+    || '</link><dc:date>' || {_TS} || '</dc:date><dc:creator>' || source || '</dc:creator><description>'
+    || {_esc('substring(text, 1, 900)')} || '</description><content:encoded><![CDATA[<p>'
+    || replace(substring(text, 1, 3000), ']]>', ' ') || '</p>]]></content:encoded></item>'
+  ELSE
+    '<entry><title>' || {_esc('substring(text, 1, 40)')} || '</title><link rel="self" href="/self/'
+    || CAST(doc_id AS VARCHAR) || '"/><link rel="alternate" href="/doc/' || CAST(doc_id AS VARCHAR)
+    || '"/><updated>' || {_TS} || '</updated><author><name>' || source
+    || '</name></author><summary type="html">&lt;p&gt;' || {_esc('substring(text, 1, 900)')}
+    || '&lt;/p&gt;</summary></entry>'
+  END, '' ORDER BY doc_id) AS body
+  FROM documents GROUP BY source, lang, doc_id // {FEED_BUCKET}
+),
+fd1 AS (
+  SELECT source || '/' || lang || '/' || CAST(bucket AS VARCHAR) AS feed_id,
+    'https://' || source || '.example.com/' || lang || '/feed-' || CAST(bucket AS VARCHAR) || '.xml' AS url,
+    CASE WHEN lang = 'en' THEN '<?xml version="1.0" encoding="UTF-8"?><rss version="2.0"><channel><title>'
+      || source || ' ' || lang || '</title>' || body || '</channel></rss>'
+    ELSE '<?xml version="1.0" encoding="utf-8"?><feed xmlns="http://www.w3.org/2005/Atom"><title>'
+      || source || ' ' || lang || '</title>' || body || '</feed>' END AS xml
+  FROM fd0
+),
+{U.gate_ctes("fd1", "url", "fd2")},
+feeds AS (SELECT feed_id, url, xml, final_url, false AS truncated FROM fd2)"""
+
+
+def _parsed(src: str, out: str) -> str:
+    return f"""{out}__0 AS (
+  SELECT *, CASE WHEN regexp_matches(xml, {q(FD.RSS_ROOT)}) THEN 'rss'
+                 WHEN regexp_matches(xml, {q(FD.ATOM_ROOT)}) THEN 'atom' END AS kind,
+    CASE WHEN regexp_matches(xml, {q(FD.CHANNEL_RE)}) THEN regexp_extract(xml, {q(FD.CHANNEL_RE)}, 1) ELSE xml END AS _channel
+  FROM {src}),
+{out}__1 AS (
+  SELECT *, CASE WHEN kind = 'rss' THEN regexp_extract(_channel, {q(FD.tag_re('title'))}, 1)
+                 WHEN kind = 'atom' THEN regexp_extract(xml, {q(FD.tag_re('title'))}, 1) END AS _t FROM {out}__0),
+{out} AS (
+  SELECT * EXCLUDE (_channel, _t), CASE WHEN kind IS NOT NULL THEN {clean_feed_text('_t')} END AS feed_title,
+    CASE WHEN kind IS NULL THEN {q(FD.NOT_A_FEED)} END AS error
+  FROM {out}__1)"""
+
+
+def _entries(parsed: str, out: str, max_items=None) -> str:
+    blocks = (f"CASE WHEN kind = 'rss' THEN regexp_extract_all(xml, {q(FD.ITEM_RE)}, 1) "
+              f"WHEN kind = 'atom' THEN regexp_extract_all(xml, {q(FD.ENTRY_RE)}, 1) END")
+    if max_items is not None:
+        blocks = f"list_slice({blocks}, 1, {max_items})"
+    raw = {
+        "r_title": FD.tag_re("title"), "r_link": FD.tag_re("link"), "r_guid": FD.tag_re("guid"),
+        "r_pub": FD.tag_re("pubDate"), "r_dcdate": FD.tag_re("dc:date"),
+        "r_apub": "(?i)<(?:published|updated)\\b[^>]*>([\\s\\S]*?)</(?:published|updated)>",
+        "r_creator": FD.tag_re("dc:creator"), "r_author": FD.tag_re("author"),
+        "r_aname": "(?i)<author\\b[^>]*>[\\s\\S]*?<name\\b[^>]*>([\\s\\S]*?)</name>",
+        "r_desc": FD.tag_re("description"), "r_summary": FD.tag_re("summary"),
+        "r_encoded": FD.tag_re("content:encoded"), "r_content": FD.tag_re("content"),
+    }
+    raw_sel = ",\n    ".join(f"regexp_extract(b, {q(p)}, 1) AS {k}" for k, p in raw.items())
+    clean_sel = ",\n    ".join(f"{clean_feed_text(k)} AS c{k[1:]}" for k in raw)
+    links = (f"list_filter(list_transform(regexp_extract_all(b, {q(FD.LINK_TAG_RE)}), lambda t: struct_pack("
+             f"has := regexp_matches(t, {q(FD.HREF_RE)}), "
+             f"href := regexp_extract(t, {q(FD.HREF_RE)}, 1) || regexp_extract(t, {q(FD.HREF_RE)}, 2), "
+             f"rel := lower(regexp_extract(t, {q(FD.REL_RE)}, 1) || regexp_extract(t, {q(FD.REL_RE)}, 2)))), "
+             f"lambda s: s.has)")
+    return f"""{out}__0 AS (
+  SELECT feed_id, kind, unnest(bl) AS b, unnest(range(len(bl))) AS pos
+  FROM (SELECT feed_id, kind, {blocks} AS bl FROM {parsed} WHERE kind IS NOT NULL)),
+{out}__1 AS (SELECT *, {raw_sel},
+    {links} AS _links FROM {out}__0),
+{out}__2 AS (SELECT *, {clean_sel},
+    coalesce(struct_extract(list_filter(_links, lambda s: strpos(s.rel, 'alternate') > 0)[1], 'href'),
+             struct_extract(list_filter(_links, lambda s: s.rel = '')[1], 'href'),
+             struct_extract(_links[1], 'href'), '') AS _alink
+  FROM {out}__1),
+{out} AS (
+  SELECT feed_id, CAST(pos AS INTEGER) AS pos, kind,
+    CASE WHEN c_title = '' THEN {q(UNTITLED)} ELSE c_title END AS title,
+    CASE WHEN kind = 'rss' THEN (CASE WHEN c_link = '' AND regexp_matches(c_guid, '(?i)^https?://') THEN c_guid ELSE c_link END)
+         ELSE _alink END AS url,
+    CASE WHEN kind = 'rss' THEN coalesce(nullif(c_pub, ''), c_dcdate) ELSE c_apub END AS published,
+    CASE WHEN kind = 'rss' THEN coalesce(nullif(c_creator, ''), c_author) ELSE c_aname END AS author,
+    CASE WHEN kind = 'rss' THEN c_desc ELSE c_summary END AS summary,
+    CASE WHEN kind = 'rss' THEN c_encoded ELSE c_content END AS content
+  FROM {out}__2)"""
+
+
+def _items(parsed: str, out: str, max_items: int, include_content: bool) -> str:
+    full = "(CASE WHEN content <> '' THEN content ELSE summary END)"
+    content = (f"CASE WHEN {full} <> '' THEN {cap_with_ellipsis(full, 2000)} END" if include_content
+               else "CAST(NULL AS VARCHAR)")
+    return _entries(parsed, out + "_e", max_items) + f""",
+{out}_j AS (SELECT e.*, p.final_url FROM {out}_e e JOIN {parsed} p USING (feed_id)),
+{U.resolve_ctes(out + "_j", "url", "final_url", out + "_r", out="_res", reason="_why")},
+{out} AS (
+  SELECT feed_id, pos, title, coalesce(_res, '') AS url, nullif(published, '') AS published,
+    nullif(author, '') AS author, CASE WHEN summary <> '' THEN {cap_with_ellipsis('summary', 500)} END AS summary,
+    {content} AS content
+  FROM {out}_r)"""
+
+
+sql("feed_kind", f"""
+WITH {FEEDS},
+src AS (SELECT feed_id, xml FROM feeds UNION ALL SELECT 'page-' || CAST(page_id AS VARCHAR), html FROM pages),
+{_parsed("src", "pf")}
+SELECT feed_id, kind, feed_title, error FROM pf
+""")
+
+sql("rss_items", f"""
+WITH {FEEDS}, {_parsed("feeds", "pf")}, {_entries("pf", "en")}
+SELECT feed_id, pos, title, url, published, author, summary, content FROM en WHERE kind = 'rss'
+""")
+
+sql("atom_entries", f"""
+WITH {FEEDS}, {_parsed("feeds", "pf")}, {_entries("pf", "en")}
+SELECT feed_id, pos, title, url, published, author, summary, content FROM en WHERE kind = 'atom'
+""")
+
+sql("feed_entries", f"""
+WITH {FEEDS}, {_parsed("feeds", "pf")}, {_items("pf", "it", 10, False)}
+SELECT * FROM it
+""")
+
+sql("feed_entries_full", f"""
+WITH {FEEDS}, {_parsed("feeds", "pf")}, {_items("pf", "it", 50, True)}
+SELECT * FROM it
+""")
+
+sql("feed_entry_count", f"""
+WITH {FEEDS}, {_parsed("feeds", "pf")}, {_items("pf", "it", 10, False)}
+SELECT pf.feed_id, CAST(coalesce(c.n, 0) AS INTEGER) AS entry_count
+FROM pf LEFT JOIN (SELECT feed_id, count(*) AS n FROM it GROUP BY feed_id) c USING (feed_id)
+WHERE pf.kind IS NOT NULL
+""")
+
+sql("feed_report", f"""
+WITH {FEEDS}, {_parsed("feeds", "pf")}, {_items("pf", "it", 10, False)},
+blk AS (
+  SELECT feed_id, pos, concat_ws(chr(10),
+    CAST(pos + 1 AS VARCHAR) || '. ' || title || CASE WHEN url = '' THEN '' ELSE ' — ' || url END,
+    CASE WHEN published IS NOT NULL THEN '   published: ' || published END,
+    CASE WHEN author IS NOT NULL THEN '   author: ' || author END,
+    CASE WHEN summary IS NOT NULL THEN '   ' || summary END,
+    CASE WHEN content IS NOT NULL THEN '   ' || content END) AS block FROM it),
+per AS (SELECT feed_id, list_sort(list(struct_pack(pos := pos, block := block))) AS bs FROM blk GROUP BY feed_id),
+j AS (SELECT pf.*, per.bs, CASE WHEN per.bs IS NULL THEN 0 ELSE len(per.bs) END AS n
+      FROM pf LEFT JOIN per USING (feed_id) WHERE pf.kind IS NOT NULL)
+SELECT feed_id, concat_ws(chr(10),
+  'feed: ' || feed_title || chr(10) || CAST(n AS VARCHAR) || CASE WHEN n = 1 THEN ' entry' ELSE ' entries' END
+    || ' from ' || final_url,
+  CASE WHEN bs IS NOT NULL THEN array_to_string(list_transform(bs, lambda x: x.block), chr(10)) END,
+  CASE WHEN truncated THEN {q(TRUNCATED_FEED_NOTE)} END) AS report
+FROM j
+""")

@@ -20,3 +20,56 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pages(page_id BIGINT, url STRING, html STRING)``"""
     return read(spark, sf_dir, "pages")
+
+
+# Feeds are built from ``documents``: one feed per (source, lang, doc_id bucket);
+# lang 'en' -> RSS 2.0, other languages -> Atom.  The bucket bounds every feed
+# to FEED_BUCKET documents, so no group grows with the data.
+FEED_BUCKET = 50
+
+
+def _esc(c):
+    from pyspark.sql import functions as F
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+                     F.lit(">"), F.lit("&gt;"))
+
+
+def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``feeds(feed_id, url, xml, final_url, truncated)``"""
+    from pyspark.sql import functions as F
+
+    from ..functions import urls
+    d = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    t = F.col("text")
+    ts = F.date_format(F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0,0,0,0,cast(doc_id as int),0,0)"),
+                       "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    did = F.col("doc_id").cast("string")
+    rss_item = F.concat(
+        F.lit("<item><title>"), _esc(F.substring(t, 1, 40)), F.lit("</title><link>/doc/"), did,
+        F.lit("</link><dc:date>"), ts, F.lit("</dc:date><dc:creator>"), F.col("source"),
+        F.lit("</dc:creator><description>"), _esc(F.substring(t, 1, 900)),
+        F.lit("</description><content:encoded><![CDATA[<p>"), F.replace(F.substring(t, 1, 3000), F.lit("]]>"), F.lit(" ")),
+        F.lit("</p>]]></content:encoded></item>"))
+    atom_entry = F.concat(
+        F.lit("<entry><title>"), _esc(F.substring(t, 1, 40)), F.lit("</title><link rel=\"self\" href=\"/self/"), did,
+        F.lit("\"/><link rel=\"alternate\" href=\"/doc/"), did, F.lit("\"/><updated>"), ts,
+        F.lit("</updated><author><name>"), F.col("source"), F.lit("</name></author><summary type=\"html\">&lt;p&gt;"),
+        _esc(F.substring(t, 1, 900)), F.lit("&lt;/p&gt;</summary></entry>"))
+    g = d.select("source", "lang", F.floor(F.col("doc_id") / FEED_BUCKET).cast("bigint").alias("bucket"), "doc_id",
+                 F.when(F.col("lang") == "en", rss_item).otherwise(atom_entry).alias("x"))
+    agg = g.groupBy("source", "lang", "bucket").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "x"))), lambda r: r["x"]), "")
+        .alias("body"))
+    head = F.concat(F.col("source"), F.lit(" "), F.col("lang"))
+    xml = F.when(F.col("lang") == "en", F.concat(
+        F.lit('<?xml version="1.0" encoding="UTF-8"?><rss version="2.0"><channel><title>'), head,
+        F.lit("</title>"), F.col("body"), F.lit("</channel></rss>"))).otherwise(F.concat(
+            F.lit('<?xml version="1.0" encoding="utf-8"?><feed xmlns="http://www.w3.org/2005/Atom"><title>'), head,
+            F.lit("</title>"), F.col("body"), F.lit("</feed>")))
+    b = F.col("bucket").cast("string")
+    f = agg.select(
+        F.concat_ws("/", "source", "lang", b).alias("feed_id"),
+        F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/"), F.col("lang"), F.lit("/feed-"), b,
+                 F.lit(".xml")).alias("url"),
+        xml.alias("xml"))
+    return urls.gate(f, "url").select("feed_id", "url", "xml", "final_url", F.lit(False).alias("truncated"))
