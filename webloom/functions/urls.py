@@ -115,8 +115,12 @@ def gate(df: DataFrame, src: str, out: str = "final_url", reason: str = "reason"
     return df.drop(*[c for c in df.columns if c.startswith("_g")])
 
 
-def resolve(df: DataFrame, href: str, base: str, out: str = "resolved", reason: str = "drop_reason") -> DataFrame:
-    """Absolute http(s) URL of ``href`` against the normalised ``base``; NULL + reason when dropped."""
+def resolve(df: DataFrame, href: str, base: str, out: str = "resolved", reason: str = "drop_reason",
+            junk_filter: bool = True) -> DataFrame:
+    """Absolute http(s) URL of ``href`` against the normalised ``base``; NULL + reason when dropped.
+
+    ``junk_filter=False`` resolves like a redirect ``Location`` (no prefix filter).
+    """
     h = js_trim(href)
     junk = (F.when(h == "", F.lit("empty"))
             .when(h.startswith("#"), F.lit("fragment"))
@@ -124,6 +128,8 @@ def resolve(df: DataFrame, href: str, base: str, out: str = "resolved", reason:
             .when(h.startswith("mailto:"), F.lit("mailto"))
             .when(h.startswith("tel:"), F.lit("tel"))
             .when(h.startswith("data:"), F.lit("data")))
+    if not junk_filter:
+        junk = F.lit(None).cast("string")
     df = df.withColumn("_r_junk", junk).withColumn("_r_h", clean_input(href))
     b = F.col(base)
     bs, ba, bp = (F.regexp_extract(b, BASE_RE, i) for i in (1, 2, 3))

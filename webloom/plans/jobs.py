@@ -246,3 +246,84 @@ def feed_report_job(spark, sf_dir):
     """Rendered feed listing."""
     p = FD.parse_feeds(tables.feeds(spark, sf_dir)).filter(F.col("kind").isNotNull())
     return R.feed_report(p, FD.feed_items(p))
+
+
+# --------------------------------------------------------------------------- responses
+
+from ..operators import responses as RS  # noqa: E402
+from ..options import MAX_BYTES  # noqa: E402
+
+SIZE_CAP_BYTES = MAX_BYTES[1]  # smallest allowed cap (10,000 bytes): it fires on the test pages
+
+
+@job("response_scan")
+def response_scan_job(spark, sf_dir):
+    """Captured response log (body as its byte length)."""
+    r = tables.response_log(spark, sf_dir)
+    return r.select("page_id", "url", "status", "location", "content_type", "elapsed_ms",
+                    F.octet_length("body").cast("int").alias("n_bytes"))
+
+
+@job("status_gate")
+def status_gate_job(spark, sf_dir):
+    """R2: 2xx accepted, 301/302/303/307/308 redirect, anything else rejected as 'HTTP <status>'."""
+    r = tables.response_log(spark, sf_dir)
+    cls = RS.status_class("status")
+    return r.select("page_id", "status", cls.alias("class"),
+                    F.when(cls == "rejected", F.concat(F.lit("HTTP "), F.col("status").cast("string"))).alias("reason"))
+
+
+@job("content_type_gate")
+def content_type_gate_job(spark, sf_dir):
+    """Media type and whether the page / feed profiles accept it."""
+    from ..functions.constants import FEED_TYPES, PAGE_TYPES
+    r = tables.response_log(spark, sf_dir)
+    mt = RS.media_type("content_type")
+    return r.select("page_id", mt.alias("media_type"), mt.isin(*PAGE_TYPES).alias("page_ok"),
+                    mt.isin(*FEED_TYPES).alias("feed_ok"))
+
+
+@job("size_cap")
+def size_cap_job(spark, sf_dir):
+    """Bodies cut at maxBytes (10,000 here), truncation flagged."""
+    r = RS.size_cap(tables.response_log(spark, sf_dir), SIZE_CAP_BYTES)
+    return r.select("page_id", F.octet_length("body").cast("int").alias("n_bytes"),
+                    F.octet_length("kept").cast("int").alias("kept_bytes"), "truncated")
+
+
+@job("charset_detect")
+def charset_detect_job(spark, sf_dir):
+    """Charset from header, XML declaration or meta tag (first 2,048 bytes), else utf-8."""
+    r = tables.response_log(spark, sf_dir)
+    return r.select("page_id", RS.detect_charset("content_type", "body").alias("charset"))
+
+
+@job("body_decode")
+def body_decode_job(spark, sf_dir):
+    """Body bytes decoded by the detected charset."""
+    r = tables.response_log(spark, sf_dir).withColumn("charset", RS.detect_charset("content_type", "body"))
+    text, decoder = RS.decode_body("body", "charset")
+    return r.select("page_id", "charset", decoder.alias("decoder"), F.length(text).cast("int").alias("n_chars"))
+
+
+@job("header_map")
+def header_map_job(spark, sf_dir):
+    """Raw heads -> status + lower-cased header keys, duplicates joined ', '."""
+    return RS.header_map(tables.header_block(spark, sf_dir))
+
+
+@job("redirect_resolve")
+def redirect_resolve_job(spark, sf_dir):
+    """Every page URL followed through the log (max 3 redirects), final URL and outcome."""
+    log = tables.response_log(spark, sf_dir)
+    return RS.resolve_redirects(log, tables.pages(spark, sf_dir))
+
+
+@job("fetch_outcome")
+def fetch_outcome_job(spark, sf_dir):
+    """Outcome classes of every captured fetch, counted per host."""
+    log = tables.response_log(spark, sf_dir)
+    r = RS.resolve_redirects(log, tables.pages(spark, sf_dir))
+    g = urls.gate(r, "url", out="_u", reason="_w")
+    return (g.select(F.coalesce(urls.host_of("_u"), F.lit("")).alias("host"), "outcome")
+            .groupBy("host", "outcome").agg(F.count("*").alias("n")))

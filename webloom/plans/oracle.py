@@ -355,3 +355,166 @@ SELECT feed_id, concat_ws(chr(10),
   CASE WHEN truncated THEN {q(TRUNCATED_FEED_NOTE)} END) AS report
 FROM j
 """)
+
+
+# --------------------------------------------------------------------------- responses
+
+from ..operators import responses as RS  # noqa: E402
+from ..functions.constants import FEED_TYPES, PAGE_TYPES, REDIRECT_STATUSES  # noqa: E402
+from .sqlfn import in_list, js_trim  # noqa: E402
+
+RLOG = """
+rlog AS (
+  SELECT p.page_id, p.url, p.html,
+    CAST(CASE WHEN p.page_id % 50 = 49 THEN 302 WHEN p.page_id % 10 = 0 THEN 302 WHEN p.page_id % 20 = 1 THEN 301
+         WHEN p.page_id % 25 = 7 THEN 404 WHEN p.page_id % 25 = 8 THEN 302 ELSE 200 END AS INTEGER) AS status,
+    CASE WHEN p.page_id % 50 = 49 THEN p.url
+         WHEN p.page_id % 10 = 0 OR p.page_id % 20 = 1 THEN coalesce(n.url, 'https://gone.example.com/') END AS location,
+    CASE WHEN p.page_id % 15 = 4 THEN 'application/json' WHEN p.page_id % 15 = 5 THEN NULL
+         ELSE 'text/html; charset=utf-8' END AS content_type,
+    CAST((p.page_id * 37) % 12000 AS INTEGER) AS elapsed_ms,
+    encode(p.html) AS body
+  FROM pages p LEFT JOIN pages n ON n.page_id = p.page_id + 1
+)"""
+
+
+def _media(ct):
+    return f"(CASE WHEN {ct} IS NULL THEN 'unknown' ELSE lower({js_trim(f'split_part({ct}, chr(59), 1)')}) END)"
+
+
+sql("response_scan", f"""
+WITH {RLOG}
+SELECT page_id, url, status, location, content_type, elapsed_ms, CAST(octet_length(body) AS INTEGER) AS n_bytes
+FROM rlog
+""")
+
+sql("status_gate", f"""
+WITH {RLOG}
+SELECT page_id, status,
+  CASE WHEN status IN {tuple(REDIRECT_STATUSES)} THEN 'redirect' WHEN status BETWEEN 200 AND 299 THEN 'ok'
+       ELSE 'rejected' END AS class,
+  CASE WHEN NOT (status IN {tuple(REDIRECT_STATUSES)}) AND NOT (status BETWEEN 200 AND 299)
+       THEN 'HTTP ' || CAST(status AS VARCHAR) END AS reason
+FROM rlog
+""")
+
+sql("content_type_gate", f"""
+WITH {RLOG}
+SELECT page_id, {_media('content_type')} AS media_type, {in_list(_media('content_type'), PAGE_TYPES)} AS page_ok,
+  {in_list(_media('content_type'), FEED_TYPES)} AS feed_ok
+FROM rlog
+""")
+
+sql("size_cap", f"""
+WITH {RLOG}
+SELECT page_id, CAST(octet_length(body) AS INTEGER) AS n_bytes,
+  CAST(least(octet_length(body), 10000) AS INTEGER) AS kept_bytes, octet_length(body) > 10000 AS truncated
+FROM rlog
+""")
+
+
+def _byte_prefix_ctes(src: str, out: str, col: str, nbytes: int) -> str:
+    """``out`` = ``src`` + ``_head``: longest character prefix of ``col`` within ``nbytes`` UTF-8 bytes."""
+    sel, prev = [], "0"
+    step, i = 2048, 0
+    while step >= 1:
+        sel.append(f"CASE WHEN strlen(substr({col}, 1, {prev} + {step})) <= {nbytes} THEN {prev} + {step} "
+                   f"ELSE {prev} END AS _m{i}")
+        prev, step, i = f"_m{i}", step // 2, i + 1
+    return f"{out} AS (SELECT *, {', '.join(sel)}, substr({col}, 1, {prev}) AS _head FROM {src})"
+
+
+def _charset(ct: str) -> str:
+    g = lambda x, p: f"nullif(regexp_extract({x}, {q(p)}, 1), '')"
+    return (f"coalesce({g(f'coalesce({ct}, {q(chr(39) * 0)})', RS.HEADER_CHARSET_RE)}, {g('_head', RS.XML_CHARSET_RE)}, "
+            f"{g('_head', RS.META_CHARSET_RE)}, {g('_head', RS.META_CONTENT_RE)}, 'utf-8')")
+
+
+sql("charset_detect", f"""
+WITH {RLOG}, {_byte_prefix_ctes("rlog", "rh", "html", 2048)}
+SELECT page_id, {_charset('content_type')} AS charset FROM rh
+""")
+
+sql("body_decode", f"""
+WITH {RLOG}, {_byte_prefix_ctes("rlog", "rh", "html", 2048)},
+cs AS (SELECT *, {_charset('content_type')} AS charset FROM rh)
+SELECT page_id, charset,
+  CASE WHEN regexp_replace(lower(charset), '[_-]', '', 'g') = 'utf8' THEN 'utf-8'
+       WHEN {in_list('lower(charset)', RS.LATIN1_LABELS)} THEN 'windows-1252'
+       WHEN lower(charset) IN ('utf-16le', 'utf-16') THEN 'utf-16le' WHEN lower(charset) = 'utf-16be' THEN 'utf-16be'
+       ELSE 'utf-8 (charset_unsupported)' END AS decoder,
+  CAST(length(decode(body)) AS INTEGER) AS n_chars
+FROM cs
+""")
+
+sql("header_map", f"""
+WITH {RLOG},
+hb AS (SELECT page_id, CASE WHEN page_id % 50 = 3 THEN 'HTTP/x 200 X' ELSE 'HTTP/1.1 ' || CAST(status AS VARCHAR) || ' X' END
+  || chr(13) || chr(10) || 'Content-Type: ' || coalesce(content_type, '') || chr(13) || chr(10) || 'X-A: 1'
+  || chr(13) || chr(10) || 'x-a: 2' AS head FROM rlog),
+lines AS (SELECT page_id, unnest(ls) AS line, unnest(range(len(ls))) AS ln
+          FROM (SELECT page_id, string_split(head, chr(13) || chr(10)) AS ls FROM hb)),
+fl AS (SELECT page_id, regexp_matches(line, {q(RS.STATUS_LINE_RE)}) AS ok,
+         regexp_extract(line, {q(RS.STATUS_LINE_RE)}, 1) AS st, regexp_extract(line, {q(RS.STATUS_LINE_RE)}, 2) AS status_text
+       FROM lines WHERE ln = 0),
+kv AS (SELECT page_id, ln, lower({js_trim("substr(line, 1, strpos(line, ':') - 1)")}) AS key,
+         {js_trim("substr(line, strpos(line, ':') + 1)")} AS value FROM lines WHERE ln > 0 AND strpos(line, ':') > 1),
+mg AS (SELECT page_id, key, array_to_string(list_transform(list_sort(list(struct_pack(ln := ln, value := value))),
+         lambda x: x.value), ', ') AS value FROM kv GROUP BY page_id, key)
+SELECT fl.page_id, ok, CAST(st AS INTEGER) AS status, status_text, key, value FROM fl LEFT JOIN mg USING (page_id) WHERE ok
+UNION ALL
+SELECT page_id, ok, CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)
+FROM fl WHERE NOT ok
+""")
+
+
+def _redirect_ctes(n: int = 3, timeout: int = 10_000, allowed=PAGE_TYPES) -> str:
+    parts = [RLOG, U.gate_ctes("pages", "url", "g0", out="cur", reason="why"),
+             U.gate_ctes("rlog", "url", "lgg", out="cur", reason="_lw"),
+             "lg AS (SELECT cur, status, location, content_type, elapsed_ms FROM lgg WHERE cur IS NOT NULL)",
+             "d_init AS (SELECT page_id, url, CAST(NULL AS VARCHAR) AS final_url, 0 AS hops, "
+             "CAST(NULL AS INTEGER) AS status, why AS outcome FROM g0 WHERE cur IS NULL)",
+             "a0 AS (SELECT page_id, url, cur FROM g0 WHERE cur IS NOT NULL)"]
+    unions = ["SELECT * FROM d_init"]
+    redir = f"status IN {tuple(REDIRECT_STATUSES)}"
+    for h in range(n + 1):
+        parts.append(f"""j{h} AS (
+  SELECT a.page_id, a.url, a.cur, lg.status, lg.location, lg.content_type, lg.elapsed_ms,
+    CASE WHEN lg.status IS NULL THEN 'fetch failed' WHEN lg.elapsed_ms > {timeout} THEN 'timed out'
+         WHEN {redir} AND (lg.location IS NULL OR lg.location = '') THEN 'redirect without Location'
+         WHEN {redir} AND {'true' if h == n else 'false'} THEN 'too many redirects'
+         WHEN {redir} THEN NULL
+         WHEN NOT (lg.status BETWEEN 200 AND 299) THEN 'HTTP status'
+         WHEN NOT {in_list(_media('lg.content_type'), allowed)} THEN 'unsupported content type'
+         ELSE 'ok' END AS outcome
+  FROM a{h} a LEFT JOIN lg USING (cur))""")
+        parts.append(f"""d{h} AS (SELECT page_id, url, cur AS final_url, {h} AS hops,
+  CASE WHEN outcome NOT IN ('fetch failed', 'timed out') THEN status END AS status, outcome FROM j{h}
+  WHERE outcome IS NOT NULL)""")
+        unions.append(f"SELECT * FROM d{h}")
+        if h == n:
+            break
+        parts.append(f"jn{h} AS (SELECT * FROM j{h} WHERE outcome IS NULL)")
+        parts.append(U.resolve_ctes(f"jn{h}", "location", "cur", f"rr{h}", out="nxt", reason="nwhy",
+                                    junk_filter=False))
+        parts.append(f"""w{h} AS (SELECT *, CASE WHEN nwhy = 'unsupported_scheme' THEN 'unsupported protocol'
+  WHEN nwhy IS NOT NULL THEN 'invalid URL' WHEN regexp_matches(nxt, '^[a-z]+://[^/?#]*@') THEN 'embedded credentials'
+  END AS why2 FROM rr{h})""")
+        parts.append(f"e{h} AS (SELECT page_id, url, cur AS final_url, {h} AS hops, status, why2 AS outcome "
+                     f"FROM w{h} WHERE why2 IS NOT NULL)")
+        unions.append(f"SELECT * FROM e{h}")
+        parts.append(f"a{h + 1} AS (SELECT page_id, url, nxt AS cur FROM w{h} WHERE why2 IS NULL)")
+    parts.append("chain AS (" + " UNION ALL ".join(unions) + ")")
+    return ",\n".join(parts)
+
+
+sql("redirect_resolve", f"""
+WITH {_redirect_ctes()}
+SELECT page_id, url, final_url, hops, status, outcome FROM chain
+""")
+
+sql("fetch_outcome", f"""
+WITH {_redirect_ctes()},
+{U.gate_ctes("chain", "url", "cg", out="_u", reason="_w")}
+SELECT coalesce({U.host_of('_u')}, '') AS host, outcome, count(*) AS n FROM cg GROUP BY ALL
+""")

@@ -72,14 +72,16 @@ def gate_ctes(src_cte: str, col: str, out_cte: str, out: str = "final_url", reas
 
 
 def resolve_ctes(src_cte: str, href: str, base: str, out_cte: str,
-                 out: str = "resolved", reason: str = "drop_reason") -> str:
+                 out: str = "resolved", reason: str = "drop_reason", junk_filter: bool = True) -> str:
     """CTE ``out_cte`` = ``src_cte`` plus ``{out}`` and ``{reason}``."""
     h = js_trim(href)
+    junk = (f"""CASE WHEN {h} = '' THEN 'empty' WHEN starts_with({h}, '#') THEN 'fragment'
+         WHEN starts_with({h}, 'javascript:') THEN 'javascript' WHEN starts_with({h}, 'mailto:') THEN 'mailto'
+         WHEN starts_with({h}, 'tel:') THEN 'tel' WHEN starts_with({h}, 'data:') THEN 'data' END"""
+            if junk_filter else "CAST(NULL AS VARCHAR)")
     return f"""{out_cte}__0 AS (
   SELECT *,
-    CASE WHEN {h} = '' THEN 'empty' WHEN starts_with({h}, '#') THEN 'fragment'
-         WHEN starts_with({h}, 'javascript:') THEN 'javascript' WHEN starts_with({h}, 'mailto:') THEN 'mailto'
-         WHEN starts_with({h}, 'tel:') THEN 'tel' WHEN starts_with({h}, 'data:') THEN 'data' END AS _r_junk,
+    {junk} AS _r_junk,
     {clean_input(href)} AS _r_h,
     regexp_extract({base}, {q(BASE_RE)}, 1) AS _r_bs, regexp_extract({base}, {q(BASE_RE)}, 2) AS _r_ba,
     CASE WHEN regexp_extract({base}, {q(BASE_RE)}, 3) = '' THEN '/' ELSE regexp_extract({base}, {q(BASE_RE)}, 3) END AS _r_bp,

@@ -73,3 +73,46 @@ def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.lit(".xml")).alias("url"),
         xml.alias("xml"))
     return urls.gate(f, "url").select("feed_id", "url", "xml", "final_url", F.lit(False).alias("truncated"))
+
+
+def response_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captured responses derived from ``pages``: redirect chains of 0-3 hops, a self-loop, a missing
+    Location, 404s, wrong / missing content types and slow responses.
+
+    ``response_log(page_id, url, status, location, content_type, elapsed_ms, body BINARY)``
+    """
+    from pyspark.sql import functions as F
+    p = pages(spark, sf_dir).alias("p")
+    n = pages(spark, sf_dir).select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("next_url"))
+    j = p.join(n, "page_id", "left")
+    pid = F.col("page_id")
+    status = (F.when(pid % 50 == 49, 302).when(pid % 10 == 0, 302).when(pid % 20 == 1, 301)
+              .when(pid % 25 == 7, 404).when(pid % 25 == 8, 302).otherwise(200))
+    location = (F.when(pid % 50 == 49, F.col("url"))
+                .when((pid % 10 == 0) | (pid % 20 == 1), F.coalesce("next_url", F.lit("https://gone.example.com/"))))
+    ctype = (F.when(pid % 15 == 4, F.lit("application/json")).when(pid % 15 == 5, F.lit(None))
+             .otherwise(F.lit("text/html; charset=utf-8")))
+    return j.select("page_id", "url", status.cast("int").alias("status"), location.alias("location"),
+                    ctype.cast("string").alias("content_type"),
+                    ((pid * 37) % 12000).cast("int").alias("elapsed_ms"),
+                    F.encode("html", "UTF-8").alias("body"))
+
+
+def header_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw response heads ``(page_id, head)``; every 50th (page_id % 50 = 3) has a malformed status line."""
+    from pyspark.sql import functions as F
+    r = response_log(spark, sf_dir)
+    crlf = F.lit("\r\n")
+    first = F.when(F.col("page_id") % 50 == 3, F.lit("HTTP/x 200 X")).otherwise(
+        F.concat(F.lit("HTTP/1.1 "), F.col("status").cast("string"), F.lit(" X")))
+    return r.select("page_id", F.concat(first, crlf, F.lit("Content-Type: "), F.coalesce("content_type", F.lit("")),
+                                        crlf, F.lit("X-A: 1"), crlf, F.lit("x-a: 2")).alias("head"))
+
+
+def host_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``host_ips(event_id, ip)`` from ``events``; every 100th address is invalid (300.1.1.1)."""
+    from pyspark.sql import functions as F
+    e = read(spark, sf_dir, "events")
+    return e.select("event_id", F.when(F.col("event_id") % 100 == 0, F.lit("300.1.1.1")).otherwise(
+        F.concat(F.lit("10.0."), (F.col("user_id") % 8).cast("string"), F.lit("."),
+                 (F.col("event_id") % 256).cast("string"))).alias("ip"))
