@@ -327,3 +327,40 @@ def fetch_outcome_job(spark, sf_dir):
     g = urls.gate(r, "url", out="_u", reason="_w")
     return (g.select(F.coalesce(urls.host_of("_u"), F.lit("")).alias("host"), "outcome")
             .groupBy("host", "outcome").agg(F.count("*").alias("n")))
+
+
+# --------------------------------------------------------------------------- hosts
+
+from ..operators import hosts as H  # noqa: E402
+
+
+def _page_hosts(spark, sf_dir):
+    g = L.gated_pages(spark, sf_dir)
+    return g.select("page_id", urls.host_of("final_url").alias("host"),
+                    F.regexp_extract("final_url", "^([a-z]+):", 1).alias("scheme"))
+
+
+@job("host_rule_match")
+def host_rule_match_job(spark, sf_dir):
+    """Pages whose host matches the rule list (exact, suffix, wildcard, port-stripped)."""
+    return H.match_names(_page_hosts(spark, sf_dir), "page_id", "host", H.DEFAULT_NO_PROXY).select(
+        "page_id", "host", F.col("name_match").alias("bypass"))
+
+
+@job("cidr_match")
+def cidr_match_job(spark, sf_dir):
+    """Addresses inside the IPv4 networks of the rule list."""
+    ips = tables.host_ips(spark, sf_dir)
+    return H.match_cidrs(ips, "event_id", "ip", H.DEFAULT_NO_PROXY).select("event_id", "ip", "cidr_match")
+
+
+@job("route_assign")
+def route_assign_job(spark, sf_dir):
+    """Route per page URL (bypass -> direct, else the scheme's proxy), counted."""
+    ph = _page_hosts(spark, sf_dir)
+    m = H.match_names(ph, "page_id", "host", H.DEFAULT_NO_PROXY)
+    m = m.withColumn("ipn", H.ipv4_int(F.col("host")))
+    m = H.match_cidrs(m, "page_id", "host", H.DEFAULT_NO_PROXY)
+    r = H.route(F.col("scheme"), F.col("name_match") | F.col("cidr_match"), H.DEFAULT_HTTP_PROXY,
+                H.DEFAULT_HTTPS_PROXY)
+    return m.select(r.alias("route")).groupBy("route").agg(F.count("*").alias("n"))
