@@ -71,19 +71,20 @@ def _atom_link(b: Column) -> Column:
     return F.coalesce(alternate["href"], no_rel["href"], first["href"], F.lit(""))
 
 
-def entries(parsed: DataFrame, max_items: int | None = None) -> DataFrame:
+def entries(parsed: DataFrame, max_items: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per item/entry: ``(feed_id, pos, kind, title, url, published, author, summary, content)``.
 
     Fields are '' when absent, as in the reference parser; ``url`` is raw.
+    ``keep`` passes feed columns through (streams use it instead of a join).
     """
     e = parsed.filter(F.col("kind").isNotNull()).select(
-        "feed_id", "kind", F.posexplode(_blocks(max_items)).alias("pos", "b"))
+        "feed_id", "kind", *keep, F.posexplode(_blocks(max_items)).alias("pos", "b"))
     b, rss = F.col("b"), F.col("kind") == "rss"
     link = field(b, tag_re("link"))
     guid = field(b, tag_re("guid"))
     rss_url = F.when((link == "") & guid.rlike("(?i)^https?://"), guid).otherwise(link)
     e = e.select(
-        "feed_id", "pos", "kind",
+        "feed_id", "pos", "kind", *keep,
         field(b, tag_re("title")).alias("_title"),
         F.when(rss, rss_url).otherwise(_atom_link(b)).alias("url"),
         F.when(rss, F.coalesce(F.nullif(field(b, tag_re("pubDate")), F.lit("")), field(b, tag_re("dc:date"))))
@@ -95,16 +96,17 @@ def entries(parsed: DataFrame, max_items: int | None = None) -> DataFrame:
         F.when(rss, field(b, tag_re("description"))).otherwise(field(b, tag_re("summary"))).alias("summary"),
         F.when(rss, field(b, tag_re("content:encoded"))).otherwise(field(b, tag_re("content"))).alias("content"),
     )
-    return e.select("feed_id", F.col("pos").cast("int").alias("pos"), "kind",
+    return e.select("feed_id", F.col("pos").cast("int").alias("pos"), "kind", *keep,
                     F.when(F.col("_title") == "", F.lit(UNTITLED)).otherwise(F.col("_title")).alias("title"),
                     "url", "published", "author", "summary", "content")
 
 
-def feed_items(parsed: DataFrame, max_items: int | None = None, include_content: bool = False) -> DataFrame:
+def feed_items(parsed: DataFrame, max_items: int | None = None, include_content: bool = False,
+               keep: tuple[str, ...] = ()) -> DataFrame:
     """web_feed entries: first ``maxItems``, URL resolved against the feed URL ('' when dropped),
     summary capped at 500, content (or summary) at 2,000 when requested; absent fields NULL."""
     n = clamp(max_items, FEED_MAX_ITEMS)
-    e = entries(parsed, n).join(parsed.select("feed_id", "final_url"), "feed_id")
+    e = entries(parsed, n, keep=("final_url", *keep))
     e = urls.resolve(e, "url", "final_url", out="_res", reason="_why")
     full = F.when(F.col("content") != "", F.col("content")).otherwise(F.col("summary"))
     return e.select(
@@ -115,6 +117,7 @@ def feed_items(parsed: DataFrame, max_items: int | None = None, include_content:
         F.when(F.col("summary") != "", cap_with_ellipsis("summary", SUMMARY_CAP)).alias("summary"),
         (F.when(full != "", cap_with_ellipsis(full, CONTENT_CAP)) if include_content
          else F.lit(None).cast("string")).alias("content"),
+        *keep,
     )
 
 

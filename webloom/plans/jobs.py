@@ -364,3 +364,30 @@ def route_assign_job(spark, sf_dir):
     r = H.route(F.col("scheme"), F.col("name_match") | F.col("cidr_match"), H.DEFAULT_HTTP_PROXY,
                 H.DEFAULT_HTTPS_PROXY)
     return m.select(r.alias("route")).groupBy("route").agg(F.count("*").alias("n"))
+
+
+# --------------------------------------------------------------------------- sinks and streams
+
+from ..sources import sinks  # noqa: E402
+from ..streaming import jobs as ST  # noqa: E402
+
+
+@job("write_pages")
+def write_pages_job(spark, sf_dir):
+    """page_extract written as Parquet partitioned by host, read back."""
+    path = ST._run_dir(spark, "s5") + "/pages"
+    sinks.write_by_host(L.page_extract(spark, sf_dir, ExtractOptions.of("markdown")), path)
+    return spark.read.parquet(path).select("page_id", "url", "final_url", "title", "length", "truncated",
+                                           "link_count", "host")
+
+
+@job("stream_pages")
+def stream_pages_job(spark, sf_dir):
+    """ST1: pages arriving as files, extracted per micro-batch (equals page_markdown)."""
+    return ST.stream_pages_job(spark, sf_dir)
+
+
+@job("stream_feed_entries")
+def stream_feed_entries_job(spark, sf_dir):
+    """ST2: feeds polled twice; entries deduplicated by URL within the watermark (equals feed_entries)."""
+    return ST.stream_feed_entries_job(spark, sf_dir)

@@ -584,3 +584,14 @@ SELECT CASE WHEN name_match OR cidr_match THEN 'direct'
             ELSE {q('proxy ' + H.DEFAULT_HTTP_PROXY)} END AS route, count(*) AS n
 FROM pr GROUP BY ALL
 """)
+
+
+# --------------------------------------------------------------------------- sinks and streams
+
+sql("write_pages", f"""
+WITH {PAGE_EXTRACT}
+SELECT page_id, url, final_url, title, length, truncated, link_count, {U.host_of('final_url')} AS host FROM pe
+""")
+
+SQL["stream_pages"] = SQL["page_markdown"]
+SQL["stream_feed_entries"] = SQL["feed_entries"]
