@@ -280,6 +280,28 @@ def extract(pages: DataFrame | None = None, opts: ExtractOptions = ExtractOption
     )
 
 
+def titles(pages: DataFrame) -> DataFrame:
+    """P4 alone: ``(page_id, title)`` with one window stage instead of the full state stack."""
+    t = tokenize(pages)
+    tag = F.col("kind") == "tag"
+    t_open = tag & ~F.col("closing") & (F.col("name") == "title")
+    t_close = tag & F.col("closing") & (F.col("name") == "title")
+    s = t.select(
+        "page_id", "pos", "tok", "kind", t_close.alias("t_close"),
+        F.coalesce(F.last(F.when(t_open, True).when(t_close, False), True).over(_w(-1)),
+                   F.lit(False)).alias("in_title"),
+        F.sum(t_open.cast("int")).over(_w(0)).alias("title_seg"),
+    )
+    agg = s.groupBy("page_id").agg(
+        F.max(F.when(F.col("t_close") & F.col("in_title"), F.col("title_seg"))).alias("tseg"),
+        F.collect_list(F.when((F.col("kind") == "text") & F.col("in_title"),
+                              F.struct("title_seg", "pos", "tok"))).alias("tparts"))
+    raw = F.array_join(F.transform(
+        F.filter(F.array_sort("tparts"), lambda x: x["title_seg"] == F.col("tseg")), lambda x: x["tok"]), "")
+    return agg.select("page_id", F.when(F.col("tseg").isNotNull(), collapse_ws(decode_html_entities(raw)))
+                      .otherwise(F.lit("")).alias("title"))
+
+
 def raw_links(state: DataFrame) -> DataFrame:
     """Every anchor with a non-empty href, in document order: ``(page_id, link_pos, text, href)``.
 

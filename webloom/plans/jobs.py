@@ -60,7 +60,7 @@ def visible_depth_job(spark, sf_dir):
 @job("page_title")
 def page_title_job(spark, sf_dir):
     """Last closed ``<title>``, decoded and whitespace-collapsed ('' if none)."""
-    return html.extract(tables.pages(spark, sf_dir), ExtractOptions.of("text")).select("page_id", "title")
+    return html.titles(tables.pages(spark, sf_dir))
 
 
 @job("page_text")
