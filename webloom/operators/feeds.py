@@ -126,3 +126,13 @@ def entry_counts(parsed: DataFrame, items: DataFrame) -> DataFrame:
     c = items.groupBy("feed_id").agg(F.count("*").alias("n"))
     return (parsed.filter(F.col("kind").isNotNull()).select("feed_id").join(c, "feed_id", "left")
             .select("feed_id", F.coalesce("n", F.lit(0)).cast("int").alias("entry_count")))
+
+
+def published_utc(published) -> Column:
+    """F14 (ours): entry date as 'yyyy-MM-dd HH:mm:ss' UTC; RFC 822 (weekday stripped) or ISO 8601 'Z'."""
+    c = F.col(published) if isinstance(published, str) else published
+    s = F.regexp_replace(c, "^[A-Za-z]{3},[ ]*", "")
+    ts = F.coalesce(F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")),
+                    F.try_to_timestamp(s, F.lit("d MMM yyyy HH:mm:ss Z")),
+                    F.try_to_timestamp(s, F.lit("d MMM yyyy HH:mm:ss 'GMT'")))
+    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")

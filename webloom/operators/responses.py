@@ -3,7 +3,10 @@
 Redirect chains are resolved by an unrolled sequence of equi-joins of the
 active frontier against ``response_log`` on the URL (N <= 10 hops).  The
 frontier only shrinks, so after the first hop AQE turns the join into a
-broadcast of the small side; nothing is collected to the driver.
+broadcast of the small side; nothing is collected to the driver.  The
+normalised log and every hop are reliable checkpoints in the cluster's
+checkpoint folder, which bounds the plan size and the recompute after an
+executor loss to one hop.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from ..functions import urls
 from ..functions.constants import PAGE_TYPES, REDIRECT_STATUSES, WS
 from ..functions.text import js_trim
 from ..options import MAX_BYTES, MAX_REDIRECTS, SNIFF_BYTES, TIMEOUT_MS, clamp
+from ..session import checkpoint_dir
 
 # Windows-1252 characters for bytes 0x80-0x9F (the latin1 label decodes as windows-1252).
 CP1252_C1 = {
@@ -122,9 +126,11 @@ def resolve_redirects(log: DataFrame, starts: DataFrame, max_redirects: int | No
         "page_id", "url", F.lit(None).cast("string").alias("final_url"), F.lit(0).alias("hops"),
         F.lit(None).cast("int").alias("status"), F.col("why").alias("outcome"))]
     active = g.filter(F.col("cur").isNotNull()).select("page_id", "url", "cur")
-    # the log is keyed by the normalised URL of each capture
+    # the log is keyed by the normalised URL of each capture; it is joined once per hop, so it is
+    # materialised once (reliable checkpoint in the shared checkpoint folder) instead of recomputed
+    checkpoint_dir(log.sparkSession)
     lg = urls.gate(log.select("url", "status", "location", "content_type", "elapsed_ms"), "url", out="cur",
-                   reason="_lw").filter(F.col("cur").isNotNull()).drop("url", "_lw")
+                   reason="_lw").filter(F.col("cur").isNotNull()).drop("url", "_lw").checkpoint()
     for hop in range(n + 1):
         j = active.join(lg, "cur", "left")
         redirect = F.col("status").isin(*REDIRECT_STATUSES)
@@ -137,7 +143,8 @@ def resolve_redirects(log: DataFrame, starts: DataFrame, max_redirects: int | No
                    .when(~F.col("status").between(200, 299), F.lit("HTTP status"))
                    .when(~media_type("content_type").isin(*allowed), F.lit("unsupported content type"))
                    .otherwise(F.lit("ok")))
-        j = j.withColumn("outcome", outcome)
+        # cut the lineage per hop: each hop's plan stays small and a lost executor recomputes one hop
+        j = j.withColumn("outcome", outcome).checkpoint()
         done.append(j.filter(F.col("outcome").isNotNull()).select(
             "page_id", "url", F.col("cur").alias("final_url"), F.lit(hop).alias("hops"),
             F.when(~F.col("outcome").isin("fetch failed", "timed out"), F.col("status")).alias("status"),
@@ -149,7 +156,7 @@ def resolve_redirects(log: DataFrame, starts: DataFrame, max_redirects: int | No
         why = (F.when(F.col("nwhy") == "unsupported_scheme", F.lit("unsupported protocol"))
                .when(F.col("nwhy").isNotNull(), F.lit("invalid URL"))
                .when(F.col("nxt").rlike("^[a-z]+://[^/?#]*@"), F.lit("embedded credentials")))
-        nxt = nxt.withColumn("why", why)
+        nxt = nxt.withColumn("why", why).select("page_id", "url", "cur", "status", "nxt", "why").checkpoint()
         done.append(nxt.filter(F.col("why").isNotNull()).select(
             "page_id", "url", F.col("cur").alias("final_url"), F.lit(hop).alias("hops"),
             F.col("status"), F.col("why").alias("outcome")))

@@ -391,3 +391,10 @@ def stream_pages_job(spark, sf_dir):
 def stream_feed_entries_job(spark, sf_dir):
     """ST2: feeds polled twice; entries deduplicated by URL within the watermark (equals feed_entries)."""
     return ST.stream_feed_entries_job(spark, sf_dir)
+
+
+@job("published_ts")
+def published_ts_job(spark, sf_dir):
+    """entry dates normalised to UTC (session time zone is UTC)."""
+    e = FD.entries(FD.parse_feeds(tables.feeds(spark, sf_dir)))
+    return e.select("feed_id", "pos", "published", FD.published_utc("published").alias("published_utc"))

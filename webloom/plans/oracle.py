@@ -414,14 +414,18 @@ FROM rlog
 
 
 def _byte_prefix_ctes(src: str, out: str, col: str, nbytes: int) -> str:
-    """``out`` = ``src`` + ``_head``: longest character prefix of ``col`` within ``nbytes`` UTF-8 bytes."""
-    sel, prev = [], "0"
+    """``out`` = ``src`` + ``_head``: longest character prefix of ``col`` within ``nbytes`` UTF-8 bytes
+    (binary search, one CTE per step so no expression is duplicated)."""
+    ctes, prev_cte, prev = [], src, "0"
     step, i = 2048, 0
     while step >= 1:
-        sel.append(f"CASE WHEN strlen(substr({col}, 1, {prev} + {step})) <= {nbytes} THEN {prev} + {step} "
-                   f"ELSE {prev} END AS _m{i}")
-        prev, step, i = f"_m{i}", step // 2, i + 1
-    return f"{out} AS (SELECT *, {', '.join(sel)}, substr({col}, 1, {prev}) AS _head FROM {src})"
+        name = f"{out}_s{i}"
+        keep = "" if i == 0 else f" EXCLUDE (_m{i - 1})"
+        ctes.append(f"{name} AS (SELECT *{keep}, CASE WHEN strlen(substr({col}, 1, {prev} + {step})) <= {nbytes} "
+                    f"THEN {prev} + {step} ELSE {prev} END AS _m{i} FROM {prev_cte})")
+        prev_cte, prev, step, i = name, f"_m{i}", step // 2, i + 1
+    ctes.append(f"{out} AS (SELECT * EXCLUDE ({prev}), substr({col}, 1, {prev}) AS _head FROM {prev_cte})")
+    return ",\n".join(ctes)
 
 
 def _charset(ct: str) -> str:
@@ -595,3 +599,16 @@ SELECT page_id, url, final_url, title, length, truncated, link_count, {U.host_of
 
 SQL["stream_pages"] = SQL["page_markdown"]
 SQL["stream_feed_entries"] = SQL["feed_entries"]
+
+
+def _published_utc(x: str) -> str:
+    s = f"regexp_replace({x}, '^[A-Za-z]{{3}},[ ]*', '')"
+    return (f"coalesce(strftime(try_strptime({s}, '%Y-%m-%dT%H:%M:%SZ'), '%Y-%m-%d %H:%M:%S'), "
+            f"strftime(timezone('UTC', try_strptime({s}, '%d %b %Y %H:%M:%S %z')), '%Y-%m-%d %H:%M:%S'), "
+            f"strftime(try_strptime({s}, '%d %b %Y %H:%M:%S GMT'), '%Y-%m-%d %H:%M:%S'))")
+
+
+sql("published_ts", f"""
+WITH {FEEDS}, {_parsed("feeds", "pf")}, {_entries("pf", "en")}
+SELECT feed_id, pos, published, {_published_utc('published')} AS published_utc FROM en
+""")

@@ -55,16 +55,29 @@ def _decode_one(b: str, table: str, hex_re: str) -> str:
     return f"(CASE WHEN starts_with({b}, '#') THEN {num} ELSE coalesce({table}[{b}], {lit}) END)"
 
 
-def _decode(x: str, pattern: str, table: dict[str, str], hex_re: str) -> str:
+def _replace_chain(x: str, table: dict[str, str]) -> str:
+    for name in sorted(table, key=lambda n: n == "amp"):
+        x = f"replace({x}, {q('&' + name + ';')}, {q(table[name])})"
+    return x
+
+
+def _chain_safe(x: str, table: dict[str, str]) -> str:
+    conds = [f"strpos({x}, '&#') = 0"] + [f"strpos({x}, {q('&' + n + ';')}) = 0" for n, v in table.items() if v == ""]
+    return "(" + " AND ".join(conds) + ")"
+
+
+def _decode(x: str, pattern: str, table: dict[str, str], hex_re: str, chain: bool = False) -> str:
     one = _decode_one("b", _map(table), hex_re)
-    return (f"(CASE WHEN strpos({x}, '&') > 0 THEN array_to_string(list_transform("
+    fast = f"WHEN {_chain_safe(x, table)} THEN {_replace_chain(x, table)} " if chain else ""
+    return (f"(CASE WHEN strpos({x}, '&') = 0 THEN {x} {fast}"
+            f"WHEN strpos({x}, '&') > 0 THEN array_to_string(list_transform("
             f"list_zip(string_split_regex({x}, {q(pattern)}), "
             f"list_append(list_transform(regexp_extract_all({x}, {q(pattern)}, 1), lambda b: {one}), '')), "
             f"lambda z: z[1] || z[2]), '') ELSE {x} END)")
 
 
 def decode_html_entities(x: str) -> str:
-    return _decode(x, HTML_ENTITY_RE, HTML_ENTITIES, "^#[xX]")
+    return _decode(x, HTML_ENTITY_RE, HTML_ENTITIES, "^#[xX]", chain=True)
 
 
 def decode_feed_entities(x: str) -> str:
