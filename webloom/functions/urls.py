@@ -58,21 +58,27 @@ def remove_dot_segments(path) -> Column:
 
 
 def with_parsed_url(df: DataFrame, src: str, p: str) -> DataFrame:
-    """Add ``{p}_scheme, {p}_user, {p}_pass, {p}_host, {p}_ok, {p}_url`` for absolute URL text in ``src``."""
+    """Add ``{p}_scheme, {p}_user, {p}_pass, {p}_host, {p}_ok, {p}_url`` for absolute URL text in ``src``.
+
+    Four projections (``withColumns``), one per dependency level, so the plan stays small.
+    """
     u = F.col(src)
-    auth = F.regexp_extract(u, ABS_RE, 2)
-    df = df.withColumn(f"{p}_scheme", F.lower(F.regexp_extract(u, ABS_RE, 1))) \
-        .withColumn(f"{p}__auth", auth) \
-        .withColumn(f"{p}__path", F.regexp_extract(u, ABS_RE, 3)) \
-        .withColumn(f"{p}__query", F.regexp_extract(u, ABS_RE, 4)) \
-        .withColumn(f"{p}__frag", F.regexp_extract(u, ABS_RE, 5))
+    df = df.withColumns({
+        f"{p}_scheme": F.lower(F.regexp_extract(u, ABS_RE, 1)),
+        f"{p}__auth": F.regexp_extract(u, ABS_RE, 2),
+        f"{p}__path": F.regexp_extract(u, ABS_RE, 3),
+        f"{p}__query": F.regexp_extract(u, ABS_RE, 4),
+        f"{p}__frag": F.regexp_extract(u, ABS_RE, 5),
+    })
     a = F.col(f"{p}__auth")
     userinfo = F.when(F.instr(a, "@") > 0, F.regexp_extract(a, "^([\\s\\S]*)@", 1)).otherwise(F.lit(""))
     hostport = F.regexp_extract(a, "([^@]*)$", 1)
-    df = df.withColumn(f"{p}_user", F.regexp_extract(userinfo, "^([^:]*)", 1)) \
-        .withColumn(f"{p}_pass", F.regexp_extract(userinfo, "^[^:]*:([\\s\\S]*)$", 1)) \
-        .withColumn(f"{p}_host", F.lower(F.regexp_extract(hostport, HOST_RE, 1))) \
-        .withColumn(f"{p}__port", F.regexp_extract(hostport, PORT_RE, 1))
+    df = df.withColumns({
+        f"{p}_user": F.regexp_extract(userinfo, "^([^:]*)", 1),
+        f"{p}_pass": F.regexp_extract(userinfo, "^[^:]*:([\\s\\S]*)$", 1),
+        f"{p}_host": F.lower(F.regexp_extract(hostport, HOST_RE, 1)),
+        f"{p}__port": F.regexp_extract(hostport, PORT_RE, 1),
+    })
     host, port, scheme = F.col(f"{p}_host"), F.col(f"{p}__port"), F.col(f"{p}_scheme")
     port_ok = (port == "") | (port.rlike("^[0-9]{1,5}$") & (port.try_cast("int") <= 65535))
     host_ok = (host != "") & (host.rlike(r"^\[[^\]]*\]$") | ~host.rlike(FORBIDDEN_HOST_RE))
@@ -81,9 +87,11 @@ def with_parsed_url(df: DataFrame, src: str, p: str) -> DataFrame:
                     F.lit("")).otherwise(port_n)
     path = F.col(f"{p}__path")
     path_n = F.when(path == "", F.lit("/")).otherwise(F.translate(path, "\\", "/"))
-    df = df.withColumn(f"{p}_ok", (scheme != "") & port_ok & host_ok) \
-        .withColumn(f"{p}__portn", port_n) \
-        .withColumn(f"{p}__pathn", pct_encode(remove_dot_segments(path_n), PATH_ENC))
+    df = df.withColumns({
+        f"{p}_ok": (scheme != "") & port_ok & host_ok,
+        f"{p}__portn": port_n,
+        f"{p}__pathn": pct_encode(remove_dot_segments(path_n), PATH_ENC),
+    })
     user, pw = F.col(f"{p}_user"), F.col(f"{p}_pass")
     cred = (F.when(pw != "", F.concat(user, F.lit(":"), pw, F.lit("@")))
             .when(user != "", F.concat(user, F.lit("@"))).otherwise(F.lit("")))
@@ -111,7 +119,7 @@ def gate(df: DataFrame, src: str, out: str = "final_url", reason: str = "reason"
            .when(~F.col("_g_scheme").isin("http", "https"), F.lit("unsupported protocol"))
            .when(~F.col("_g_ok"), F.lit("invalid URL"))
            .when((F.col("_g_user") != "") | (F.col("_g_pass") != ""), F.lit("embedded credentials")))
-    df = df.withColumn(reason, why).withColumn(out, F.when(why.isNull(), F.col("_g_url")))
+    df = df.withColumn(reason, why).withColumns({out: F.when(F.col(reason).isNull(), F.col("_g_url"))})
     return df.drop(*[c for c in df.columns if c.startswith("_g")])
 
 
@@ -130,7 +138,7 @@ def resolve(df: DataFrame, href: str, base: str, out: str = "resolved", reason:
             .when(h.startswith("data:"), F.lit("data")))
     if not junk_filter:
         junk = F.lit(None).cast("string")
-    df = df.withColumn("_r_junk", junk).withColumn("_r_h", clean_input(href))
+    df = df.withColumns({"_r_junk": junk, "_r_h": clean_input(href)})
     b = F.col(base)
     bs, ba, bp = (F.regexp_extract(b, BASE_RE, i) for i in (1, 2, 3))
     bp = F.when(bp == "", F.lit("/")).otherwise(bp)

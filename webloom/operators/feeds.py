@@ -80,21 +80,29 @@ def entries(parsed: DataFrame, max_items: int | None = None, keep: tuple[str, ..
     e = parsed.filter(F.col("kind").isNotNull()).select(
         "feed_id", "kind", *keep, F.posexplode(_blocks(max_items)).alias("pos", "b"))
     b, rss = F.col("b"), F.col("kind") == "rss"
-    link = field(b, tag_re("link"))
-    guid = field(b, tag_re("guid"))
-    rss_url = F.when((link == "") & guid.rlike("(?i)^https?://"), guid).otherwise(link)
+    raw = {
+        "title": tag_re("title"), "link": tag_re("link"), "guid": tag_re("guid"), "pub": tag_re("pubDate"),
+        "dcdate": tag_re("dc:date"), "apub": "(?i)<(?:published|updated)\\b[^>]*>([\\s\\S]*?)</(?:published|updated)>",
+        "creator": tag_re("dc:creator"), "author": tag_re("author"),
+        "aname": "(?i)<author\\b[^>]*>[\\s\\S]*?<name\\b[^>]*>([\\s\\S]*?)</name>",
+        "desc": tag_re("description"), "summary": tag_re("summary"), "encoded": tag_re("content:encoded"),
+        "content": tag_re("content"),
+    }
+    # stage 1: raw inner texts as columns; stage 2: clean each column (small expression trees)
+    e = e.select("feed_id", "pos", "kind", *keep, _atom_link(b).alias("alink"),
+                 *[F.regexp_extract(b, p, 1).alias(f"r_{k}") for k, p in raw.items()])
+    e = e.select("feed_id", "pos", "kind", *keep, "alink",
+                 *[clean_feed_text(f"r_{k}").alias(f"c_{k}") for k in raw])
+    c = {k: F.col(f"c_{k}") for k in raw}
+    rss_url = F.when((c["link"] == "") & c["guid"].rlike("(?i)^https?://"), c["guid"]).otherwise(c["link"])
     e = e.select(
         "feed_id", "pos", "kind", *keep,
-        field(b, tag_re("title")).alias("_title"),
-        F.when(rss, rss_url).otherwise(_atom_link(b)).alias("url"),
-        F.when(rss, F.coalesce(F.nullif(field(b, tag_re("pubDate")), F.lit("")), field(b, tag_re("dc:date"))))
-         .otherwise(field(b, "(?i)<(?:published|updated)\\b[^>]*>([\\s\\S]*?)</(?:published|updated)>"))
-         .alias("published"),
-        F.when(rss, F.coalesce(F.nullif(field(b, tag_re("dc:creator")), F.lit("")), field(b, tag_re("author"))))
-         .otherwise(field(b, "(?i)<author\\b[^>]*>[\\s\\S]*?<name\\b[^>]*>([\\s\\S]*?)</name>"))
-         .alias("author"),
-        F.when(rss, field(b, tag_re("description"))).otherwise(field(b, tag_re("summary"))).alias("summary"),
-        F.when(rss, field(b, tag_re("content:encoded"))).otherwise(field(b, tag_re("content"))).alias("content"),
+        c["title"].alias("_title"),
+        F.when(rss, rss_url).otherwise(F.col("alink")).alias("url"),
+        F.when(rss, F.coalesce(F.nullif(c["pub"], F.lit("")), c["dcdate"])).otherwise(c["apub"]).alias("published"),
+        F.when(rss, F.coalesce(F.nullif(c["creator"], F.lit("")), c["author"])).otherwise(c["aname"]).alias("author"),
+        F.when(rss, c["desc"]).otherwise(c["summary"]).alias("summary"),
+        F.when(rss, c["encoded"]).otherwise(c["content"]).alias("content"),
     )
     return e.select("feed_id", F.col("pos").cast("int").alias("pos"), "kind", *keep,
                     F.when(F.col("_title") == "", F.lit(UNTITLED)).otherwise(F.col("_title")).alias("title"),
