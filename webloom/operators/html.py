@@ -228,7 +228,7 @@ def page_state(pages: DataFrame) -> DataFrame:
 
 
 def extract(pages: DataFrame | None = None, opts: ExtractOptions = ExtractOptions(),
-            state: DataFrame | None = None) -> DataFrame:
+            state: DataFrame | None = None, with_links: bool = True) -> DataFrame:
     """-> ``(page_id, title, content, length, truncated, links)``; ``links`` = raw anchors in order.
 
     Two aggregation levels, both on the ``page_id`` partitioning of the token
@@ -238,6 +238,14 @@ def extract(pages: DataFrame | None = None, opts: ExtractOptions = ExtractOption
     s = _pieces(state if state is not None else page_state(pages), opts.markdown)
     title_txt = (F.col("kind") == "text") & F.col("in_title")
     title_done = (F.col("kind") == "tag") & F.col("closing") & (F.col("name") == "title") & F.col("in_title")
+    if not with_links:
+        # content only: one aggregation level (the anchor pieces are already in the page stream)
+        agg = s.groupBy("page_id").agg(
+            F.concat(F.collect_list("piece_a"), F.collect_list("piece_b")).alias("pieces"),
+            F.max(F.when(title_done, F.col("title_seg"))).alias("tseg"),
+            F.collect_list(F.when(title_txt, F.struct("title_seg", "pos", "tok"))).alias("tparts"),
+        ).withColumn("links", F.array().cast("array<struct<link_pos:bigint,text:string,href:string>>"))
+        return _finish(agg, opts)
     seg = s.groupBy("page_id", "anchor_seq").agg(
         F.collect_list("piece_a").alias("pa"),
         F.collect_list("piece_b").alias("pb"),
@@ -260,6 +268,10 @@ def extract(pages: DataFrame | None = None, opts: ExtractOptions = ExtractOption
         F.flatten(F.collect_list("tparts")).alias("tparts"),
         F.array_sort(F.collect_list("link")).alias("links"),
     )
+    return _finish(agg, opts)
+
+
+def _finish(agg: DataFrame, opts: ExtractOptions) -> DataFrame:
     raw = F.array_join(F.transform(F.array_sort("pieces"), lambda p: p["s"]), "")
     title_raw = F.array_join(F.transform(
         F.filter(F.array_sort("tparts"), lambda x: x["title_seg"] == F.col("tseg")), lambda x: x["tok"]), "")

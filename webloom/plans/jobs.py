@@ -66,21 +66,21 @@ def page_title_job(spark, sf_dir):
 @job("page_text")
 def page_text_job(spark, sf_dir):
     """P7 (+P17-P19): plain-text content."""
-    ex = html.extract(tables.pages(spark, sf_dir), ExtractOptions.of("text"))
+    ex = html.extract(tables.pages(spark, sf_dir), ExtractOptions.of("text"), with_links=False)
     return ex.select("page_id", "content", F.col("length").cast("int").alias("length"), "truncated")
 
 
 @job("page_markdown")
 def page_markdown_job(spark, sf_dir):
     """Markdown content (headings, lists, fences, links, images)."""
-    ex = html.extract(tables.pages(spark, sf_dir), ExtractOptions.of("markdown"))
+    ex = html.extract(tables.pages(spark, sf_dir), ExtractOptions.of("markdown"), with_links=False)
     return ex.select("page_id", "content", F.col("length").cast("int").alias("length"), "truncated")
 
 
 @job("page_truncated")
 def page_truncated_job(spark, sf_dir):
     """Content cut at the smallest allowed cap (1,000 chars) and flagged."""
-    ex = html.extract(tables.pages(spark, sf_dir), ExtractOptions.of("text", 1_000))
+    ex = html.extract(tables.pages(spark, sf_dir), ExtractOptions.of("text", 1_000), with_links=False)
     return ex.select("page_id", "content", F.col("length").cast("int").alias("length"), "truncated")
 
 
@@ -101,7 +101,7 @@ def page_images_job(spark, sf_dir):
 @job("page_outline")
 def page_outline_job(spark, sf_dir):
     """Heading lines of the markdown rendering."""
-    ex = html.extract(tables.pages(spark, sf_dir), ExtractOptions.of("markdown"))
+    ex = html.extract(tables.pages(spark, sf_dir), ExtractOptions.of("markdown"), with_links=False)
     ol = html.outline(ex)
     return ol.select("page_id", F.col("line_no").cast("int").alias("line_no"),
                      F.col("level").cast("int").alias("level"), "text")

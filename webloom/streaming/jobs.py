@@ -39,7 +39,7 @@ def stream_pages(spark: SparkSession, source_dir: str, out_dir: str, ckpt: str,
     src = spark.readStream.schema("page_id bigint, url string, html string").parquet(source_dir)
 
     def batch(df: DataFrame, epoch: int) -> None:
-        ex = html.extract(df, opts).drop("links")
+        ex = html.extract(df, opts, with_links=False).drop("links")
         ex.select("page_id", "title", "content", F.col("length").cast("int").alias("length"), "truncated") \
           .write.mode("append").parquet(out_dir)
 
