@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import (ATTR_NAME_RE, ATTR_RE, ATTR_VALUE_RE, BLOCK_TAGS,
-                                   BRK, FENCE, HEADING_LEVELS, NOT_WS, SKIP_TAGS, STRIP,
+                                   BRK, FENCE, HEADING_LEVELS, SKIP_TAGS, STRIP,
                                    TAG_NAME_RE, TOKEN_RE, WS)
 from ..functions.text import (collapse_ws, decode_html_entities, js_trim,
                               normalize_ws)
@@ -348,5 +348,5 @@ def outline(extracted_md: DataFrame) -> DataFrame:
                     F.regexp_replace("line", "^#{1,6} ", "").alias("text"))
 
 
-__all__ = ["tokenize", "document_state", "page_state", "extract", "raw_links", "images", "outline",
-           "finish_content", "attr", "NOT_WS"]
+__all__ = ["tokenize", "document_state", "page_state", "extract", "titles", "raw_links", "images", "outline",
+           "finish_content", "attr"]

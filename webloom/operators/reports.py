@@ -45,7 +45,6 @@ def feed_report(feeds: DataFrame, entries: DataFrame) -> DataFrame:
                     F.when(F.col("content").isNotNull(), F.concat(F.lit("   "), F.col("content")))).alias("block"))
     per = ent.groupBy("feed_id").agg(F.array_sort(F.collect_list(F.struct("pos", "block"))).alias("bs"))
     j = feeds.join(per, "feed_id", "left")
-    n = F.coalesce(F.size("bs"), F.lit(0))
     n = F.when(F.col("bs").isNull(), F.lit(0)).otherwise(F.size("bs"))
     head = F.concat(F.lit("feed: "), F.col("feed_title"), F.lit("\n"), n.cast("string"),
                     F.when(n == 1, F.lit(" entry")).otherwise(F.lit(" entries")), F.lit(" from "), F.col("final_url"))

@@ -206,13 +206,13 @@ fd0 AS (
   SELECT source, lang, doc_id // {FEED_BUCKET} AS bucket, string_agg(CASE WHEN lang = 'en' THEN
     '<item><title>' || {_esc('substring(text, 1, 40)')} || '</title><link>/doc/' || CAST(doc_id AS VARCHAR)
     || '</link><dc:date>' || {_TS} || '</dc:date><dc:creator>' || source || '</dc:creator><description>'
-    || {_esc('substring(text, 1, 900)')} || '</description><content:encoded><![CDATA[<p>'
-    || replace(substring(text, 1, 3000), ']]>', ' ') || '</p>]]></content:encoded></item>'
+    || {_esc('text')} || '</description><content:encoded><![CDATA[<p>'
+    || replace(text, ']]>', ' ') || '</p>]]></content:encoded></item>'
   ELSE
     '<entry><title>' || {_esc('substring(text, 1, 40)')} || '</title><link rel="self" href="/self/'
     || CAST(doc_id AS VARCHAR) || '"/><link rel="alternate" href="/doc/' || CAST(doc_id AS VARCHAR)
     || '"/><updated>' || {_TS} || '</updated><author><name>' || source
-    || '</name></author><summary type="html">&lt;p&gt;' || {_esc('substring(text, 1, 900)')}
+    || '</name></author><summary type="html">&lt;p&gt;' || {_esc('text')}
     || '&lt;/p&gt;</summary></entry>'
   END, '' ORDER BY doc_id) AS body
   FROM documents GROUP BY source, lang, doc_id // {FEED_BUCKET}

@@ -68,8 +68,11 @@ def stream_feed_entries(spark: SparkSession, source_dir: str, out_dir: str, ckpt
            .schema("feed_id string, url string, xml string, final_url string, truncated boolean, "
                    "fetched_at timestamp").parquet(source_dir))
     items = FD.feed_items(FD.parse_feeds(src), keep=("fetched_at",))
-    fresh = items.withWatermark("fetched_at", watermark).dropDuplicatesWithinWatermark(["url"])
-    q = (fresh.drop("fetched_at").writeStream.format("parquet").option("path", out_dir)
+    # entries are "seen" by URL; an entry whose link was dropped is keyed by feed and title instead
+    items = items.withColumn("seen_key", F.coalesce(F.nullif(F.col("url"), F.lit("")),
+                                                    F.concat_ws("#", "feed_id", "title")))
+    fresh = items.withWatermark("fetched_at", watermark).dropDuplicatesWithinWatermark(["seen_key"])
+    q = (fresh.drop("fetched_at", "seen_key").writeStream.format("parquet").option("path", out_dir)
          .option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
 
