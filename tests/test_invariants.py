@@ -41,3 +41,12 @@ def test_batch_equals_stream(spark, pages_df):
     streamed = {r.page_id: (r.title, r.content) for r in spark.read.schema(ST.EXTRACT_SCHEMA).parquet(f"{run}/out").collect()}
     batch = {r.page_id: (r.title, r.content) for r in html.extract(pages, opts).collect()}
     assert streamed == batch and len(batch) == len(PAGES)
+
+
+def test_clustered_flag_same_result(pages_df):
+    pages = pages_df(*PAGES)
+    opts = ExtractOptions.of("markdown")
+    a = {r.page_id: (r.title, r.content) for r in html.extract(pages, opts).collect()}
+    b = {r.page_id: (r.title, r.content)
+         for r in html.extract(pages, opts, state=html.page_state(pages, clustered=True)).collect()}
+    assert a == b

@@ -55,14 +55,17 @@ def attr(tok, name: str) -> Column:
     return F.when(last.isNotNull(), value)
 
 
-def tokenize(pages: DataFrame) -> DataFrame:
+def tokenize(pages: DataFrame, clustered: bool = False) -> DataFrame:
     """``pages(page_id, html)`` -> ``tokens(page_id, pos, tok, kind, name, closing)``.
 
     Comments and name-less tags (doctype, ``<?xml``) have no effect and are
-    dropped here; ``pos`` keeps the original token index.
+    dropped here; ``pos`` keeps the original token index.  ``clustered=True``
+    (pages read from a table bucketed by ``page_id``) skips the explicit
+    shuffle; if the input is not in fact clustered, Spark still inserts the
+    exchange the windows require, so results never depend on the flag.
     """
-    t = (pages.select("page_id", "html")
-         .repartition("page_id")
+    src = pages.select("page_id", "html")
+    t = ((src if clustered else src.repartition("page_id"))
          # an empty text token closes every page: each page yields rows even
          # without tokens, so no join back to ``pages`` is needed
          .select("page_id", F.posexplode(F.array_append(
@@ -223,8 +226,8 @@ def finish_content(raw: Column, max_chars: int):
     return full, F.length(full) > max_chars
 
 
-def page_state(pages: DataFrame) -> DataFrame:
-    return document_state(tokenize(pages))
+def page_state(pages: DataFrame, clustered: bool = False) -> DataFrame:
+    return document_state(tokenize(pages, clustered))
 
 
 def extract(pages: DataFrame | None = None, opts: ExtractOptions = ExtractOptions(),
