@@ -185,3 +185,22 @@ def test_redirects(spark):
     assert got["https://slow.test/"][0] == "timed out"
     assert got["https://nf.test/"][0] == "HTTP status"
     assert got["https://missing.test/"][0] == "fetch failed"
+
+
+def test_charset_detection_order(spark):
+    from pyspark.sql import functions as F
+    cases = [
+        ("text/html; charset=ISO-8859-1", '<meta charset="utf-8">', "ISO-8859-1"),
+        ("text/html", '<?xml version="1.0" encoding="windows-1252"?><x/>', "windows-1252"),
+        ("text/html", '<html><head><meta charset="shift_jis"></head>', "shift_jis"),
+        (None, '<meta http-equiv="Content-Type" content="text/html; charset=koi8-r">', "koi8-r"),
+        ("text/html", "<p>no declaration</p>", "utf-8"),
+        ("text/html", " " * 2100 + '<meta charset="latin1">', "utf-8"),   # beyond the first 2,048 bytes
+    ]
+    df = spark.createDataFrame([(i, ct, body) for i, (ct, body, _) in enumerate(cases)],
+                               "id int, content_type string, html string").withColumn("body", F.encode("html", "UTF-8"))
+    got = {r.id: r.cs for r in df.select("id", RS.detect_charset("content_type", "body").alias("cs")).collect()}
+    assert [got[i] for i in range(len(cases))] == [c for _, _, c in cases]
+    text, decoder = RS.decode_body("body", "cs")
+    r = df.withColumn("cs", F.lit("latin1")).select(decoder.alias("d")).first()
+    assert r.d == "windows-1252"
