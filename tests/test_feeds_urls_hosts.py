@@ -204,3 +204,14 @@ def test_charset_detection_order(spark):
     text, decoder = RS.decode_body("body", "cs")
     r = df.withColumn("cs", F.lit("latin1")).select(decoder.alias("d")).first()
     assert r.d == "windows-1252"
+
+
+def test_size_cap(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(1, "x" * 10_000), (2, "x" * 10_001), (3, "é" * 6_000)], "id int, html string") \
+        .withColumn("body", F.encode("html", "UTF-8"))
+    got = {r.id: (r.kept, r.truncated) for r in RS.size_cap(df, 10_000)
+           .select("id", F.octet_length("kept").alias("kept"), "truncated").collect()}
+    assert got == {1: (10_000, False), 2: (10_000, True), 3: (10_000, True)}
+    # out-of-range caps are clamped, not rejected
+    assert RS.size_cap(df, 5).select(F.octet_length("kept").alias("k")).first().k == 10_000
