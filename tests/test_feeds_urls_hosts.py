@@ -215,3 +215,13 @@ def test_size_cap(spark):
     assert got == {1: (10_000, False), 2: (10_000, True), 3: (10_000, True)}
     # out-of-range caps are clamped, not rejected
     assert RS.size_cap(df, 5).select(F.octet_length("kept").alias("k")).first().k == 10_000
+
+
+def test_route_assign(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([("https", False), ("http", False), ("https", True), ("http", True)],
+                               "scheme string, bypass boolean")
+    rows = df.select(H.route(F.col("scheme"), F.col("bypass"), "http://proxy.test:3128", "").alias("r")).collect()
+    assert [r.r for r in rows] == ["direct", "proxy http://proxy.test:3128", "direct", "direct"]
+    bad = df.select(H.route(F.col("scheme"), F.col("bypass"), "socks5://p.test:1080", "")).collect()
+    assert bad[1][0] == 'error: unsupported proxy protocol "socks5:"'
