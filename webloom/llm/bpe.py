@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from webloom.llm.storage import arrow_map
+
 MEMO_WORDS = 600_000
 
 # Fixed values of the byte-level alphabet: printable bytes stand for themselves, the others, in
@@ -272,4 +274,4 @@ def bpe_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=schema.names)
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return arrow_map(docs.select(id_col, text_col), run, schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import bpe, records
+from webloom.llm import bpe, hash_tree, outliers, records
 from webloom.llm.storage import new_folder
 
 
@@ -29,6 +29,16 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read_records(manifest, folder, shards)
 
 
+def op3_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of a hash tree, and where each goes with one shard more."""
+    return hash_tree.place(_table(spark, sf_dir, "documents"), 40)
+
+
+def op5_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word statistics of every text; verdict by base rules and distance from its language and source."""
+    return outliers.robust_outliers(_table(spark, sf_dir, "documents"))
+
+
 def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded by the automaton and decoded from its ids."""
     return bpe.bpe_documents(_table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"),
@@ -37,6 +47,8 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
+    "op3_hash_tree_shards": op3_hash_tree_shards,
+    "op5_robust_outliers": op5_robust_outliers,
     "op10_bpe_automaton": op10_bpe_automaton,
 }
 SQL: dict[str, str] = {}

@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from webloom.llm.storage import arrow_map
+
 # Fixed values of the checksum mask.
 MASK_ROTATE, MASK_ADD = 15, 0xA282EAD8
 MEMO_WORDS = 400_000
@@ -157,7 +159,7 @@ def write_records(docs: DataFrame, folder: str, path: str, end_id: int, shards:
 
     ordered = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")) \
         .repartitionByRange(shards, "id").sortWithinPartitions("id", "text")
-    rows = ordered.mapInArrow(write, "shard int, file string, n_docs long, n_tokens long").collect()  # one row a shard file
+    rows = arrow_map(ordered, write, "shard int, file string, n_docs long, n_tokens long").collect()  # one row a shard file
     first, out = 0, []
     for r in sorted(rows):
         out.append((r.shard, r.file, r.n_docs, r.n_tokens, first))
@@ -191,7 +193,7 @@ def read_records(manifest: DataFrame, folder: str, shards: int) -> DataFrame:
                 if rows:
                     yield _rows(rows, schema)
 
-    return manifest.repartition(max(1, shards), "shard").mapInArrow(read, schema)
+    return arrow_map(manifest.repartition(max(1, shards), "shard"), read, schema)
 
 
 def _rows(rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import pathlib
+import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from webloom.session import checkpoint_dir
 
@@ -24,3 +30,23 @@ def saved(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder: lineage ends there and later reads don't compute it again."""
     checkpoint_dir(df.sparkSession)  # sets the folder where the session has none
     return df.checkpoint(eager=True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers of this application (once), wherever it is installed on the driver."""
+    sc = spark.sparkContext
+    if getattr(sc, "_webloom_shipped", False):
+        return
+    here = pathlib.Path(__file__).resolve().parents[1]
+    target = pathlib.Path(tempfile.mkdtemp(prefix="webloom-src-")) / "webloom_src.zip"  # read by the driver's own file server
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(here.rglob("*.py")):
+            z.write(f, f.relative_to(here.parent))
+    sc.addPyFile(str(target))
+    sc._webloom_shipped = True
+
+
+def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+    """``df.mapInArrow`` by workers that have the package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
