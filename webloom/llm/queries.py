@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import bpe, hash_tree, outliers, records
+from webloom.llm import bpe, gam, hash_tree, langid, outliers, records, toxicity
 from webloom.llm.storage import new_folder
 
 
@@ -39,6 +39,22 @@ def op5_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.robust_outliers(_table(spark, sf_dir, "documents"))
 
 
+def op7_char_ngram_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text by naive Bayes over hashed character n-grams."""
+    docs = _table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.train(docs))
+
+
+def op8_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text by the additive model."""
+    return gam.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_fair_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every text by the counterfactually regularised classifier."""
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded by the automaton and decoded from its ids."""
     return bpe.bpe_documents(_table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"),
@@ -49,6 +65,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op3_hash_tree_shards": op3_hash_tree_shards,
     "op5_robust_outliers": op5_robust_outliers,
+    "op7_char_ngram_bayes": op7_char_ngram_bayes,
+    "op8_quality_gam": op8_quality_gam,
+    "op9_fair_toxicity": op9_fair_toxicity,
     "op10_bpe_automaton": op10_bpe_automaton,
 }
 SQL: dict[str, str] = {}
