@@ -4,7 +4,8 @@ File format of a shard ``part-NNNNN.rec``: records end to end. A record is
 
     length   8 bytes  little-endian count of payload bytes
     check    4 bytes  masked crc32 of the length field
-    payload  doc_id (8 bytes, signed), flag (1 byte, 1 if doc_id is null), then the ids, 4 bytes each
+    payload  doc_id (8 bytes, signed), flags (1 byte: 1 if doc_id is null, 2 if ids are wide), then the ids,
+             little-endian, 2 bytes each, or 4 bytes each where an id of the record is over 65535
     check    4 bytes  masked crc32 of the payload
 
 The mask rotates the checksum by 15 bits and adds a constant, so that a checksum stored inside a
@@ -76,6 +77,19 @@ def read_record(stream, offset: int) -> bytes:
     return got
 
 
+def pack_ids(ids: bytes, null: bool) -> bytes:
+    """Flags and ids of a record from ids as unsigned 32-bit integers."""
+    wide = np.frombuffer(ids, "<u4")
+    if len(wide) and int(wide.max()) > 0xFFFF:
+        return bytes([null | 2]) + ids
+    return bytes([int(null)]) + wide.astype("<u2").tobytes()
+
+
+def unpack_ids(body: bytes) -> tuple[np.ndarray, bool]:
+    """(ids as unsigned 32-bit integers, whether doc_id is null)."""
+    return np.frombuffer(body, "<u4" if body[0] & 2 else "<u2", offset=1).astype("<u4"), bool(body[0] & 1)
+
+
 class ByteBpeEncoder:
     """Ids of whole texts by the tokenizers library.
 
@@ -142,7 +156,7 @@ def write_records(docs: DataFrame, folder: str, path: str, end_id: int, shards:
                     encoder, out = ByteBpeEncoder(path), store.open_output_stream(f"{base}/_{name}-{mark}.rec")
                 value = ident.as_py()
                 ids = encoder.encode(text.as_py() or "") + tail
-                record = frame(struct.pack("<qB", value or 0, value is None) + ids)
+                record = frame(struct.pack("<q", value or 0) + pack_ids(ids, value is None))
                 out.write(record)
                 offsets.append(at)
                 at, n_tokens = at + len(record), n_tokens + len(ids) // 4
@@ -181,9 +195,9 @@ def read_records(manifest: DataFrame, folder: str, shards: int) -> DataFrame:
                 rows, start, at = [], r["first_token"], 0
                 with store.open_input_stream(f"{base}/{r['file']}", buffer_size=1 << 20) as stream:
                     while (payload := unframe(stream.read)) is not None:
-                        ident, null = struct.unpack("<qB", payload[:9])
-                        n = (len(payload) - 9) // 4
-                        rows.append((None if null else ident, start, n, zlib.crc32(payload[9:]), r["shard"], at))
+                        ident, ids, null = struct.unpack("<q", payload[:8])[0], *unpack_ids(payload[8:])
+                        n = len(ids)
+                        rows.append((None if null else ident, start, n, zlib.crc32(ids.tobytes()), r["shard"], at))
                         start, at = start + n, at + len(payload) + 16
                         if len(rows) == 10_000:
                             yield _rows(rows, schema)
