@@ -123,6 +123,16 @@ class ByteBpeEncoder:
             return b"".join([memo[w] for w in words])
 
 
+_encoders: dict[str, ByteBpeEncoder] = {}
+
+
+def worker_encoder(path: str) -> ByteBpeEncoder:
+    """The encoder of this Python worker: its memo serves all tasks that the worker runs."""
+    if path not in _encoders:
+        _encoders[path] = ByteBpeEncoder(path)
+    return _encoders[path]
+
+
 def _store(uri: str):
     """(file system, path) of a folder; any scheme that pyarrow knows."""
     from pyarrow import fs
@@ -153,7 +163,7 @@ def write_records(docs: DataFrame, folder: str, path: str, end_id: int, shards:
                 if out is None:
                     store, base = _store(folder)
                     store.create_dir(base, recursive=True)
-                    encoder, out = ByteBpeEncoder(path), store.open_output_stream(f"{base}/_{name}-{mark}.rec")
+                    encoder, out = worker_encoder(path), store.open_output_stream(f"{base}/_{name}-{mark}.rec")
                 value = ident.as_py()
                 ids = encoder.encode(text.as_py() or "") + tail
                 record = frame(struct.pack("<q", value or 0) + pack_ids(ids, value is None))
