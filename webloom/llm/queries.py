@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import bpe, gam, hash_tree, langid, outliers, records, toxicity
+from webloom.llm import bpe, decontam, gam, hash_tree, langid, ngram_join, outliers, pii, records, toxicity
 from webloom.llm.storage import new_folder
 
 
+#: Key of the surrogates of the query and the pipeline; a production run passes its own secret to ``pii``.
+SURROGATE_KEY = "corpus-surrogates"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -29,16 +33,32 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read_records(manifest, folder, shards)
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every text under 5-word shingles and a Jaccard similarity of 0.8."""
+    return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op3_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of a hash tree, and where each goes with one shard more."""
     return hash_tree.place(_table(spark, sf_dir, "documents"), 40)
 
 
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with personal data replaced by keyed surrogates."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, SURROGATE_KEY, count_col="n_entities")
+
+
 def op5_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word statistics of every text; verdict by base rules and distance from its language and source."""
     return outliers.robust_outliers(_table(spark, sf_dir, "documents"))
 
 
+def op6_edit_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item within its edit budget, with the item and the distance."""
+    return decontam.contaminated_pairs(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_char_ngram_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every text by naive Bayes over hashed character n-grams."""
     docs = _table(spark, sf_dir, "documents")
@@ -63,8 +83,11 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_hash_tree_shards": op3_hash_tree_shards,
+    "op4_surrogates": op4_surrogates,
     "op5_robust_outliers": op5_robust_outliers,
+    "op6_edit_decontamination": op6_edit_decontamination,
     "op7_char_ngram_bayes": op7_char_ngram_bayes,
     "op8_quality_gam": op8_quality_gam,
     "op9_fair_toxicity": op9_fair_toxicity,
