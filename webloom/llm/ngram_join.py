@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from webloom.llm.components import components
 from webloom.llm.storage import arrow_map, saved
-from webloom.llm.words import U64, Words, mix, slices, text_bytes
+from webloom.llm.words import U64, Words, free_name, mix, slices, text_bytes
 
 SHINGLE = 5
 #: Entries of a task's frequency summary; shingles broadcast with their counts at most; count from which one is.
@@ -42,6 +42,8 @@ SUMMARY, LISTED, LEAST_COUNT = 1 << 16, 1 << 18, 8
 #: Members of a part of a salted list, about; candidates searched together.
 PART_ROWS, BLOCK = 50_000, 128
 BLOOM_BITS = 1 << 26
+#: Dropped rows whose keys may be broadcast; more are joined.
+BROADCAST_ROWS = 1_000_000
 MU = 0.0085  # DivideSkip's cost ratio
 
 POSTING = np.dtype([("h", "<u8"), ("node", "<i8"), ("n", "<u4"), ("at", "<u2"), ("pop", "<u2")])
@@ -120,9 +122,9 @@ def _whole(batches: Iterator[pa.RecordBatch], column: int, dtype: np.dtype) -> n
 
 
 def documents_and_counts(docs: DataFrame, id_col: str, text_col: str, parts: int) -> DataFrame:
-    """Rows (id, n, node, part, packed): a row for each document, and packed (shingle, count) summaries by part."""
-    schema = "id long, n long, node long, part int, packed binary"
-    names, types = ["id", "n", "node", "part", "packed"], [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    """Rows (id, text_hash, n, node, part, packed): a row for each document, and packed (shingle, count) summaries by part."""
+    schema = "id long, text_hash long, n long, node long, part int, packed binary"
+    names, types = ["id", "text_hash", "n", "node", "part", "packed"], [pa.int64()] * 4 + [pa.int32(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         summary = Summary()
@@ -132,13 +134,14 @@ def documents_and_counts(docs: DataFrame, id_col: str, text_col: str, parts: int
                 n[row], node[row] = len(members), digest(members)
                 summary.add(members)
             none = pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(node), *none], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n), pa.array(node), *none], names=names)
         summary.settle()
         rows = np.empty(len(summary.keys), np.dtype([("h", "<u8"), ("c", "<i8")]))
         rows["h"], rows["c"] = summary.keys, summary.counts
-        yield _batch([(None, None, None, p, b) for p, b in _deal((rows["h"] % U64(parts)).astype(int), rows, parts)], names, types)
+        yield _batch([(None, None, None, None, p, b) for p, b in _deal((rows["h"] % U64(parts)).astype(int), rows, parts)], names, types)
 
-    return arrow_map(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), run, schema)
+    text = F.col(text_col).cast("string")
+    return arrow_map(docs.select(F.col(id_col).cast("long"), text, F.xxhash64(text)), run, schema)
 
 
 def frequent(summaries: DataFrame, total: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
@@ -504,7 +507,8 @@ def parts_of(spark: SparkSession) -> int:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: id, n_shingles, component_id (smallest id reachable by links, itself included).
+    """One row for each row of ``docs``: id, n_shingles, component_id (smallest id reachable by links, itself included),
+    group (a number of the component; null for empty sets) and text_hash.
 
     A null text, or one without words, has an empty set and is linked with nothing; a text of 1 to 4 words has its
     whole sequence as its one shingle. Repeated rows are copies like any other. A null id takes part in links but is
@@ -513,7 +517,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     parts = parts_of(docs.sparkSession)
     first = saved(documents_and_counts(docs, id_col, text_col, parts))
-    rows = first.filter("packed is null").select("id", "n", "node")
+    rows = first.filter("packed is null").select("id", "text_hash", "n", "node")
     total = rows.agg(F.sum("n")).first()[0] or 0
     listed = frequent(first.filter("packed is not null"), total, parts)
     nodes = rows.filter("n > 0").groupBy("node").agg(F.min("id").alias("rep"))
@@ -528,6 +532,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         comps = components(links.unionByName(verified(more, docs, nodes, text_col, id_col, parts)))
     labels = nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     names = labels.groupBy("comp").agg(F.min("rep").alias("component"))
-    named = labels.join(names, "comp").select("node", "component")
-    return rows.join(named, "node", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                                                   F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component_id"))
+    named = labels.join(names, "comp").select("node", "comp", "component")
+    empty = F.col("n") == 0
+    return rows.join(named, "node", "left").select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(empty, F.col("id")).otherwise(F.col("component")).alias("component_id"),
+        F.when(~empty, F.col("comp")).alias("group"), "text_hash")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near duplicates, all columns as they were: of each group the row with the smallest
+    (id, text hash) stays (a null id last), of rows that are equal in both one. Texts without a word all stay.
+
+    The dropped (id, text hash) pairs are broadcast while they are few, and joined beyond that.
+    """
+    marks = saved(near_duplicates(docs, id_col, text_col).filter("n_shingles > 0").select(F.col(id_col).cast("long").alias("i"), F.col("text_hash").alias("h"), "group"))
+    first = marks.groupBy("group").agg(F.min(F.struct(F.col("i").isNull().alias("z"), "i", "h")).alias("k"))
+    split = marks.groupBy("group", "i", "h").count().join(first, "group")
+    stays = F.col("i").eqNullSafe(F.col("k.i")) & (F.col("h") == F.col("k.h"))
+    gone, again = (saved(split.filter(c).select("i", "h").distinct()) for c in (~stays, stays & (F.col("count") > 1)))
+    row_i, row_h = F.col(id_col).cast("long"), F.xxhash64(F.col(text_col).cast("string"))
+
+    def among(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        few = keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+        return rows.join(F.broadcast(keys) if few else keys, row_i.eqNullSafe(F.col("i")) & (row_h == F.col("h")), how)
+
+    kept = among(docs, gone, "left_anti")
+    if again.isEmpty():
+        return kept
+    own_h = free_name(docs.columns, "text_hash")
+    once = among(kept, again, "left_semi").withColumn(own_h, row_h).dropDuplicates([id_col, own_h]).drop(own_h)
+    return among(kept, again, "left_anti").unionByName(once)
