@@ -59,9 +59,9 @@ def _chr(code: Column) -> Column:
 def _decode_one(body: Column, table: Column, hex_re: str) -> Column:
     literal = F.concat(F.lit("&"), body, F.lit(";"))
     is_hex = body.rlike(hex_re)
-    code = (F.when(is_hex, _code_point(F.substring(body, 3, 1 << 20), 16, 6))
-            .otherwise(_code_point(F.substring(body, 2, 1 << 20), 10, 7)))
-    ok = code.isNotNull() & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    code = (F.when(is_hex, _code_point(F.substr(body, F.lit(3)), 16, 6))
+            .otherwise(_code_point(F.substr(body, F.lit(2)), 10, 7)))
+    ok = code.isNotNull() & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF) & ~code.between(0xFDD0, 0xFDD2)
     numeric = F.when(ok, _chr(code)).otherwise(literal)
     return (F.when(body.startswith("#"), numeric)
             .otherwise(F.coalesce(F.try_element_at(table, body), literal)))

@@ -18,14 +18,16 @@ from .text import js_trim
 SCHEME_RE = r"^[a-zA-Z][a-zA-Z0-9+.-]*:"
 # scheme : (slashes ignored for http/https) authority path ?query #fragment
 ABS_RE = r"^([a-zA-Z][a-zA-Z0-9+.-]*):[/\\]*([^/\\?#]*)([^?#]*)(\?[^#]*)?(#[\s\S]*)?$"
-HOST_RE = r"^(\[[^\]]*\]|[^:]*)"
-PORT_RE = r"^(?:\[[^\]]*\]|[^:]*):([\s\S]*)$"
+HOST_RE = r"^(\[[^\]]*\]|[^:\[]*)"
+PORT_RE = r"^(?:\[[^\]]*\]|[^:\[]*):([\s\S]*)$"
 FORBIDDEN_HOST_RE = r"[ #%/:<>?@\[\\\]^|]"
-DOT_SEG_RE = r"(^|/)\.\.?(/|$)"
-# characters percent-encoded per component (plus everything outside printable ASCII)
-PATH_ENC = "(?:[^\\x21-\\x7E]|[\"<>`{}])+"
-QUERY_ENC = "(?:[^\\x21-\\x7E]|[\"<>'])+"
-FRAG_ENC = "(?:[^\\x21-\\x7E]|[\"<>`])+"
+DOT_SEG_RE = r"(^|/)(\.|%2[eE]){1,2}(/|$)"
+# runs of characters percent-encoded per component: all outside printable ASCII, and in paths "<>`{}, in
+# queries "<>', in fragments "<>`. One flat class each (the kept characters, negated): a group of
+# alternatives would recurse for every character of a long run
+PATH_ENC = "[^\\x21\\x23-\\x3B\\x3D\\x3F-\\x5F\\x61-\\x7A\\x7C\\x7E]+"
+QUERY_ENC = "[^\\x21\\x23-\\x26\\x28-\\x3B\\x3D\\x3F-\\x7E]+"
+FRAG_ENC = "[^\\x21\\x23-\\x3B\\x3D\\x3F-\\x5F\\x61-\\x7E]+"
 BASE_RE = r"^([a-z][a-z0-9+.-]*)://([^/?#]*)([^?#]*)"
 
 
@@ -46,7 +48,8 @@ def pct_encode(x, run_re: str) -> Column:
 def remove_dot_segments(path) -> Column:
     """RFC 3986 dot-segment removal for an absolute path (fast path when no dots)."""
     p = _c(path)
-    segs = F.split(F.substring(p, 2, 1 << 30), "/", -1)
+    segs = F.split(F.substr(p, F.lit(2)), "/", -1)
+    segs = F.transform(segs, lambda s: F.when(s.rlike("^(?:[.]|%2[eE]){1,2}$"), F.regexp_replace(s, "%2[eE]", ".")).otherwise(s))
     stack = F.aggregate(
         segs, F.array().cast("array<string>"),
         lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
@@ -110,8 +113,15 @@ def clean_input(x) -> Column:
     return F.regexp_replace(js_trim(x), "[\\t\\n\\r]", "")
 
 
+def _settled(df: DataFrame, kept: list[str], new: dict[str, Column]) -> DataFrame:
+    """``kept`` and the ``new`` columns, computed once: filters on these are not pushed below a generator, where
+    they would evaluate the whole URL expression a second time."""
+    return df.select(*kept, F.inline(F.array(F.struct(*(c.alias(n) for n, c in new.items())))))
+
+
 def gate(df: DataFrame, src: str, out: str = "final_url", reason: str = "reason") -> DataFrame:
     """Accept http/https URLs without credentials; reasons in the reference's order."""
+    kept = df.columns
     df = df.withColumn("_g_in", clean_input(src))
     df = with_parsed_url(df, "_g_in", "_g")
     has_scheme = F.col("_g_in").rlike(SCHEME_RE)
@@ -119,8 +129,7 @@ def gate(df: DataFrame, src: str, out: str = "final_url", reason: str = "reason"
            .when(~F.col("_g_scheme").isin("http", "https"), F.lit("unsupported protocol"))
            .when(~F.col("_g_ok"), F.lit("invalid URL"))
            .when((F.col("_g_user") != "") | (F.col("_g_pass") != ""), F.lit("embedded credentials")))
-    df = df.withColumn(reason, why).withColumns({out: F.when(F.col(reason).isNull(), F.col("_g_url"))})
-    return df.drop(*[c for c in df.columns if c.startswith("_g")])
+    return _settled(df, kept, {out: F.when(why.isNull(), F.col("_g_url")), reason: why})
 
 
 def resolve(df: DataFrame, href: str, base: str, out: str = "resolved", reason: str = "drop_reason",
@@ -138,13 +147,18 @@ def resolve(df: DataFrame, href: str, base: str, out: str = "resolved", reason:
             .when(h.startswith("data:"), F.lit("data")))
     if not junk_filter:
         junk = F.lit(None).cast("string")
+    kept = df.columns
     df = df.withColumns({"_r_junk": junk, "_r_h": clean_input(href)})
     b = F.col(base)
     bs, ba, bp = (F.regexp_extract(b, BASE_RE, i) for i in (1, 2, 3))
     bp = F.when(bp == "", F.lit("/")).otherwise(bp)
     bdir = F.regexp_extract(bp, "^([\\s\\S]*/)", 1)
     hh = F.col("_r_h")
+    # a scheme equal to the base's, without slashes behind it, says nothing: the rest is relative
+    hh = F.when(hh.rlike("^[a-zA-Z]+:[^/\\\\]") & (F.lower(F.substring_index(hh, ":", 1)) == bs),
+                F.substr(hh, F.length(bs) + 2)).otherwise(hh)
     absu = (F.when(hh.rlike(SCHEME_RE), hh)
+            .when(hh.startswith("#"), F.concat(F.substring_index(b, "#", 1), hh))
             .when(hh.rlike(r"^[/\\][/\\]"), F.concat(bs, F.lit(":"), hh))
             .when(hh.rlike(r"^[/\\]"), F.concat(bs, F.lit("://"), ba, hh))
             .when(hh.startswith("?"), F.concat(bs, F.lit("://"), ba, bp, hh))
@@ -154,8 +168,7 @@ def resolve(df: DataFrame, href: str, base: str, out: str = "resolved", reason:
     why = (F.when(F.col("_r_junk").isNotNull(), F.col("_r_junk"))
            .when(~F.col("_r_scheme").isin("http", "https"), F.lit("unsupported_scheme"))
            .when(~F.col("_r_ok"), F.lit("invalid")))
-    df = df.withColumn(reason, why).withColumn(out, F.when(why.isNull(), F.col("_r_url")))
-    return df.drop(*[c for c in df.columns if c.startswith("_r_")])
+    return _settled(df, kept, {out: F.when(why.isNull(), F.col("_r_url")), reason: why})
 
 
 def host_of(url) -> Column:

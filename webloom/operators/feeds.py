@@ -136,11 +136,31 @@ def entry_counts(parsed: DataFrame, items: DataFrame) -> DataFrame:
             .select("feed_id", F.coalesce("n", F.lit(0)).cast("int").alias("entry_count")))
 
 
+# Zone names of RFC 822 dates and their offsets.
+ZONES = {"UT": "+0000", "UTC": "+0000", "GMT": "+0000", "Z": "+0000", "EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500",
+         "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700"}
+
+
 def published_utc(published) -> Column:
-    """F14 (ours): entry date as 'yyyy-MM-dd HH:mm:ss' UTC; RFC 822 (weekday stripped) or ISO 8601 'Z'."""
+    """F14 (ours): entry date as 'yyyy-MM-dd HH:mm:ss' UTC, or NULL.
+
+    RFC 822 (weekday dropped, two- or four-digit year, seconds optional, numeric offset or zone name) and ISO 8601
+    (date alone, or with time, optional seconds and fraction, 'Z' or an offset; without one it is UTC).
+    """
     c = F.col(published) if isinstance(published, str) else published
-    s = F.regexp_replace(c, "^[A-Za-z]{3},[ ]*", "")
-    ts = F.coalesce(F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")),
-                    F.try_to_timestamp(s, F.lit("d MMM yyyy HH:mm:ss Z")),
-                    F.try_to_timestamp(s, F.lit("d MMM yyyy HH:mm:ss 'GMT'")))
+    s = F.trim(F.regexp_replace(c, "^[A-Za-z]{3,9},[ ]*", ""))
+    zone = F.regexp_extract(s, "([A-Za-z]{1,3})$", 1)
+    named = F.element_at(F.create_map(*[F.lit(x) for kv in ZONES.items() for x in kv]), F.upper(zone))
+    rfc = F.when((zone != "") & named.isNotNull(), F.concat(F.regexp_replace(s, "[A-Za-z]{1,3}$", ""), named)).otherwise(s)
+    rfc = F.regexp_replace(rfc, "([0-9]{2}:[0-9]{2}) ", "$1:00 ")
+    rfc = F.regexp_replace(rfc, "([0-9]{2}:[0-9]{2}:[0-9]{2}):00 ", "$1 ")
+    year2 = F.regexp_replace(rfc, "^([0-9]{1,2} [A-Za-z]{3}) ([0-9]{2}) ", "$1 20$2 ")
+    iso = F.regexp_extract(s, "^([0-9]{4}-[0-9]{2}-[0-9]{2})(?:[Tt ]([0-9]{2}:[0-9]{2})(:[0-9]{2})?(?:[.][0-9]+)?([Zz]|[+-][0-9]{2}:?[0-9]{2})?)?$", 0)
+    def part(i):
+        return F.regexp_extract(s, "^([0-9]{4}-[0-9]{2}-[0-9]{2})(?:[Tt ]([0-9]{2}:[0-9]{2})(:[0-9]{2})?(?:[.][0-9]+)?([Zz]|[+-][0-9]{2}:?[0-9]{2})?)?$", i)
+    offset = F.when(part(4).isin("", "Z", "z"), F.lit("+0000")).otherwise(F.replace(part(4), F.lit(":"), F.lit("")))
+    plain = F.concat(part(1), F.lit(" "), F.coalesce(F.nullif(part(2), F.lit("")), F.lit("00:00")),
+                     F.coalesce(F.nullif(part(3), F.lit("")), F.lit(":00")), F.lit(" "), offset)
+    ts = F.when(iso != "", F.try_to_timestamp(plain, F.lit("yyyy-MM-dd HH:mm:ss Z"))).otherwise(
+        F.try_to_timestamp(year2, F.lit("d MMM yyyy HH:mm:ss Z")))
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")

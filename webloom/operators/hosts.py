@@ -88,7 +88,7 @@ def host_keys(host: Column) -> Column:
     """array<struct<kind,key>>: the exact host and every suffix starting at a '.'"""
     h = host
     dots = F.filter(F.sequence(F.lit(1), F.greatest(F.length(h), F.lit(1))), lambda i: F.substring(h, i, 1) == ".")
-    sufs = F.transform(dots, lambda i: F.struct(F.lit("suffix").alias("kind"), F.substring(h, i, 1 << 16).alias("key")))
+    sufs = F.transform(dots, lambda i: F.struct(F.lit("suffix").alias("kind"), F.substr(h, i).alias("key")))
     return F.array_prepend(sufs, F.struct(F.lit("exact").alias("kind"), h.alias("key")))
 
 

@@ -64,7 +64,8 @@ def tokenize(pages: DataFrame, clustered: bool = False) -> DataFrame:
     shuffle; if the input is not in fact clustered, Spark still inserts the
     exchange the windows require, so results never depend on the flag.
     """
-    src = pages.select("page_id", "html")
+    # the three noncharacters that mark breaks and fences below cannot come from a page
+    src = pages.select("page_id", F.translate("html", BRK + STRIP + FENCE, "\uFFFD" * 3).alias("html"))
     t = ((src if clustered else src.repartition("page_id"))
          # an empty text token closes every page: each page yields rows even
          # without tokens, so no join back to ``pages`` is needed
@@ -342,13 +343,26 @@ def images(state: DataFrame) -> DataFrame:
                       F.coalesce(attr("tok", "src"), F.lit("")).alias("src"))
 
 
-def outline(extracted_md: DataFrame) -> DataFrame:
-    """``page_outline(page_id, line_no, level, text)`` from markdown content lines."""
-    lines = extracted_md.select("page_id", F.posexplode(F.split("content", "\n", -1)).alias("line_no", "line"))
-    h = lines.filter(F.col("line").rlike("^#{1,6} "))
-    return h.select("page_id", "line_no",
-                    F.length(F.regexp_extract("line", "^(#{1,6}) ", 1)).alias("level"),
-                    F.regexp_replace("line", "^#{1,6} ", "").alias("text"))
+def outline(state: DataFrame) -> DataFrame:
+    """``page_outline(page_id, pos, level, text)``: every visible heading of the whole page.
+
+    A heading holds the text tokens from its opening tag to the next tag of a block element; headings without text
+    are left out. Read from the tokens, not from the rendered content, so neither the content cap nor text that
+    looks like a markdown heading has a say.
+    """
+    tag = F.col("active") & (F.col("kind") == "tag")
+    opens = tag & ~F.col("closing") & (F.col("skip") == 0) & F.col("name").isin(*HEADINGS)
+    edge = F.when(opens, F.col("pos")).when(tag & F.col("name").isin(*BLOCK_TAGS, *HEADINGS, "li", "hr"), F.lit(-1).cast("int"))
+    level = F.when(opens, F.element_at(F.create_map(*[F.lit(x) for kv in HEADING_LEVELS.items() for x in kv]), F.col("name")))
+    s = state.select("page_id", "pos", "tok", level.alias("lvl"),
+                     (F.col("active") & (F.col("kind") == "text") & (F.col("skip") == 0)).alias("txt"),
+                     F.last(edge, True).over(_w(0)).alias("h"))
+    rows = s.filter((F.col("h") >= 0) & (F.col("txt") | F.col("lvl").isNotNull()))
+    parts = F.collect_list(F.when(F.col("txt"), F.struct("pos", "tok")))
+    agg = rows.groupBy("page_id", "h").agg(F.max("lvl").alias("level"), parts.alias("parts"))
+    raw = F.array_join(F.transform(F.array_sort("parts"), lambda x: x["tok"]), "")
+    return agg.select("page_id", F.col("h").alias("pos"), "level", collapse_ws(decode_html_entities(raw)).alias("text")) \
+        .filter(F.col("text") != "")
 
 
 __all__ = ["tokenize", "document_state", "page_state", "extract", "titles", "raw_links", "images", "outline",

@@ -15,31 +15,41 @@ from pyspark.sql import functions as F
 from ..functions import urls
 from ..options import LINK_LIMIT, ExtractOptions, clamp
 from ..sources import tables
-from . import html
+from . import html, responses
+
+
+def all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(page_id, url, final_url, reason)``: pages that the gate rejects have no final URL but a reason."""
+    return urls.gate(tables.pages(spark, sf_dir).select("page_id", "url"), "url").select("page_id", "url", "final_url", "reason")
 
 
 def gated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(page_id, url, final_url)`` for pages whose URL passes the gate."""
-    p = urls.gate(tables.pages(spark, sf_dir).select("page_id", "url"), "url")
-    return p.filter(F.col("final_url").isNotNull()).select("page_id", "url", "final_url")
+    return all_pages(spark, sf_dir).filter(F.col("final_url").isNotNull()).drop("reason")
 
 
 def url_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = tables.pages(spark, sf_dir)
     cand = pages.select("page_id", F.lit(None).cast("int").alias("link_pos"), F.col("url").alias("input"))
-    rl = html.raw_links(html.page_state(pages)).select(
-        "page_id", F.col("link_pos").cast("int").alias("link_pos"), F.col("href").alias("input"))
+    # links are gated as they would be fetched: resolved; an href that does not resolve is gated as it stands
+    rl = resolved_links(spark, sf_dir).select(
+        "page_id", F.col("link_pos").cast("int").alias("link_pos"), F.coalesce("resolved", "href").alias("input"))
     g = urls.gate(cand.unionByName(rl), "input")
     return g.select("page_id", "link_pos", "input", F.col("reason").isNull().alias("accepted"),
                     "final_url", "reason")
 
 
 def resolved_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw links joined to their page's final URL and resolved: adds ``resolved``, ``drop_reason``."""
-    pages = tables.pages(spark, sf_dir)
-    rl = html.raw_links(html.page_state(pages))
-    j = rl.join(gated_pages(spark, sf_dir).select("page_id", "final_url"), "page_id")
-    return urls.resolve(j, "href", "final_url")
+    """Raw links joined to their page's final URL and resolved: adds ``resolved``, ``drop_reason``.
+
+    Links of a page that the gate rejects are kept, unresolved, with ``page rejected`` as the reason.
+    """
+    rl = html.raw_links(html.page_state(tables.pages(spark, sf_dir)))
+    j = rl.join(all_pages(spark, sf_dir).select("page_id", "final_url"), "page_id")
+    r = urls.resolve(j, "href", "final_url")
+    rejected = F.col("final_url").isNull()
+    return r.withColumns({"resolved": F.when(~rejected, F.col("resolved")),
+                          "drop_reason": F.when(rejected, F.lit("page rejected")).otherwise(F.col("drop_reason"))})
 
 
 def page_links(resolved: DataFrame) -> DataFrame:
@@ -95,25 +105,55 @@ def frontier(resolved: DataFrame, pages: DataFrame) -> DataFrame:
             .groupBy("href").agg(F.count("*").alias("n_pages")))
 
 
-def page_extract(spark: SparkSession, sf_dir: str, opts: ExtractOptions = ExtractOptions()) -> DataFrame:
-    """P20: one window pass for title, content and links; links resolved against the final URL."""
-    pages = tables.pages(spark, sf_dir)
-    ex = html.extract(pages, opts)
-    j = ex.join(gated_pages(spark, sf_dir), "page_id")
-    e = j.select("*", F.posexplode_outer("links").alias("lpos", "l"))
-    e = e.withColumn("l_href", F.col("l.href")).withColumn("l_text", F.col("l.text"))
+def with_links(ex: DataFrame) -> DataFrame:
+    """Extracted pages with ``final_url`` -> their ``links`` resolved, counted and rendered.
+
+    ``ex`` is clustered by page_id, and so are the exploded links and their aggregate: no further shuffle. Only the
+    first link of a page carries the page's own columns.
+    """
+    own = [c for c in ex.columns if c not in ("page_id", "links", "final_url")]
+    e = ex.select("page_id", "final_url", F.struct(*own).alias("own"), F.posexplode_outer("links").alias("lpos", "l"))
+    e = e.select("page_id", "final_url", F.when(F.coalesce("lpos", F.lit(0)) == 0, F.col("own")).alias("own"), "lpos",
+                 F.col("l.href").alias("l_href"), F.col("l.text").alias("l_text"))
     e = urls.resolve(e, "l_href", "final_url")
+    usable = F.col("resolved").isNotNull() & F.col("final_url").isNotNull()
     agg = e.groupBy("page_id").agg(
-        F.first("url").alias("url"), F.first("final_url").alias("final_url"),
-        F.first("title").alias("title"), F.first("content").alias("content"),
-        F.first("length").alias("length"), F.first("truncated").alias("truncated"),
-        F.collect_list(F.when(F.col("resolved").isNotNull(),
-                              F.struct("lpos", F.col("l_text").alias("text"), F.col("resolved").alias("href"))))
-        .alias("lk"))
-    return agg.select(
-        "page_id", "url", "final_url", F.lit(200).alias("status"), "title", "content",
-        F.col("length").cast("int").alias("length"), "truncated",
-        F.size("lk").cast("int").alias("link_count"),
-        F.array_join(F.transform(F.array_sort("lk"), lambda x: F.concat(x["text"], F.lit("\t"), x["href"])),
-                     "\n").alias("links_text"),
-    )
+        F.first("final_url", True).alias("final_url"), F.first("own", True).alias("own"),
+        F.collect_list(F.when(usable, F.struct("lpos", F.col("l_text").alias("text"), F.col("resolved").alias("href")))).alias("lk"))
+    return agg.select("page_id", "final_url", "own.*", F.size("lk").cast("int").alias("link_count"), F.array_join(
+        F.transform(F.array_sort("lk"), lambda x: F.concat(x["text"], F.lit("\t"), x["href"])), "\n").alias("links_text"))
+
+
+def page_extract(spark: SparkSession, sf_dir: str, opts: ExtractOptions = ExtractOptions()) -> DataFrame:
+    """P20: one window pass for title, content and links; links resolved against the final URL.
+
+    A page that the gate rejects keeps its row, with the reason and without final URL, status and links.
+    """
+    ex = html.extract(tables.pages(spark, sf_dir), opts).join(all_pages(spark, sf_dir), "page_id")
+    return with_links(ex).select(
+        "page_id", "url", "final_url", F.when(F.col("final_url").isNotNull(), F.lit(200)).alias("status"), "title", "content",
+        F.col("length").cast("int").alias("length"), "truncated", "link_count", "links_text", F.col("reason").alias("reject_reason"))
+
+
+def web_fetch(log: DataFrame, starts: DataFrame, opts: ExtractOptions = ExtractOptions(), max_bytes: int | None = None,
+              max_redirects: int | None = None) -> DataFrame:
+    """The whole fetch of every start URL from the captured log: redirects, status and type gates, byte cap, charset,
+    decoding, extraction, links against the final URL.
+
+    ``truncated``: the byte cap or the content cap has cut. A start that ends otherwise than ok keeps its row, with
+    the outcome and without page columns. The byte cap bounds every page that reaches the window plan.
+    """
+    r = responses.resolve_redirects(log, starts, max_redirects)
+    bodies = responses.size_cap(log.select("page_id", "content_type", "body"), max_bytes).select(
+        F.col("page_id").alias("capture_id"), "content_type", "kept", F.col("truncated").alias("body_cut"))
+    got = r.filter(F.col("outcome") == "ok").join(bodies, "capture_id")
+    got = got.withColumn("charset", responses.detect_charset("content_type", "kept"))
+    text, decoder = responses.decode_body("kept", "charset")
+    ready = got.select("page_id", text.alias("html"), decoder.alias("decoder"), "body_cut")
+    ex = html.extract(ready, opts).join(ready.select("page_id", "decoder", "body_cut"), "page_id") \
+        .join(r.filter(F.col("outcome") == "ok").select("page_id", "url", "final_url", "hops", "status", "outcome"), "page_id")
+    done = with_links(ex).withColumn("truncated", F.col("truncated") | F.col("body_cut"))
+    out = [F.col(c) for c in ("page_id", "url", "final_url", "hops", "status", "outcome", "decoder", "title", "content")]
+    out += [F.col("length").cast("int").alias("length"), F.col("truncated"), F.col("link_count"), F.col("links_text")]
+    failed = r.filter(F.col("outcome") != "ok").select("page_id", "url", "final_url", "hops", "status", "outcome")
+    return done.select(*out).unionByName(failed, allowMissingColumns=True)

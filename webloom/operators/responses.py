@@ -69,25 +69,66 @@ def detect_charset(ct, body) -> Column:
                       grab(head, META_CONTENT_RE), F.lit("utf-8"))
 
 
+# Labels of the single-byte encodings, each under the name its byte table is built from.
+SINGLE_BYTE = {
+    "cp1250": ("windows-1250", "cp1250", "x-cp1250"), "cp1251": ("windows-1251", "cp1251", "x-cp1251"),
+    "cp1253": ("windows-1253", "cp1253", "x-cp1253"), "cp1254": ("windows-1254", "cp1254", "x-cp1254", "iso-8859-9", "iso8859-9", "latin5", "l5"),
+    "cp1255": ("windows-1255", "cp1255", "x-cp1255"), "cp1256": ("windows-1256", "cp1256", "x-cp1256"),
+    "cp1257": ("windows-1257", "cp1257", "x-cp1257"), "cp1258": ("windows-1258", "cp1258", "x-cp1258"),
+    "iso8859-2": ("iso-8859-2", "iso8859-2", "latin2", "l2"), "iso8859-3": ("iso-8859-3", "iso8859-3", "latin3", "l3"),
+    "iso8859-4": ("iso-8859-4", "iso8859-4", "latin4", "l4"), "iso8859-5": ("iso-8859-5", "iso8859-5", "cyrillic"),
+    "iso8859-6": ("iso-8859-6", "iso8859-6", "arabic"), "iso8859-7": ("iso-8859-7", "iso8859-7", "greek"),
+    "iso8859-8": ("iso-8859-8", "iso8859-8", "hebrew", "iso-8859-8-i"), "iso8859-10": ("iso-8859-10", "iso8859-10", "latin6", "l6"),
+    "iso8859-13": ("iso-8859-13", "iso8859-13"), "iso8859-14": ("iso-8859-14", "iso8859-14"),
+    "iso8859-15": ("iso-8859-15", "iso8859-15", "latin9", "l9"), "iso8859-16": ("iso-8859-16",),
+    "koi8-r": ("koi8-r", "koi8", "koi8_r"), "koi8-u": ("koi8-u", "koi8-ru"), "mac-roman": ("macintosh", "mac", "x-mac-roman"),
+    "mac-cyrillic": ("x-mac-cyrillic", "x-mac-ukrainian"), "cp866": ("ibm866", "cp866", "866"), "cp874": ("windows-874", "dos-874", "tis-620", "iso-8859-11"),
+}
+UTF16LE_LABELS = ("utf-16le", "utf-16", "unicode", "ucs-2", "iso-10646-ucs-2", "csunicode", "unicodefeff")
+UTF16BE_LABELS = ("utf-16be", "unicodefffe")
+
+
+def _high_half(codec: str) -> str:
+    """Characters of bytes 0x80-0xFF; bytes without one: the C1 control below 0xA0, U+FFFD above."""
+    return "".join(bytes([k]).decode(codec, "ignore") or (chr(k) if k < 0xA0 else "\uFFFD") for k in range(0x80, 0x100))
+
+
+def _utf16_text(body: Column, little: bool) -> Column:
+    """UTF-16 without failing: an odd last byte and every lone surrogate become U+FFFD."""
+    unit, bad = (lambda u: F.concat(F.substring(u, 3, 2), F.substring(u, 1, 2))) if little else (lambda u: u), "FFFD"
+    digits = F.hex(body)
+    units = F.transform(F.regexp_extract_all(digits, F.lit("[0-9A-F]{4}"), 0), unit)
+    def is_high(u):
+        return u.between("D800", "DBFF")
+    def is_low(u):
+        return u.between("DC00", "DFFF")
+    whole = F.transform(units, lambda u, i: F.when(
+        (is_high(u) & ~F.coalesce(is_low(F.get(units, i + 1)), F.lit(False)))
+        | (is_low(u) & ~F.coalesce(is_high(F.get(units, i - 1)), F.lit(False))), F.lit(bad)).otherwise(u))
+    odd = F.when(F.length(digits) % 4 != 0, F.lit(bad)).otherwise(F.lit(""))
+    return F.decode(F.unhex(F.concat(F.array_join(whole, ""), odd)), "UTF-16BE")
+
+
 def decode_body(body, charset) -> tuple[Column, Column]:
-    """(text, decoder). utf-8 with U+FFFD for bad bytes; latin1 labels as windows-1252;
-    UTF-16; any other label falls back to utf-8 like the reference's unknown-label path."""
+    """(text, decoder). utf-8 and utf-16 with U+FFFD for bad input, their byte order mark dropped; single-byte
+    encodings by their tables; any other label falls back to utf-8 like the reference's unknown-label path."""
     label = F.lower(F.col(charset))
     key = F.regexp_replace(label, "[_-]", "")
     b = F.col(body)
-    utf8 = F.make_valid_utf8(b.cast("string"))
-    latin = F.translate(F.decode(b, "ISO-8859-1"), "".join(chr(k) for k in CP1252_C1),
-                        "".join(CP1252_C1.values()))
-    decoder = (F.when(key == "utf8", F.lit("utf-8"))
-               .when(label.isin(*LATIN1_LABELS), F.lit("windows-1252"))
-               .when(label.isin("utf-16le", "utf-16"), F.lit("utf-16le"))
-               .when(label == "utf-16be", F.lit("utf-16be"))
-               .otherwise(F.lit("utf-8 (charset_unsupported)")))
-    text = (F.when(decoder == "windows-1252", latin)
-            .when(decoder == "utf-16le", F.decode(b, "UTF-16LE"))
-            .when(decoder == "utf-16be", F.decode(b, "UTF-16BE"))
-            .otherwise(utf8))
-    return text, decoder
+    latin = F.decode(b, "ISO-8859-1")
+    upper = "".join(chr(k) for k in range(0x80, 0x100))
+    decoder = F.when(key.isin("utf8", "unicode11utf8", "xunicode20utf8"), F.lit("utf-8")).when(label.isin(*LATIN1_LABELS), F.lit("windows-1252"))
+    decoder = decoder.when(label.isin(*UTF16LE_LABELS), F.lit("utf-16le")).when(label.isin(*UTF16BE_LABELS), F.lit("utf-16be"))
+    for labels in SINGLE_BYTE.values():
+        decoder = decoder.when(label.isin(*labels), F.lit(labels[0]))
+    decoder = decoder.otherwise(F.lit("utf-8 (charset_unsupported)"))
+    text = (F.when(decoder == "windows-1252", F.translate(latin, "".join(chr(k) for k in CP1252_C1), "".join(CP1252_C1.values())))
+            .when(decoder == "utf-16le", _utf16_text(b, True)).when(decoder == "utf-16be", _utf16_text(b, False)))
+    for codec, labels in SINGLE_BYTE.items():
+        text = text.when(decoder == labels[0], F.translate(latin, upper, _high_half(codec)))
+    text = text.otherwise(F.make_valid_utf8(b.cast("string")))
+    marked = decoder.startswith("utf-") & text.startswith("\uFEFF")
+    return F.when(marked, F.substr(text, F.lit(2))).otherwise(text), decoder
 
 
 def header_map(heads: DataFrame) -> DataFrame:
@@ -100,7 +141,7 @@ def header_map(heads: DataFrame) -> DataFrame:
     colon = F.instr("line", ":")
     kv = lines.filter((F.col("ln") > 0) & (colon > 1)).select(
         "page_id", "ln", F.lower(js_trim(F.substring("line", F.lit(1), colon - 1))).alias("key"),
-        js_trim(F.substring("line", colon + 1, F.lit(1 << 30))).alias("value"))
+        js_trim(F.substr(F.col("line"), colon + 1)).alias("value"))
     merged = kv.groupBy("page_id", "key").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ln", "value"))), lambda x: x["value"]),
                      ", ").alias("value"))
@@ -116,23 +157,29 @@ def resolve_redirects(log: DataFrame, starts: DataFrame, max_redirects: int | No
                       timeout_ms: int | None = None, allowed=PAGE_TYPES) -> DataFrame:
     """Follow every start URL through the log.
 
-    -> ``(page_id, url, final_url, hops, status, outcome)``; outcome 'ok' or the reference's error class.
+    -> ``(page_id, url, final_url, hops, status, outcome, capture_id)``; ``capture_id`` is the page_id of the
+    capture that answered an ok chain; outcome 'ok' or the reference's error class.
     """
     n = clamp(max_redirects, MAX_REDIRECTS)
     t = clamp(timeout_ms, TIMEOUT_MS)
     g = urls.gate(starts.select("page_id", "url"), "url", out="cur", reason="why")
-    cols = ["page_id", "url", "final_url", "hops", "status", "outcome"]
+    cols = ["page_id", "url", "final_url", "hops", "status", "outcome", "capture_id"]
+    no_capture = F.lit(None).cast("long").alias("capture_id")
     done = [g.filter(F.col("cur").isNull()).select(
         "page_id", "url", F.lit(None).cast("string").alias("final_url"), F.lit(0).alias("hops"),
-        F.lit(None).cast("int").alias("status"), F.col("why").alias("outcome"))]
+        F.lit(None).cast("int").alias("status"), F.col("why").alias("outcome"), no_capture)]
     active = g.filter(F.col("cur").isNotNull()).select("page_id", "url", "cur")
     # the log is keyed by the normalised URL of each capture; it is joined once per hop, so it is
     # materialised once (reliable checkpoint in the shared checkpoint folder) instead of recomputed
     checkpoint_dir(log.sparkSession)
-    lg = urls.gate(log.select("url", "status", "location", "content_type", "elapsed_ms"), "url", out="cur",
-                   reason="_lw").filter(F.col("cur").isNotNull()).drop("url", "_lw").checkpoint()
+    keyed = urls.gate(log.select("page_id", "url", "status", "location", "content_type", "elapsed_ms"), "url", out="key",
+                      reason="_lw").filter(F.col("key").isNotNull())
+    # one capture for each URL without its fragment: the one with the smallest page_id
+    kept = ["status", "location", "content_type", "elapsed_ms"]
+    lg = keyed.groupBy(F.substring_index("key", "#", 1).alias("key")).agg(
+        F.min(F.struct("page_id", *kept)).alias("c")).select("key", F.col("c.page_id").alias("capture_id"), *[f"c.{k}" for k in kept]).checkpoint()
     for hop in range(n + 1):
-        j = active.join(lg, "cur", "left")
+        j = active.withColumn("key", F.substring_index("cur", "#", 1)).join(lg, "key", "left").drop("key")
         redirect = F.col("status").isin(*REDIRECT_STATUSES)
         outcome = (F.when(F.col("status").isNull(), F.lit("fetch failed"))
                    .when(F.col("elapsed_ms") > t, F.lit("timed out"))
@@ -148,7 +195,7 @@ def resolve_redirects(log: DataFrame, starts: DataFrame, max_redirects: int | No
         done.append(j.filter(F.col("outcome").isNotNull()).select(
             "page_id", "url", F.col("cur").alias("final_url"), F.lit(hop).alias("hops"),
             F.when(~F.col("outcome").isin("fetch failed", "timed out"), F.col("status")).alias("status"),
-            "outcome"))
+            "outcome", F.when(F.col("outcome") == "ok", F.col("capture_id").cast("long")).alias("capture_id")))
         if hop == n:
             break
         nxt = urls.resolve(j.filter(F.col("outcome").isNull()), "location", "cur", out="nxt", reason="nwhy",
@@ -159,7 +206,7 @@ def resolve_redirects(log: DataFrame, starts: DataFrame, max_redirects: int | No
         nxt = nxt.withColumn("why", why).select("page_id", "url", "cur", "status", "nxt", "why").checkpoint()
         done.append(nxt.filter(F.col("why").isNotNull()).select(
             "page_id", "url", F.col("cur").alias("final_url"), F.lit(hop).alias("hops"),
-            F.col("status"), F.col("why").alias("outcome")))
+            F.col("status"), F.col("why").alias("outcome"), no_capture))
         active = nxt.filter(F.col("why").isNull()).select("page_id", "url", F.col("nxt").alias("cur"))
     out = done[0]
     for d in done[1:]:

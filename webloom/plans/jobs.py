@@ -38,7 +38,7 @@ def job(name: str):
 @job("tokens")
 def tokens_job(spark, sf_dir):
     """Token relation of every page (comments and name-less tags dropped)."""
-    t = html.tokenize(tables.pages(spark, sf_dir))
+    t = html.tokenize(tables.pages(spark, sf_dir), clustered=True)  # no window follows, so no shuffle
     return t.filter(F.col("tok") != "").select(
         "page_id", F.col("pos").cast("int").alias("pos"), "kind", "name", "closing", "tok")
 
@@ -100,11 +100,9 @@ def page_images_job(spark, sf_dir):
 
 @job("page_outline")
 def page_outline_job(spark, sf_dir):
-    """Heading lines of the markdown rendering."""
-    ex = html.extract(tables.pages(spark, sf_dir), ExtractOptions.of("markdown"), with_links=False)
-    ol = html.outline(ex)
-    return ol.select("page_id", F.col("line_no").cast("int").alias("line_no"),
-                     F.col("level").cast("int").alias("level"), "text")
+    """Headings of the whole page, from its tokens."""
+    ol = html.outline(html.page_state(tables.pages(spark, sf_dir)))
+    return ol.select("page_id", F.col("pos").cast("int").alias("pos"), F.col("level").cast("int").alias("level"), "text")
 
 
 # --------------------------------------------------------------------------- URLs and links
@@ -176,6 +174,12 @@ def page_extract_job(spark, sf_dir):
     return L.page_extract(spark, sf_dir, ExtractOptions.of("markdown"))
 
 
+@job("web_fetch")
+def web_fetch_job(spark, sf_dir):
+    """Every page URL fetched from the captured log, from redirects to extracted page."""
+    return L.web_fetch(tables.response_log(spark, sf_dir), tables.pages(spark, sf_dir))
+
+
 # --------------------------------------------------------------------------- reports
 
 from ..operators import reports as R  # noqa: E402
@@ -261,7 +265,7 @@ def response_scan_job(spark, sf_dir):
     """Captured response log (body as its byte length)."""
     r = tables.response_log(spark, sf_dir)
     return r.select("page_id", "url", "status", "location", "content_type", "elapsed_ms",
-                    F.octet_length("body").cast("int").alias("n_bytes"))
+                    F.octet_length("body").cast("int").alias("n_bytes"), F.md5("body").alias("body_md5"))
 
 
 @job("status_gate")
@@ -303,7 +307,7 @@ def body_decode_job(spark, sf_dir):
     """Body bytes decoded by the detected charset."""
     r = tables.response_log(spark, sf_dir).withColumn("charset", RS.detect_charset("content_type", "body"))
     text, decoder = RS.decode_body("body", "charset")
-    return r.select("page_id", "charset", decoder.alias("decoder"), F.length(text).cast("int").alias("n_chars"))
+    return r.select("page_id", "charset", decoder.alias("decoder"), text.alias("text"))
 
 
 @job("header_map")
@@ -316,7 +320,7 @@ def header_map_job(spark, sf_dir):
 def redirect_resolve_job(spark, sf_dir):
     """Every page URL followed through the log (max 3 redirects), final URL and outcome."""
     log = tables.response_log(spark, sf_dir)
-    return RS.resolve_redirects(log, tables.pages(spark, sf_dir))
+    return RS.resolve_redirects(log, tables.pages(spark, sf_dir)).drop("capture_id")
 
 
 @job("fetch_outcome")
@@ -377,8 +381,8 @@ def write_pages_job(spark, sf_dir):
     """page_extract written as Parquet partitioned by host, read back."""
     path = ST._run_dir(spark, "s5") + "/pages"
     sinks.write_by_host(L.page_extract(spark, sf_dir, ExtractOptions.of("markdown")), path)
-    return spark.read.parquet(path).select("page_id", "url", "final_url", "title", "length", "truncated",
-                                           "link_count", "host")
+    return spark.read.parquet(path).select("page_id", "url", "final_url", "status", "title", "content", "length",
+                                           "truncated", "link_count", "links_text", "host")
 
 
 @job("stream_pages")

@@ -63,13 +63,20 @@ FROM st WHERE active AND kind = 'tag' AND NOT closing AND name = 'img'
 """)
 
 sql("page_outline", f"""
-WITH {P.extract_ctes(True, 50_000)},
-lines AS (SELECT page_id, unnest(ls) AS line, unnest(range(len(ls))) AS line_no
-          FROM (SELECT page_id, string_split(content, chr(10)) AS ls FROM ex))
-SELECT page_id, CAST(line_no AS INTEGER) AS line_no,
-  CAST(length(regexp_extract(line, '^(#{{1,6}}) ', 1)) AS INTEGER) AS level,
-  regexp_replace(line, '^#{{1,6}} ', '') AS text
-FROM lines WHERE regexp_matches(line, '^#{{1,6}} ')
+WITH {P.state_ctes()},
+hd AS (
+  SELECT page_id, pos, tok, kind, active AND kind = 'text' AND skip = 0 AS txt,
+    CASE WHEN active AND kind = 'tag' AND NOT closing AND skip = 0 AND name IN ('h1', 'h2', 'h3', 'h4', 'h5', 'h6')
+      THEN CAST(substr(name, 2) AS INTEGER) END AS lvl,
+    last_value(CASE WHEN active AND kind = 'tag' AND NOT closing AND skip = 0
+        AND name IN ('h1', 'h2', 'h3', 'h4', 'h5', 'h6') THEN pos
+      WHEN active AND kind = 'tag' AND {P.in_list('name', (*P.BLOCK_TAGS, *P.HEADINGS, 'li', 'hr'))} THEN -1 END IGNORE NULLS)
+      OVER (PARTITION BY page_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS h
+  FROM st),
+hg AS (SELECT page_id, h, max(lvl) AS level, coalesce(string_agg(tok, '' ORDER BY pos) FILTER (WHERE txt), '') AS raw
+       FROM hd WHERE h >= 0 GROUP BY page_id, h)
+SELECT page_id, CAST(h AS INTEGER) AS pos, level, {P.collapse_ws(P.decode_html_entities('raw'))} AS text
+FROM hg WHERE text <> ''
 """)
 
 
@@ -83,8 +90,10 @@ GATED = U.gate_ctes("pages", "url", "pgg") + """,
 gp AS (SELECT page_id, url, final_url FROM pgg WHERE final_url IS NOT NULL)"""
 
 RESOLVED = P.raw_links_ctes() + ",\n" + GATED + """,
-rj AS (SELECT r.*, g.final_url FROM raw_links r JOIN gp g USING (page_id)),
-""" + U.resolve_ctes("rj", "href", "final_url", "rs")
+rj AS (SELECT r.*, g.final_url FROM raw_links r JOIN pgg g USING (page_id)),
+""" + U.resolve_ctes("rj", "href", "final_url", "rs0") + """,
+rs AS (SELECT * REPLACE (CASE WHEN final_url IS NOT NULL THEN resolved END AS resolved,
+  CASE WHEN final_url IS NULL THEN 'page rejected' ELSE drop_reason END AS drop_reason) FROM rs0)"""
 
 INVENTORY = RESOLVED + """,
 inv0 AS (SELECT page_id, resolved, min(link_pos) AS link_pos, arg_min(text, link_pos) AS text
@@ -93,9 +102,9 @@ inv1 AS (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY link_p
 inv AS (SELECT page_id, CAST(rnk AS INTEGER) AS rank, text, resolved AS href FROM inv1 WHERE rnk <= 50)"""
 
 sql("url_gate", f"""
-WITH {P.raw_links_ctes()},
+WITH {RESOLVED},
 cand AS (SELECT page_id, CAST(NULL AS INTEGER) AS link_pos, url AS input FROM pages
-         UNION ALL SELECT page_id, CAST(link_pos AS INTEGER), href FROM raw_links),
+         UNION ALL SELECT page_id, CAST(link_pos AS INTEGER), coalesce(resolved, href) FROM rs),
 {U.gate_ctes("cand", "input", "cg")}
 SELECT page_id, link_pos, input, reason IS NULL AS accepted, final_url, reason FROM cg
 """)
@@ -149,14 +158,14 @@ WHERE NOT EXISTS (SELECT 1 FROM gp WHERE gp.final_url = targets.href) GROUP BY h
 """)
 
 PAGE_EXTRACT = P.extract_ctes(True, 50_000) + ",\n" + GATED + """,
-exj AS (SELECT ex.*, gp.url, gp.final_url FROM ex JOIN gp USING (page_id)),
+exj AS (SELECT ex.*, pgg.url, pgg.final_url, pgg.reason FROM ex JOIN pgg USING (page_id)),
 lk0 AS (SELECT page_id, final_url, unnest(links) AS l, unnest(range(len(links))) AS lpos FROM exj),
-lk1 AS (SELECT page_id, final_url, lpos, l.text AS l_text, l.href AS l_href FROM lk0),
+lk1 AS (SELECT page_id, final_url, lpos, l.text AS l_text, l.href AS l_href FROM lk0 WHERE final_url IS NOT NULL),
 """ + U.resolve_ctes("lk1", "l_href", "final_url", "lk2") + """,
 lk AS (SELECT page_id, list(struct_pack(lpos := lpos, text := l_text, href := resolved)) AS lk
        FROM lk2 WHERE resolved IS NOT NULL GROUP BY page_id),
 pe AS (
-  SELECT exj.page_id, url, final_url, 200 AS status, title, content, CAST(length AS INTEGER) AS length, truncated,
+  SELECT exj.page_id, url, final_url, CASE WHEN final_url IS NOT NULL THEN 200 END AS status, reason AS reject_reason, title, content, CAST(length AS INTEGER) AS length, truncated,
     CAST(coalesce(len(lk.lk), 0) AS INTEGER) AS link_count,
     coalesce(array_to_string(list_transform(list_sort(lk.lk), lambda x: x.text || chr(9) || x.href), chr(10)), '')
       AS links_text
@@ -204,12 +213,12 @@ _TS = "strftime(TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(doc_id AS INTEGE
 FEEDS = f"""
 fd0 AS (
   SELECT source, lang, doc_id // {FEED_BUCKET} AS bucket, string_agg(CASE WHEN lang = 'en' THEN
-    '<item><title>' || {_esc('substring(text, 1, 40)')} || '</title><link>/doc/' || CAST(doc_id AS VARCHAR)
+    '<item><title>' || {_esc('text')} || '</title><link>/doc/' || CAST(doc_id AS VARCHAR)
     || '</link><dc:date>' || {_TS} || '</dc:date><dc:creator>' || source || '</dc:creator><description>'
     || {_esc('text')} || '</description><content:encoded><![CDATA[<p>'
     || replace(text, ']]>', ' ') || '</p>]]></content:encoded></item>'
   ELSE
-    '<entry><title>' || {_esc('substring(text, 1, 40)')} || '</title><link rel="self" href="/self/'
+    '<entry><title>' || {_esc('text')} || '</title><link rel="self" href="/self/'
     || CAST(doc_id AS VARCHAR) || '"/><link rel="alternate" href="/doc/' || CAST(doc_id AS VARCHAR)
     || '"/><updated>' || {_TS} || '</updated><author><name>' || source
     || '</name></author><summary type="html">&lt;p&gt;' || {_esc('text')}
@@ -384,7 +393,8 @@ def _media(ct):
 
 sql("response_scan", f"""
 WITH {RLOG}
-SELECT page_id, url, status, location, content_type, elapsed_ms, CAST(octet_length(body) AS INTEGER) AS n_bytes
+SELECT page_id, url, status, location, content_type, elapsed_ms, CAST(octet_length(body) AS INTEGER) AS n_bytes,
+  md5(decode(body)) AS body_md5
 FROM rlog
 """)
 
@@ -447,7 +457,7 @@ SELECT page_id, charset,
        WHEN {in_list('lower(charset)', RS.LATIN1_LABELS)} THEN 'windows-1252'
        WHEN lower(charset) IN ('utf-16le', 'utf-16') THEN 'utf-16le' WHEN lower(charset) = 'utf-16be' THEN 'utf-16be'
        ELSE 'utf-8 (charset_unsupported)' END AS decoder,
-  CAST(length(decode(body)) AS INTEGER) AS n_chars
+  decode(body) AS text
 FROM cs
 """)
 
@@ -475,15 +485,16 @@ FROM fl WHERE NOT ok
 def _redirect_ctes(n: int = 3, timeout: int = 10_000, allowed=PAGE_TYPES) -> str:
     parts = [RLOG, U.gate_ctes("pages", "url", "g0", out="cur", reason="why"),
              U.gate_ctes("rlog", "url", "lgg", out="cur", reason="_lw"),
-             "lg AS (SELECT cur, status, location, content_type, elapsed_ms FROM lgg WHERE cur IS NOT NULL)",
+             "lg AS (SELECT split_part(cur, '#', 1) AS key, page_id AS capture_id, status, location, content_type, elapsed_ms FROM lgg "
+             "WHERE cur IS NOT NULL QUALIFY row_number() OVER (PARTITION BY split_part(cur, '#', 1) ORDER BY page_id) = 1)",
              "d_init AS (SELECT page_id, url, CAST(NULL AS VARCHAR) AS final_url, 0 AS hops, "
-             "CAST(NULL AS INTEGER) AS status, why AS outcome FROM g0 WHERE cur IS NULL)",
+             "CAST(NULL AS INTEGER) AS status, why AS outcome, CAST(NULL AS BIGINT) AS capture_id FROM g0 WHERE cur IS NULL)",
              "a0 AS (SELECT page_id, url, cur FROM g0 WHERE cur IS NOT NULL)"]
     unions = ["SELECT * FROM d_init"]
     redir = f"status IN {tuple(REDIRECT_STATUSES)}"
     for h in range(n + 1):
         parts.append(f"""j{h} AS (
-  SELECT a.page_id, a.url, a.cur, lg.status, lg.location, lg.content_type, lg.elapsed_ms,
+  SELECT a.page_id, a.url, a.cur, lg.capture_id, lg.status, lg.location, lg.content_type, lg.elapsed_ms,
     CASE WHEN lg.status IS NULL THEN 'fetch failed' WHEN lg.elapsed_ms > {timeout} THEN 'timed out'
          WHEN {redir} AND (lg.location IS NULL OR lg.location = '') THEN 'redirect without Location'
          WHEN {redir} AND {'true' if h == n else 'false'} THEN 'too many redirects'
@@ -491,9 +502,10 @@ def _redirect_ctes(n: int = 3, timeout: int = 10_000, allowed=PAGE_TYPES) -> str
          WHEN NOT (lg.status BETWEEN 200 AND 299) THEN 'HTTP status'
          WHEN NOT {in_list(_media('lg.content_type'), allowed)} THEN 'unsupported content type'
          ELSE 'ok' END AS outcome
-  FROM a{h} a LEFT JOIN lg USING (cur))""")
+  FROM a{h} a LEFT JOIN lg ON lg.key = split_part(a.cur, '#', 1))""")
         parts.append(f"""d{h} AS (SELECT page_id, url, cur AS final_url, {h} AS hops,
-  CASE WHEN outcome NOT IN ('fetch failed', 'timed out') THEN status END AS status, outcome FROM j{h}
+  CASE WHEN outcome NOT IN ('fetch failed', 'timed out') THEN status END AS status, outcome,
+  CASE WHEN outcome = 'ok' THEN capture_id END AS capture_id FROM j{h}
   WHERE outcome IS NOT NULL)""")
         unions.append(f"SELECT * FROM d{h}")
         if h == n:
@@ -504,8 +516,8 @@ def _redirect_ctes(n: int = 3, timeout: int = 10_000, allowed=PAGE_TYPES) -> str
         parts.append(f"""w{h} AS (SELECT *, CASE WHEN nwhy = 'unsupported_scheme' THEN 'unsupported protocol'
   WHEN nwhy IS NOT NULL THEN 'invalid URL' WHEN regexp_matches(nxt, '^[a-z]+://[^/?#]*@') THEN 'embedded credentials'
   END AS why2 FROM rr{h})""")
-        parts.append(f"e{h} AS (SELECT page_id, url, cur AS final_url, {h} AS hops, status, why2 AS outcome "
-                     f"FROM w{h} WHERE why2 IS NOT NULL)")
+        parts.append(f"e{h} AS (SELECT page_id, url, cur AS final_url, {h} AS hops, status, why2 AS outcome, "
+                     f"CAST(NULL AS BIGINT) AS capture_id FROM w{h} WHERE why2 IS NOT NULL)")
         unions.append(f"SELECT * FROM e{h}")
         parts.append(f"a{h + 1} AS (SELECT page_id, url, nxt AS cur FROM w{h} WHERE why2 IS NULL)")
     parts.append("chain AS (" + " UNION ALL ".join(unions) + ")")
@@ -517,6 +529,23 @@ WITH {_redirect_ctes()}
 SELECT page_id, url, final_url, hops, status, outcome FROM chain
 """)
 
+sql("web_fetch", f"""
+WITH {_redirect_ctes()},
+{P.extract_ctes(True, 50_000)},
+wf0 AS (SELECT c.page_id, c.final_url, unnest(ex.links) AS l, unnest(range(len(ex.links))) AS lpos
+        FROM chain c JOIN ex ON ex.page_id = c.capture_id),
+wf1 AS (SELECT page_id, final_url, lpos, l.text AS l_text, l.href AS l_href FROM wf0),
+{U.resolve_ctes("wf1", "l_href", "final_url", "wf2")},
+wl AS (SELECT page_id, list(struct_pack(lpos := lpos, text := l_text, href := resolved)) AS lk
+       FROM wf2 WHERE resolved IS NOT NULL GROUP BY page_id)
+SELECT c.page_id, c.url, c.final_url, c.hops, c.status, c.outcome,
+  CASE WHEN c.outcome = 'ok' THEN 'utf-8' END AS decoder, ex.title, ex.content, CAST(ex.length AS INTEGER) AS length, ex.truncated,
+  CASE WHEN c.outcome = 'ok' THEN CAST(coalesce(len(wl.lk), 0) AS INTEGER) END AS link_count,
+  CASE WHEN c.outcome = 'ok' THEN coalesce(array_to_string(list_transform(list_sort(wl.lk), lambda x: x.text || chr(9) || x.href),
+    chr(10)), '') END AS links_text
+FROM chain c LEFT JOIN ex ON ex.page_id = c.capture_id LEFT JOIN wl ON wl.page_id = c.page_id
+""")
+
 sql("fetch_outcome", f"""
 WITH {_redirect_ctes()},
 {U.gate_ctes("chain", "url", "cg", out="_u", reason="_w")}
@@ -594,7 +623,8 @@ FROM pr GROUP BY ALL
 
 sql("write_pages", f"""
 WITH {PAGE_EXTRACT}
-SELECT page_id, url, final_url, title, length, truncated, link_count, {U.host_of('final_url')} AS host FROM pe
+SELECT page_id, url, final_url, status, title, content, length, truncated, link_count, links_text,
+  {U.host_of('final_url')} AS host FROM pe
 """)
 
 SQL["stream_pages"] = SQL["page_markdown"]

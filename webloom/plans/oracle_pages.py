@@ -34,7 +34,7 @@ def tokens_ctes(src: str = "pages") -> str:
     return f"""
 tk0 AS (
   SELECT page_id, unnest(tl) AS tok, unnest(range(len(tl))) AS pos
-  FROM (SELECT page_id, list_append(regexp_extract_all(coalesce(html, ''), {q(TOKEN_RE)}), '') AS tl FROM {src})
+  FROM (SELECT page_id, list_append(regexp_extract_all(translate(coalesce(html, ''), '\uFDD0\uFDD1\uFDD2', '\uFFFD\uFFFD\uFFFD'), {q(TOKEN_RE)}), '') AS tl FROM {src})
 ),
 tk AS (
   SELECT * FROM (

@@ -50,7 +50,7 @@ def _decode_one(b: str, table: str, hex_re: str) -> str:
     lit = f"('&' || {b} || ';')"
     code = (f"(CASE WHEN regexp_matches({b}, {q(hex_re)}) THEN {_code_point(f'substr({b}, 3)', 16, 6)} "
             f"ELSE {_code_point(f'substr({b}, 2)', 10, 7)} END)")
-    num = (f"(CASE WHEN {code} IS NOT NULL AND {code} <= 1114111 AND NOT ({code} BETWEEN 55296 AND 57343) "
+    num = (f"(CASE WHEN {code} IS NOT NULL AND {code} <= 1114111 AND NOT ({code} BETWEEN 55296 AND 57343) AND NOT ({code} BETWEEN 64976 AND 64978) "
            f"THEN chr(({code})::INTEGER) ELSE {lit} END)")
     return f"(CASE WHEN starts_with({b}, '#') THEN {num} ELSE coalesce({table}[{b}], {lit}) END)"
 

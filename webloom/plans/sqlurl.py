@@ -14,7 +14,8 @@ def pct_encode(x: str, run_re: str) -> str:
 
 
 def remove_dot_segments(p: str) -> str:
-    segs = f"string_split(substr({p}, 2), '/')"
+    segs = (f"list_transform(string_split(substr({p}, 2), '/'), lambda s: CASE WHEN regexp_matches(s, "
+            f"'^(?:[.]|%2[eE]){{1,2}}$') THEN regexp_replace(s, '%2[eE]', '.', 'g') ELSE s END)")
     stack = (f"list_reduce({segs}, lambda acc, s: CASE WHEN s = '..' THEN (CASE WHEN len(acc) = 0 THEN acc "
              f"ELSE acc[1:len(acc) - 1] END) WHEN s = '.' THEN acc ELSE list_append(acc, s) END, []::VARCHAR[])")
     out = (f"('/' || array_to_string({stack}, '/') || CASE WHEN ({segs})[-1] IN ('.', '..') AND len({stack}) > 0 "
@@ -82,12 +83,15 @@ def resolve_ctes(src_cte: str, href: str, base: str, out_cte: str,
     return f"""{out_cte}__0 AS (
   SELECT *,
     {junk} AS _r_junk,
-    {clean_input(href)} AS _r_h,
-    regexp_extract({base}, {q(BASE_RE)}, 1) AS _r_bs, regexp_extract({base}, {q(BASE_RE)}, 2) AS _r_ba,
+    regexp_extract({base}, {q(BASE_RE)}, 1) AS _r_bs, {clean_input(href)} AS _r_h0,
+    CASE WHEN regexp_matches(_r_h0, '^[a-zA-Z]+:[^/\\\\]') AND lower(split_part(_r_h0, ':', 1)) = _r_bs
+      THEN substr(_r_h0, length(_r_bs) + 2) ELSE _r_h0 END AS _r_h,
+    regexp_extract({base}, {q(BASE_RE)}, 2) AS _r_ba,
     CASE WHEN regexp_extract({base}, {q(BASE_RE)}, 3) = '' THEN '/' ELSE regexp_extract({base}, {q(BASE_RE)}, 3) END AS _r_bp,
     regexp_extract(_r_bp, '^([\\s\\S]*/)', 1) AS _r_bdir,
     CASE WHEN _r_junk IS NULL THEN
       CASE WHEN regexp_matches(_r_h, {q(SCHEME_RE)}) THEN _r_h
+           WHEN starts_with(_r_h, '#') THEN split_part({base}, '#', 1) || _r_h
            WHEN regexp_matches(_r_h, '^[/\\\\][/\\\\]') THEN _r_bs || ':' || _r_h
            WHEN regexp_matches(_r_h, '^[/\\\\]') THEN _r_bs || '://' || _r_ba || _r_h
            WHEN starts_with(_r_h, '?') THEN _r_bs || '://' || _r_ba || _r_bp || _r_h
@@ -95,7 +99,7 @@ def resolve_ctes(src_cte: str, href: str, base: str, out_cte: str,
   FROM {src_cte}),
 {out_cte}__1 AS (SELECT *, {parsed_url('_r_abs', '_r')} FROM {out_cte}__0),
 {out_cte} AS (
-  SELECT * EXCLUDE (_r_junk, _r_h, _r_bs, _r_ba, _r_bp, _r_bdir, _r_abs, _r_scheme, _r__auth, _r__path, _r__query,
+  SELECT * EXCLUDE (_r_junk, _r_h0, _r_h, _r_bs, _r_ba, _r_bp, _r_bdir, _r_abs, _r_scheme, _r__auth, _r__path, _r__query,
       _r__frag, _r__userinfo, _r__hostport, _r_user, _r_pass, _r_host, _r__port, _r_ok, _r__portn0, _r__portn,
       _r__path0, _r__pathn, _r_url),
     CASE WHEN _r_junk IS NOT NULL THEN _r_junk WHEN _r_scheme NOT IN ('http', 'https') THEN 'unsupported_scheme'

@@ -32,21 +32,26 @@ def build_session(master: str | None = None, app: str = "webloom",
 
 def configure(spark: SparkSession) -> SparkSession:
     """SQL settings the plans rely on (idempotent, safe on a shared session)."""
-    conf = spark.conf
-    conf.set("spark.sql.adaptive.enabled", "true")
-    conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    conf.set("spark.sql.session.timeZone", "UTC")
-    # header/attribute maps keep the last duplicate, as the reference does
-    conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
-    # URL and text plans carry large expressions; inferring filters from them
-    # grows the optimizer work combinatorially and buys nothing here
-    conf.set("spark.sql.constraintPropagation.enabled", "false")
+    wanted = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        # URL and text plans carry large expressions; inferring filters from them
+        # grows the optimizer work combinatorially and buys nothing here
+        "spark.sql.constraintPropagation.enabled": "false",
+    }
+    for key, value in wanted.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by the cluster; a scratch folder only when unset (tests)."""
+    """Shared checkpoint folder named by the cluster; a scratch folder where it is unset and the master is local.
+
+    A folder of the driver's machine is no shared folder: with executors elsewhere an unset one is an error.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -55,6 +60,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="webloom-ckpt-")
     sc.setCheckpointDir(path)
     return path

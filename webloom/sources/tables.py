@@ -25,8 +25,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Feeds are built from ``documents``: one feed per (source, lang, doc_id bucket);
 # lang 'en' -> RSS 2.0, other languages -> Atom.  The bucket bounds every feed
 # to FEED_BUCKET documents, so no group grows with the data.  Descriptions and
-# content carry the whole document text (the 500 / 2,000 caps are web_feed's);
-# the item title is the document's first 40 characters, a headline field.
+# titles carry the whole document text (the 500 / 2,000 caps are web_feed's).
 FEED_BUCKET = 50
 
 
@@ -47,13 +46,13 @@ def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "yyyy-MM-dd'T'HH:mm:ss'Z'")
     did = F.col("doc_id").cast("string")
     rss_item = F.concat(
-        F.lit("<item><title>"), _esc(F.substring(t, 1, 40)), F.lit("</title><link>/doc/"), did,
+        F.lit("<item><title>"), _esc(t), F.lit("</title><link>/doc/"), did,
         F.lit("</link><dc:date>"), ts, F.lit("</dc:date><dc:creator>"), F.col("source"),
         F.lit("</dc:creator><description>"), _esc(t),
         F.lit("</description><content:encoded><![CDATA[<p>"), F.replace(t, F.lit("]]>"), F.lit(" ")),
         F.lit("</p>]]></content:encoded></item>"))
     atom_entry = F.concat(
-        F.lit("<entry><title>"), _esc(F.substring(t, 1, 40)), F.lit("</title><link rel=\"self\" href=\"/self/"), did,
+        F.lit("<entry><title>"), _esc(t), F.lit("</title><link rel=\"self\" href=\"/self/"), did,
         F.lit("\"/><link rel=\"alternate\" href=\"/doc/"), did, F.lit("\"/><updated>"), ts,
         F.lit("</updated><author><name>"), F.col("source"), F.lit("</name></author><summary type=\"html\">&lt;p&gt;"),
         _esc(t), F.lit("&lt;/p&gt;</summary></entry>"))

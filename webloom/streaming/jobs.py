@@ -41,7 +41,7 @@ def stream_pages(spark: SparkSession, source_dir: str, out_dir: str, ckpt: str,
     def batch(df: DataFrame, epoch: int) -> None:
         ex = html.extract(df, opts, with_links=False).drop("links")
         ex.select("page_id", "title", "content", F.col("length").cast("int").alias("length"), "truncated") \
-          .write.mode("append").parquet(out_dir)
+          .write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")  # a replayed batch writes the same place again
 
     q = (src.writeStream.foreachBatch(batch).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
@@ -54,9 +54,8 @@ def stream_pages_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = tables.pages(spark, sf_dir)
     for k in range(4):  # four arrivals, each its own file set
         pages.filter(F.col("page_id") % 4 == k).write.parquet(f"{run}/in/part={k}")
-    spark.createDataFrame([], EXTRACT_SCHEMA).write.parquet(f"{run}/out")
     stream_pages(spark, f"{run}/in/*", f"{run}/out", f"{run}/ckpt", ExtractOptions.of("markdown"))
-    return spark.read.schema(EXTRACT_SCHEMA).parquet(f"{run}/out").select(
+    return spark.read.schema(EXTRACT_SCHEMA).parquet(f"{run}/out/epoch=*").select(
         "page_id", "content", "length", "truncated")
 
 
@@ -68,10 +67,10 @@ def stream_feed_entries(spark: SparkSession, source_dir: str, out_dir: str, ckpt
            .schema("feed_id string, url string, xml string, final_url string, truncated boolean, "
                    "fetched_at timestamp").parquet(source_dir))
     items = FD.feed_items(FD.parse_feeds(src), keep=("fetched_at",))
-    # entries are "seen" by URL; an entry whose link was dropped is keyed by feed and title instead
-    items = items.withColumn("seen_key", F.coalesce(F.nullif(F.col("url"), F.lit("")),
-                                                    F.concat_ws("#", "feed_id", "title")))
-    fresh = items.withWatermark("fetched_at", watermark).dropDuplicatesWithinWatermark(["seen_key"])
+    # an entry is "seen" when its own feed has shown it: by its URL, or where it has none by all its fields
+    whole = F.sha2(F.to_json(F.struct("title", "published", "author", "summary", "content")), 256)
+    items = items.withColumn("seen_key", F.coalesce(F.nullif(F.col("url"), F.lit("")), whole))
+    fresh = items.withWatermark("fetched_at", watermark).dropDuplicatesWithinWatermark(["feed_id", "seen_key"])
     q = (fresh.drop("fetched_at", "seen_key").writeStream.format("parquet").option("path", out_dir)
          .option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
