@@ -165,10 +165,10 @@ lk1 AS (SELECT page_id, final_url, lpos, l.text AS l_text, l.href AS l_href FROM
 lk AS (SELECT page_id, list(struct_pack(lpos := lpos, text := l_text, href := resolved)) AS lk
        FROM lk2 WHERE resolved IS NOT NULL GROUP BY page_id),
 pe AS (
-  SELECT exj.page_id, url, final_url, CASE WHEN final_url IS NOT NULL THEN 200 END AS status, reason AS reject_reason, title, content, CAST(length AS INTEGER) AS length, truncated,
+  SELECT exj.page_id, url, final_url, CASE WHEN final_url IS NOT NULL THEN 200 END AS status, title, content, CAST(length AS INTEGER) AS length, truncated,
     CAST(coalesce(len(lk.lk), 0) AS INTEGER) AS link_count,
     coalesce(array_to_string(list_transform(list_sort(lk.lk), lambda x: x.text || chr(9) || x.href), chr(10)), '')
-      AS links_text
+      AS links_text, reason AS reject_reason
   FROM exj LEFT JOIN lk USING (page_id))"""
 
 sql("page_extract", f"""
