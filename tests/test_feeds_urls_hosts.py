@@ -39,7 +39,7 @@ def test_entries(parsed):
     rows = {(r.feed_id, r.pos): r for r in FD.entries(parsed).collect()}
     assert sorted(rows) == [("f0", 0), ("f0", 1), ("f1", 0), ("f1", 1), ("f1", 2)]
     fields = ("title", "url", "published", "author", "summary", "content")
-    assert [rows["f0", 0][f] for f in fields] == ["Fog", "/fog", "Sat, 02 Mar 2024 07:30:00 +0200", "Ines", "Thick fog – stay in.", "All day.\nAll night."]
+    assert [rows["f0", 0][f] for f in fields] == ["Fog", "/fog", "Sat, 02 Mar 2024 07:30:00 +0200", "Ines", "Thick fog – stay in.", "All day. All night."]
     assert [rows["f0", 1][f] for f in fields] == ["(untitled)", "https://coast.test/p/2", "2024-03-03", "desk@coast.test", "", ""]
     assert [rows["f1", 0][f] for f in fields] == ["Spring", "../a/1", "2024-03-01T00:00:00Z", "Ola", "High", "Higher"]
     assert [rows["f1", k].url for k in (1, 2)] == ["https://x.test/neap", "mailto:a@b.test"]

@@ -1,18 +1,13 @@
-"""Host rules (NO_PROXY semantics) as equi-joins, CIDR membership, route assignment.
-
-The rule list is a job option (a comma-separated string, as in the
-reference), parsed once into a small rule table.  Hosts are exploded into
-their keys -- the exact host and every dot-suffix -- so name matching is an
-equi-join on ``(kind, key)`` instead of a theta join on ``endswith``.  IPv4
-rules join on ``(bits, masked network)``, one key per prefix length present in
-the rule list.  Rule tables are broadcast by Catalyst when under the size
-threshold and sort-merge joined otherwise.
+"""Host rules (NO_PROXY semantics), CIDR membership, route assignment.
+
+The rule list is a job option (a comma-separated string); Spark splits it into
+a small rule table. Each row tests its own keys -- the exact host and every
+dot-suffix, or its address masked to each prefix length -- against the listed
+ones: no join, no shuffle.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,61 +22,31 @@ DEFAULT_HTTPS_PROXY = ""
 IPV4_RE = r"^([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})$"
 
 
-def _ipv4(value: str):
-    m = re.fullmatch(r"(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})", value)
-    if not m or any(int(p) > 255 for p in m.groups()):
-        return None
-    a, b, c, d = (int(p) for p in m.groups())
-    return (a << 24) | (b << 16) | (c << 8) | d
-
-
-def _bits(text: str):
-    """Prefix length as JavaScript's Number() would read it; '' -> None (no bits, no match)."""
-    s = text.strip()
-    if re.fullmatch(r"\d+(\.0*)?", s):
-        v = int(s.split(".")[0])
-    elif re.fullmatch(r"0[xX][0-9a-fA-F]+", s):
-        v = int(s, 16)
-    else:
-        return None
-    return v if 0 <= v <= 32 else None
-
-
-def parse_rules(no_proxy: str):
-    """-> (match_all, name_keys [(kind, key)], cidrs [(bits, network)])"""
-    entries = [e.strip().lower() for e in no_proxy.split(",")]
-    entries = [e for e in entries if e != ""]
-    if "*" in entries:
-        return True, [], []
-    names, cidrs = [], []
-    for raw in entries:
-        m = re.fullmatch(r"(\[[^\]]+\]|[^:]+):\d+", raw)
-        entry = m.group(1) if m else raw
-        if entry == "":
-            continue
-        if "/" in entry:
-            net_s, bits_s = entry.split("/", 1)
-            net, bits = _ipv4(net_s), _bits(bits_s)
-            if net is not None and bits is not None:
-                mask = 0 if bits == 0 else ((0xFFFFFFFF << (32 - bits)) & 0xFFFFFFFF)
-                cidrs.append((bits, net & mask))
-            continue
-        plain = entry[1:] if entry.startswith("*.") else entry
-        if plain.startswith("."):
-            names.append(("suffix", plain))
-        else:
-            names += [("exact", plain), ("suffix", "." + plain)]
-    return False, sorted(set(names)), sorted(set(cidrs))
-
-
-def name_rules(spark: SparkSession, no_proxy: str) -> DataFrame:
-    _, names, _ = parse_rules(no_proxy)
-    return spark.createDataFrame(names, "kind string, key string")
-
-
-def cidr_rules(spark: SparkSession, no_proxy: str) -> DataFrame:
-    _, _, cidrs = parse_rules(no_proxy)
-    return spark.createDataFrame(cidrs, "bits int, net bigint")
+def rule_table(spark: SparkSession, rules: str) -> DataFrame:
+    """The rule string as rows ``(kind, key, bits, net)``: kind 'all', 'exact', 'suffix' or 'cidr'.
+
+    Column expressions over the split entries: a port is cut off, ``*.`` stands for a leading dot, a plain name is
+    an exact and a suffix rule, an entry with a slash is a network or, where it is no valid one, nothing.
+    """
+    one = spark.createDataFrame([(rules,)], "rules string")
+    entry = one.select(F.explode(F.split("rules", ",")).alias("e")).select(F.lower(js_trim("e")).alias("e")).filter("e <> ''")
+    name = F.regexp_replace(F.regexp_replace("e", r"^(\[[^\]]+\]|[^:]+):[0-9]+$", "$1"), r"^\*\.", ".")
+    parts = entry.select("e", name.alias("name"), F.substring_index("e", "/", 1).alias("base"),
+                         js_trim(F.regexp_extract("e", "/([^:]*)", 1)).alias("length"))
+    bits = F.when(F.col("length").rlike(r"^[0-9]+(\.0*)?$"), F.substring_index("length", ".", 1).try_cast("int")) \
+        .when(F.col("length").rlike("^0x[0-9a-f]+$"), F.conv(F.substr(F.col("length"), F.lit(3)), 16, 10).try_cast("int"))
+    shift = F.lit(32) - F.col("bits")
+    none = F.lit(None)
+    network = parts.filter(F.contains("e", F.lit("/"))).withColumn("bits", bits).filter("bits between 0 and 32") \
+        .withColumn("ip", ipv4_int(F.col("base"))).filter("ip is not null") \
+        .select(F.lit("cidr").alias("kind"), none.cast("string").alias("key"), "bits", F.expr("shiftleft(shiftright(ip, 32 - bits), 32 - bits)").alias("net"))
+    plain = parts.filter(~F.contains("e", F.lit("/")))
+    dotted = F.col("name").startswith(".")
+    names = plain.select(F.explode(F.when(F.col("e") == "*", F.array(F.struct(F.lit("all").alias("kind"), F.lit("*").alias("key"))))
+                                   .when(dotted, F.array(F.struct(F.lit("suffix").alias("kind"), F.col("name").alias("key"))))
+                                   .otherwise(F.array(F.struct(F.lit("exact").alias("kind"), F.col("name").alias("key")),
+                                                      F.struct(F.lit("suffix").alias("kind"), F.concat(F.lit("."), "name").alias("key"))))).alias("r"))
+    return names.select("r.kind", "r.key", none.cast("int").alias("bits"), none.cast("bigint").alias("net")).unionByName(network).distinct()
 
 
 def host_keys(host: Column) -> Column:
@@ -101,38 +66,34 @@ def ipv4_int(ip: Column) -> Column:
 
 
 def match_names(df: DataFrame, id_col: str, host_col: str, no_proxy: str) -> DataFrame:
-    """``df`` + ``name_match`` (host matches an exact / suffix / wildcard rule)."""
-    spark = df.sparkSession
-    match_all, names, _ = parse_rules(no_proxy)
-    if match_all:
+    """``df`` + ``name_match`` (host matches an exact / suffix / wildcard rule).
+
+    The rules of one option string are few: they become a literal list that a host's keys are tested against, so
+    rows are neither exploded nor shuffled. ``id_col`` is not needed and kept for callers.
+    """
+    rules = rule_table(df.sparkSession, no_proxy).filter("kind <> 'cidr'").collect()
+    if any(r.kind == "all" for r in rules):
         return df.withColumn("name_match", F.lit(True))
-    if not names:
+    if not rules:
         return df.withColumn("name_match", F.lit(False))
-    h = F.lower(js_trim(F.col(host_col)))
-    keys = df.select(id_col, F.explode(host_keys(h)).alias("k")).select(id_col, "k.kind", "k.key")
-    hits = keys.join(name_rules(spark, no_proxy), ["kind", "key"], "left_semi").select(id_col).distinct()
-    return (df.join(hits.withColumn("name_match", F.lit(True)), id_col, "left")
-            .withColumn("name_match", F.coalesce("name_match", F.lit(False))))
+    listed = F.array(*[F.lit(f"{r.kind} {r.key}") for r in sorted(rules)])
+    keys = F.transform(host_keys(F.lower(js_trim(F.col(host_col)))), lambda k: F.concat_ws(" ", k["kind"], k["key"]))
+    return df.withColumn("name_match", F.coalesce(F.arrays_overlap(keys, listed), F.lit(False)))
 
 
 def match_cidrs(df: DataFrame, id_col: str, ip_col: str, no_proxy: str) -> DataFrame:
-    """``df`` + ``cidr_match`` (IPv4 address inside any network of the list)."""
-    spark = df.sparkSession
-    match_all, _, cidrs = parse_rules(no_proxy)
-    if match_all:
+    """``df`` + ``cidr_match`` (IPv4 address inside any network of the list): one masked test for each prefix length."""
+    rules = rule_table(df.sparkSession, no_proxy).filter("kind in ('cidr', 'all')").collect()
+    if any(r.kind == "all" for r in rules):
         return df.withColumn("cidr_match", F.lit(True))
-    if not cidrs:
-        return df.withColumn("cidr_match", F.lit(False))
-    ipn = ipv4_int(F.col(ip_col))
-    bits = sorted({b for b, _ in cidrs})
-    # one key per prefix length of the rule list: (bits, address & mask)
-    keys = F.array(*[F.struct(F.lit(b).alias("bits"),
-                              (ipn.bitwiseAND(F.lit(0 if b == 0 else (0xFFFFFFFF << (32 - b)) & 0xFFFFFFFF)))
-                              .alias("net")) for b in bits])
-    k = df.filter(ipn.isNotNull()).select(id_col, F.explode(keys).alias("k")).select(id_col, "k.bits", "k.net")
-    hits = k.join(cidr_rules(spark, no_proxy), ["bits", "net"], "left_semi").select(id_col).distinct()
-    return (df.join(hits.withColumn("cidr_match", F.lit(True)), id_col, "left")
-            .withColumn("cidr_match", F.coalesce("cidr_match", F.lit(False))))
+    nets: dict[int, list[int]] = {}
+    for r in rules:
+        nets.setdefault(r.bits, []).append(r.net)
+    ip, hit = ipv4_int(F.col(ip_col)), F.lit(False)
+    for bits, own in sorted(nets.items()):
+        masked = F.shiftleft(F.shiftright(ip, 32 - bits), 32 - bits)
+        hit = hit | masked.isin(sorted(own))
+    return df.withColumn("cidr_match", F.coalesce(hit, F.lit(False)))
 
 
 def route(scheme: Column, bypass: Column, http_proxy: str, https_proxy: str) -> Column:

@@ -558,44 +558,31 @@ SELECT coalesce({U.host_of('_u')}, '') AS host, outcome, count(*) AS n FROM cg G
 from ..operators import hosts as H  # noqa: E402
 
 
-def _name_rules_values() -> str:
-    _, names, _ = H.parse_rules(H.DEFAULT_NO_PROXY)
-    return "(VALUES " + ", ".join(f"({q(k)}, {q(v)})" for k, v in names) + ") AS nr(kind, key)"
-
-
-def _cidr_rules_values() -> str:
-    _, _, cidrs = H.parse_rules(H.DEFAULT_NO_PROXY)
-    return "(VALUES " + ", ".join(f"({b}, {n}::BIGINT)" for b, n in cidrs) + ") AS cr(bits, net)"
-
-
-def _host_keys(h: str) -> str:
-    return (f"list_prepend(struct_pack(kind := 'exact', key := {h}), list_transform(list_filter("
-            f"range(1, greatest(length({h}), 1) + 1), lambda i: substr({h}, i, 1) = '.'), "
-            f"lambda i: struct_pack(kind := 'suffix', key := substr({h}, i))))")
+def _ipv4_int(ip: str) -> str:
+    octets = f"string_split({ip}, '.')"
+    return (f"(CASE WHEN regexp_matches({ip}, '^[0-9]{{1,3}}([.][0-9]{{1,3}}){{3}}$') AND len(list_filter({octets}, "
+            f"lambda o: CAST(o AS INTEGER) > 255)) = 0 THEN list_reduce(list_transform({octets}, lambda o: CAST(o AS BIGINT)), "
+            f"lambda acc, o: acc * 256 + o) END)")
 
 
-def _ipv4_int(ip: str) -> str:
-    parts = [f"TRY_CAST(regexp_extract({ip}, {q(H.IPV4_RE)}, {i}) AS BIGINT)" for i in (1, 2, 3, 4)]
-    ok = f"regexp_matches({ip}, {q(H.IPV4_RE)}) AND " + " AND ".join(f"{p} BETWEEN 0 AND 255" for p in parts)
-    return f"(CASE WHEN {ok} THEN ({parts[0]} << 24) + ({parts[1]} << 16) + ({parts[2]} << 8) + {parts[3]} END)"
+# the rules read one by one: a theta join of every host with every rule
+RULE_LIST = f"""
+rl AS (SELECT lower(trim(r)) AS r FROM (SELECT unnest(string_split({q(H.DEFAULT_NO_PROXY)}, ',')) AS r)),
+nr AS (SELECT regexp_replace(CASE WHEN regexp_matches(r, ':[0-9]+$') THEN regexp_replace(r, ':[0-9]+$', '') ELSE r END, '^[*][.]', '.') AS n
+       FROM rl WHERE NOT contains(r, '/') AND r <> ''),
+cr AS (SELECT CAST(split_part(r, '/', 2) AS INTEGER) AS bits, {_ipv4_int("split_part(r, '/', 1)")} AS net
+       FROM rl WHERE contains(r, '/'))"""
 
 
-def _cidr_keys(ip: str) -> str:
-    _, _, cidrs = H.parse_rules(H.DEFAULT_NO_PROXY)
-    bits = sorted({b for b, _ in cidrs})
-    return "[" + ", ".join(
-        f"struct_pack(bits := {b}, net := ({_ipv4_int(ip)} & {0 if b == 0 else (0xFFFFFFFF << (32 - b)) & 0xFFFFFFFF}))"
-        for b in bits) + "]"
+def _in_any_net(ip: str) -> str:
+    return f"EXISTS (SELECT 1 FROM cr WHERE ({_ipv4_int(ip)} >> (32 - cr.bits)) = (cr.net >> (32 - cr.bits)))"
 
 
-PAGE_HOSTS = GATED + f""",
+PAGE_HOSTS = RULE_LIST + "," + GATED + f""",
 ph AS (SELECT page_id, {U.host_of('final_url')} AS host, regexp_extract(final_url, '^([a-z]+):', 1) AS scheme FROM gp),
-phk AS (SELECT page_id, unnest({_host_keys(f"lower({js_trim('host')})")}) AS k FROM ph),
-phm AS (SELECT DISTINCT page_id FROM phk JOIN {_name_rules_values()} ON nr.kind = k.kind AND nr.key = k.key),
-phc AS (SELECT page_id, unnest({_cidr_keys('host')}) AS k FROM ph WHERE {_ipv4_int('host')} IS NOT NULL),
-phcm AS (SELECT DISTINCT page_id FROM phc JOIN {_cidr_rules_values()} ON cr.bits = k.bits AND cr.net = k.net),
-pr AS (SELECT ph.*, phm.page_id IS NOT NULL AS name_match, phcm.page_id IS NOT NULL AS cidr_match
-       FROM ph LEFT JOIN phm USING (page_id) LEFT JOIN phcm USING (page_id))"""
+pr AS (SELECT *, EXISTS (SELECT 1 FROM nr WHERE host = n OR (starts_with(n, '.') AND ends_with(host, n))
+                         OR (NOT starts_with(n, '.') AND ends_with(host, '.' || n))) AS name_match,
+       {_in_any_net('host')} AS cidr_match FROM ph)"""
 
 sql("host_rule_match", f"""
 WITH {PAGE_HOSTS}
@@ -603,11 +590,10 @@ SELECT page_id, host, name_match AS bypass FROM pr
 """)
 
 sql("cidr_match", f"""
-WITH hi AS (SELECT event_id, CASE WHEN event_id % 100 = 0 THEN '300.1.1.1'
-  ELSE '10.0.' || CAST(user_id % 8 AS VARCHAR) || '.' || CAST(event_id % 256 AS VARCHAR) END AS ip FROM events),
-hk AS (SELECT event_id, unnest({_cidr_keys('ip')}) AS k FROM hi WHERE {_ipv4_int('ip')} IS NOT NULL),
-hm AS (SELECT DISTINCT event_id FROM hk JOIN {_cidr_rules_values()} ON cr.bits = k.bits AND cr.net = k.net)
-SELECT event_id, ip, hm.event_id IS NOT NULL AS cidr_match FROM hi LEFT JOIN hm USING (event_id)
+WITH {RULE_LIST},
+hi AS (SELECT event_id, CASE WHEN event_id % 100 = 0 THEN '300.1.1.1'
+  ELSE '10.0.' || CAST(user_id % 8 AS VARCHAR) || '.' || CAST(event_id % 256 AS VARCHAR) END AS ip FROM events)
+SELECT event_id, ip, {_in_any_net('ip')} AS cidr_match FROM hi
 """)
 
 sql("route_assign", f"""
