@@ -12,7 +12,8 @@ at least T = ceil(4 (a + b) / 9) of them, which is a Jaccard similarity of 0.8.
 3. In each list the member that is made of the commonest shingles leads; every node is searched against its best
    leader. That settles groups of copies with one search for each member, not one for each pair.
 4. Components of the links so far are found. Only lists that still hold members of different components go on: pairs of
-   members of different components whose sizes and places in the order allow T are searched as well.
+   members of different components whose sizes and places in the order allow T, and whose counts by hash bucket do,
+   are searched as well.
 5. A search is DivideSkip: over the lists of a block of candidates, the longest lists are put aside, the short ones are
    heap-merged with skips, and those candidates that can still reach T are looked up in the long lists by binary search.
 
@@ -38,7 +39,7 @@ from webloom.llm.words import U64, Words, free_name, mix, slices, text_bytes
 
 SHINGLE = 5
 #: Entries of a task's frequency summary; shingles broadcast with their counts at most; count from which one is.
-SUMMARY, LISTED, LEAST_COUNT = 1 << 16, 1 << 18, 8
+SUMMARY, LISTED, LEAST_COUNT = 1 << 17, 1 << 20, 4
 #: Members of a part of a salted list, about; candidates searched together.
 PART_ROWS, BLOCK = 50_000, 128
 BLOOM_BITS = 1 << 26
@@ -145,17 +146,28 @@ def documents_and_counts(docs: DataFrame, id_col: str, text_col: str, parts: int
 
 
 def frequent(summaries: DataFrame, total: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ascending shingles, counts) of those over a fixed share of all postings; LISTED at most, as shares add up to 1."""
-    least = max(LEAST_COUNT, -(-total // LISTED))
+    """(ascending shingles, counts) of the most frequent, LISTED at most.
 
+    The least count comes from a histogram of the merged counts, so that as many as fit are listed; at the latest a
+    share of 1 / LISTED of all postings fits, as shares add up to 1.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = _whole(batches, 1, np.dtype([("h", "<u8"), ("c", "<i8")]))
         keys, where = np.unique(got["h"], return_inverse=True)
         counts = np.bincount(where, got["c"], len(keys)).astype(np.int64)
-        on = counts >= least
+        on = counts >= LEAST_COUNT
         yield pa.RecordBatch.from_arrays([pa.array(keys[on].view(np.int64)), pa.array(counts[on])], names=["h", "c"])
 
-    got = arrow_map(summaries.select("part", "packed").repartition(parts, "part"), run, "h long, c long").toArrow()
+    top = 4096
+    merged = saved(arrow_map(summaries.select("part", "packed").repartition(parts, "part"), run, "h long, c long"))
+    least, held = max(LEAST_COUNT, -(-total // LISTED)), 0
+    bins = {r.c: r["count"] for r in merged.groupBy(F.least("c", F.lit(top)).alias("c")).count().collect()}
+    for c in sorted(bins, reverse=True):
+        held += bins[c]
+        if held > LISTED:
+            break
+        least = min(least, c)
+    got = merged.filter(F.col("c") >= least).toArrow()
     keys, counts = got["h"].to_numpy().view(U64), got["c"].to_numpy()
     order = np.argsort(keys)
     return keys[order], counts[order]
@@ -192,7 +204,7 @@ def postings(docs: DataFrame, text_col: str, listed: tuple[np.ndarray, np.ndarra
                 one["pop"] = int((count > 0).sum()) * 65535 // n
                 rows.append(one)
                 held += own
-            if held > 1 << 20:
+            if held > 1 << 18:
                 yield flush()
                 rows, held = [], 0
         if rows:
@@ -229,10 +241,15 @@ def lists_with_leaders(dealt: DataFrame, listed: tuple[np.ndarray, np.ndarray],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = shared.value
-        got = np.unique(_whole(batches, 1, POSTING))  # by list, then by node; equal sets of several tasks become one
+        got = _whole(batches, 1, POSTING)
         if len(got):
-            s = salt(got["h"], got["node"], keys, counts)
-            got, s = got[order := np.lexsort((got["node"], s, got["h"]))], s[order]
+            got = got[np.lexsort((got["node"], got["h"]))]
+            once = np.ones(len(got), bool)  # equal sets of several tasks become one
+            once[1:] = (got["h"][1:] != got["h"][:-1]) | (got["node"][1:] != got["node"][:-1])
+            got = got[once]
+            s = salt(got["h"], got["node"].copy(), keys, counts)
+            if s.any():
+                got, s = got[order := np.lexsort((got["node"], s, got["h"]))], s[order]
             new = np.ones(len(got), bool)
             new[1:] = (got["h"][1:] != got["h"][:-1]) | (s[1:] != s[:-1])
             group = np.cumsum(new) - 1
@@ -369,8 +386,13 @@ def search(query: np.ndarray, sets: list[np.ndarray]) -> list[int]:
     return [k for k, _ in divide_skip(lists, [int(least_overlap(len(query), len(s))) for s in sets])]
 
 
-def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str, id_col: str, parts: int) -> DataFrame:
-    """Those of ``pairs`` (a, b: nodes) that link. Each query ``a`` searches its candidates in blocks."""
+def sketch(members: np.ndarray) -> bytes:
+    """Members by hash bucket. Sets share at most the sum of the smaller counts of each bucket."""
+    return np.bincount((members >> U64(56)).astype(np.int64), minlength=256).astype("<u4").tobytes()
+
+
+def _of_nodes(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str, id_col: str, make) -> DataFrame:
+    """(node, made) of each node of ``pairs``, ``make`` applied to its set; other texts are not shingled or shuffled."""
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     bloom = docs.sparkSession.sparkContext.broadcast(bloom_of(nodes.join(wanted, "node").select("rep")))
 
@@ -379,11 +401,34 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str,
             ids = batch.column(0)
             batch = batch.filter(pa.array(bloom.value.has(ids.fill_null(0).to_numpy())))
             for k in range(0, batch.num_rows, 64):
-                rows = [(digest(m), m.tobytes()) for _, m in shingle_sets(batch.column(1).slice(k, 64))]
-                yield _batch(rows, ["node", "members"], [pa.int64(), pa.binary()])
+                rows = [(digest(m), make(m)) for _, m in shingle_sets(batch.column(1).slice(k, 64))]
+                yield _batch(rows, ["node", "made"], [pa.int64(), pa.binary()])
+
+    got = arrow_map(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), sets, "node long, made binary")
+    # dealt by node once: joins by node read the same shuffle
+    return got.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("made").alias("made"))
+
+
+def possible(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """Those of ``pairs`` whose sketches allow the shared members they need. No pair that links is lost."""
+    made = saved(_of_nodes(pairs, docs, nodes, text_col, id_col, sketch))
 
-    made = arrow_map(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), sets, "node long, members binary")
-    found = saved(made.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("members").alias("members")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 1024):
+                part = batch.slice(k, 1024)
+                x, y = (np.array([np.frombuffer(v.as_buffer(), "<u4") for v in part.column(c)], np.int64).reshape(-1, 256) for c in (2, 3))
+                on = np.minimum(x, y).sum(axis=1) >= least_overlap(x.sum(axis=1), y.sum(axis=1))
+                yield part.select(["a", "b"]).filter(pa.array(on))
+
+    both = pairs.join(made.select(F.col("node").alias("a"), F.col("made").alias("x")), "a") \
+        .join(made.select(F.col("node").alias("b"), F.col("made").alias("y")), "b").select("a", "b", "x", "y")
+    return arrow_map(both, run, "a long, b long")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str, id_col: str, parts: int) -> DataFrame:
+    """Those of ``pairs`` (a, b: nodes) that link. Each query ``a`` searches its candidates in blocks."""
+    found = _of_nodes(pairs, docs, nodes, text_col, id_col, lambda m: m.tobytes()).withColumnRenamed("made", "members")
     order = F.pmod(F.xxhash64("b"), F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)))
     sizes = pairs.groupBy("a").agg(F.count("*").alias("size"))
     dealt = pairs.join(sizes, "a").select("a", "b", order.cast("long").alias("block"))
@@ -473,26 +518,24 @@ def open_pairs(kept: DataFrame, stars: DataFrame, comps: DataFrame, listed: tupl
 
 
 def _pairs(rows: np.ndarray, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Allowed pairs across components of each list part, a batch for each 100,000 or so."""
-    out: list[np.ndarray] = []
-    ends = np.append(starts[1:], len(rows))
-    for s, e in zip(starts, ends, strict=True):
-        g = rows[s:e]
-        if (g[:, 6] == g[0, 6]).all():
-            continue
-        cross = g[0, 1] != g[0, 2]
-        top = np.searchsorted(g[:, 4], g[:, 4] * 5 // 4, "right")  # by size: partners of at most 5/4 of one's own
-        for k in range(len(g)):
-            o = g[k + 1:top[k]]
-            on = (o[:, 6] != g[k, 6]) & _may_link(g[k, 4], g[k, 5], o[:, 4], o[:, 5])
-            if cross:
-                on &= o[:, 7] != g[k, 7]
-            if on.any():
-                other = o[on, 3]
-                out.append(np.column_stack([np.minimum(other, g[k, 3]), np.maximum(other, g[k, 3])]))
-        if sum(map(len, out)) > 100_000:
+    """Allowed pairs across components of each list part, by distance in the part's order by size: all rows meet the
+    next row, then those that still can meet the one after it, and so on."""
+    if not len(starts):
+        return
+    end = np.repeat(np.append(starts[1:], len(rows)), np.diff(np.append(starts, len(rows))))
+    _, i, j, node, n, place, comp, own = rows.T
+    at, d, out, held = np.arange(len(rows)), 1, [], 0
+    while len(at := at[at + d < end[at]]) and len(at := at[4 * n[at + d] <= 5 * n[at]]):
+        o = at + d
+        on = (comp[o] != comp[at]) & _may_link(n[at], place[at], n[o], place[o]) & ((i[at] == j[at]) | (own[o] != own[at]))
+        if on.any():
+            x, y = node[at[on]], node[o[on]]
+            out.append(np.column_stack([np.minimum(x, y), np.maximum(x, y)]))
+            held += len(x)
+        if held > 100_000:
             yield _long_pairs(out)
-            out = []
+            out, held = [], 0
+        d += 1
     if out:
         yield _long_pairs(out)
 
@@ -522,13 +565,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     listed = frequent(first.filter("packed is not null"), total, parts)
     nodes = rows.filter("n > 0").groupBy("node").agg(F.min("id").alias("rep"))
     dealt = saved(lists_with_leaders(postings(docs, text_col, listed, parts), listed, parts))
-    stars = saved(unpack_stars(dealt.filter("kind = 0").unionByName(leaders_of_salted(dealt.filter("kind = 2").select("part", "packed"), parts))).distinct())
+    salted = saved(leaders_of_salted(dealt.filter("kind = 2").select("part", "packed"), parts))
+    stars = saved(unpack_stars(dealt.filter("kind = 0").unionByName(salted)).distinct())
     best = stars.groupBy("node").agg(F.max(F.struct("pop", "leader")).alias("m")).select(F.col("m.leader").alias("a"), F.col("node").alias("b"))
     links = saved(verified(saved(best), docs, nodes, text_col, id_col, parts))
     comps = components(links)
     more = saved(open_pairs(dealt.filter("kind = 1"), stars, comps, listed, parts)
                  .join(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
     if not more.isEmpty():
+        more = saved(possible(more, docs, nodes, text_col, id_col))
         comps = components(links.unionByName(verified(more, docs, nodes, text_col, id_col, parts)))
     labels = nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     names = labels.groupBy("comp").agg(F.min("rep").alias("component"))

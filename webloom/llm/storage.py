@@ -49,4 +49,9 @@ def ship(spark: SparkSession) -> None:
 def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
     """``df.mapInArrow`` by workers that have the package."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()  # workers are reused; their peaks should not add up
+
+    return df.mapInArrow(released, schema)

@@ -53,11 +53,13 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     """UTF-8 bytes of a string column end to end, and n + 1 row offsets; null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    if column.null_count:
+        column = pc.fill_null(column, "")
     n = len(column)
     if not n:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
-    offs = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + n + 1]
+    width = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    offs = np.frombuffer(column.buffers()[1], width)[column.offset:column.offset + n + 1].astype(np.int64)
     raw = column.buffers()[2]
     data = np.frombuffer(raw, np.uint8)[offs[0]:offs[-1]] if raw is not None else np.zeros(0, np.uint8)
     return data, offs - offs[0]
