@@ -75,6 +75,49 @@ def test_groups_of_edited_copies(frame, monkeypatch, part_rows, seed):
     assert result(N.near_duplicates(frame(docs))) == brute(docs)
 
 
+def quoting_texts(trials, seed):
+    """For each trial a text, a near copy of it, and a longer text that holds it."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{k}" for k in range(5000)]
+    docs = []
+    for k in range(trials):
+        x = [rng.choice(vocabulary) for _ in range(100)]
+        y = list(x)
+        y[-rng.randrange(1, 4)] = "other"
+        more = [rng.choice(vocabulary) for _ in range((60, 200)[k % 2])]
+        docs += [" ".join(t) for t in (x, y, more[:30] + x + more[30:])]
+    return list(enumerate(docs, 1))
+
+
+def test_lists_led_by_a_text_of_unlike_size(frame):
+    docs = quoting_texts(30, 5)
+    want = brute(docs)
+    assert sum(i != c for i, _, c in want) >= 30
+    assert result(N.near_duplicates(frame(docs))) == want
+
+
+def test_stars_connect_every_pair_that_a_list_allows():
+    """Joining the two nodes of each STAR row joins the nodes of every pair that sizes and places allow."""
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        size = rng.integers(1, 14, rng.integers(1, 8))
+        group = np.repeat(np.arange(len(size)), size)
+        rows = np.zeros(len(group), N.POSTING)
+        rows["node"], rows["n"] = rng.permutation(len(rows)), rng.integers(20, rng.choice([30, 60, 200]), len(rows))
+        rows["at"], rows["pop"] = rng.integers(0, 65535 // 5, len(rows)), rng.integers(0, 3, len(rows))
+        n = rows["n"].astype(np.int64)
+        a, b = np.triu_indices(len(rows), 1)
+        allowed = (group[a] == group[b]) & N._may_link(n[a], rows["at"][a], n[b], rows["at"][b])
+        live = N._live_lists(rows, group)
+        assert set(np.flatnonzero(live)) == set(group[a[allowed]])
+        root = list(range(len(rows)))
+        stars, _ = N._leaders(rows, group, live)
+        for x, y in zip(stars["leader"].tolist(), stars["node"].tolist(), strict=True):
+            root = [root[x] if r == root[y] else r for r in root]
+        node = rows["node"]
+        assert all(root[x] == root[y] for x, y in zip(node[a[allowed]], node[b[allowed]], strict=True))
+
+
 def test_divide_skip_counts_like_a_plain_merge():
     rng = random.Random(4)
     for _ in range(200):

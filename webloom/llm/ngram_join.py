@@ -9,8 +9,8 @@ at least T = ceil(4 (a + b) / 9) of them, which is a Jaccard similarity of 0.8.
 2. Inverted lists. A set is ordered by (count, hash), so that its shingles with long lists come last. Two sets that link
    share one of the first n - ceil(4n/5) + 1 of each, so only these short lists are built: postings are dealt by
    shingle, and a list that a large share of all documents is in is dealt in salted parts.
-3. In each list the member that is made of the commonest shingles leads; every node is searched against its best
-   leader. That settles groups of copies with one search for each member, not one for each pair.
+3. In each list the member that is made of the commonest shingles leads, and members whose size or place does not let
+   them link with it have a leader for each band of sizes; every node is searched against its best leader. That settles groups of copies with one search for each member, not one for each pair.
 4. Components of the links so far are found. Only lists that still hold members of different components go on: pairs of
    members of different components whose sizes and places in the order allow T, and whose counts by hash bucket do,
    are searched as well.
@@ -48,7 +48,11 @@ BROADCAST_ROWS = 1_000_000
 MU = 0.0085  # DivideSkip's cost ratio
 
 POSTING = np.dtype([("h", "<u8"), ("node", "<i8"), ("n", "<u4"), ("at", "<u2"), ("pop", "<u2")])
-STAR = np.dtype([("leader", "<i8"), ("node", "<i8"), ("ln", "<u4"), ("n", "<u4"), ("pop", "<u4")])
+STAR = np.dtype([("leader", "<i8"), ("node", "<i8"), ("ln", "<u4"), ("n", "<u4"), ("pop", "<u4"), ("tried", "<u4")])
+#: Bounds of size bands: sets of one band may link by size, sets of bands that are not neighbours may not.
+BANDS = [1]
+while BANDS[-1] < 1 << 32:
+    BANDS.append(BANDS[-1] * 5 // 4 + 1)
 
 
 def least_overlap(a, b):
@@ -233,10 +237,78 @@ def _may_link(n1, at1, n2, at2):
     return (5 * np.minimum(n1, n2) >= 4 * np.maximum(n1, n2)) & (left >= least_overlap(n1, n2))
 
 
+def _largest_partner(n, at):
+    """Size up to which a set may link with others that it first meets at this place."""
+    return 9 * (n - (at * n // 65535)) // 4 - n
+
+
+def _live_lists(rows: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """For each list whether sizes and places allow any pair of its members."""
+    n = rows["n"].astype(np.int64)
+    order = np.lexsort((n, group))
+    n, at, g = n[order], rows["at"][order].astype(np.int64), group[order]
+    most, base = _largest_partner(n, at), g << 34
+    before = np.minimum(np.searchsorted(base + n, base + most, "right"), np.arange(len(n)))  # earlier ones that this one may link
+    best = np.concatenate([[-1], np.maximum.accumulate(base + most)])[before]
+    out = np.zeros(group.max() + 1, bool)
+    out[g[best >= base + n]] = True
+    return out
+
+
+def _last_of(group: np.ndarray) -> np.ndarray:
+    """Places at which an ascending group number ends."""
+    return np.flatnonzero(np.append(group[1:] != group[:-1], True))
+
+
+def _stars(leader: np.ndarray, member: np.ndarray) -> np.ndarray:
+    """STAR rows; ``tried`` is 0 where sizes or places do not allow the pair, which is then never searched."""
+    out = np.empty(len(leader), STAR)
+    out["leader"], out["node"], out["ln"], out["n"], out["pop"] = leader["node"], member["node"], leader["n"], member["n"], leader["pop"]
+    out["tried"] = _may_link(leader["n"].astype(np.int64), leader["at"], member["n"].astype(np.int64), member["at"])
+    return out[out["leader"] != out["node"]]
+
+
+def _leaders(rows: np.ndarray, group: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(STAR rows, places in ``rows`` of all leaders) of whole lists.
+
+    The member of the commonest shingles leads the list. Members that cannot link with it have a leader for each band of
+    sizes. Pairs that connect the leaders of neighbouring bands, or of a band and the list, are rows as well: if both
+    nodes of every row of a list are in one component, so are both nodes of every pair that the list allows.
+    """
+    order = np.lexsort((rows["node"], rows["pop"], group))
+    last = order[_last_of(group[order])]
+    lead = np.zeros(group.max() + 1, np.int64)
+    lead[group[last]] = last
+    n, leader = rows["n"].astype(np.int64), rows[lead[group]]
+    on = _may_link(leader["n"].astype(np.int64), leader["at"], n, rows["at"])
+    stars = [_stars(leader[on], rows[on])]
+    own = on | (rows["node"] == leader["node"])
+    rest = np.flatnonzero(~own & live[group])
+    if not len(rest):
+        return np.unique(stars[0]), last
+    low, high = np.full(len(lead), np.iinfo(np.int64).max), np.zeros(len(lead), np.int64)  # sizes that the list's leader stands for
+    np.minimum.at(low, group[own], n[own])
+    np.maximum.at(high, group[own], n[own])
+    band = np.searchsorted(BANDS, n[rest], "right")
+    rest = rest[order := np.lexsort((rows["node"][rest], rows["pop"][rest], band, group[rest]))]
+    key = (group[rest] << 8) + band[order]
+    ends = _last_of(key)
+    starts = np.append(0, ends[:-1] + 1)
+    heads = rest[ends]
+    stars.append(_stars(rows[np.repeat(heads, ends - starts + 1)], rows[rest]))
+    least, most = np.minimum.reduceat(n[rest], starts), np.maximum.reduceat(n[rest], starts)
+    near = (4 * least <= 5 * high[group[heads]]) & (5 * most >= 4 * low[group[heads]])
+    stars.append(_stars(leader[heads[near]], rows[heads[near]]))
+    near = np.flatnonzero((key[ends][1:] == key[ends][:-1] + 1) & (4 * least[1:] <= 5 * most[:-1]))
+    x, y = rows[heads[near]], rows[heads[near + 1]]
+    first = (x["pop"] > y["pop"]) | ((x["pop"] == y["pop"]) & (x["node"] > y["node"]))
+    stars.append(_stars(np.where(first, x, y), np.where(first, y, x)))
+    return np.unique(np.concatenate(stars)), np.concatenate([last, heads])
+
+
 def lists_with_leaders(dealt: DataFrame, listed: tuple[np.ndarray, np.ndarray], parts: int) -> DataFrame:
-    """Rows (kind, part, packed) from whole parts of lists: kind 0, STAR rows (best leader of each node in this task and
-    every other pair of leader and member); kind 1, postings of lists with two members or more; kind 2, postings of the
-    leaders of salted lists."""
+    """Rows (kind, part, packed) from whole parts of lists: kind 0, STAR rows; kind 1, postings of lists that allow a pair
+    and of salted lists; kind 2, postings of the leaders of salted lists."""
     shared = dealt.sparkSession.sparkContext.broadcast(listed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,19 +334,12 @@ def lists_with_leaders(dealt: DataFrame, listed: tuple[np.ndarray, np.ndarray],
             got, group, salted = got[keep], group[keep], salted[keep]
         if not len(got):
             return
-        order = np.lexsort((got["node"], got["pop"], group))
-        last = np.flatnonzero(np.append(group[order][1:] != group[order][:-1], True))
-        lead = np.zeros(group.max() + 1, np.int64)
-        lead[group[order[last]]] = order[last]
-        leader = got[lead[group]]
-        on = (leader["node"] != got["node"]) & _may_link(leader["n"].astype(np.int64), leader["at"], got["n"].astype(np.int64), got["at"])
-        star = np.empty(int(on.sum()), STAR)
-        star["leader"], star["node"], star["ln"], star["n"] = leader["node"][on], got["node"][on], leader["n"][on], got["n"][on]
-        star["pop"] = leader["pop"][on]
-        star = np.unique(star)
+        live = _live_lists(got, group)
+        star, lead = _leaders(got, group, live)
         rows = [(0, 0, star.tobytes())] if len(star) else []
+        tops = np.unique(got[lead[salted[lead]]])
+        got = got[live[group] | salted]
         rows += [(1, 0, got[k:k + (1 << 18)].tobytes()) for k in range(0, len(got), 1 << 18)]
-        tops = np.unique(got[lead[np.unique(group[salted])]]) if salted.any() else got[:0]
         rows += [(2, p, b) for p, b in _deal((mix(tops["h"]) % U64(parts)).astype(int), tops, parts)]
         yield _batch(rows, ["kind", "part", "packed"], [pa.int32(), pa.int32(), pa.binary()])
 
@@ -292,10 +357,9 @@ def unpack_stars(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for v in batch.column(0):
                 got = np.frombuffer(v.as_buffer(), STAR)
-                yield pa.RecordBatch.from_arrays([pa.array(got[c].astype(np.int64)) for c in ("leader", "node", "ln", "n", "pop")],
-                                                 names=["leader", "node", "ln", "n", "pop"])
+                yield pa.RecordBatch.from_arrays([pa.array(got[c].astype(np.int64)) for c in STAR.names], names=list(STAR.names))
 
-    return arrow_map(rows.select("packed"), run, "leader long, node long, ln long, n long, pop long")
+    return arrow_map(rows.select("packed"), run, "leader long, node long, ln long, n long, pop long, tried long")
 
 
 class Bloom:
@@ -467,8 +531,8 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str,
 def open_pairs(kept: DataFrame, stars: DataFrame, comps: DataFrame, listed: tuple[np.ndarray, np.ndarray], parts: int) -> DataFrame:
     """Pairs (a < b) of members of different components that a list brings together and sizes and places allow.
 
-    A list whose members are all in its leader's component needs no more; the others are known by the pairs of leader
-    and member that ended in different components. Parts of a salted list are dealt pairwise, so no task holds a list.
+    A list whose STAR rows, tried or not, each join nodes of one component needs no more; the others are known by the
+    rows whose nodes ended in different components. Parts of a salted list are dealt pairwise, so no task holds a list.
     """
     label = comps.select("node", "comp")
     split = stars.join(label, "node", "left").withColumn("c1", F.coalesce("comp", "node")).drop("comp") \
@@ -567,7 +631,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     dealt = saved(lists_with_leaders(postings(docs, text_col, listed, parts), listed, parts))
     salted = saved(leaders_of_salted(dealt.filter("kind = 2").select("part", "packed"), parts))
     stars = saved(unpack_stars(dealt.filter("kind = 0").unionByName(salted)).distinct())
-    best = stars.groupBy("node").agg(F.max(F.struct("pop", "leader")).alias("m")).select(F.col("m.leader").alias("a"), F.col("node").alias("b"))
+    best = stars.filter("tried = 1").groupBy("node").agg(F.max(F.struct("pop", "leader")).alias("m")).select(F.col("m.leader").alias("a"), F.col("node").alias("b"))
     links = saved(verified(saved(best), docs, nodes, text_col, id_col, parts))
     comps = components(links)
     more = saved(open_pairs(dealt.filter("kind = 1"), stars, comps, listed, parts)
