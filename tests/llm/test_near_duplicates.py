@@ -118,6 +118,23 @@ def test_stars_connect_every_pair_that_a_list_allows():
         assert all(root[x] == root[y] for x, y in zip(node[a[allowed]], node[b[allowed]], strict=True))
 
 
+def test_packed_values_hold_whole_lists(frame, monkeypatch):
+    """Short near copies, which share one list or two, packed into values of one row where lists allow."""
+    monkeypatch.setattr(N, "PACKED_ROWS", 1)
+    rng = random.Random(8)
+    docs = []
+    for k in range(150):
+        words = [f"t{k}x{i}" for i in range(rng.randrange(9, 14))]
+        docs += [" ".join(t) for t in (words, ["f", *words[1:]], [*words[:-1], "b"])]
+    docs = list(enumerate(docs, 1))
+    assert result(N.near_duplicates(frame(docs))) == brute(docs)
+    for _ in range(200):
+        group = np.repeat(np.arange(7) * 2, rng.randrange(1, 6))[rng.randrange(3):]
+        cuts = N._cuts(group, size := rng.randrange(1, 9))
+        assert [i for i, _ in cuts] + [len(group)] == [0] + [j for _, j in cuts]
+        assert all(group[j - 1] != group[j] for _, j in cuts[:-1]) and all(j - i < size + 6 for i, j in cuts)
+
+
 def test_divide_skip_counts_like_a_plain_merge():
     rng = random.Random(4)
     for _ in range(200):

@@ -42,6 +42,8 @@ SHINGLE = 5
 SUMMARY, LISTED, LEAST_COUNT = 1 << 17, 1 << 20, 4
 #: Members of a part of a salted list, about; candidates searched together.
 PART_ROWS, BLOCK = 50_000, 128
+#: Postings of a packed value, about; a list is never cut.
+PACKED_ROWS = 1 << 18
 BLOOM_BITS = 1 << 26
 #: Dropped rows whose keys may be broadcast; more are joined.
 BROADCAST_ROWS = 1_000_000
@@ -260,6 +262,15 @@ def _last_of(group: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.append(group[1:] != group[:-1], True))
 
 
+def _cuts(group: np.ndarray, size: int) -> list[tuple[int, int]]:
+    """Bounds of runs of whole groups, of about ``size`` rows each."""
+    if not len(group):
+        return []
+    ends = _last_of(group) + 1
+    ends = np.unique(ends[np.searchsorted(ends, np.minimum(np.arange(size, len(group) + size, size), len(group)))])
+    return list(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True))
+
+
 def _stars(leader: np.ndarray, member: np.ndarray) -> np.ndarray:
     """STAR rows; ``tried`` is 0 where sizes or places do not allow the pair, which is then never searched."""
     out = np.empty(len(leader), STAR)
@@ -338,8 +349,9 @@ def lists_with_leaders(dealt: DataFrame, listed: tuple[np.ndarray, np.ndarray],
         star, lead = _leaders(got, group, live)
         rows = [(0, 0, star.tobytes())] if len(star) else []
         tops = np.unique(got[lead[salted[lead]]])
-        got = got[live[group] | salted]
-        rows += [(1, 0, got[k:k + (1 << 18)].tobytes()) for k in range(0, len(got), 1 << 18)]
+        on = live[group] | salted
+        got, group = got[on], group[on]
+        rows += [(1, 0, got[i:j].tobytes()) for i, j in _cuts(group, PACKED_ROWS)]
         rows += [(2, p, b) for p, b in _deal((mix(tops["h"]) % U64(parts)).astype(int), tops, parts)]
         yield _batch(rows, ["kind", "part", "packed"], [pa.int32(), pa.int32(), pa.binary()])
 
