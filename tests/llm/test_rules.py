@@ -96,6 +96,19 @@ def test_outlier_edges(edge_docs, empty_docs):
     assert outliers.robust_outliers(empty_docs).count() == 0
 
 
+def test_small_sources_have_their_own_estimate(frame):
+    """Texts on one line are kept in a source of any size, and a bad text among them is not."""
+    rng = random.Random(2)
+    prose = lambda n, line: "".join(rng.choice("abcdefgh") * rng.randrange(1, 4) + rng.choice("xyz") + str(rng.randrange(50)) + ("\n" if k % line == line - 1 else " ") for k in range(n))
+    rows = [(k, prose(rng.randrange(60, 200), rng.randrange(8, 14)), "en", "wrapped") for k in range(600)]
+    for size in (1, 2, 5, 6, 30, 60):
+        rows += [(1000 * (size + 1) + k, prose(rng.randrange(900, 1100), 10_000), "en", f"one-line {size}") for k in range(size)]
+    rows += [(1, "### $$ %% && ** || << >> " * 2 + " ".join(f"#{k}$%&" for k in range(400)), "en", f"one-line {size}") for size in (30, 60)]
+    got = outliers.robust_outliers(frame(rows)).collect()
+    assert [r.kept for r in got if r.doc_id == 1 and r.n_words > 400] == [False] * 2
+    assert all(r.kept for r in got if r.doc_id >= 2000)
+
+
 def test_chi_square_quantiles():
     assert abs(outliers.chi2_quantile(0.05, 5) - 11.0705) < 1e-3 and abs(outliers.chi2_quantile(0.001, 5) - 20.515) < 1e-3
 

@@ -2,7 +2,10 @@
 
 Every text gives a vector of transformed statistics. For each (lang, source) a minimum covariance determinant
 estimate is found by concentration steps run as Spark aggregations over all rows: distances under the
-current estimate, the quantile of them that holds the core share, then mean and covariance of the core.
+current estimate, the quantile of them that holds the core share, then mean and covariance of the core. Moments of
+the core of all rows, with the weight of a few rows, are added to those of each group, so that the estimate of a group
+goes over smoothly from that of all rows to its own, at any size. As they widen the spread along the way from the
+group to all rows, a text at the centre of a group of n has a squared distance of about PRIOR_ROWS / n at most.
 A text whose Mahalanobis distance exceeds a chi-square quantile is rejected.
 
 The text is read once; the vectors (a few numbers for each row) are written to the shared folder and every
@@ -32,8 +35,8 @@ P = len(FEATURES)
 CORE, STEPS = 0.75, 6
 FLOOR = (0.12, 0.04, 0.1, 0.05, 0.2)
 CUTOFF_P = 1e-8
-#: A group with fewer rows than this is judged by the estimate of all rows.
-MIN_GROUP = 50 * P
+#: Rows of the core of all rows that each group's core is joined by, as a weight.
+PRIOR_ROWS = P
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in SYMBOLS]] = True
@@ -143,21 +146,29 @@ def _sums(where: Column | None = None) -> list:
 EST = T.ArrayType(T.DoubleType(), False)
 
 
-def _estimates(sums: DataFrame, keys: list[str], scale: float) -> DataFrame:
-    """Mean and inverse covariance (row by row, in one array) of each group from its sums."""
+def moments(est: list[float], scale: float) -> tuple[np.ndarray, np.ndarray]:
+    """Mean of the features and of their products in the core that an estimate was made from."""
+    mean = np.array(est[:P])
+    cov = (np.linalg.inv(np.array(est[P:]).reshape(P, P)) - np.diag(np.array(FLOOR) ** 2)) / scale
+    return mean, cov + np.outer(mean, mean)
+
+
+def _estimates(sums: DataFrame, keys: list[str], scale: float, prior: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """Mean and inverse covariance (row by row, in one array) of each group from its sums and PRIOR_ROWS of ``prior``."""
     floor = np.array(FLOOR)
+    more, (first, second) = (0, (np.zeros(P), np.zeros((P, P)))) if prior is None else (PRIOR_ROWS, prior)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cols = {n: np.array(batch.column(n).to_pylist(), float) for n in batch.schema.names if n not in keys}
             out = []
             for i in range(batch.num_rows):
-                n = max(cols["n"][i], 1.0)
-                mean = np.array([cols[f"s{k}"][i] for k in range(P)]) / n
+                n = max(cols["n"][i] + more, 1.0)
+                mean = (np.array([cols[f"s{k}"][i] for k in range(P)]) + more * first) / n
                 cov = np.empty((P, P))
                 for a in range(P):
                     for b in range(a, P):
-                        cov[a, b] = cov[b, a] = cols[f"q{a}_{b}"][i] / n - mean[a] * mean[b]
+                        cov[a, b] = cov[b, a] = (cols[f"q{a}_{b}"][i] + more * second[a, b]) / n - mean[a] * mean[b]
                 cov = cov * scale + np.diag(floor ** 2)
                 out.append([*mean.tolist(), *np.linalg.inv(cov).ravel().tolist()])
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), pa.array(cols["n"].astype(np.int64)), pa.array(out, pa.list_(pa.field("element", pa.float64(), False)))],
@@ -173,7 +184,7 @@ def distance(est: Column) -> Column:
     return sum((d[a] * d[b] * est[P + a * P + b] for a in range(P) for b in range(P)), F.lit(0.0))
 
 
-def mcd(vectors: DataFrame, group: str | None) -> DataFrame:
+def mcd(vectors: DataFrame, group: str | None, prior: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
     """Concentration steps from the coordinate-wise median and spread; one row (group, n, est) for each group."""
     keys = [group] if group else []
     mid = [F.percentile_approx(f"x{k}", [0.5], 10_000)[0].alias(f"m{k}") for k in range(P)]
@@ -189,7 +200,7 @@ def mcd(vectors: DataFrame, group: str | None) -> DataFrame:
         cut = near.groupBy(*keys).agg(F.percentile_approx("d", F.lit(CORE), 10_000).alias("cut"))
         core = with_estimate(near.drop("est", "n"), cut, keys)
         sums = core.groupBy(*keys).agg(*_sums(F.col("d") <= F.col("cut")))
-        est = _estimates(sums, keys, consistency(CORE))
+        est = _estimates(sums, keys, consistency(CORE), prior)
     sizes = vectors.groupBy(*keys).agg(F.count("*").alias("n"))
     return saved(est.drop("n").join(sizes, keys)) if keys else saved(est)
 
@@ -208,8 +219,7 @@ def robust_outliers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Base rules reject texts of fewer than 20 words and texts of which over 30 % of the words stand in a repeated
     window. The estimate is made from rows that pass them, the verdict is given to those alone. Null group values
-    form groups of their own. A group of fewer than ``MIN_GROUP`` rows is judged by the estimate of all rows. A null
-    or empty text fails the base rules. Repeated rows each count and get their row. Constant statistics are safe:
+    form groups of their own; a group of any size has its own estimate (see ``PRIOR_ROWS``). A null or empty text fails the base rules. Repeated rows each count and get their row. Constant statistics are safe:
     every variance has a floor. An empty table gives an empty table.
     """
     base = text_statistics(docs, id_col, text_col, group_cols)
@@ -218,9 +228,10 @@ def robust_outliers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = saved(base.select("id", group.alias("grp"), *COUNTS, failed.alias("base_failed"),
                              *(x.cast("double").alias(f"x{k}") for k, x in enumerate(transforms()))))
     vectors = rows.filter(~F.col("base_failed")).select("grp", *(f"x{k}" for k in range(P)))
-    each = mcd(vectors, "grp").filter(F.col("n") >= MIN_GROUP).select("grp", F.col("est").alias("own"))
-    pooled = with_estimate(rows.join(each, "grp", "left"), mcd(vectors, None).select(F.col("est").alias("pooled")), [])
-    judged = pooled.withColumn("distance", F.sqrt(F.greatest(F.lit(0.0), distance(F.coalesce("own", "pooled")))))
+    whole = mcd(vectors, None).first()
+    prior = moments(whole["est"], consistency(CORE)) if whole is not None and whole["n"] else None
+    each = mcd(vectors, "grp", prior).select("grp", "est")
+    judged = rows.join(each, "grp", "left").withColumn("distance", F.sqrt(F.greatest(F.lit(0.0), distance(F.col("est")))))
     keep = ~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= chi2_quantile(cutoff_p, P) ** 0.5)
     return judged.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", keep.alias("kept"), "distance")
