@@ -183,3 +183,16 @@ def test_edges(edge_docs, empty_docs):
     assert kept.columns == edge_docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 4, 5, 6, 7]
     assert N.one_of_each(empty_docs).count() == 0
+
+
+def test_near_copies_with_null_ids(frame):
+    """A null id takes part in links: near copies of a row with an id, and of each other."""
+    rng = random.Random(9)
+    one, two = ([rng.choice("abcdefgh") + str(rng.randrange(500)) for _ in range(60)] for _ in range(2))
+    docs = frame([(5, " ".join(one)), (None, " ".join([*one, "end"])), (None, " ".join(["start", *one])),
+                  (None, " ".join(two)), (None, " ".join([*two, "end"])), (8, " ".join(reversed(one)))])
+    rows = N.near_duplicates(docs).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in rows), key=str) == sorted([(5, 5), (None, 5), (None, 5), (None, None), (None, None), (8, 8)], key=str)
+    assert len({r.group for r in rows}) == 3
+    kept = N.one_of_each(docs).collect()
+    assert sorted((r.doc_id for r in kept), key=str) == [5, 8, None]

@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webloom.llm.components import components
@@ -467,20 +467,25 @@ def sketch(members: np.ndarray) -> bytes:
     return np.bincount((members >> U64(56)).astype(np.int64), minlength=256).astype("<u4").tobytes()
 
 
+def _row_hash(ident: Column, text_hash: Column) -> Column:
+    """Number by which a node's document is found again, one for a null id too."""
+    return F.xxhash64(ident, text_hash)
+
+
 def _of_nodes(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str, id_col: str, make) -> DataFrame:
     """(node, made) of each node of ``pairs``, ``make`` applied to its set; other texts are not shingled or shuffled."""
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    bloom = docs.sparkSession.sparkContext.broadcast(bloom_of(nodes.join(wanted, "node").select("rep")))
+    bloom = docs.sparkSession.sparkContext.broadcast(bloom_of(nodes.join(wanted, "node").select("row")))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
-            batch = batch.filter(pa.array(bloom.value.has(ids.fill_null(0).to_numpy())))
+            batch = batch.filter(pa.array(bloom.value.has(batch.column(0).to_numpy())))
             for k in range(0, batch.num_rows, 64):
                 rows = [(digest(m), make(m)) for _, m in shingle_sets(batch.column(1).slice(k, 64))]
                 yield _batch(rows, ["node", "made"], [pa.int64(), pa.binary()])
 
-    got = arrow_map(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), sets, "node long, made binary")
+    text = F.col(text_col).cast("string")
+    got = arrow_map(docs.select(_row_hash(F.col(id_col).cast("long"), F.xxhash64(text)), text), sets, "node long, made binary")
     # dealt by node once: joins by node read the same shuffle
     return got.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("made").alias("made"))
 
@@ -639,7 +644,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = first.filter("packed is null").select("id", "text_hash", "n", "node")
     total = rows.agg(F.sum("n")).first()[0] or 0
     listed = frequent(first.filter("packed is not null"), total, parts)
-    nodes = rows.filter("n > 0").groupBy("node").agg(F.min("id").alias("rep"))
+    nodes = rows.filter("n > 0").groupBy("node").agg(F.min("id").alias("rep"), F.min(_row_hash(F.col("id"), F.col("text_hash"))).alias("row"))
     dealt = saved(lists_with_leaders(postings(docs, text_col, listed, parts), listed, parts))
     salted = saved(leaders_of_salted(dealt.filter("kind = 2").select("part", "packed"), parts))
     stars = saved(unpack_stars(dealt.filter("kind = 0").unionByName(salted)).distinct())
