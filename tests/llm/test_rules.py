@@ -55,6 +55,16 @@ def test_shares_follow_weights():
     assert 1 not in got and abs(got[0] / 9000 - 3 / 9) < 0.03 and abs(got[5] / 9000 - 1 / 9) < 0.02
 
 
+@pytest.mark.parametrize("base", [3, 8, 40])
+def test_growing_on_places_rows_where_it_said(frame, base):
+    docs = frame([(k, "x") for k in range(1500)])
+    at = [{r.doc_id: (r.shard, r.grown_shard) for r in hash_tree.place(docs, n, base=base).collect()} for n in range(base, base + 4)]
+    for n, (now, then) in enumerate(zip(at, at[1:], strict=False), base):
+        assert all(then[k][0] == now[k][1] and then[k][0] in (now[k][0], n) for k in now)
+        assert any(s == n for s, _ in then.values())
+    assert at[0] == {r.doc_id: (r.shard, r.grown_shard) for r in hash_tree.place(docs, base).collect()}
+
+
 def test_shard_edges(edge_docs, empty_docs):
     rows = hash_tree.place(edge_docs, 40).collect()
     assert len(rows) == 10 and {r.size for r in rows if r.doc_id in (2, 3)} == {16}

@@ -89,11 +89,13 @@ def descend(root: Node, key: Column) -> Column:
 
 
 def place(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str = "text",
-          weights: dict[int, float] | None = None, slot_buckets: int | None = None) -> DataFrame:
+          weights: dict[int, float] | None = None, slot_buckets: int | None = None, base: int | None = None) -> DataFrame:
     """One row for each row of ``docs``: id, size, text_crc32, law, shard, slot, grown_shard.
 
     ``size`` is UTF-8 bytes of the text (null: none) plus 16; ``text_crc32`` of a null text is that of empty
-    bytes. ``slot`` numbers the rows of a shard without a gap from 0, by bucket of the id's hash and then by id:
+    bytes. ``base`` is the number of shards that the tree was first laid out for (see ``tree``; by default all): a
+    store that began with 40 shards and has 41 is placed by n_shards=41, base=40, and then each row's shard is the
+    grown_shard of before, at any number of added shards. ``slot`` numbers the rows of a shard without a gap from 0, by bucket of the id's hash and then by id:
     a bucket is one sort of a bounded share of a shard, and the offsets come from a small table of counts,
     so no task sees a whole shard. A null id is a key like any other; repeated rows get the same shard and
     slots of their own. Other columns are not read. An empty table gives an empty table.
@@ -103,8 +105,9 @@ def place(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str
     key = F.col("id")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.octet_length(text).cast("long").alias("n"), F.crc32(F.encode(text, "UTF-8")).alias("crc"))
-    grown = tree(n_shards + 1, weights, base=n_shards)
-    rows = rows.select("id", (F.col("n") + 16).alias("size"), "crc", descend(tree(n_shards, weights), key).alias("shard"),
+    base = n_shards if base is None else base
+    grown = tree(n_shards + 1, weights, base=min(base, n_shards))
+    rows = rows.select("id", (F.col("n") + 16).alias("size"), "crc", descend(tree(n_shards, weights, base), key).alias("shard"),
                        descend(grown, key).alias("grown"),
                        F.pmod(F.xxhash64(F.lit("slot"), key), F.lit(buckets)).cast("int").alias("bucket"))
     counts = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
