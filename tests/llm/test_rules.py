@@ -234,6 +234,17 @@ def test_assign_draws_again_until_distinct(spark, frame):
     assert not {r.made for r in rows} & set(values) and any(r.attempt for r in rows)
 
 
+def test_closed_formats_never_run_out(spark, frame):
+    """Entities that fill a closed format, or leave few surrogates in it."""
+    values = [("ipv4", ".".join(f"{k:04d}")) for k in range(10_000)] + [("email", f"{c}@x.de") for c in "abcdefghijklmnopqrstuvwxyz"]
+    values += [("secret", "-" * 12), ("secret", "_" * 12)] + [("phone", f"{k:05d}") for k in range(0, 100_000, 97)]
+    rows = pii.assign(frame(values, "kind string, value string"), "k").collect()
+    assert sorted((r.kind, r.value) for r in rows) == sorted(values) and len({(r.kind, r.made) for r in rows}) == len(values)
+    assert not {(r.kind, r.made) for r in rows} & set(values)
+    assert all(pii.mentions(f"at {r.made} now")[0][2] == r.kind for r in rows if r.kind in ("ipv4", "email"))
+    assert pii.written("phone", "+1 23 45", "678901") == "+6 78 901"
+
+
 @pytest.mark.parametrize("limit", [pii.BROADCAST_ROWS, 0])
 def test_redrawn_entities_reach_the_texts(spark, frame, monkeypatch, limit):
     monkeypatch.setattr(pii, "BROADCAST_ROWS", limit)

@@ -30,6 +30,8 @@ from webloom.llm.words import free_name
 #: Redrawn entities that may be broadcast; more are joined.
 BROADCAST_ROWS = 50_000
 MAX_ATTEMPTS = 64
+#: Attempts in a closed format; each further run of as many widens it, so that a free surrogate is left.
+CLOSED_ATTEMPTS = 8
 
 # Given names by script and gender; a given name is replaced by another of its list.
 GIVEN = {
@@ -136,8 +138,12 @@ class Draw:
 
 
 def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
-    """The canonical surrogate of a canonical value. Type, length of digits, script and gender are kept."""
+    """The canonical surrogate of a canonical value. Type, length of digits, script and gender are kept.
+
+    From CLOSED_ATTEMPTS on e-mail names, secrets and phone numbers get longer and octets take any number of digits.
+    """
     draw = Draw(key, kind, value, attempt)
+    wider = attempt // CLOSED_ATTEMPTS
     if kind.startswith("given-"):
         # all names of a list move along by one keyed step, so no two meet and none stays
         names = GIVEN[kind[6:]]
@@ -151,17 +157,19 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         names = domain.split(".")
         of_domain = Draw(key, "domain", domain, 0)  # addresses of one domain stay together
         host = ".".join(["".join(of_domain.like(c) for c in label) for label in names[:-1]] + names[-1:])
-        return "".join(draw.like(c) for c in local) + "@" + host
+        return "".join(draw.like(c) for c in local + "a" * wider) + "@" + host
+    if kind == "ipv4" and wider:
+        return ".".join(str(draw.below(256)) for _ in range(4))
     if kind == "ipv4":
         return ".".join(str(1 + draw.below(9) if len(o) == 1 else 10 + draw.below(90) if len(o) == 2 else 100 + draw.below(156)) for o in value.split("."))
     if kind == "secret" and re.fullmatch("[0-9a-f]+|[0-9A-F]+", value):
-        made = "".join("0123456789abcdef"[draw.below(16)] for _ in value)
+        made = "".join("0123456789abcdef"[draw.below(16)] for _ in range(len(value) + wider))
         return made.upper() if value.upper() == value else made
     if kind == "iban":
         return value[:2] + "".join(draw.like(c) for c in value[2:])
-    made = "".join(draw.like(c) for c in value)
+    made = "".join(draw.like(c) for c in value + ("a" if kind == "secret" else "0" if kind == "phone" else "") * wider)
     if kind == "phone" and len(made) > 10:
-        made = value[:len(value) - 10] + made[len(value) - 10:]  # the country stays
+        made = value[:max(0, len(value) - 10)] + made[max(0, len(value) - 10):]  # the country stays
     if kind == "card" and luhn(value):
         made = next(made[:-1] + c for c in "0123456789" if luhn(made[:-1] + c))
     return made
@@ -171,7 +179,7 @@ def written(kind: str, mention: str, made: str) -> str:
     """A canonical surrogate in the format of a mention: its separators and the case of its letters."""
     if kind in ("phone", "card", "ssn"):
         rest = iter(made)
-        return "".join(next(rest) if c.isdigit() else c for c in mention)
+        return "".join(next(rest) if c.isdigit() else c for c in mention) + "".join(rest)
     if kind == "iban":
         rest = iter(made)
         return "".join(c if c == " " else next(rest) for c in mention)
