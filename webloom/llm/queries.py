@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import bpe, decontam, gam, hash_tree, langid, ngram_join, outliers, pii, records, toxicity
+from webloom.llm import audit, bpe, collocations, decontam, gam, hash_tree, langid, ngram_join, outliers, pii, records, toxicity, url_trees
 from webloom.llm.storage import new_folder
 
 
@@ -81,6 +81,25 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
                              outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+#: The rules of the URL query.
+URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
+
+
+def op11_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page URL by the rules, else by boosted trees learned from the URLs that the rules decide."""
+    return url_trees.judge(_table(spark, sf_dir, "pages"), [url_trees.Rule(*r) for r in URL_RULES])
+
+
+def op12_fm_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of two to four words of each language, counted by an FM-index of each shard."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove, in all orders, for each source."""
+    return audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -92,5 +111,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_gam": op8_quality_gam,
     "op9_fair_toxicity": op9_fair_toxicity,
     "op10_bpe_automaton": op10_bpe_automaton,
+    "op11_url_trees": op11_url_trees,
+    "op12_fm_collocations": op12_fm_collocations,
+    "op13_filter_audit": op13_filter_audit,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op12_fm_collocations": collocations.ORACLE_SQL, "op13_filter_audit": audit.ORACLE_SQL}
