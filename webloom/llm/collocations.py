@@ -23,13 +23,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webloom.llm.storage import arrow_map, new_folder
-from webloom.llm.words import _LOWER, U64, Words, free_name, mix, slices, text_bytes
+from webloom.llm.words import _LOWER, U64, Words, mix, slices, text_bytes
 
 #: Words of the longest phrase, least count of a candidate, share of its count that a longer candidate must reach to
 #: replace it (percent), phrases of each language returned.
 DEPTH, LEAST, WITHIN, TOP = 4, 30, 80, 2_000
 #: Words of a shard (about); words beyond its end and before its start that serve as context only.
-SHARD_WORDS, AFTER, BEFORE = 2_000_000, DEPTH, 1
+SHARD_WORDS, AFTER, BEFORE = 400_000, DEPTH, 1
 #: Cells of the counting sketch and of one block of it; one bit a cell is broadcast (16 MB). In a corpus that fills
 #: them all nothing is ruled out early and more phrases are summed; results stay the same.
 CELLS, BLOCK = 1 << 27, 1 << 20
@@ -76,6 +76,8 @@ class FMIndex:
         back = self._transform(text, -1) if both else None
         self.back_sa, self.back_bwt = back if back else (None, None)
         self.offset = np.concatenate([[0], np.cumsum(np.bincount(text))])  # C: rows that begin with a smaller word
+        # rows by (word before, row): where a step to the left takes them; those behind a 0 are left out
+        self.moved = np.argsort((self.bwt << 32) | np.arange(self.n))[self.offset[1]:]
 
     @staticmethod
     def _transform(text: np.ndarray, way: int) -> tuple[np.ndarray, np.ndarray]:
@@ -111,32 +113,34 @@ class FMIndex:
                 lo, hi, back = self._extend_left(lo, hi, back)
 
     def _extend_left(self, lo: np.ndarray, hi: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Intervals of all phrases of one word more before those given."""
+        """Intervals of all phrases of one word more before those given (ascending ``lo``).
+
+        The row with rank k of its word before it goes to row offset + k: ``moved`` lists the rows by where they go,
+        so the rows that one interval and one word have in common lie together there, and begin at offset + Occ.
+        """
         size = hi - lo
-        own = np.repeat(np.arange(len(lo)), size)
-        rows = np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(lo, size)
-        order = np.argsort((own << 32) | self.bwt[rows])  # by interval, then by the word before
-        own, rows, word = own[order], rows[order], self.bwt[rows[order]]
-        if not len(rows):
+        owner = np.full(self.n, -1, np.int32)
+        owner[np.repeat(lo - np.cumsum(size) + size, size) + np.arange(int(size.sum()))] = np.repeat(np.arange(len(lo), dtype=np.int32), size)
+        own = owner[self.moved]
+        at = np.flatnonzero(own >= 0)
+        own, at = own[at], at + self.offset[1]  # rows behind a 0 go to the first rows, which no phrase begins
+        if not len(at):
             return lo[:0], hi[:0], back[:0]
-        new = np.concatenate([[True], (own[1:] != own[:-1]) | (word[1:] != word[:-1])])
-        first = np.flatnonzero(new)
-        count = np.diff(np.append(first, len(rows)))
-        own, word = own[first], word[first]
-        begin = np.cumsum(size) - size
-        back = back[own] + (first - begin[own])  # rows with a smaller word before them come first
-        real = word > 0
-        own, word, count, back = own[real], word[real], count[real], back[real]
-        lo = self.offset[word] + self._rank(word, lo[own])
-        by = np.argsort(lo)
-        return lo[by], (lo + count)[by], back[by]
-
-    def _rank(self, word: np.ndarray, row: np.ndarray) -> np.ndarray:
-        """Occ: how often each word stands in the transform before each row."""
-        if not hasattr(self, "_places"):
-            self._places = np.argsort((self.bwt.astype(np.int64) << 32) | np.arange(self.n))
-            self._keys = (self.bwt[self._places].astype(np.int64) << 32) | self._places
-        return np.searchsorted(self._keys, (word.astype(np.int64) << 32) | row) - self.offset[word]
+        word = self.bwt[self.moved[at - self.offset[1]]]
+        first = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (word[1:] != word[:-1])]))
+        count = np.diff(np.append(first, len(at)))
+        start, own = at[first], own[first]
+        if self.back_sa is None:
+            return start, start + count, start
+        # in the backward interval rows with a smaller word before them come first, and those with none before all
+        by = np.argsort(own, kind="stable")
+        upto = np.cumsum(count[by]) - count[by]
+        opens = np.concatenate([[True], own[by][1:] != own[by][:-1]])
+        inside = upto - upto[opens][np.cumsum(opens) - 1]
+        extended = np.bincount(own, count, len(lo)).astype(np.int64)
+        shift = np.empty(len(own), np.int64)
+        shift[by] = inside
+        return start, start + count, back[own] + (size - extended)[own] + shift
 
 
 class Shard:
