@@ -68,6 +68,10 @@ RESOLVE = [
     ("//[2001:db8::1]/v6", "https://h.test/", "https://[2001:db8::1]/v6"), ("http://[::1]:8080/p", "https://h.test/", "http://[::1]:8080/p"),
     ("HTTP://UP.Test:80/é ü", "https://h.test/", "http://up.test/%C3%A9%20%C3%BC"), ("/a\"<b>`{c}", "https://h.test/", "https://h.test/a%22%3Cb%3E%60%7Bc%7D"),
     ("/x?a='b'&c=\"", "https://h.test/", "https://h.test/x?a=%27b%27&c=%22"), ("\\back\\slash", "https://h.test/", "https://h.test/back/slash"),
+    ("http:/one", "http://h.test/d/x", "http://h.test/one"), ("HTTP:/one", "https://h.test/d/x", "http://one/"), ("http:\\\\two/p", "http://h.test/", "http://two/p"),
+    ("http:///three", "http://h.test/", "http://three/"), ("https:", "https://h.test/d/x?q#f", "https://h.test/d/x?q"), ("https:?z", "https://h.test/d/x?q", "https://h.test/d/x?z"),
+    ("http://h%41.com/%41", "https://h.test/", "http://ha.com/%41"), ("http://a%2Bb.com/", "https://h.test/", "http://a+b.com/"), ("http://a%zz.com/", "https://h.test/", None),
+    ("http://a%2fb.com/", "https://h.test/", None), ("http://a%2541.com/", "https://h.test/", None), ("http://a%.com/", "https://h.test/", None), ("http://%C3%BC.com/", "https://h.test/", "http://ü.com/"),
     ("https://h.test:99999/", "https://h.test/", None), ("", "https://h.test/", None), ("#top", "https://h.test/", None),
     ("tel:+49", "https://h.test/", None), ("ws://h.test/", "https://h.test/", None),
 ]
@@ -131,6 +135,34 @@ def test_host_rules_equal_a_naive_loop(spark):
     assert {h: naive_host(h, RULES) for h in HOSTS} | {"x.wide.test": True} == HOSTS
 
 
+def test_rule_tables_equal_a_naive_loop(spark):
+    df = spark.createDataFrame([(i, h) for i, h in enumerate([*HOSTS, None, " SHOP.test "] * 2)], "id int, host string")
+    for rules in (RULES, "*", "", "a.test,*"):
+        table = H.parsed_rules(spark.createDataFrame([(r,) for r in rules.split(",")], "rule string"))
+        got = H.match_name_table(df, "host", table).collect()
+        assert len(got) == 2 * len(HOSTS) + 4
+        for r in got:
+            assert r.name_match == (naive_host((r.host or "").strip().lower(), rules) if rules else False), (r.host, rules)
+    ips = spark.createDataFrame([(i, ip) for i, ip in enumerate([*IPS, None] * 2)], "id int, ip string")
+    table = H.parsed_rules(spark.createDataFrame([(r,) for r in (RULES + ",192.0.2.9/32,10.0.0.0/7").split(",")], "rule string"))
+    got = {(r.ip, r.cidr_match, r.cidr_bits) for r in H.match_cidr_table(ips, "ip", table).collect()}
+    want = {ip: max([b for b, ok in ((16, ip == "10.20.30.40"), (31, ip == "192.0.2.9"), (32, ip == "192.0.2.9"), (7, ip in ("10.20.30.40", "10.21.0.0"))) if ok], default=None) for ip in IPS}
+    assert got == {(ip, b is not None, b) for ip, b in want.items()} | {(None, False, None)}
+    nothing = table.filter("kind = 'x'")
+    assert {r.cidr_match for r in H.match_cidr_table(ips, "ip", nothing).collect()} == {False} == {r.name_match for r in H.match_name_table(df, "host", nothing).collect()}
+
+
+def test_a_million_rules_meet_distinct_hosts_only(spark):
+    rules = H.parsed_rules(spark.range(1_000_000).select(F.concat(F.lit("d"), F.col("id").cast("string"), F.lit(".test")).alias("rule")))
+    df = spark.range(60_000).select("id", F.when(F.col("id") % 3 == 0, F.lit("www.d77.test")).otherwise(F.concat(F.lit("h."), F.lit("e"), (F.col("id") % 50).cast("string"), F.lit(".test"))).alias("host"))
+    got = H.match_name_table(df, "host", rules)
+    assert {r.host: (r.name_match, r["count(1)"]) for r in got.groupBy("host", "name_match").agg(F.count("*")).collect() if r.name_match} == {"www.d77.test": (True, 20_000)}
+    assert got.count() == 60_000
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    before = plan[plan.index("Generate"):]
+    assert "HashAggregate" in before  # hosts are made distinct below the explode: rows are never exploded
+
+
 def test_networks(spark):
     df = spark.createDataFrame([(i, ip) for i, ip in enumerate(IPS)], "id int, ip string")
     assert {r.ip: r.cidr_match for r in H.match_cidrs(df, "id", "ip", RULES).collect()} == IPS
@@ -210,7 +242,9 @@ def test_size_cap(spark):
 
 DATES = {"Sat, 02 Mar 2024 07:30:00 +0200": "2024-03-02 05:30:00", "2 Mar 24 07:30 EST": "2024-03-02 12:30:00", "Saturday, 02 Mar 2024 07:30:05 GMT": "2024-03-02 07:30:05",
          "2024-03-02": "2024-03-02 00:00:00", "2024-03-02T07:30:00.250+01:00": "2024-03-02 06:30:00", "2024-03-02T07:30Z": "2024-03-02 07:30:00",
-         "2024-03-02 07:30:00-0330": "2024-03-02 11:00:00", "yesterday": None, "": None}
+         "2024-03-02 07:30:00-0330": "2024-03-02 11:00:00", "yesterday": None, "": None, "10 Jun 99": "1999-06-10 00:00:00", "10 Jun 49 01:02 GMT": "2049-06-10 01:02:00",
+         "10 June 2003": "2003-06-10 00:00:00", "10 Jun 2003": "2003-06-10 00:00:00", "Tue, 1 SEPT 2020 9:05:06 PDT": "2020-09-01 16:05:06", "3 Juneau 2003": None,
+         "5 May 2021 10:00 XYZ": None, "31 Feb 2020 10:00 GMT": None, "2021-13-01": None, "1 Jan 2020  10:00:00": "2020-01-01 10:00:00", None: None}
 
 
 def test_dates(spark):

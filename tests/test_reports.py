@@ -4,18 +4,22 @@ from webloom.operators import reports as R
 
 
 def test_fetch_report(spark):
-    ex = spark.createDataFrame([(1, "https://x.test/", "https://x.test/", 200, "Example", "body text", False)],
+    ex = spark.createDataFrame([(1, "https://x.test/", "https://x.test/", 200, "Example", "body text", False, None),
+                                (2, "ftp://x.test/", None, None, "Example", "body text", False, "unsupported protocol"),
+                                (3, None, None, None, "", "", False, "invalid URL")],
                                "page_id int, url string, final_url string, status int, title string, content string, "
-                               "truncated boolean")
-    assert R.fetch_report(ex).collect()[0].report == "HTTP 200 — title: Example\nbody text"
+                               "truncated boolean, reject_reason string")
+    assert [r.report for r in R.fetch_report(ex).orderBy("page_id").collect()] == [
+        "HTTP 200 — title: Example\nbody text", "not fetched (unsupported protocol): ftp://x.test/", "not fetched (invalid URL)"]
 
 
 def test_links_report(spark):
-    pages = spark.createDataFrame([(1, "https://x.test/"), (2, "https://y.test/")], "page_id int, final_url string")
+    pages = spark.createDataFrame([(1, "u", "https://x.test/", None), (2, "u", "https://y.test/", None), (3, "me@x", None, "invalid URL")],
+                                  "page_id int, url string, final_url string, reason string")
     inv = spark.createDataFrame([(1, 1, "Home", "https://x.test/home")], "page_id int, rank int, text string, href string")
     got = {r.page_id: r.report for r in R.links_report(pages, inv).collect()}
     assert got[1] == "1 link(s) on https://x.test/:\n  1. Home — https://x.test/home"
-    assert got[2] == "no links found on https://y.test/"
+    assert got[2] == "no links found on https://y.test/" and got[3] == "not fetched (invalid URL): me@x"
 
 
 def test_feed_report(spark):

@@ -23,11 +23,6 @@ BLOCK_TAGS = (
 
 HEADING_LEVELS = {"h1": 1, "h2": 2, "h3": 3, "h4": 4, "h5": 5, "h6": 6}
 
-VOID_TAGS = (
-    "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
-    "param", "source", "track", "wbr",
-)
-
 # ---------------------------------------------------------------------------
 # Named entities of page text (case-sensitive names).
 # ---------------------------------------------------------------------------
@@ -79,7 +74,6 @@ FEED_ENTITIES = {
 WS_CLASS = ("\\t\\n\\x0B\\f\\r \\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}"
             "\\x{202F}\\x{205F}\\x{3000}\\x{FEFF}")
 WS = "[" + WS_CLASS + "]"
-NOT_WS = "[^" + WS_CLASS + "]"
 
 # comment | tag | text run, in document order
 TOKEN_RE = r"<!--[\s\S]*?-->|<[^>]*>|[^<]+"

@@ -60,6 +60,12 @@ def remove_dot_segments(path) -> Column:
     return F.when(p.rlike(DOT_SEG_RE), out).otherwise(p)
 
 
+def decoded_host(host: Column) -> Column:
+    """Percent-decoded host. One with a bad escape stays as it is, so its ``%`` is found by the test of characters."""
+    plain = F.try_url_decode(F.replace(host, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(host, F.lit("%")) & ~host.startswith("["), F.coalesce(plain, host)).otherwise(host)
+
+
 def with_parsed_url(df: DataFrame, src: str, p: str) -> DataFrame:
     """Add ``{p}_scheme, {p}_user, {p}_pass, {p}_host, {p}_ok, {p}_url`` for absolute URL text in ``src``.
 
@@ -79,7 +85,7 @@ def with_parsed_url(df: DataFrame, src: str, p: str) -> DataFrame:
     df = df.withColumns({
         f"{p}_user": F.regexp_extract(userinfo, "^([^:]*)", 1),
         f"{p}_pass": F.regexp_extract(userinfo, "^[^:]*:([\\s\\S]*)$", 1),
-        f"{p}_host": F.lower(F.regexp_extract(hostport, HOST_RE, 1)),
+        f"{p}_host": F.lower(decoded_host(F.regexp_extract(hostport, HOST_RE, 1))),
         f"{p}__port": F.regexp_extract(hostport, PORT_RE, 1),
     })
     host, port, scheme = F.col(f"{p}_host"), F.col(f"{p}__port"), F.col(f"{p}_scheme")
@@ -154,10 +160,10 @@ def resolve(df: DataFrame, href: str, base: str, out: str = "resolved", reason:
     bp = F.when(bp == "", F.lit("/")).otherwise(bp)
     bdir = F.regexp_extract(bp, "^([\\s\\S]*/)", 1)
     hh = F.col("_r_h")
-    # a scheme equal to the base's, without slashes behind it, says nothing: the rest is relative
-    hh = F.when(hh.rlike("^[a-zA-Z]+:[^/\\\\]") & (F.lower(F.substring_index(hh, ":", 1)) == bs),
-                F.substr(hh, F.length(bs) + 2)).otherwise(hh)
-    absu = (F.when(hh.rlike(SCHEME_RE), hh)
+    # a scheme equal to the base's says nothing: the rest is relative, with one slash, two or none
+    hh = F.when(hh.rlike(SCHEME_RE) & (F.lower(F.substring_index(hh, ":", 1)) == bs), F.substr(hh, F.length(bs) + 2)).otherwise(hh)
+    absu = (F.when(hh == "", F.substring_index(b, "#", 1))
+            .when(hh.rlike(SCHEME_RE), hh)
             .when(hh.startswith("#"), F.concat(F.substring_index(b, "#", 1), hh))
             .when(hh.rlike(r"^[/\\][/\\]"), F.concat(bs, F.lit(":"), hh))
             .when(hh.rlike(r"^[/\\]"), F.concat(bs, F.lit("://"), ba, hh))

@@ -141,26 +141,40 @@ ZONES = {"UT": "+0000", "UTC": "+0000", "GMT": "+0000", "Z": "+0000", "EST": "-0
          "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700"}
 
 
+# Months of RFC 822 dates, short or in full.
+MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
+RFC_RE = (r"^([0-9]{1,2}) (" + "|".join(f"{m[:3]}(?:{m[3:]})?" for m in MONTHS) + r"|Sept) ([0-9]{4}|[0-9]{2})"
+          r"(?: ([0-9]{1,2}:[0-9]{2})(:[0-9]{2})?(?: ([A-Za-z]{1,3}|[+-][0-9]{4}))?)?$")
+ISO_RE = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})(?:[Tt ]([0-9]{2}:[0-9]{2})(:[0-9]{2})?(?:[.][0-9]+)?([Zz]|[+-][0-9]{2}:?[0-9]{2})?)?$"
+
+
 def published_utc(published) -> Column:
     """F14 (ours): entry date as 'yyyy-MM-dd HH:mm:ss' UTC, or NULL.
 
-    RFC 822 (weekday dropped, two- or four-digit year, seconds optional, numeric offset or zone name) and ISO 8601
-    (date alone, or with time, optional seconds and fraction, 'Z' or an offset; without one it is UTC).
+    RFC 822 (weekday dropped, month short or in full, two digits of a year from 50 on are 19xx, time and zone may be
+    missing) and ISO 8601 (date alone, or with time, optional seconds and fraction). Without a zone it is UTC.
     """
     c = F.col(published) if isinstance(published, str) else published
-    s = F.trim(F.regexp_replace(c, "^[A-Za-z]{3,9},[ ]*", ""))
-    zone = F.regexp_extract(s, "([A-Za-z]{1,3})$", 1)
-    named = F.element_at(F.create_map(*[F.lit(x) for kv in ZONES.items() for x in kv]), F.upper(zone))
-    rfc = F.when((zone != "") & named.isNotNull(), F.concat(F.regexp_replace(s, "[A-Za-z]{1,3}$", ""), named)).otherwise(s)
-    rfc = F.regexp_replace(rfc, "([0-9]{2}:[0-9]{2}) ", "$1:00 ")
-    rfc = F.regexp_replace(rfc, "([0-9]{2}:[0-9]{2}:[0-9]{2}):00 ", "$1 ")
-    year2 = F.regexp_replace(rfc, "^([0-9]{1,2} [A-Za-z]{3}) ([0-9]{2}) ", "$1 20$2 ")
-    iso = F.regexp_extract(s, "^([0-9]{4}-[0-9]{2}-[0-9]{2})(?:[Tt ]([0-9]{2}:[0-9]{2})(:[0-9]{2})?(?:[.][0-9]+)?([Zz]|[+-][0-9]{2}:?[0-9]{2})?)?$", 0)
-    def part(i):
-        return F.regexp_extract(s, "^([0-9]{4}-[0-9]{2}-[0-9]{2})(?:[Tt ]([0-9]{2}:[0-9]{2})(:[0-9]{2})?(?:[.][0-9]+)?([Zz]|[+-][0-9]{2}:?[0-9]{2})?)?$", i)
-    offset = F.when(part(4).isin("", "Z", "z"), F.lit("+0000")).otherwise(F.replace(part(4), F.lit(":"), F.lit("")))
-    plain = F.concat(part(1), F.lit(" "), F.coalesce(F.nullif(part(2), F.lit("")), F.lit("00:00")),
-                     F.coalesce(F.nullif(part(3), F.lit("")), F.lit(":00")), F.lit(" "), offset)
-    ts = F.when(iso != "", F.try_to_timestamp(plain, F.lit("yyyy-MM-dd HH:mm:ss Z"))).otherwise(
-        F.try_to_timestamp(year2, F.lit("d MMM yyyy HH:mm:ss Z")))
+    s = F.regexp_replace(F.trim(F.regexp_replace(c, "^[A-Za-z]{3,9},[ ]*", "")), " +", " ")
+
+    def known(x, default):
+        return F.when(x == "", F.lit(default)).otherwise(x)
+
+    def mail(p):
+        """Parts day, month, year, clock, seconds, zone -> one form."""
+        year = F.when(F.length(p[2]) == 4, p[2]).otherwise(F.concat(F.when(p[2] >= "50", F.lit("19")).otherwise(F.lit("20")), p[2]))
+        zone = F.when(p[5].rlike("^[+-]"), p[5]).otherwise(F.try_element_at(zones, F.upper(known(p[5], "Z"))))
+        clock = F.concat(F.lpad(known(p[3], "00:00"), 5, "0"), known(p[4], ":00"))
+        return F.concat_ws(" ", p[0], F.initcap(F.substring(p[1], 1, 3)), year, F.concat(clock, F.lit(" "), zone))
+
+    def iso(p):
+        """Parts date, clock, seconds, zone -> one form."""
+        return F.concat(p[0], F.lit(" "), known(p[1], "00:00"), known(p[2], ":00"), F.lit(" "), F.replace(F.upper(known(p[3], "+0000")), F.lit(":"), F.lit("")))
+    zones = F.create_map(*[F.lit(x) for kv in ZONES.items() for x in kv])
+    is_iso, is_mail = s.rlike(ISO_RE), s.rlike("(?i)" + RFC_RE)
+    # one match gives all parts; the one-element arrays bind them, so that no pattern is run for each use
+    parts = F.split(F.when(is_iso, F.regexp_replace(s, ISO_RE, "$1|$2|$3|$4")).when(is_mail, F.regexp_replace(s, "(?i)" + RFC_RE, "$1|$2|$3|$4|$5|$6")), "[|]", -1)
+    form = F.get(F.transform(F.array(parts), lambda p: F.when(F.size(p) == 4, iso(p)).otherwise(mail(p))), F.lit(0))
+    ts = F.when(is_iso, F.try_to_timestamp(F.regexp_replace(form, "Z$", "+0000"), F.lit("yyyy-MM-dd HH:mm:ss Z"))) \
+        .when(is_mail, F.try_to_timestamp(form, F.lit("d MMM yyyy HH:mm:ss Z")))
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")

@@ -1,9 +1,9 @@
 """Host rules (NO_PROXY semantics), CIDR membership, route assignment.
 
-The rule list is a job option (a comma-separated string); Spark splits it into
-a small rule table. Each row tests its own keys -- the exact host and every
-dot-suffix, or its address masked to each prefix length -- against the listed
-ones: no join, no shuffle.
+Two ways in. A short rule list is a job option (a comma-separated string): Spark splits it into a small rule table and
+each row tests its own keys against the listed ones, without join or shuffle. A rule *table* of any size is joined:
+only distinct hosts (addresses) meet the rules, by equality of their keys -- the exact host and every dot-suffix, or
+the address masked to each prefix length that occurs -- and what they match goes back to the rows by host (address).
 """
 
 from __future__ import annotations
@@ -23,13 +23,18 @@ IPV4_RE = r"^([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})$"
 
 
 def rule_table(spark: SparkSession, rules: str) -> DataFrame:
-    """The rule string as rows ``(kind, key, bits, net)``: kind 'all', 'exact', 'suffix' or 'cidr'.
+    """The rule string as rows ``(kind, key, bits, net)``, see :func:`parsed_rules`."""
+    one = spark.createDataFrame([(rules,)], "rules string")
+    return parsed_rules(one.select(F.explode(F.split("rules", ",")).alias("rule")))
+
+
+def parsed_rules(rules: DataFrame) -> DataFrame:
+    """``rules(rule)`` as distinct rows ``(kind, key, bits, net)``: kind 'all', 'exact', 'suffix' or 'cidr'.
 
-    Column expressions over the split entries: a port is cut off, ``*.`` stands for a leading dot, a plain name is
-    an exact and a suffix rule, an entry with a slash is a network or, where it is no valid one, nothing.
+    A port is cut off, ``*.`` stands for a leading dot, a plain name is an exact and a suffix rule, an entry with a
+    slash is a network or, where it is no valid one, nothing.
     """
-    one = spark.createDataFrame([(rules,)], "rules string")
-    entry = one.select(F.explode(F.split("rules", ",")).alias("e")).select(F.lower(js_trim("e")).alias("e")).filter("e <> ''")
+    entry = rules.select(F.lower(js_trim("rule")).alias("e")).filter("e <> ''")
     name = F.regexp_replace(F.regexp_replace("e", r"^(\[[^\]]+\]|[^:]+):[0-9]+$", "$1"), r"^\*\.", ".")
     parts = entry.select("e", name.alias("name"), F.substring_index("e", "/", 1).alias("base"),
                          js_trim(F.regexp_extract("e", "/([^:]*)", 1)).alias("length"))
@@ -96,6 +101,55 @@ def match_cidrs(df: DataFrame, id_col: str, ip_col: str, no_proxy: str) -> DataF
     return df.withColumn("cidr_match", F.coalesce(hit, F.lit(False)))
 
 
+def _holds_all(rules: DataFrame) -> bool:
+    return not rules.filter("kind = 'all'").limit(1).isEmpty()
+
+
+def match_name_table(df: DataFrame, host_col: str, rules: DataFrame) -> DataFrame:
+    """J1 for a rule table: ``df`` + ``name_match`` and ``name_rules`` (how many distinct rule keys the host matches).
+
+    ``rules``: rows of :func:`parsed_rules`, of any number. Each distinct host is exploded into its keys (as many as
+    it has labels) and joined by equality; rows never are. A host that a third of all rows share is one row of that
+    join, and a skewed key of the join back, which AQE splits on the side of the rows.
+    """
+    if _holds_all(rules):
+        return df.withColumns({"name_match": F.lit(True), "name_rules": F.lit(None).cast("bigint")})
+    host = F.lower(js_trim(F.col(host_col)))
+    hosts = df.select(host.alias("_host")).filter("_host <> ''").distinct()
+    keys = hosts.select("_host", F.explode(host_keys(F.col("_host"))).alias("k")).select("_host", "k.kind", "k.key")
+    named = rules.filter("kind in ('exact', 'suffix')").select("kind", "key")
+    hits = keys.join(named, ["kind", "key"]).groupBy("_host").agg(F.count("*").alias("name_rules"))
+    out = df.withColumn("_host", host).join(hits, "_host", "left").drop("_host")
+    return out.withColumns({"name_match": F.col("name_rules").isNotNull(), "name_rules": F.coalesce("name_rules", F.lit(0).cast("bigint"))})
+
+
+#: Prefixes up to this length are at most 2^(n + 1) - 1 networks, a bound small enough to broadcast; an address meets
+#: all others by a join on (bits, masked address), where no key is shared by more than 2^(31 - n) addresses.
+WIDE_BITS = 12
+
+
+def match_cidr_table(df: DataFrame, ip_col: str, rules: DataFrame) -> DataFrame:
+    """J2 for a rule table: ``df`` + ``cidr_match`` and ``cidr_bits`` (length of the longest network that holds it)."""
+    if _holds_all(rules):
+        return df.withColumns({"cidr_match": F.lit(True), "cidr_bits": F.lit(None).cast("int")})
+    nets = rules.filter("kind = 'cidr'").select("bits", "net").distinct()
+    lengths = sorted(r.bits for r in nets.select("bits").distinct().collect())  # 33 at most
+    ips = df.select(ipv4_int(F.col(ip_col)).alias("_ip")).filter("_ip is not null").distinct()
+    parts = []
+    for of_table in ([b for b in lengths if b <= WIDE_BITS], [b for b in lengths if b > WIDE_BITS]):
+        if of_table:
+            own = nets.filter(F.col("bits").isin(of_table))
+            keys = ips.select("_ip", F.explode(F.array(*[F.lit(b) for b in of_table])).alias("bits")) \
+                .withColumn("net", F.expr("shiftleft(shiftright(_ip, 32 - bits), 32 - bits)"))
+            parts.append(keys.join(F.broadcast(own) if max(of_table) <= WIDE_BITS else own, ["bits", "net"]).select("_ip", "bits"))
+    if not parts:
+        return df.withColumns({"cidr_match": F.lit(False), "cidr_bits": F.lit(None).cast("int")})
+    hits = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    hits = hits.groupBy("_ip").agg(F.max("bits").alias("cidr_bits"))
+    out = df.withColumn("_ip", ipv4_int(F.col(ip_col))).join(hits, "_ip", "left").drop("_ip")
+    return out.withColumn("cidr_match", F.col("cidr_bits").isNotNull())
+
+
 def route(scheme: Column, bypass: Column, http_proxy: str, https_proxy: str) -> Column:
     """J3: 'direct', 'proxy <url>' or an error for a non-http proxy URL."""
     def target(p: str) -> Column:

@@ -14,8 +14,13 @@ def fetch_report(ex: DataFrame) -> DataFrame:
     redirect = F.when(F.col("url") != F.col("final_url"),
                       F.concat(F.lit(" (redirected from "), F.col("url"), F.lit(")"))).otherwise(F.lit(""))
     note = F.when(F.col("truncated"), F.lit(TRUNCATED_PAGE_NOTE)).otherwise(F.lit(""))
-    return ex.select("page_id", F.concat(F.lit("HTTP "), F.col("status").cast("string"), redirect, F.lit(" — "),
-                                         header, F.lit("\n"), F.col("content"), note).alias("report"))
+    report = F.concat(F.lit("HTTP "), F.col("status").cast("string"), redirect, F.lit(" — "), header, F.lit("\n"), F.col("content"), note)
+    return ex.select("page_id", F.coalesce(report, _not_fetched(F.col("reject_reason"), F.col("url"))).alias("report"))
+
+
+def _not_fetched(reason, url):
+    """What stands for a page whose URL the gate rejects."""
+    return F.concat(F.lit("not fetched ("), reason, F.lit(")"), F.coalesce(F.concat(F.lit(": "), url), F.lit("")))
 
 
 def links_report(pages: DataFrame, inv: DataFrame) -> DataFrame:
@@ -25,9 +30,10 @@ def links_report(pages: DataFrame, inv: DataFrame) -> DataFrame:
                     .otherwise(F.concat(F.col("text"), F.lit(" — "), F.col("href"))))
     per = inv.groupBy("page_id").agg(F.count("*").alias("n"),
                                      F.array_sort(F.collect_list(F.struct("rank", line.alias("line")))).alias("ls"))
-    j = pages.select("page_id", "final_url").join(per, "page_id", "left")
+    j = pages.select("page_id", "url", "final_url", "reason").join(per, "page_id", "left")
     body = F.array_join(F.transform("ls", lambda x: x["line"]), "\n")
-    return j.select("page_id", F.when(F.col("n").isNull(), F.concat(F.lit("no links found on "), F.col("final_url")))
+    return j.select("page_id", F.when(F.col("final_url").isNull(), _not_fetched(F.col("reason"), F.col("url")))
+                    .when(F.col("n").isNull(), F.concat(F.lit("no links found on "), F.col("final_url")))
                     .otherwise(F.concat(F.col("n").cast("string"), F.lit(" link(s) on "), F.col("final_url"),
                                         F.lit(":\n"), body)).alias("report"))
 

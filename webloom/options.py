@@ -18,7 +18,6 @@ FEED_MAX_ITEMS = (10, 1, 50)
 SUMMARY_CAP = 500
 CONTENT_CAP = 2_000
 SNIFF_BYTES = 2_048
-HEAD_LIMIT_BYTES = 64_000
 
 
 def clamp(value: int | None, spec: tuple[int, int, int]) -> int:

@@ -194,7 +194,7 @@ def fetch_report_job(spark, sf_dir):
 @job("links_report")
 def links_report_job(spark, sf_dir):
     """Numbered link listing per page ('no links found' for pages without)."""
-    pg = L.gated_pages(spark, sf_dir)
+    pg = L.all_pages(spark, sf_dir)
     return R.links_report(pg, L.inventory(L.resolved_links(spark, sf_dir), limit=None))
 
 
@@ -358,6 +358,20 @@ def cidr_match_job(spark, sf_dir):
     return H.match_cidrs(ips, "event_id", "ip", H.DEFAULT_NO_PROXY).select("event_id", "ip", "cidr_match")
 
 
+@job("host_rule_table")
+def host_rule_table_job(spark, sf_dir):
+    """J1 with a rule table: page hosts joined with the rules by exact and suffix keys."""
+    rules = H.parsed_rules(tables.host_rules(spark, sf_dir))
+    return H.match_name_table(_page_hosts(spark, sf_dir), "host", rules).select("page_id", "host", F.col("name_match").alias("bypass"), "name_rules")
+
+
+@job("cidr_rule_table")
+def cidr_rule_table_job(spark, sf_dir):
+    """J2 with a rule table: addresses joined with the networks by (bits, masked address)."""
+    rules = H.parsed_rules(tables.host_rules(spark, sf_dir))
+    return H.match_cidr_table(tables.host_ips(spark, sf_dir), "ip", rules).select("event_id", "ip", "cidr_match", "cidr_bits")
+
+
 @job("route_assign")
 def route_assign_job(spark, sf_dir):
     """Route per page URL (bypass -> direct, else the scheme's proxy), counted."""

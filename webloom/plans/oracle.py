@@ -178,10 +178,10 @@ SELECT * FROM pe
 
 sql("fetch_report", f"""
 WITH {PAGE_EXTRACT}
-SELECT page_id, 'HTTP ' || CAST(status AS VARCHAR)
+SELECT page_id, CASE WHEN final_url IS NULL THEN 'not fetched (' || reject_reason || ')' || coalesce(': ' || url, '') ELSE 'HTTP ' || CAST(status AS VARCHAR)
   || CASE WHEN url <> final_url THEN ' (redirected from ' || url || ')' ELSE '' END || ' — '
   || CASE WHEN title <> '' THEN 'title: ' || title ELSE '(no title)' END || chr(10) || content
-  || CASE WHEN truncated THEN {q(TRUNCATED_PAGE_NOTE)} ELSE '' END AS report
+  || CASE WHEN truncated THEN {q(TRUNCATED_PAGE_NOTE)} ELSE '' END END AS report
 FROM pe
 """)
 
@@ -190,10 +190,11 @@ WITH {INVENTORY},
 per AS (SELECT page_id, count(*) AS n,
   list_sort(list(struct_pack(rank := rank, line := '  ' || CAST(rank AS VARCHAR) || '. ' ||
     CASE WHEN text = '' THEN href ELSE text || ' — ' || href END))) AS ls FROM inv GROUP BY page_id)
-SELECT gp.page_id, CASE WHEN n IS NULL THEN 'no links found on ' || final_url
+SELECT pgg.page_id, CASE WHEN final_url IS NULL THEN 'not fetched (' || reason || ')' || coalesce(': ' || url, '')
+  WHEN n IS NULL THEN 'no links found on ' || final_url
   ELSE CAST(n AS VARCHAR) || ' link(s) on ' || final_url || ':' || chr(10)
     || array_to_string(list_transform(ls, lambda x: x.line), chr(10)) END AS report
-FROM gp LEFT JOIN per USING (page_id)
+FROM pgg LEFT JOIN per USING (page_id)
 """)
 
 
@@ -605,6 +606,43 @@ FROM pr GROUP BY ALL
 """)
 
 
+# the rule tables: every host (address) with every rule
+RULE_ROWS = """
+hp AS (SELECT page_id, regexp_extract(url, '://([^/:?#]*)', 1) AS h FROM pages WHERE page_id % 3 = 0),
+hr AS (SELECT CASE page_id % 7 WHEN 0 THEN h || ':8080' WHEN 1 THEN '*' || substr(h, strpos(h, '.')) WHEN 2 THEN ' ' || substr(h, strpos(h, '.'))
+    WHEN 3 THEN upper(h) WHEN 4 THEN 'sub.' || h ELSE '' END AS rule FROM hp),
+he AS (SELECT '10.0.' || CAST(user_id % 8 AS VARCHAR) || '.' || CAST(event_id % 256 AS VARCHAR) || '/' ||
+    CASE WHEN event_id % 11 < 4 THEN '28' WHEN event_id % 11 < 7 THEN '31' WHEN event_id % 11 = 7 THEN '32' WHEN event_id % 11 = 8 THEN ''
+    WHEN event_id % 11 = 9 THEN '33' ELSE '30' END AS rule FROM events WHERE event_id % 5 = 0),
+hw AS (SELECT * FROM (VALUES ('10.9.0.0/16'), ('192.0.0.0/9'), ('10.0.6.0/24')) v(rule)),
+rr AS (SELECT lower(trim(rule)) AS r FROM (SELECT rule FROM hr WHERE rule NOT IN ('.example.com', '*.example.com') UNION ALL
+  SELECT rule FROM he UNION ALL SELECT rule FROM hw) WHERE trim(rule) <> '')"""
+
+sql("host_rule_table", f"""
+WITH {RULE_ROWS},
+nm AS (SELECT DISTINCT regexp_replace(regexp_replace(r, ':[0-9]+$', ''), '^[*]', '') AS n FROM rr WHERE NOT contains(r, '/')),
+nk AS (SELECT DISTINCT n, NOT starts_with(n, '.') AS whole FROM nm),
+{GATED},
+ph AS (SELECT page_id, {U.host_of('final_url')} AS host FROM gp),
+hh AS (SELECT DISTINCT host FROM ph),
+hits AS (SELECT host, count(DISTINCT key) AS n FROM (
+    SELECT host, 'exact ' || n AS key FROM hh JOIN nk ON whole AND host = n
+    UNION ALL SELECT host, 'suffix ' || CASE WHEN whole THEN '.' || n ELSE n END FROM hh JOIN nk ON ends_with(host, CASE WHEN whole THEN '.' || n ELSE n END))
+  GROUP BY host)
+SELECT page_id, host, hits.n IS NOT NULL AS bypass, coalesce(hits.n, 0) AS name_rules FROM ph LEFT JOIN hits USING (host)
+""")
+
+sql("cidr_rule_table", f"""
+WITH {RULE_ROWS},
+nt AS (SELECT DISTINCT bits, net >> (32 - bits) AS top FROM (SELECT TRY_CAST(split_part(r, '/', 2) AS INTEGER) AS bits, {_ipv4_int("split_part(r, '/', 1)")} AS net
+  FROM rr WHERE contains(r, '/')) WHERE bits BETWEEN 0 AND 32),
+hi AS (SELECT event_id, CASE WHEN event_id % 100 = 0 THEN '300.1.1.1'
+  ELSE '10.0.' || CAST(user_id % 8 AS VARCHAR) || '.' || CAST(event_id % 256 AS VARCHAR) END AS ip FROM events),
+ii AS (SELECT ip, max(bits) AS bits FROM (SELECT DISTINCT ip, {_ipv4_int('ip')} AS v FROM hi) JOIN nt ON v >> (32 - bits) = top GROUP BY ip)
+SELECT event_id, ip, ii.bits IS NOT NULL AS cidr_match, ii.bits AS cidr_bits FROM hi LEFT JOIN ii USING (ip)
+""")
+
+
 # --------------------------------------------------------------------------- sinks and streams
 
 sql("write_pages", f"""

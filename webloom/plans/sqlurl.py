@@ -36,7 +36,9 @@ def parsed_url(src: str, p: str) -> str:
     regexp_extract({p}__auth, '([^@]*)$', 1) AS {p}__hostport,
     regexp_extract({p}__userinfo, '^([^:]*)', 1) AS {p}_user,
     regexp_extract({p}__userinfo, '^[^:]*:([\\s\\S]*)$', 1) AS {p}_pass,
-    lower(regexp_extract({p}__hostport, {q(HOST_RE)}, 1)) AS {p}_host,
+    regexp_extract({p}__hostport, {q(HOST_RE)}, 1) AS {p}__host0,
+    lower(CASE WHEN contains({p}__host0, '%') AND NOT starts_with({p}__host0, '[') AND NOT regexp_matches({p}__host0, '%([^0-9a-fA-F]|.[^0-9a-fA-F]|.?$)')
+      THEN url_decode({p}__host0) ELSE {p}__host0 END) AS {p}_host,
     regexp_extract({p}__hostport, {q(PORT_RE)}, 1) AS {p}__port,
     ({p}_scheme <> '' AND ({p}__port = '' OR (regexp_matches({p}__port, '^[0-9]{{1,5}}$')
       AND TRY_CAST({p}__port AS INTEGER) <= 65535))
@@ -63,7 +65,7 @@ def gate_ctes(src_cte: str, col: str, out_cte: str, out: str = "final_url", reas
 {out_cte}__1 AS (SELECT *, {parsed_url('_g_in', '_g')} FROM {out_cte}__0),
 {out_cte} AS (
   SELECT * EXCLUDE (_g_in, _g_scheme, _g__auth, _g__path, _g__query, _g__frag, _g__userinfo, _g__hostport,
-      _g_user, _g_pass, _g_host, _g__port, _g_ok, _g__portn0, _g__portn, _g__path0, _g__pathn, _g_url),
+      _g_user, _g_pass, _g__host0, _g_host, _g__port, _g_ok, _g__portn0, _g__portn, _g__path0, _g__pathn, _g_url),
     CASE WHEN NOT regexp_matches(_g_in, {q(SCHEME_RE)}) THEN 'invalid URL'
          WHEN _g_scheme NOT IN ('http', 'https') THEN 'unsupported protocol'
          WHEN NOT _g_ok THEN 'invalid URL'
@@ -84,13 +86,14 @@ def resolve_ctes(src_cte: str, href: str, base: str, out_cte: str,
   SELECT *,
     {junk} AS _r_junk,
     regexp_extract({base}, {q(BASE_RE)}, 1) AS _r_bs, {clean_input(href)} AS _r_h0,
-    CASE WHEN regexp_matches(_r_h0, '^[a-zA-Z]+:[^/\\\\]') AND lower(split_part(_r_h0, ':', 1)) = _r_bs
+    CASE WHEN regexp_matches(_r_h0, {q(SCHEME_RE)}) AND lower(split_part(_r_h0, ':', 1)) = _r_bs
       THEN substr(_r_h0, length(_r_bs) + 2) ELSE _r_h0 END AS _r_h,
     regexp_extract({base}, {q(BASE_RE)}, 2) AS _r_ba,
     CASE WHEN regexp_extract({base}, {q(BASE_RE)}, 3) = '' THEN '/' ELSE regexp_extract({base}, {q(BASE_RE)}, 3) END AS _r_bp,
     regexp_extract(_r_bp, '^([\\s\\S]*/)', 1) AS _r_bdir,
     CASE WHEN _r_junk IS NULL THEN
-      CASE WHEN regexp_matches(_r_h, {q(SCHEME_RE)}) THEN _r_h
+      CASE WHEN _r_h = '' THEN split_part({base}, '#', 1)
+           WHEN regexp_matches(_r_h, {q(SCHEME_RE)}) THEN _r_h
            WHEN starts_with(_r_h, '#') THEN split_part({base}, '#', 1) || _r_h
            WHEN regexp_matches(_r_h, '^[/\\\\][/\\\\]') THEN _r_bs || ':' || _r_h
            WHEN regexp_matches(_r_h, '^[/\\\\]') THEN _r_bs || '://' || _r_ba || _r_h
@@ -100,7 +103,7 @@ def resolve_ctes(src_cte: str, href: str, base: str, out_cte: str,
 {out_cte}__1 AS (SELECT *, {parsed_url('_r_abs', '_r')} FROM {out_cte}__0),
 {out_cte} AS (
   SELECT * EXCLUDE (_r_junk, _r_h0, _r_h, _r_bs, _r_ba, _r_bp, _r_bdir, _r_abs, _r_scheme, _r__auth, _r__path, _r__query,
-      _r__frag, _r__userinfo, _r__hostport, _r_user, _r_pass, _r_host, _r__port, _r_ok, _r__portn0, _r__portn,
+      _r__frag, _r__userinfo, _r__hostport, _r_user, _r_pass, _r__host0, _r_host, _r__port, _r_ok, _r__portn0, _r__portn,
       _r__path0, _r__pathn, _r_url),
     CASE WHEN _r_junk IS NOT NULL THEN _r_junk WHEN _r_scheme NOT IN ('http', 'https') THEN 'unsupported_scheme'
          WHEN NOT _r_ok THEN 'invalid' END AS {reason},

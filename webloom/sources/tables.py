@@ -110,6 +110,26 @@ def header_block(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         crlf, F.lit("X-A: 1"), crlf, F.lit("x-a: 2")).alias("head"))
 
 
+def host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``host_rules(rule)``: a rule table that grows with the data, from the hosts of ``pages`` and the users of ``events``.
+
+    By page_id modulo 7: the host with a port, its parent with ``*.`` or a leading dot, the host in upper case, a host
+    below it, nothing. By event_id modulo 11: networks of 8 to 32 bits, one without bits and one with too many.
+    """
+    from pyspark.sql import functions as F
+    p = pages(spark, sf_dir).select("page_id", F.regexp_extract("url", "://([^/:?#]*)", 1).alias("h")).filter("page_id % 3 = 0")
+    k, parent = F.col("page_id") % 7, F.regexp_extract("h", "^[^.]*(\\..*)$", 1)
+    names = p.select(F.when(k == 0, F.concat("h", F.lit(":8080"))).when(k == 1, F.concat(F.lit("*"), parent)).when(k == 2, F.concat(F.lit(" "), parent))
+                     .when(k == 3, F.upper("h")).when(k == 4, F.concat(F.lit("sub."), F.col("h"))).otherwise(F.lit("")).alias("rule")) \
+        .filter("rule <> '.example.com' and rule <> '*.example.com'")
+    e = read(spark, sf_dir, "events").filter("event_id % 5 = 0")
+    m, user, low = F.col("event_id") % 11, (F.col("user_id") % 8).cast("string"), (F.col("event_id") % 256).cast("string")
+    bits = F.when(m < 4, F.lit("28")).when(m < 7, F.lit("31")).when(m == 7, F.lit("32")).when(m == 8, F.lit("")).when(m == 9, F.lit("33")).otherwise(F.lit("30"))
+    nets = e.select(F.concat(F.lit("10.0."), user, F.lit("."), low, F.lit("/"), bits).alias("rule"))
+    wide = e.limit(0).select(F.lit("").alias("rule")).unionByName(spark.createDataFrame([("10.9.0.0/16",), ("192.0.0.0/9",), ("10.0.6.0/24",)], "rule string"))
+    return names.unionByName(nets).unionByName(wide)
+
+
 def host_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``host_ips(event_id, ip)`` from ``events``; every 100th address is invalid (300.1.1.1)."""
     from pyspark.sql import functions as F
