@@ -6,8 +6,8 @@ prefix computation over ``Window.partitionBy('page_id').orderBy('pos')``:
 
 * ``in_title``   last title open/close event            (last_value ignore nulls)
 * ``skip/pre``   clamped depth counters                 (running sum, running min)
-* ``anchor``     last anchor open / anchor-closing event (last_value)
-* ``lwb``        "last output was a line break"         (last_value)
+* ``in_anchor``  with ``lwb``, "last output was a break": two states that depend on each other, settled edge by edge
+                 (last_value of what each stretch between two edges does, see ``document_state``)
 * ``marker``     pending list marker                    (last_value)
 * ``flush``      next anchor-closing token              (running min, descending)
 
@@ -39,6 +39,9 @@ def _w(frame_end: int = 0, desc: bool = False):
     order = F.col("pos").desc() if desc else F.col("pos")
     return Window.partitionBy("page_id").orderBy(order).rowsBetween(Window.unboundedPreceding, frame_end)
 
+# Events of a token for anchors and breaks; the first three end whatever anchor is open.
+EV_ANCHOR, EV_BREAK, EV_CLOSE, EV_SOFT, EV_TEXT = 1, 2, 3, 4, 5
+
 HEADINGS = tuple(HEADING_LEVELS)
 BLOCKS_NO_PRE = tuple(t for t in BLOCK_TAGS if t != "pre")
 
@@ -118,44 +121,44 @@ def document_state(tokens: DataFrame) -> DataFrame:
         (F.col("s_pre") - F.least(F.lit(0), F.min("s_pre").over(W_INC))).alias("pre"),
     )
     pre0 = F.col("pre") == 0
-    a_open = o & (name == "a")
-    closer = ((o | c) & ((name == "a") | name.isin("li", "pre", *HEADINGS, *BLOCK_TAGS))) \
-        | (o & (name == "img")) | (o & name.isin("br", "hr") & pre0)
-    s = s.select(
-        "*", a_open.alias("a_open"), closer.alias("closer"),
-        F.coalesce(F.last(F.when(a_open, True).when(closer, False), True).over(W_INC),
-                   F.lit(False)).alias("in_anchor"),
-        F.sum(a_open.cast("int")).over(W_INC).alias("anchor_seq"),
-    )
     txt = text & F.col("active") & (F.col("skip") == 0)
-    s = s.select(
-        "*",
-        F.when(txt, decode_html_entities("tok")).alias("dec"),
-    ).withColumn("clean", F.when(txt & pre0, normalize_ws("dec")))
+    s = s.select("*", F.when(txt, decode_html_entities("tok")).alias("dec")).withColumn("clean", F.when(txt & pre0, normalize_ws("dec")))
+    # what a token does to the pair (anchor open, last output was a break)
+    a_open = o & (name == "a")
+    closes = ((o | c) & ((name == "a") | name.isin("li", "pre", *HEADINGS, *BLOCK_TAGS))) | (o & (name == "img"))
+    forced = pre0 & ((o & name.isin("li", *HEADINGS, *BLOCKS_NO_PRE)) | (c & name.isin("li", "pre", *HEADINGS, *BLOCKS_NO_PRE)))
+    soft = o & name.isin("br", "hr") & pre0
     emits = txt & pre0 & (F.col("clean") != "")
-    direct = emits & ~F.col("in_anchor")
-    label = emits & F.col("in_anchor")
-    brk_call = pre0 & (
-        (o & name.isin("br", "hr", "li", *HEADINGS, *BLOCKS_NO_PRE))
-        | (c & name.isin("li", "pre", *HEADINGS, *BLOCKS_NO_PRE)))
+    event = (F.when(a_open, EV_ANCHOR).when(forced, EV_BREAK).when(closes, EV_CLOSE).when(soft, EV_SOFT).when(emits, EV_TEXT)).cast("byte")
+    s = s.select("*", a_open.alias("a_open"), emits.alias("emits"), event.alias("ev"))
+    ev = F.col("ev")
+    edge = ev <= EV_CLOSE  # opens an anchor or ends one whatever came before
     s = s.select(
-        "*", F.coalesce(direct, F.lit(False)).alias("direct"), F.coalesce(label, F.lit(False)).alias("label"),
-        F.coalesce(brk_call, F.lit(False)).alias("brk_call"),
-        F.coalesce(F.last(F.when(brk_call, True).when(direct, False), True).over(W_EXC),
-                   F.lit(False)).alias("lwb"),
-        F.sum(label.cast("int")).over(W_INC).alias("n_label"),
+        "*", edge.alias("edge"), F.last("ev", True).over(W_EXC).alias("prev"), F.last(F.when(edge, ev), True).over(W_EXC).alias("prev_edge"),
+        F.coalesce(F.last(F.when(edge, False).when(ev == EV_SOFT, True), True).over(W_EXC), F.lit(False)).alias("softened"),
+        F.sum(F.col("a_open").cast("int")).over(W_INC).alias("anchor_seq"),
     )
-    brk_eff = F.col("brk_call") & ~F.col("lwb")
+    # Between two edges the state is settled by the state at the first one: a soft break closes an anchor, and text
+    # behind it is no label, only if the anchor was opened when the last output was no break. So what a whole stretch
+    # does to "last output was a break" is a constant or nothing, and the last constant is the state at each edge.
+    prev, in_a = F.col("prev"), F.coalesce(F.col("prev_edge") == EV_ANCHOR, F.lit(False))
+    stretch = (F.when(prev.isin(EV_BREAK, EV_SOFT), True).when((prev == EV_TEXT) & ~in_a, False))
+    s = s.select("*", F.coalesce(F.last(F.when(F.col("edge"), stretch), True).over(W_INC), F.lit(False)).alias("at_edge"))
+    at_edge, softened = F.col("at_edge"), F.col("softened")
+    since = F.when(prev == EV_SOFT, True).when(prev == EV_TEXT, False)
+    lwb = (F.when(F.col("edge"), at_edge).when(in_a, at_edge | F.coalesce(softened & since, F.lit(False)))
+           .otherwise(F.coalesce(since, F.when(prev == EV_BREAK, True), at_edge)))
+    in_anchor = in_a & (at_edge | ~softened)
+    s = s.withColumns({"lwb": lwb, "direct": F.col("emits") & ~in_anchor, "label": F.col("emits") & in_anchor})
+    brk_call = F.coalesce(ev.isin(EV_BREAK, EV_SOFT), F.lit(False))
+    s = s.withColumns({"direct": F.coalesce("direct", F.lit(False)), "label": F.coalesce("label", F.lit(False)), "brk_call": brk_call,
+                       "brk": brk_call & ~F.col("lwb"), "closer": F.coalesce(F.col("edge") | ((ev == EV_SOFT) & ~F.col("lwb")), F.lit(False))})
     li_open = o & (name == "li")
     s = s.select(
-        "*", brk_eff.alias("brk"),
-        (F.col("n_label") - F.coalesce(F.last(F.when(F.col("a_open"), F.col("n_label")), True)
-                                        .over(W_INC), F.lit(0)) == 1).alias("label_first"),
-        F.coalesce(F.last(F.when(li_open, True).when(brk_eff | F.col("direct"), False), True)
-                   .over(W_EXC), F.lit(False)).alias("marker"),
+        "*", F.coalesce(F.last(F.when(F.col("a_open"), True).when(F.col("label"), False), True).over(W_EXC), F.lit(False)).alias("label_first"),
+        F.coalesce(F.last(F.when(li_open, True).when(F.col("brk") | F.col("direct"), False), True).over(W_EXC), F.lit(False)).alias("marker"),
     )
-    return s.withColumn("flush", F.coalesce(F.min(F.when(F.col("closer"), F.col("pos"))).over(W_AFTER),
-                                            F.lit(BIG)))
+    return s.withColumn("flush", F.coalesce(F.min(F.when(F.col("closer"), F.col("pos"))).over(W_AFTER), F.lit(BIG)))
 
 
 def _piece(k1, k2, k3, s) -> Column:
@@ -213,7 +216,9 @@ def _pieces(s: DataFrame, md: bool) -> DataFrame:
 def finish_content(raw: Column, max_chars: int):
     """Resolve output markers, normalise, re-space markdown links, cap. Returns (content, truncated)."""
     r = F.regexp_replace(raw, "[ \\t]*" + STRIP, "")
-    r = F.regexp_replace(r, "```\\n" + FENCE, "```\n")
+    # a closing fence is left out where the output ends in a fence line already: right behind an opening one, or
+    # behind a fence that a break (or a line end of the page) has ended; further breaks add nothing there
+    r = F.regexp_replace(r, "(" + FENCE + "|```)([ \\t]*" + BRK + "|\\n)[ \\t" + BRK + FENCE + "]*", "$1$2")
     r = F.regexp_replace(r, FENCE, "\n```")
     r = F.regexp_replace(r, "[ \\t]*" + BRK + "(?:[ \\t]*" + BRK + ")*", BRK)
     r = F.regexp_replace(r, "\\n" + BRK, "\n")

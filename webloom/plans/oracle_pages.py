@@ -55,11 +55,13 @@ def state_ctes(src: str = "pages") -> str:
     t_close = "(kind = 'tag' AND closing AND name = 'title')"
     pre0 = "(pre = 0)"
     a_open = f"({o} AND name = 'a')"
-    closer = (f"(({o} OR {c}) AND (name = 'a' OR {in_list('name', ('li', 'pre', *HEADINGS, *BLOCK_TAGS))}))"
-              f" OR ({o} AND name = 'img') OR ({o} AND name IN ('br', 'hr') AND {pre0})")
+    closes = (f"((({o} OR {c}) AND (name = 'a' OR {in_list('name', ('li', 'pre', *HEADINGS, *BLOCK_TAGS))}))"
+              f" OR ({o} AND name = 'img'))")
     txt = "(kind = 'text' AND active AND skip = 0)"
-    brk_call = (f"({pre0} AND (({o} AND {in_list('name', ('br', 'hr', 'li', *HEADINGS, *BLOCKS_NO_PRE))})"
-                f" OR ({c} AND {in_list('name', ('li', 'pre', *HEADINGS, *BLOCKS_NO_PRE))})))")
+    forced = (f"({pre0} AND (({o} AND {in_list('name', ('li', *HEADINGS, *BLOCKS_NO_PRE))})"
+              f" OR ({c} AND {in_list('name', ('li', 'pre', *HEADINGS, *BLOCKS_NO_PRE))})))")
+    soft = f"({o} AND name IN ('br', 'hr') AND {pre0})"
+    emits = f"({txt} AND {pre0} AND clean <> '')"
     return tokens_ctes(src) + f""",
 s1 AS (
   SELECT *,
@@ -77,36 +79,41 @@ s3 AS (
 s4 AS (
   SELECT *, s_skip - least(0, min(s_skip) {INC}) AS skip, s_pre - least(0, min(s_pre) {INC}) AS pre FROM s3
 ),
-s5 AS (
-  SELECT *, {a_open} AS a_open, {closer} AS closer,
-    coalesce(last_value(CASE WHEN {a_open} THEN true WHEN {closer} THEN false END IGNORE NULLS) {INC}, false) AS in_anchor,
-    sum(CASE WHEN {a_open} THEN 1 ELSE 0 END) {INC} AS anchor_seq
-  FROM s4
+s5 AS (SELECT *, CASE WHEN {txt} THEN {decode_html_entities('tok')} END AS dec FROM s4),
+s6 AS (SELECT *, CASE WHEN {txt} AND {pre0} THEN {normalize_ws('dec')} END AS clean FROM s5),
+s7 AS (
+  SELECT *, {a_open} AS a_open, coalesce({emits}, false) AS emits,
+    CASE WHEN {a_open} THEN 'anchor' WHEN {forced} THEN 'break' WHEN {closes} THEN 'close' WHEN {soft} THEN 'soft' WHEN {emits} THEN 'text' END AS ev,
+    ev IN ('anchor', 'break', 'close') AS edge
+  FROM s6
 ),
-s6 AS (SELECT *, CASE WHEN {txt} THEN {decode_html_entities('tok')} END AS dec FROM s5),
-s7 AS (SELECT *, CASE WHEN {txt} AND {pre0} THEN {normalize_ws('dec')} END AS clean FROM s6),
 s8 AS (
-  SELECT *,
-    coalesce({txt} AND {pre0} AND clean <> '' AND NOT in_anchor, false) AS direct,
-    coalesce({txt} AND {pre0} AND clean <> '' AND in_anchor, false) AS label,
-    coalesce({brk_call}, false) AS brk_call
+  SELECT *, last_value(ev IGNORE NULLS) {EXC} AS prev, last_value(CASE WHEN edge THEN ev END IGNORE NULLS) {EXC} AS prev_edge,
+    coalesce(last_value(CASE WHEN edge THEN false WHEN ev = 'soft' THEN true END IGNORE NULLS) {EXC}, false) AS softened,
+    sum(CASE WHEN a_open THEN 1 ELSE 0 END) {INC} AS anchor_seq
   FROM s7
 ),
 s9 AS (
-  SELECT *,
-    coalesce(last_value(CASE WHEN brk_call THEN true WHEN direct THEN false END IGNORE NULLS) {EXC}, false) AS lwb,
-    sum(CASE WHEN label THEN 1 ELSE 0 END) {INC} AS n_label
+  SELECT *, coalesce(prev_edge = 'anchor', false) AS in_a, coalesce(last_value(CASE WHEN edge THEN
+    CASE WHEN prev IN ('break', 'soft') THEN true WHEN prev = 'text' AND coalesce(prev_edge, '') <> 'anchor' THEN false END END IGNORE NULLS) {INC}, false) AS at_edge
   FROM s8
 ),
 s10 AS (
-  SELECT *, brk_call AND NOT lwb AS brk,
-    (n_label - coalesce(last_value(CASE WHEN a_open THEN n_label END IGNORE NULLS) {INC}, 0)) = 1 AS label_first,
+  SELECT *, CASE WHEN edge THEN at_edge WHEN in_a THEN at_edge OR (softened AND coalesce(prev = 'soft', false))
+      ELSE coalesce(CASE prev WHEN 'soft' THEN true WHEN 'break' THEN true WHEN 'text' THEN false END, at_edge) END AS lwb,
+    emits AND NOT (in_a AND (at_edge OR NOT softened)) AS direct, emits AND in_a AND (at_edge OR NOT softened) AS label,
+    coalesce(ev IN ('break', 'soft'), false) AS brk_call
+  FROM s9
+),
+s11 AS (
+  SELECT *, brk_call AND NOT lwb AS brk, coalesce(edge OR (ev = 'soft' AND NOT lwb), false) AS closer,
+    coalesce(last_value(CASE WHEN a_open THEN true WHEN label THEN false END IGNORE NULLS) {EXC}, false) AS label_first,
     coalesce(last_value(CASE WHEN {o} AND name = 'li' THEN true WHEN (brk_call AND NOT lwb) OR direct THEN false END
       IGNORE NULLS) {EXC}, false) AS marker
-  FROM s9
+  FROM s10
 ),
 st AS (
-  SELECT *, coalesce(min(CASE WHEN closer THEN pos END) {AFTER}, {BIG}) AS flush FROM s10
+  SELECT *, coalesce(min(CASE WHEN closer THEN pos END) {AFTER}, {BIG}) AS flush FROM s11
 )"""
 
 
@@ -116,7 +123,7 @@ def _piece(k1: str, k2: int, k3: str, s: str) -> str:
 
 def finish_content(raw: str) -> str:
     r = rr(raw, "[ \\t]*" + STRIP, "")
-    r = rr(r, "```\\n" + FENCE, "```\n")
+    r = rr(r, "(" + FENCE + "|```)([ \\t]*" + BRK + "|\\n)[ \\t" + BRK + FENCE + "]*", "\\1\\2")
     r = rr(r, FENCE, "\n```")
     r = rr(r, "[ \\t]*" + BRK + "(?:[ \\t]*" + BRK + ")*", BRK)
     r = rr(r, "\\n" + BRK, "\n")
