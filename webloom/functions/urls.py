@@ -119,9 +119,9 @@ def clean_input(x) -> Column:
     return F.regexp_replace(js_trim(x), "[\\t\\n\\r]", "")
 
 
-def _settled(df: DataFrame, kept: list[str], new: dict[str, Column]) -> DataFrame:
+def settled(df: DataFrame, kept: list[str], new: dict[str, Column]) -> DataFrame:
     """``kept`` and the ``new`` columns, computed once: filters on these are not pushed below a generator, where
-    they would evaluate the whole URL expression a second time."""
+    they would evaluate a whole URL (or decoded body) a second time."""
     return df.select(*kept, F.inline(F.array(F.struct(*(c.alias(n) for n, c in new.items())))))
 
 
@@ -135,7 +135,7 @@ def gate(df: DataFrame, src: str, out: str = "final_url", reason: str = "reason"
            .when(~F.col("_g_scheme").isin("http", "https"), F.lit("unsupported protocol"))
            .when(~F.col("_g_ok"), F.lit("invalid URL"))
            .when((F.col("_g_user") != "") | (F.col("_g_pass") != ""), F.lit("embedded credentials")))
-    return _settled(df, kept, {out: F.when(why.isNull(), F.col("_g_url")), reason: why})
+    return settled(df, kept, {out: F.when(why.isNull(), F.col("_g_url")), reason: why})
 
 
 def resolve(df: DataFrame, href: str, base: str, out: str = "resolved", reason: str = "drop_reason",
@@ -174,7 +174,7 @@ def resolve(df: DataFrame, href: str, base: str, out: str = "resolved", reason:
     why = (F.when(F.col("_r_junk").isNotNull(), F.col("_r_junk"))
            .when(~F.col("_r_scheme").isin("http", "https"), F.lit("unsupported_scheme"))
            .when(~F.col("_r_ok"), F.lit("invalid")))
-    return _settled(df, kept, {out: F.when(why.isNull(), F.col("_r_url")), reason: why})
+    return settled(df, kept, {out: F.when(why.isNull(), F.col("_r_url")), reason: why})
 
 
 def host_of(url) -> Column:

@@ -42,13 +42,13 @@ def feed_kind(xml: Column) -> Column:
 
 def parse_feeds(feeds: DataFrame) -> DataFrame:
     """``(feed_id, url, xml)`` -> adds ``kind`` (NULL = not a feed), ``feed_title``, ``error``."""
-    x = F.col("xml")
-    kind = feed_kind(x)
+    x, kind = F.col("xml"), F.col("kind")
     channel = F.when(x.rlike(CHANNEL_RE), F.regexp_extract(x, CHANNEL_RE, 1)).otherwise(x)
     title = (F.when(kind == "rss", field(channel, tag_re("title")))
              .when(kind == "atom", field(x, tag_re("title"))))
-    return feeds.select("*", kind.alias("kind"), title.alias("feed_title"),
-                        F.when(kind.isNull(), F.lit(NOT_A_FEED)).alias("error"))
+    # the kind is settled first: later filters on it do not search the document again
+    return urls.settled(feeds, feeds.columns, {"kind": feed_kind(x)}).select(
+        "*", title.alias("feed_title"), F.when(kind.isNull(), F.lit(NOT_A_FEED)).alias("error"))
 
 
 def _blocks(max_items: int | None) -> Column:
@@ -80,29 +80,32 @@ def entries(parsed: DataFrame, max_items: int | None = None, keep: tuple[str, ..
     e = parsed.filter(F.col("kind").isNotNull()).select(
         "feed_id", "kind", *keep, F.posexplode(_blocks(max_items)).alias("pos", "b"))
     b, rss = F.col("b"), F.col("kind") == "rss"
-    raw = {
-        "title": tag_re("title"), "link": tag_re("link"), "guid": tag_re("guid"), "pub": tag_re("pubDate"),
-        "dcdate": tag_re("dc:date"), "apub": "(?i)<(?:published|updated)\\b[^>]*>([\\s\\S]*?)</(?:published|updated)>",
-        "creator": tag_re("dc:creator"), "author": tag_re("author"),
-        "aname": "(?i)<author\\b[^>]*>[\\s\\S]*?<name\\b[^>]*>([\\s\\S]*?)</name>",
-        "desc": tag_re("description"), "summary": tag_re("summary"), "encoded": tag_re("content:encoded"),
-        "content": tag_re("content"),
-    }
-    # stage 1: raw inner texts as columns; stage 2: clean each column (small expression trees)
-    e = e.select("feed_id", "pos", "kind", *keep, _atom_link(b).alias("alink"),
-                 *[F.regexp_extract(b, p, 1).alias(f"r_{k}") for k, p in raw.items()])
-    e = e.select("feed_id", "pos", "kind", *keep, "alink",
-                 *[clean_feed_text(f"r_{k}").alias(f"c_{k}") for k in raw])
-    c = {k: F.col(f"c_{k}") for k in raw}
-    rss_url = F.when((c["link"] == "") & c["guid"].rlike("(?i)^https?://"), c["guid"]).otherwise(c["link"])
+
+    def tag(name: str) -> Column:
+        return F.regexp_extract(b, tag_re(name), 1)
+
+    def either(of_rss: Column, of_atom: Column) -> Column:
+        return F.when(rss, of_rss).otherwise(of_atom)
+    none = F.lit("")
+    moment = F.regexp_extract(b, "(?i)<(?:published|updated)\\b[^>]*>([\\s\\S]*?)</(?:published|updated)>", 1)
+    person = F.regexp_extract(b, "(?i)<author\\b[^>]*>[\\s\\S]*?<name\\b[^>]*>([\\s\\S]*?)</name>", 1)
+    raw = {"title": tag("title"), "link": either(tag("link"), none), "guid": either(tag("guid"), none), "published": either(tag("pubDate"), moment),
+           "date": either(tag("dc:date"), none), "author": either(tag("dc:creator"), person), "person": either(tag("author"), none),
+           "summary": either(tag("description"), tag("summary"))}
+    # the dialect's own raw texts, then one cleaning expression over all of them; content on its own, as few ask for it
+    def cleaned(texts: list[Column]) -> Column:
+        return F.transform(F.array(*texts), clean_feed_text)
+    e = e.select("feed_id", "pos", "kind", *keep, F.when(~rss, _atom_link(b)).alias("alink"), cleaned(list(raw.values())).alias("c"),
+                 cleaned([either(tag("content:encoded"), tag("content"))]).alias("full"))
+    c = {k: F.col("c")[i] for i, k in enumerate(raw)}
+    by_guid = F.when((c["link"] == "") & c["guid"].rlike("(?i)^https?://"), c["guid"]).otherwise(c["link"])
     e = e.select(
         "feed_id", "pos", "kind", *keep,
         c["title"].alias("_title"),
-        F.when(rss, rss_url).otherwise(F.col("alink")).alias("url"),
-        F.when(rss, F.coalesce(F.nullif(c["pub"], F.lit("")), c["dcdate"])).otherwise(c["apub"]).alias("published"),
-        F.when(rss, F.coalesce(F.nullif(c["creator"], F.lit("")), c["author"])).otherwise(c["aname"]).alias("author"),
-        F.when(rss, c["desc"]).otherwise(c["summary"]).alias("summary"),
-        F.when(rss, c["encoded"]).otherwise(c["content"]).alias("content"),
+        F.when(rss, by_guid).otherwise(F.col("alink")).alias("url"),
+        F.coalesce(F.nullif(c["published"], none), c["date"]).alias("published"),
+        F.coalesce(F.nullif(c["author"], none), c["person"]).alias("author"),
+        c["summary"].alias("summary"), F.col("full")[0].alias("content"),
     )
     return e.select("feed_id", F.col("pos").cast("int").alias("pos"), "kind", *keep,
                     F.when(F.col("_title") == "", F.lit(UNTITLED)).otherwise(F.col("_title")).alias("title"),

@@ -46,16 +46,21 @@ HEADINGS = tuple(HEADING_LEVELS)
 BLOCKS_NO_PRE = tuple(t for t in BLOCK_TAGS if t != "pre")
 
 
-def attr(tok, name: str) -> Column:
-    """Value of attribute ``name`` in an opening tag (last duplicate wins), NULL if absent."""
-    tok = F.col(tok) if isinstance(tok, str) else tok
-    found = F.filter(F.regexp_extract_all(tok, F.lit(ATTR_RE), 0),
-                     lambda a: F.lower(F.regexp_extract(a, ATTR_NAME_RE, 1)) == name)
-    last = F.try_element_at(found, F.lit(-1))
-    value = F.concat(F.regexp_extract(last, ATTR_VALUE_RE, 1),
-                     F.regexp_extract(last, ATTR_VALUE_RE, 2),
-                     F.regexp_extract(last, ATTR_VALUE_RE, 3))
-    return F.when(last.isNotNull(), value)
+def attributes(tok) -> Column:
+    """Map of a tag's attributes, names in lower case; of equal names the last one counts, a bare one has ''."""
+    found = F.regexp_extract_all(F.col(tok) if isinstance(tok, str) else tok, F.lit(ATTR_RE), 0)
+    pairs = F.array_sort(F.transform(found, lambda a, i: F.struct(
+        F.lower(F.regexp_extract(a, ATTR_NAME_RE, 1)).alias("name"), (-i).alias("i"),
+        F.concat(*[F.regexp_extract(a, ATTR_VALUE_RE, k) for k in (1, 2, 3)]).alias("value"))))
+    # sorted by name, the last one first: it stays where the name before it differs
+    names = F.transform(pairs, lambda p: p["name"])
+    return F.transform(F.array(F.struct(pairs.alias("pairs"), names.alias("names"))), lambda x: F.map_from_entries(F.transform(
+        F.filter(x["pairs"], lambda p, i: (i == 0) | (F.get(x["names"], i - 1) != p["name"])), lambda p: F.struct(p["name"], p["value"]))))[0]
+
+
+def attr(name: str) -> Column:
+    """Attribute ``name`` of a link or image token, NULL if absent."""
+    return F.try_element_at(F.col("attrs"), F.lit(name))
 
 
 def tokenize(pages: DataFrame, clustered: bool = False) -> DataFrame:
@@ -83,6 +88,8 @@ def tokenize(pages: DataFrame, clustered: bool = False) -> DataFrame:
         F.when(is_tag, F.lower(F.regexp_extract("tok", TAG_NAME_RE, 1))).alias("name"),
         F.col("tok").startswith("</").alias("closing"),
     )
+    # read once for each link and image, as a map
+    t = t.withColumn("attrs", F.when((F.col("kind") == "tag") & ~F.col("closing") & F.col("name").isin("a", "img"), attributes("tok")))
     return t.filter((F.col("kind") == "text") | ((F.col("kind") == "tag") & (F.col("name") != "")))
 
 
@@ -174,10 +181,10 @@ def _pieces(s: DataFrame, md: bool) -> DataFrame:
     o = F.col("active") & tag & ~closing
     c = F.col("active") & tag & closing
     brk = F.when(F.col("brk"), F.lit(BRK)).otherwise(F.lit(""))
-    href = F.coalesce(attr("tok", "href"), F.lit(""))
+    href = F.coalesce(attr("href"), F.lit(""))
     linked = F.lit(md) & (F.col("href") != "")
-    alt = js_trim(F.coalesce(attr("tok", "alt"), F.lit("")))
-    src = F.coalesce(attr("tok", "src"), F.lit(""))
+    alt = js_trim(F.coalesce(attr("alt"), F.lit("")))
+    src = F.coalesce(attr("src"), F.lit(""))
     img = (F.when(F.lit(md) & (src != ""), F.concat(F.lit("!["), alt, F.lit("]("), src, F.lit(") ")))
            .when(alt != "", F.concat(alt, F.lit(" "))).otherwise(F.lit("")))
     heading = F.lit("")
@@ -331,7 +338,7 @@ def raw_links(state: DataFrame) -> DataFrame:
     a = state.filter(F.col("a_open") | F.col("label"))
     grouped = a.groupBy("page_id", "anchor_seq").agg(
         F.max(F.when(F.col("a_open"), F.col("pos"))).alias("link_pos"),
-        F.max(F.when(F.col("a_open"), F.coalesce(attr("tok", "href"), F.lit("")))).alias("href"),
+        F.max(F.when(F.col("a_open"), F.coalesce(attr("href"), F.lit("")))).alias("href"),
         F.collect_list(F.when(F.col("label"), F.struct("pos", collapse_ws("clean").alias("t")))).alias("parts"),
     )
     return grouped.filter(F.col("href") != "").select(
@@ -344,8 +351,8 @@ def images(state: DataFrame) -> DataFrame:
     """``page_images(page_id, pos, alt, src)``: every active ``<img>``."""
     img = state.filter(F.col("active") & (F.col("kind") == "tag") & ~F.col("closing") & (F.col("name") == "img"))
     return img.select("page_id", "pos",
-                      js_trim(F.coalesce(attr("tok", "alt"), F.lit(""))).alias("alt"),
-                      F.coalesce(attr("tok", "src"), F.lit("")).alias("src"))
+                      js_trim(F.coalesce(attr("alt"), F.lit(""))).alias("alt"),
+                      F.coalesce(attr("src"), F.lit("")).alias("src"))
 
 
 def outline(state: DataFrame) -> DataFrame:
@@ -371,4 +378,4 @@ def outline(state: DataFrame) -> DataFrame:
 
 
 __all__ = ["tokenize", "document_state", "page_state", "extract", "titles", "raw_links", "images", "outline",
-           "finish_content", "attr"]
+           "finish_content", "attr", "attributes"]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import urls
 from ..options import LINK_LIMIT, ExtractOptions, clamp
 from ..sources import tables
-from . import html, responses
+from . import feeds, html, responses
 
 
 def all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +44,7 @@ def resolved_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Links of a page that the gate rejects are kept, unresolved, with ``page rejected`` as the reason.
     """
-    rl = html.raw_links(html.page_state(tables.pages(spark, sf_dir)))
+    rl = html.raw_links(html.page_state(tables.web_pages(spark, sf_dir)))
     j = rl.join(all_pages(spark, sf_dir).select("page_id", "final_url"), "page_id")
     r = urls.resolve(j, "href", "final_url")
     rejected = F.col("final_url").isNull()
@@ -129,31 +129,90 @@ def page_extract(spark: SparkSession, sf_dir: str, opts: ExtractOptions = Extrac
 
     A page that the gate rejects keeps its row, with the reason and without final URL, status and links.
     """
-    ex = html.extract(tables.pages(spark, sf_dir), opts).join(all_pages(spark, sf_dir), "page_id")
+    ex = html.extract(tables.web_pages(spark, sf_dir), opts).join(all_pages(spark, sf_dir), "page_id")
     return with_links(ex).select(
         "page_id", "url", "final_url", F.when(F.col("final_url").isNotNull(), F.lit(200)).alias("status"), "title", "content",
         F.col("length").cast("int").alias("length"), "truncated", "link_count", "links_text", F.col("reason").alias("reject_reason"))
 
 
+def captured_bodies(log: DataFrame, fetched: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """``(page_id, html)`` of every capture that answers a start of ``fetched``, capped and decoded once.
+
+    ``page_id`` is the capture: a struct of its id and URL, the base of its links, the decoder and whether the byte
+    cap has cut. So all a page needs travels as its key, bodies are read once, and two URLs that share an id stay two.
+    """
+    base = F.substring_index("final_url", "#", 1)
+    asked = fetched.filter(F.col("outcome") == "ok").select("capture_id", "capture_url", base.alias("base")).distinct()
+    bodies = responses.size_cap(log.select("page_id", "url", "content_type", "body"), max_bytes).select(
+        F.col("page_id").alias("capture_id"), F.col("url").alias("capture_url"), "content_type", "kept", F.col("truncated").alias("body_cut"))
+    got = asked.join(bodies, ["capture_id", "capture_url"]).withColumn("charset", responses.detect_charset("content_type", "kept"))
+    text, decoder = responses.decode_body("kept", "charset")
+    got = urls.settled(got, ["capture_id", "capture_url", "base", "body_cut"], {"html": text, "decoder": decoder})
+    return got.select(F.struct("capture_id", "capture_url", "base", "decoder", "body_cut").alias("page_id"), "html")
+
+
+def to_starts(fetched: DataFrame, captures: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of each start's capture beside the start; a start without one keeps its row and outcome.
+
+    Failed starts do not take part in the join, where they would all share the null key.
+    """
+    head = ["page_id", "url", "final_url", "hops", "status", "outcome"]
+    ok = fetched.filter(F.col("outcome") == "ok").select(*head, "capture_id", "capture_url").join(
+        captures.select("page_id.capture_id", "page_id.capture_url", *columns), ["capture_id", "capture_url"], "left")
+    rest = fetched.filter(F.col("outcome") != "ok").select(*head)
+    return ok.select(*head, *columns).unionByName(rest, allowMissingColumns=True)
+
+
 def web_fetch(log: DataFrame, starts: DataFrame, opts: ExtractOptions = ExtractOptions(), max_bytes: int | None = None,
               max_redirects: int | None = None) -> DataFrame:
-    """The whole fetch of every start URL from the captured log: redirects, status and type gates, byte cap, charset,
-    decoding, extraction, links against the final URL.
+    """E1, the whole fetch of every start URL from the captured log: redirects, status and type gates, byte cap,
+    charset, decoding, extraction, links against the final URL.
 
     ``truncated``: the byte cap or the content cap has cut. A start that ends otherwise than ok keeps its row, with
-    the outcome and without page columns. The byte cap bounds every page that reaches the window plan.
+    the outcome and without page columns. Each capture is extracted once, however many starts lead to it; the byte
+    cap bounds every page that reaches the window plan.
     """
     r = responses.resolve_redirects(log, starts, max_redirects)
-    bodies = responses.size_cap(log.select("page_id", "content_type", "body"), max_bytes).select(
-        F.col("page_id").alias("capture_id"), "content_type", "kept", F.col("truncated").alias("body_cut"))
-    got = r.filter(F.col("outcome") == "ok").join(bodies, "capture_id")
-    got = got.withColumn("charset", responses.detect_charset("content_type", "kept"))
-    text, decoder = responses.decode_body("kept", "charset")
-    ready = got.select("page_id", text.alias("html"), decoder.alias("decoder"), "body_cut")
-    ex = html.extract(ready, opts).join(ready.select("page_id", "decoder", "body_cut"), "page_id") \
-        .join(r.filter(F.col("outcome") == "ok").select("page_id", "url", "final_url", "hops", "status", "outcome"), "page_id")
-    done = with_links(ex).withColumn("truncated", F.col("truncated") | F.col("body_cut"))
-    out = [F.col(c) for c in ("page_id", "url", "final_url", "hops", "status", "outcome", "decoder", "title", "content")]
-    out += [F.col("length").cast("int").alias("length"), F.col("truncated"), F.col("link_count"), F.col("links_text")]
-    failed = r.filter(F.col("outcome") != "ok").select("page_id", "url", "final_url", "hops", "status", "outcome")
-    return done.select(*out).unionByName(failed, allowMissingColumns=True)
+    ex = html.extract(captured_bodies(log, r, max_bytes), opts)
+    done = with_links(ex.withColumn("final_url", F.col("page_id.base"))).drop("final_url").select(
+        "page_id", F.col("page_id.decoder").alias("decoder"), "title", "content", F.col("length").cast("int").alias("length"),
+        (F.col("truncated") | F.col("page_id.body_cut")).alias("truncated"), "link_count", "links_text")
+    return to_starts(r, done, ["decoder", "title", "content", "length", "truncated", "link_count", "links_text"])
+
+
+def web_links(log: DataFrame, starts: DataFrame, limit: int | None = None, max_bytes: int | None = None, max_redirects: int | None = None) -> DataFrame:
+    """The link inventory of every start URL from the captured log: ``link_count`` and ``links_text`` (label, tab,
+    target a line) beside the start's outcome; resolved against the final URL, first label of each target, first
+    ``limit`` in document order."""
+    r = responses.resolve_redirects(log, starts, max_redirects)
+    bodies = captured_bodies(log, r, max_bytes)
+    rl = html.raw_links(html.page_state(bodies)).withColumn("base", F.col("page_id.base"))
+    inv = inventory(urls.resolve(rl, "href", "base"), limit)
+    lines = F.array_sort(F.collect_list(F.struct("rank", F.concat("text", F.lit("\t"), "href").alias("line"))))
+    per = inv.groupBy("page_id").agg(F.count("*").cast("int").alias("link_count"),
+                                     F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("links_text"))
+    out = to_starts(r, per, ["link_count", "links_text"])
+    ok = F.col("outcome") == "ok"
+    return out.withColumns({"link_count": F.when(ok, F.coalesce("link_count", F.lit(0))), "links_text": F.when(ok, F.coalesce("links_text", F.lit("")))})
+
+
+def web_feed(log: DataFrame, starts: DataFrame, max_items: int | None = None, include_content: bool = False, max_bytes: int | None = None,
+             max_redirects: int | None = None) -> DataFrame:
+    """Every start URL read as a feed from the captured log: redirects, status and feed type gates, byte cap,
+    charset, feed parsing; ``feed_title``, ``entry_count``, ``truncated`` (the byte cap alone) and ``entries`` in order.
+    A response that is no feed keeps its row with the outcome 'not a feed'."""
+    r = responses.resolve_redirects(log, starts, max_redirects, profile="feed")
+    bodies = captured_bodies(log, r, max_bytes)
+    parsed = feeds.parse_feeds(bodies.select(F.col("page_id").alias("feed_id"), F.col("html").alias("xml"), F.col("page_id.base").alias("final_url")))
+    items = feeds.feed_items(parsed, max_items, include_content)
+    fields = ["title", "url", "published", "author", "summary", "content"]
+    entry = F.array_sort(F.collect_list(F.struct("pos", *fields)))
+    per = items.groupBy("feed_id").agg(F.transform(entry, lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias("entries"))
+    heads = parsed.select(F.col("feed_id").alias("page_id"), "kind", "feed_title", F.col("feed_id.body_cut").alias("truncated"))
+    done = heads.join(per.withColumnRenamed("feed_id", "page_id"), "page_id", "left")
+    out = to_starts(r, done, ["kind", "feed_title", "truncated", "entries"])
+    ok, feed = F.col("outcome") == "ok", F.col("kind").isNotNull()
+    none = F.array().cast(dict(per.dtypes)["entries"])
+    return out.withColumns({"entries": F.when(ok & feed, F.coalesce("entries", none)), "truncated": F.when(ok & feed, F.col("truncated")),
+                            "outcome": F.when(ok & ~feed, F.lit("not a feed")).otherwise(F.col("outcome"))}) \
+        .withColumn("entry_count", F.size("entries")).withColumn("entry_count", F.when(F.col("entry_count") >= 0, F.col("entry_count"))).drop("kind")

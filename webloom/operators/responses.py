@@ -1,21 +1,19 @@
 """Captured HTTP responses: gates, byte cap, charset, decoding, header maps, redirects.
 
-Redirect chains are resolved by an unrolled sequence of equi-joins of the
-active frontier against ``response_log`` on the URL (N <= 10 hops).  The
-frontier only shrinks, so after the first hop AQE turns the join into a
-broadcast of the small side; nothing is collected to the driver.  The
-normalised log and every hop are reliable checkpoints in the cluster's
-checkpoint folder, which bounds the plan size and the recompute after an
-executor loss to one hop.
+Redirect chains are followed by pointer doubling. Each captured URL is one node; its redirect target is resolved once,
+whatever number of chains pass through it. Jump tables over the 3xx nodes alone (2, 4, 8 hops) are built by joining
+the table of half as many hops with itself; each 3xx node then takes the largest jumps that the limit leaves room for.
+Starts meet the result in two joins, whatever the limit is, and rows that are settled are never carried along. The
+nodes are a reliable checkpoint in the cluster's checkpoint folder; nothing is collected to the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import urls
-from ..functions.constants import PAGE_TYPES, REDIRECT_STATUSES, WS
+from ..functions.constants import FEED_TYPES, PAGE_TYPES, REDIRECT_STATUSES, WS
 from ..functions.text import js_trim
 from ..options import MAX_BYTES, MAX_REDIRECTS, SNIFF_BYTES, TIMEOUT_MS, clamp
 from ..session import checkpoint_dir
@@ -153,62 +151,94 @@ def header_map(heads: DataFrame) -> DataFrame:
     return good.unionByName(bad)
 
 
+def profiles(spark: SparkSession) -> DataFrame:
+    """R3 as a table: ``(profile, media)``, the media types that page and feed reads accept."""
+    return spark.createDataFrame([("page", t) for t in PAGE_TYPES] + [("feed", t) for t in FEED_TYPES], "profile string, media string")
+
+
+def capture_nodes(log: DataFrame, timeout_ms: int | None = None) -> DataFrame:
+    """One row for each captured URL without its fragment (of several captures the one with the smallest page_id, then
+    URL): ``(key, capture_id, capture_url, status, media, outcome, nxt)``.
+
+    ``outcome``: why a fetch ends here; NULL at a redirect that can be followed (``nxt``) and at a 2xx response whose
+    media type is still to be asked for. A column ``body_error`` of the log, where there is one, says that the body
+    could not be read.
+    """
+    checkpoint_dir(log.sparkSession)
+    error = F.col("body_error").cast("string") if "body_error" in log.columns else F.lit(None).cast("string")
+    kept = ["status", "location", "content_type", "elapsed_ms", "body_error"]
+    rows = log.select("page_id", "url", "status", "location", "content_type", "elapsed_ms", error.alias("body_error"))
+    keyed = urls.gate(rows, "url", out="key", reason="_lw").filter(F.col("key").isNotNull())
+    nodes = keyed.groupBy(F.substring_index("key", "#", 1).alias("key")).agg(F.min(F.struct("page_id", "url", *kept)).alias("c")) \
+        .select("key", F.col("c.page_id").alias("capture_id"), F.col("c.url").alias("capture_url"), *[f"c.{k}" for k in kept])
+    late = F.coalesce(F.col("elapsed_ms") > clamp(timeout_ms, TIMEOUT_MS), F.lit(False))
+    redirect = F.col("status").isin(*REDIRECT_STATUSES)
+    named = F.coalesce(F.col("location"), F.lit("")) != ""
+    nodes = nodes.withColumn("target", F.when(redirect & ~late & named, F.col("location")))
+    nodes = urls.resolve(nodes, "target", "key", out="nxt", reason="nwhy", junk_filter=False)
+    why = (F.when(F.col("nwhy") == "unsupported_scheme", F.lit("unsupported protocol"))
+           .when(F.col("nwhy").isNotNull(), F.lit("invalid URL"))
+           .when(F.col("nxt").rlike("^[a-z]+://[^/?#]*@"), F.lit("embedded credentials")))
+    outcome = (F.when(F.col("status").isNull(), F.lit("fetch failed"))
+               .when(late, F.lit("timed out"))
+               .when(redirect & ~named, F.lit("redirect without Location"))
+               .when(redirect, why)
+               .when(~F.col("status").between(200, 299), F.lit("HTTP status")))
+    nodes = nodes.select("key", "capture_id", "capture_url", "status", media_type("content_type").alias("media"), "body_error",
+                         F.col("target").isNotNull().alias("redirects"), outcome.alias("outcome"), "nxt")
+    return nodes.withColumn("nxt", F.when(F.col("outcome").isNull(), F.col("nxt"))).checkpoint()
+
+
+def jump_ends(nodes: DataFrame, limit: int) -> DataFrame:
+    """``(start, to, at, hops)`` for each redirecting node: where up to ``limit`` hops lead (URL and node key)."""
+    at = F.substring_index("to", "#", 1)
+    jump = nodes.filter(F.col("nxt").isNotNull()).select("key", F.col("nxt").alias("to")).withColumn("at", at)
+    ends = jump.select(F.col("key").alias("start"), F.lit(None).cast("string").alias("to"), F.col("key").alias("at"), F.lit(0).alias("hops"))
+    jumps = [jump] if limit else []
+    for _ in range(1, limit.bit_length()):
+        last = jumps[-1]
+        after = last.select(F.col("key").alias("at"), F.col("to").alias("to2"))
+        doubled = last.join(after, "at").select("key", F.col("to2").alias("to")).withColumn("at", at)
+        # a table of hops is read for the next one and for the walk; without a cut its plan would double each time
+        jumps.append(doubled.checkpoint() if limit.bit_length() > 2 else doubled)
+    for power in reversed(range(len(jumps))):
+        step = jumps[power].select(F.col("key").alias("from"), F.col("to").alias("to2"), F.col("at").alias("at2"))
+        asked = F.when(F.col("hops") + (1 << power) <= limit, F.col("at"))
+        gone = F.col("to2").isNotNull()
+        ends = ends.withColumn("from", asked).join(step, "from", "left").select(
+            "start", F.coalesce("to2", "to").alias("to"), F.coalesce("at2", "at").alias("at"),
+            (F.col("hops") + F.when(gone, 1 << power).otherwise(0)).alias("hops"))
+    return ends
+
+
 def resolve_redirects(log: DataFrame, starts: DataFrame, max_redirects: int | None = None,
-                      timeout_ms: int | None = None, allowed=PAGE_TYPES) -> DataFrame:
+                      timeout_ms: int | None = None, profile: str = "page") -> DataFrame:
     """Follow every start URL through the log.
 
-    -> ``(page_id, url, final_url, hops, status, outcome, capture_id)``; ``capture_id`` is the page_id of the
-    capture that answered an ok chain; outcome 'ok' or the reference's error class.
+    -> ``(page_id, url, final_url, hops, status, outcome, capture_id, capture_url)``: outcome 'ok' or the reference's
+    error class; the last two tell the capture that answered an ok chain. Starts may be read by profiles of their own
+    (column ``profile``: 'page' or 'feed').
     """
-    n = clamp(max_redirects, MAX_REDIRECTS)
-    t = clamp(timeout_ms, TIMEOUT_MS)
-    g = urls.gate(starts.select("page_id", "url"), "url", out="cur", reason="why")
-    cols = ["page_id", "url", "final_url", "hops", "status", "outcome", "capture_id"]
-    no_capture = F.lit(None).cast("long").alias("capture_id")
-    done = [g.filter(F.col("cur").isNull()).select(
-        "page_id", "url", F.lit(None).cast("string").alias("final_url"), F.lit(0).alias("hops"),
-        F.lit(None).cast("int").alias("status"), F.col("why").alias("outcome"), no_capture)]
-    active = g.filter(F.col("cur").isNotNull()).select("page_id", "url", "cur")
-    # the log is keyed by the normalised URL of each capture; it is joined once per hop, so it is
-    # materialised once (reliable checkpoint in the shared checkpoint folder) instead of recomputed
-    checkpoint_dir(log.sparkSession)
-    keyed = urls.gate(log.select("page_id", "url", "status", "location", "content_type", "elapsed_ms"), "url", out="key",
-                      reason="_lw").filter(F.col("key").isNotNull())
-    # one capture for each URL without its fragment: the one with the smallest page_id
-    kept = ["status", "location", "content_type", "elapsed_ms"]
-    lg = keyed.groupBy(F.substring_index("key", "#", 1).alias("key")).agg(
-        F.min(F.struct("page_id", *kept)).alias("c")).select("key", F.col("c.page_id").alias("capture_id"), *[f"c.{k}" for k in kept]).checkpoint()
-    for hop in range(n + 1):
-        j = active.withColumn("key", F.substring_index("cur", "#", 1)).join(lg, "key", "left").drop("key")
-        redirect = F.col("status").isin(*REDIRECT_STATUSES)
-        outcome = (F.when(F.col("status").isNull(), F.lit("fetch failed"))
-                   .when(F.col("elapsed_ms") > t, F.lit("timed out"))
-                   .when(redirect & (F.col("location").isNull() | (F.col("location") == "")),
-                         F.lit("redirect without Location"))
-                   .when(redirect & F.lit(hop == n), F.lit("too many redirects"))
-                   .when(redirect, F.lit(None))
-                   .when(~F.col("status").between(200, 299), F.lit("HTTP status"))
-                   .when(~media_type("content_type").isin(*allowed), F.lit("unsupported content type"))
-                   .otherwise(F.lit("ok")))
-        # cut the lineage per hop: each hop's plan stays small and a lost executor recomputes one hop
-        j = j.withColumn("outcome", outcome).checkpoint()
-        done.append(j.filter(F.col("outcome").isNotNull()).select(
-            "page_id", "url", F.col("cur").alias("final_url"), F.lit(hop).alias("hops"),
-            F.when(~F.col("outcome").isin("fetch failed", "timed out"), F.col("status")).alias("status"),
-            "outcome", F.when(F.col("outcome") == "ok", F.col("capture_id").cast("long")).alias("capture_id")))
-        if hop == n:
-            break
-        nxt = urls.resolve(j.filter(F.col("outcome").isNull()), "location", "cur", out="nxt", reason="nwhy",
-                           junk_filter=False)
-        why = (F.when(F.col("nwhy") == "unsupported_scheme", F.lit("unsupported protocol"))
-               .when(F.col("nwhy").isNotNull(), F.lit("invalid URL"))
-               .when(F.col("nxt").rlike("^[a-z]+://[^/?#]*@"), F.lit("embedded credentials")))
-        nxt = nxt.withColumn("why", why).select("page_id", "url", "cur", "status", "nxt", "why").checkpoint()
-        done.append(nxt.filter(F.col("why").isNotNull()).select(
-            "page_id", "url", F.col("cur").alias("final_url"), F.lit(hop).alias("hops"),
-            F.col("status"), F.col("why").alias("outcome"), no_capture))
-        active = nxt.filter(F.col("why").isNull()).select("page_id", "url", F.col("nxt").alias("cur"))
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out.select(*cols)
+    limit = clamp(max_redirects, MAX_REDIRECTS)
+    nodes = capture_nodes(log, timeout_ms)
+    own = F.col("profile") if "profile" in starts.columns else F.lit(profile).alias("profile")
+    g = urls.gate(starts.select("page_id", "url", own), "url", out="cur", reason="why")
+    no_id, no_text = F.lit(None).cast(dict(log.dtypes)["page_id"]), F.lit(None).cast("string")
+    never = g.filter(F.col("cur").isNull()).select("page_id", "url", no_text.alias("final_url"), F.lit(0).alias("hops"), F.lit(None).cast("int").alias("status"),
+                                                   F.col("why").alias("outcome"), no_id.alias("capture_id"), no_text.alias("capture_url"))
+    active = g.filter(F.col("cur").isNotNull()).withColumn("start", F.substring_index("cur", "#", 1))
+    reached = active.join(jump_ends(nodes, limit), "start", "left").select(
+        "page_id", "url", "profile", F.coalesce("to", "cur").alias("final_url"), F.coalesce("at", "start").alias("key"), F.coalesce("hops", F.lit(0)).alias("hops"))
+    accepted = profiles(log.sparkSession).withColumn("accepted", F.lit(True))
+    j = reached.join(nodes, "key", "left").join(accepted, ["profile", "media"], "left")
+    outcome = (F.when(F.col("status").isNull(), F.lit("fetch failed"))
+               .when(F.col("redirects") & (F.col("hops") == limit), F.lit("too many redirects"))
+               .when(F.col("outcome").isNotNull(), F.col("outcome"))
+               .when(F.col("accepted").isNull(), F.lit("unsupported content type"))
+               .when(F.col("body_error").isNotNull(), F.lit("body read failed"))
+               .otherwise(F.lit("ok")))
+    j = j.withColumn("outcome", outcome)
+    ok = F.col("outcome") == "ok"
+    done = j.select("page_id", "url", "final_url", "hops", F.when(~F.col("outcome").isin("fetch failed", "timed out"), F.col("status")).alias("status"),
+                    "outcome", F.when(ok, F.col("capture_id")).alias("capture_id"), F.when(ok, F.col("capture_url")).alias("capture_url"))
+    return never.unionByName(done)

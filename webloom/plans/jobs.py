@@ -46,7 +46,7 @@ def tokens_job(spark, sf_dir):
 @job("visible_depth")
 def visible_depth_job(spark, sf_dir):
     """Per page token counts and the clamped skip / pre depths."""
-    s = html.page_state(tables.pages(spark, sf_dir)).filter(F.col("tok") != "")
+    s = html.page_state(tables.web_pages(spark, sf_dir)).filter(F.col("tok") != "")
     text = F.col("kind") == "text"
     return s.groupBy("page_id").agg(
         F.count("*").alias("n_tokens"),
@@ -73,7 +73,7 @@ def page_text_job(spark, sf_dir):
 @job("page_markdown")
 def page_markdown_job(spark, sf_dir):
     """Markdown content (headings, lists, fences, links, images)."""
-    ex = html.extract(tables.pages(spark, sf_dir), ExtractOptions.of("markdown"), with_links=False)
+    ex = html.extract(tables.web_pages(spark, sf_dir), ExtractOptions.of("markdown"), with_links=False)
     return ex.select("page_id", "content", F.col("length").cast("int").alias("length"), "truncated")
 
 
@@ -94,14 +94,21 @@ def raw_links_job(spark, sf_dir):
 @job("page_images")
 def page_images_job(spark, sf_dir):
     """Images with alt and src."""
-    im = html.images(html.page_state(tables.pages(spark, sf_dir)))
+    im = html.images(html.page_state(tables.web_pages(spark, sf_dir)))
     return im.select("page_id", F.col("pos").cast("int").alias("pos"), "alt", "src")
 
 
+@job("tag_attributes")
+def tag_attributes_job(spark, sf_dir):
+    """Attributes of every opening tag, the last of equal names, values as written."""
+    t = html.tokenize(tables.web_pages(spark, sf_dir), clustered=True).filter((F.col("kind") == "tag") & ~F.col("closing"))
+    return t.select("page_id", F.col("pos").cast("int").alias("pos"), "name", F.explode(html.attributes("tok")).alias("attribute", "value"))
+
+
 @job("page_outline")
 def page_outline_job(spark, sf_dir):
     """Headings of the whole page, from its tokens."""
-    ol = html.outline(html.page_state(tables.pages(spark, sf_dir)))
+    ol = html.outline(html.page_state(tables.web_pages(spark, sf_dir)))
     return ol.select("page_id", F.col("pos").cast("int").alias("pos"), F.col("level").cast("int").alias("level"), "text")
 
 
@@ -109,6 +116,9 @@ def page_outline_job(spark, sf_dir):
 
 from ..functions import urls  # noqa: E402
 from ..operators import links as L  # noqa: E402
+from ..options import MAX_BYTES  # noqa: E402
+
+SIZE_CAP_BYTES = MAX_BYTES[1]  # smallest allowed cap (10,000 bytes): it fires on the test pages
 
 
 @job("url_gate")
@@ -180,6 +190,34 @@ def web_fetch_job(spark, sf_dir):
     return L.web_fetch(tables.response_log(spark, sf_dir), tables.pages(spark, sf_dir))
 
 
+@job("web_links")
+def web_links_job(spark, sf_dir):
+    """Link inventory of every page URL fetched from the captured log."""
+    return L.web_links(tables.response_log(spark, sf_dir), tables.pages(spark, sf_dir))
+
+
+def _feed_reads(spark, sf_dir):
+    """The log of pages and feeds side by side, and all URLs to read as feeds."""
+    log = tables.response_log(spark, sf_dir).unionByName(tables.feed_log(spark, sf_dir))
+    starts = tables.feeds(spark, sf_dir).select((-1 - F.col("first_doc")).alias("page_id"), "url").unionByName(tables.pages(spark, sf_dir).select("page_id", "url"))
+    return log, starts
+
+
+@job("web_feed")
+def web_feed_job(spark, sf_dir):
+    """Every feed and page URL read as a feed from the captured log, one row each (byte cap 10,000)."""
+    log, starts = _feed_reads(spark, sf_dir)
+    return L.web_feed(log, starts, max_bytes=SIZE_CAP_BYTES).drop("entries")
+
+
+@job("web_feed_entries")
+def web_feed_entries_job(spark, sf_dir):
+    """The entries of those reads, in order, with content."""
+    log, starts = _feed_reads(spark, sf_dir)
+    r = L.web_feed(log, starts, max_items=50, include_content=True, max_bytes=SIZE_CAP_BYTES)
+    return r.select("page_id", "final_url", F.posexplode("entries").alias("pos", "e")).select("page_id", "final_url", "pos", "e.*")
+
+
 # --------------------------------------------------------------------------- reports
 
 from ..operators import reports as R  # noqa: E402
@@ -255,9 +293,6 @@ def feed_report_job(spark, sf_dir):
 # --------------------------------------------------------------------------- responses
 
 from ..operators import responses as RS  # noqa: E402
-from ..options import MAX_BYTES  # noqa: E402
-
-SIZE_CAP_BYTES = MAX_BYTES[1]  # smallest allowed cap (10,000 bytes): it fires on the test pages
 
 
 @job("response_scan")
@@ -320,7 +355,7 @@ def header_map_job(spark, sf_dir):
 def redirect_resolve_job(spark, sf_dir):
     """Every page URL followed through the log (max 3 redirects), final URL and outcome."""
     log = tables.response_log(spark, sf_dir)
-    return RS.resolve_redirects(log, tables.pages(spark, sf_dir)).drop("capture_id")
+    return RS.resolve_redirects(log, tables.pages(spark, sf_dir)).drop("capture_id", "capture_url")
 
 
 @job("fetch_outcome")

@@ -17,13 +17,25 @@ def sql(name: str, text: str) -> None:
 
 # --------------------------------------------------------------------------- pages
 
+from ..sources.tables import FEED_BUCKET, MIXED, MIXED_BUCKET, SNIPPETS  # noqa: E402
+from .sqlfn import q  # noqa: E402
+
+
+def _snippet(text: str) -> str:
+    return f"replace({q(text)}, '{{url}}', url)" if "{url}" in text else q(text)
+
+
+# ``pages`` with the snippets of the fixture
+PW = ("pw AS (SELECT page_id, url, coalesce(html, '') || CASE page_id % " + str(len(SNIPPETS)) + " "
+      + " ".join(f"WHEN {i} THEN {_snippet(t)}" for i, t in enumerate(SNIPPETS)) + " END AS html FROM pages)")
+
 sql("tokens", f"""
 WITH {P.tokens_ctes()}
 SELECT page_id, CAST(pos AS INTEGER) AS pos, kind, name, closing, tok FROM tk WHERE tok <> ''
 """)
 
 sql("visible_depth", f"""
-WITH {P.state_ctes()}
+WITH {PW}, {P.state_ctes("pw")}
 SELECT page_id, count(*) AS n_tokens, count(CASE WHEN kind = 'text' THEN 1 END) AS n_text,
   count(CASE WHEN kind = 'text' AND active AND skip = 0 THEN 1 END) AS n_visible_text,
   CAST(max(skip) AS INTEGER) AS max_skip_depth, CAST(max(pre) AS INTEGER) AS max_pre_depth
@@ -41,7 +53,7 @@ SELECT page_id, content, CAST(length AS INTEGER) AS length, truncated FROM ex
 """)
 
 sql("page_markdown", f"""
-WITH {P.extract_ctes(True, 50_000)}
+WITH {PW}, {P.extract_ctes(True, 50_000, "pw")}
 SELECT page_id, content, CAST(length AS INTEGER) AS length, truncated FROM ex
 """)
 
@@ -55,15 +67,25 @@ WITH {P.raw_links_ctes()}
 SELECT page_id, CAST(link_pos AS INTEGER) AS link_pos, text, href FROM raw_links
 """)
 
+sql("tag_attributes", f"""
+WITH {PW}, {P.tokens_ctes("pw")},
+att AS (SELECT page_id, pos, name, unnest(l) AS a, unnest(range(len(l))) AS i FROM
+  (SELECT *, regexp_extract_all(tok, {q(P.ATTR_RE)}) AS l FROM tk WHERE kind = 'tag' AND NOT closing)),
+av AS (SELECT page_id, pos, name, i, lower(regexp_extract(a, '^[^=[:space:]]+')) AS attribute,
+  regexp_extract(a, '(?s)=[^"'']*"(.*)"$', 1) || regexp_extract(a, '(?s)=[^"'']*''(.*)''$', 1) || regexp_extract(a, '=[[:space:]]*([^"''[:space:]]+)$', 1) AS value FROM att)
+SELECT page_id, CAST(pos AS INTEGER) AS pos, name, attribute, value FROM av
+QUALIFY row_number() OVER (PARTITION BY page_id, pos, attribute ORDER BY i DESC) = 1
+""")
+
 sql("page_images", f"""
-WITH {P.state_ctes()}
+WITH {PW}, {P.state_ctes("pw")}
 SELECT page_id, CAST(pos AS INTEGER) AS pos, {P.js_trim(f"coalesce({P.attr('tok', 'alt')}, '')")} AS alt,
   coalesce({P.attr('tok', 'src')}, '') AS src
 FROM st WHERE active AND kind = 'tag' AND NOT closing AND name = 'img'
 """)
 
 sql("page_outline", f"""
-WITH {P.state_ctes()},
+WITH {PW}, {P.state_ctes("pw")},
 hd AS (
   SELECT page_id, pos, tok, kind, active AND kind = 'text' AND skip = 0 AS txt,
     CASE WHEN active AND kind = 'tag' AND NOT closing AND skip = 0 AND name IN ('h1', 'h2', 'h3', 'h4', 'h5', 'h6')
@@ -83,13 +105,12 @@ FROM hg WHERE text <> ''
 # --------------------------------------------------------------------------- URLs and links
 
 from . import sqlurl as U  # noqa: E402
-from .sqlfn import q  # noqa: E402
 from ..functions.constants import TRUNCATED_PAGE_NOTE  # noqa: E402
 
 GATED = U.gate_ctes("pages", "url", "pgg") + """,
 gp AS (SELECT page_id, url, final_url FROM pgg WHERE final_url IS NOT NULL)"""
 
-RESOLVED = P.raw_links_ctes() + ",\n" + GATED + """,
+RESOLVED = PW + ", " + P.raw_links_ctes("pw") + ",\n" + GATED + """,
 rj AS (SELECT r.*, g.final_url FROM raw_links r JOIN pgg g USING (page_id)),
 """ + U.resolve_ctes("rj", "href", "final_url", "rs0") + """,
 rs AS (SELECT * REPLACE (CASE WHEN final_url IS NOT NULL THEN resolved END AS resolved,
@@ -157,7 +178,7 @@ SELECT href, count(*) AS n_pages FROM targets
 WHERE NOT EXISTS (SELECT 1 FROM gp WHERE gp.final_url = targets.href) GROUP BY href
 """)
 
-PAGE_EXTRACT = P.extract_ctes(True, 50_000) + ",\n" + GATED + """,
+PAGE_EXTRACT = PW + ", " + P.extract_ctes(True, 50_000, "pw") + ",\n" + GATED + """,
 exj AS (SELECT ex.*, pgg.url, pgg.final_url, pgg.reason FROM ex JOIN pgg USING (page_id)),
 lk0 AS (SELECT page_id, final_url, unnest(links) AS l, unnest(range(len(links))) AS lpos FROM exj),
 lk1 AS (SELECT page_id, final_url, lpos, l.text AS l_text, l.href AS l_href FROM lk0 WHERE final_url IS NOT NULL),
@@ -201,19 +222,25 @@ FROM pgg LEFT JOIN per USING (page_id)
 # --------------------------------------------------------------------------- feeds
 
 from ..operators import feeds as FD  # noqa: E402
-from ..functions.constants import TRUNCATED_FEED_NOTE, UNTITLED, ELLIPSIS  # noqa: E402
-from .sqlfn import clean_feed_text, cap_with_ellipsis  # noqa: E402
-from ..sources.tables import FEED_BUCKET  # noqa: E402
+from ..functions.constants import TRUNCATED_FEED_NOTE, UNTITLED  # noqa: E402
+from .sqlfn import clean_feed_text, cap_with_ellipsis, in_list  # noqa: E402
 
 
 def _esc(x):
     return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 
 
-_TS = "strftime(TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(doc_id AS INTEGER)), '%Y-%m-%dT%H:%M:%SZ')"
+_AT = "(TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(doc_id AS INTEGER)))"
+# the six forms of a date, and the moment each of them names
+_TS = (f"CASE doc_id % 6 WHEN 1 THEN strftime({_AT}, '%a, %d %b %Y %H:%M:%S GMT') WHEN 2 THEN strftime({_AT}, '%d %b %y %H:%M +0000') "
+       f"WHEN 3 THEN strftime({_AT}, '%d %B %Y') WHEN 4 THEN strftime({_AT}, '%Y-%m-%d') "
+       f"WHEN 5 THEN strftime({_AT} + INTERVAL 2 HOURS, '%Y-%m-%dT%H:%M:%S+02:00') ELSE strftime({_AT}, '%Y-%m-%dT%H:%M:%SZ') END")
+_MOMENT = f"strftime(CASE WHEN doc_id % 6 IN (3, 4) THEN date_trunc('day', {_AT}) ELSE {_AT} END, '%Y-%m-%d %H:%M:%S')"
+_GRP = f"CASE WHEN {in_list('source', MIXED)} THEN 'mixed' ELSE source END"
+_BUCKET = f"doc_id // CASE WHEN {in_list('source', MIXED)} THEN {MIXED_BUCKET} ELSE {FEED_BUCKET} END"
 FEEDS = f"""
 fd0 AS (
-  SELECT source, lang, doc_id // {FEED_BUCKET} AS bucket, string_agg(CASE WHEN lang = 'en' THEN
+  SELECT {_GRP} AS grp, lang, {_BUCKET} AS bucket, min(doc_id) AS first_doc, string_agg(CASE WHEN lang = 'en' THEN
     '<item><title>' || {_esc('text')} || '</title><link>/doc/' || CAST(doc_id AS VARCHAR)
     || '</link><dc:date>' || {_TS} || '</dc:date><dc:creator>' || source || '</dc:creator><description>'
     || {_esc('text')} || '</description><content:encoded><![CDATA[<p>'
@@ -225,19 +252,19 @@ fd0 AS (
     || '</name></author><summary type="html">&lt;p&gt;' || {_esc('text')}
     || '&lt;/p&gt;</summary></entry>'
   END, '' ORDER BY doc_id) AS body
-  FROM documents GROUP BY source, lang, doc_id // {FEED_BUCKET}
+  FROM documents GROUP BY 1, 2, 3
 ),
 fd1 AS (
-  SELECT source || '/' || lang || '/' || CAST(bucket AS VARCHAR) AS feed_id,
-    'https://' || source || '.example.com/' || lang || '/feed-' || CAST(bucket AS VARCHAR) || '.xml' AS url,
+  SELECT grp || '/' || lang || '/' || CAST(bucket AS VARCHAR) AS feed_id, lang, first_doc,
+    'https://' || grp || '.example.com/' || lang || '/feed-' || CAST(bucket AS VARCHAR) || '.xml' AS url,
     CASE WHEN lang = 'en' THEN '<?xml version="1.0" encoding="UTF-8"?><rss version="2.0"><channel><title>'
-      || source || ' ' || lang || '</title>' || body || '</channel></rss>'
+      || grp || ' ' || lang || '</title>' || body || '</channel></rss>'
     ELSE '<?xml version="1.0" encoding="utf-8"?><feed xmlns="http://www.w3.org/2005/Atom"><title>'
-      || source || ' ' || lang || '</title>' || body || '</feed>' END AS xml
+      || grp || ' ' || lang || '</title>' || body || '</feed>' END AS xml
   FROM fd0
 ),
 {U.gate_ctes("fd1", "url", "fd2")},
-feeds AS (SELECT feed_id, url, xml, final_url, false AS truncated FROM fd2)"""
+feeds AS (SELECT feed_id, url, xml, final_url, false AS truncated, first_doc, lang FROM fd2)"""
 
 
 def _parsed(src: str, out: str) -> str:
@@ -380,9 +407,12 @@ rlog AS (
          WHEN p.page_id % 25 = 7 THEN 404 WHEN p.page_id % 25 = 8 THEN 302 ELSE 200 END AS INTEGER) AS status,
     CASE WHEN p.page_id % 50 = 49 THEN p.url
          WHEN p.page_id % 10 = 0 OR p.page_id % 20 = 1 THEN coalesce(n.url, 'https://gone.example.com/') END AS location,
-    CASE WHEN p.page_id % 15 = 4 THEN 'application/json' WHEN p.page_id % 15 = 5 THEN NULL
+    CASE WHEN p.page_id % 15 = 4 THEN 'application/json' WHEN p.page_id % 15 = 5 THEN NULL WHEN p.page_id % 15 = 6 THEN 'Text/Plain'
+         WHEN length(p.html) = strlen(p.html) AND p.page_id % 15 = 7 THEN 'text/html; charset=ISO-8859-1'
+         WHEN length(p.html) = strlen(p.html) AND p.page_id % 15 = 9 THEN 'text/html;charset="windows-1251"'
+         WHEN length(p.html) = strlen(p.html) AND p.page_id % 15 = 11 THEN 'application/xhtml+xml; charset=big5'
          ELSE 'text/html; charset=utf-8' END AS content_type,
-    CAST((p.page_id * 37) % 12000 AS INTEGER) AS elapsed_ms,
+    CAST((p.page_id * 37) % 12000 AS INTEGER) AS elapsed_ms, CASE WHEN p.page_id % 40 = 13 THEN 'reset' END AS body_error,
     encode(p.html) AS body
   FROM pages p LEFT JOIN pages n ON n.page_id = p.page_id + 1
 )"""
@@ -428,7 +458,7 @@ def _byte_prefix_ctes(src: str, out: str, col: str, nbytes: int) -> str:
     """``out`` = ``src`` + ``_head``: longest character prefix of ``col`` within ``nbytes`` UTF-8 bytes
     (binary search, one CTE per step so no expression is duplicated)."""
     ctes, prev_cte, prev = [], src, "0"
-    step, i = 2048, 0
+    step, i = 1 << (nbytes.bit_length() - 1), 0
     while step >= 1:
         name = f"{out}_s{i}"
         keep = "" if i == 0 else f" EXCLUDE (_m{i - 1})"
@@ -456,7 +486,7 @@ cs AS (SELECT *, {_charset('content_type')} AS charset FROM rh)
 SELECT page_id, charset,
   CASE WHEN regexp_replace(lower(charset), '[_-]', '', 'g') = 'utf8' THEN 'utf-8'
        WHEN {in_list('lower(charset)', RS.LATIN1_LABELS)} THEN 'windows-1252'
-       WHEN lower(charset) IN ('utf-16le', 'utf-16') THEN 'utf-16le' WHEN lower(charset) = 'utf-16be' THEN 'utf-16be'
+       WHEN lower(charset) = 'windows-1251' THEN 'windows-1251' WHEN lower(charset) IN ('utf-16le', 'utf-16') THEN 'utf-16le' WHEN lower(charset) = 'utf-16be' THEN 'utf-16be'
        ELSE 'utf-8 (charset_unsupported)' END AS decoder,
   decode(body) AS text
 FROM cs
@@ -483,72 +513,110 @@ FROM fl WHERE NOT ok
 """)
 
 
-def _redirect_ctes(n: int = 3, timeout: int = 10_000, allowed=PAGE_TYPES) -> str:
-    parts = [RLOG, U.gate_ctes("pages", "url", "g0", out="cur", reason="why"),
-             U.gate_ctes("rlog", "url", "lgg", out="cur", reason="_lw"),
-             "lg AS (SELECT split_part(cur, '#', 1) AS key, page_id AS capture_id, status, location, content_type, elapsed_ms FROM lgg "
-             "WHERE cur IS NOT NULL QUALIFY row_number() OVER (PARTITION BY split_part(cur, '#', 1) ORDER BY page_id) = 1)",
-             "d_init AS (SELECT page_id, url, CAST(NULL AS VARCHAR) AS final_url, 0 AS hops, "
-             "CAST(NULL AS INTEGER) AS status, why AS outcome, CAST(NULL AS BIGINT) AS capture_id FROM g0 WHERE cur IS NULL)",
-             "a0 AS (SELECT page_id, url, cur FROM g0 WHERE cur IS NOT NULL)"]
-    unions = ["SELECT * FROM d_init"]
+def _redirect_ctes(n: int = 3, timeout: int = 10_000, allowed=PAGE_TYPES, log: str = "rlog", starts: str = "pages") -> str:
+    """CTE ``chain``: every start walked hop by hop (recursive, to be used with WITH RECURSIVE)."""
     redir = f"status IN {tuple(REDIRECT_STATUSES)}"
-    for h in range(n + 1):
-        parts.append(f"""j{h} AS (
-  SELECT a.page_id, a.url, a.cur, lg.capture_id, lg.status, lg.location, lg.content_type, lg.elapsed_ms,
-    CASE WHEN lg.status IS NULL THEN 'fetch failed' WHEN lg.elapsed_ms > {timeout} THEN 'timed out'
-         WHEN {redir} AND (lg.location IS NULL OR lg.location = '') THEN 'redirect without Location'
-         WHEN {redir} AND {'true' if h == n else 'false'} THEN 'too many redirects'
-         WHEN {redir} THEN NULL
-         WHEN NOT (lg.status BETWEEN 200 AND 299) THEN 'HTTP status'
-         WHEN NOT {in_list(_media('lg.content_type'), allowed)} THEN 'unsupported content type'
-         ELSE 'ok' END AS outcome
-  FROM a{h} a LEFT JOIN lg ON lg.key = split_part(a.cur, '#', 1))""")
-        parts.append(f"""d{h} AS (SELECT page_id, url, cur AS final_url, {h} AS hops,
-  CASE WHEN outcome NOT IN ('fetch failed', 'timed out') THEN status END AS status, outcome,
-  CASE WHEN outcome = 'ok' THEN capture_id END AS capture_id FROM j{h}
-  WHERE outcome IS NOT NULL)""")
-        unions.append(f"SELECT * FROM d{h}")
-        if h == n:
-            break
-        parts.append(f"jn{h} AS (SELECT * FROM j{h} WHERE outcome IS NULL)")
-        parts.append(U.resolve_ctes(f"jn{h}", "location", "cur", f"rr{h}", out="nxt", reason="nwhy",
-                                    junk_filter=False))
-        parts.append(f"""w{h} AS (SELECT *, CASE WHEN nwhy = 'unsupported_scheme' THEN 'unsupported protocol'
-  WHEN nwhy IS NOT NULL THEN 'invalid URL' WHEN regexp_matches(nxt, '^[a-z]+://[^/?#]*@') THEN 'embedded credentials'
-  END AS why2 FROM rr{h})""")
-        parts.append(f"e{h} AS (SELECT page_id, url, cur AS final_url, {h} AS hops, status, why2 AS outcome, "
-                     f"CAST(NULL AS BIGINT) AS capture_id FROM w{h} WHERE why2 IS NOT NULL)")
-        unions.append(f"SELECT * FROM e{h}")
-        parts.append(f"a{h + 1} AS (SELECT page_id, url, nxt AS cur FROM w{h} WHERE why2 IS NULL)")
-    parts.append("chain AS (" + " UNION ALL ".join(unions) + ")")
-    return ",\n".join(parts)
+    return ",\n".join([
+        U.gate_ctes(f"(SELECT page_id, url FROM {starts})", "url", "g0", out="cur", reason="why"),
+        U.gate_ctes(log, "url", "lgg", out="cur", reason="_lw"),
+        "lg AS (SELECT split_part(cur, '#', 1) AS key, page_id AS capture_id, url AS capture_url, status, location, content_type, elapsed_ms, body_error FROM lgg "
+        "WHERE cur IS NOT NULL QUALIFY row_number() OVER (PARTITION BY split_part(cur, '#', 1) ORDER BY page_id, url) = 1)",
+        U.resolve_ctes("lg", "location", "key", "lr", out="to_url", reason="to_why", junk_filter=False),
+        f"""walk AS (
+  SELECT page_id, url, cur, 0 AS hops FROM g0 WHERE cur IS NOT NULL
+  UNION ALL
+  SELECT w.page_id, w.url, lr.to_url, w.hops + 1 FROM walk w JOIN lr ON lr.key = split_part(w.cur, '#', 1)
+  WHERE w.hops < {n} AND {redir} AND elapsed_ms <= {timeout} AND location <> '' AND to_url IS NOT NULL AND NOT regexp_matches(to_url, '^[a-z]+://[^/?#]*@'))""",
+        "tip AS (SELECT * FROM walk QUALIFY row_number() OVER (PARTITION BY page_id, url ORDER BY hops DESC) = 1)",
+        f"""chain0 AS (
+  SELECT t.page_id, t.url, t.cur AS final_url, t.hops, lr.status,
+    CASE WHEN lr.status IS NULL THEN 'fetch failed' WHEN elapsed_ms > {timeout} THEN 'timed out'
+         WHEN {redir} AND (location IS NULL OR location = '') THEN 'redirect without Location' WHEN {redir} AND hops = {n} THEN 'too many redirects'
+         WHEN {redir} AND to_why = 'unsupported_scheme' THEN 'unsupported protocol' WHEN {redir} AND to_why IS NOT NULL THEN 'invalid URL'
+         WHEN {redir} THEN 'embedded credentials' WHEN NOT (lr.status BETWEEN 200 AND 299) THEN 'HTTP status'
+         WHEN NOT {in_list(_media('lr.content_type'), allowed)} THEN 'unsupported content type' WHEN body_error IS NOT NULL THEN 'body read failed'
+         ELSE 'ok' END AS outcome, capture_id, capture_url, content_type
+  FROM tip t LEFT JOIN lr ON lr.key = split_part(t.cur, '#', 1))""",
+        """chain AS (
+  SELECT page_id, url, final_url, hops, CASE WHEN outcome NOT IN ('fetch failed', 'timed out') THEN status END AS status, outcome,
+    CASE WHEN outcome = 'ok' THEN capture_id END AS capture_id, CASE WHEN outcome = 'ok' THEN capture_url END AS capture_url, content_type FROM chain0
+  UNION ALL SELECT page_id, url, NULL, 0, NULL, why, NULL, NULL, NULL FROM g0 WHERE cur IS NULL)"""])
 
 
 sql("redirect_resolve", f"""
-WITH {_redirect_ctes()}
+WITH RECURSIVE {RLOG}, {_redirect_ctes()}
 SELECT page_id, url, final_url, hops, status, outcome FROM chain
 """)
 
-sql("web_fetch", f"""
-WITH {_redirect_ctes()},
-{P.extract_ctes(True, 50_000)},
+FETCHED_LINKS = f"""
 wf0 AS (SELECT c.page_id, c.final_url, unnest(ex.links) AS l, unnest(range(len(ex.links))) AS lpos
         FROM chain c JOIN ex ON ex.page_id = c.capture_id),
 wf1 AS (SELECT page_id, final_url, lpos, l.text AS l_text, l.href AS l_href FROM wf0),
-{U.resolve_ctes("wf1", "l_href", "final_url", "wf2")},
+{U.resolve_ctes("wf1", "l_href", "final_url", "wf2")}"""
+
+sql("web_fetch", f"""
+WITH RECURSIVE {RLOG}, {_redirect_ctes()},
+{P.extract_ctes(True, 50_000)},
+{FETCHED_LINKS},
 wl AS (SELECT page_id, list(struct_pack(lpos := lpos, text := l_text, href := resolved)) AS lk
        FROM wf2 WHERE resolved IS NOT NULL GROUP BY page_id)
 SELECT c.page_id, c.url, c.final_url, c.hops, c.status, c.outcome,
-  CASE WHEN c.outcome = 'ok' THEN 'utf-8' END AS decoder, ex.title, ex.content, CAST(ex.length AS INTEGER) AS length, ex.truncated,
+  CASE WHEN c.outcome = 'ok' THEN CASE WHEN contains(c.content_type, '8859') THEN 'windows-1252' WHEN contains(c.content_type, '1251') THEN 'windows-1251'
+    WHEN contains(c.content_type, 'big5') THEN 'utf-8 (charset_unsupported)' ELSE 'utf-8' END END AS decoder,
+  ex.title, ex.content, CAST(ex.length AS INTEGER) AS length, ex.truncated,
   CASE WHEN c.outcome = 'ok' THEN CAST(coalesce(len(wl.lk), 0) AS INTEGER) END AS link_count,
   CASE WHEN c.outcome = 'ok' THEN coalesce(array_to_string(list_transform(list_sort(wl.lk), lambda x: x.text || chr(9) || x.href),
     chr(10)), '') END AS links_text
 FROM chain c LEFT JOIN ex ON ex.page_id = c.capture_id LEFT JOIN wl ON wl.page_id = c.page_id
 """)
 
+sql("web_links", f"""
+WITH RECURSIVE {RLOG}, {_redirect_ctes()},
+{P.extract_ctes(False, 50_000)},
+{FETCHED_LINKS},
+one AS (SELECT page_id, resolved, min(lpos) AS lpos, arg_min(l_text, lpos) AS text FROM wf2 WHERE resolved IS NOT NULL GROUP BY page_id, resolved
+        QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY min(lpos)) <= 50),
+wl AS (SELECT page_id, count(*) AS n, string_agg(text || chr(9) || resolved, chr(10) ORDER BY lpos) AS t FROM one GROUP BY page_id)
+SELECT c.page_id, url, final_url, hops, status, outcome, CASE WHEN outcome = 'ok' THEN CAST(coalesce(n, 0) AS INTEGER) END AS link_count,
+  CASE WHEN outcome = 'ok' THEN coalesce(t, '') END AS links_text
+FROM chain c LEFT JOIN wl USING (page_id)
+""")
+
+# captured feeds beside the captured pages; bodies cut at 10,000 bytes (the last character may go with the cut)
+FEED_READS = FEEDS + f""",
+{RLOG},
+fk AS (SELECT -1 - first_doc AS page_id, first_doc % 8 AS k, lang, url, xml FROM feeds),
+flog AS (
+  SELECT page_id, CASE WHEN k = 0 THEN url || '?v=2' ELSE url END AS url, 200 AS status, CAST(NULL AS VARCHAR) AS location,
+    CASE k WHEN 1 THEN CASE WHEN lang = 'en' THEN 'application/rss+xml' ELSE 'application/atom+xml; charset=UTF-8' END WHEN 2 THEN 'text/xml'
+      WHEN 3 THEN 'text/html; charset=utf-8' WHEN 4 THEN 'application/json' WHEN 5 THEN 'text/html' ELSE ' Application/XML ' END AS content_type,
+    20 AS elapsed_ms, CASE WHEN k = 6 THEN 'reset' END AS body_error, CASE WHEN k = 5 THEN '<html><title>moved away</title></html>' ELSE xml END AS html FROM fk
+  UNION ALL SELECT page_id, url, 301, '?v=2', 'text/html', 10, NULL, '' FROM fk WHERE k = 0
+  UNION ALL SELECT page_id, url, status, location, content_type, elapsed_ms, body_error, html FROM rlog),
+starts AS (SELECT page_id, url FROM fk UNION ALL SELECT page_id, url FROM pages),
+{_redirect_ctes(allowed=FEED_TYPES, log="flog", starts="starts")},
+cap AS (SELECT DISTINCT capture_id, capture_url, split_part(final_url, '#', 1) AS base FROM chain WHERE outcome = 'ok'),
+cb AS (SELECT capture_url AS feed_id, base AS final_url, html AS whole, strlen(html) > 10000 AS truncated FROM cap JOIN flog ON page_id = capture_id AND url = capture_url),
+{_byte_prefix_ctes("cb", "cc", "whole", 10_000)},
+fcap AS (SELECT feed_id, final_url, truncated, _head AS xml FROM cc),
+{_parsed("fcap", "pf")}"""
+
+sql("web_feed", f"""
+WITH RECURSIVE {FEED_READS}, {_items("pf", "it", 10, False)},
+n AS (SELECT feed_id, count(*) AS n FROM it GROUP BY feed_id)
+SELECT c.page_id, c.url, c.final_url, hops, status, CASE WHEN outcome = 'ok' AND kind IS NULL THEN 'not a feed' ELSE outcome END AS outcome,
+  feed_title, CASE WHEN kind IS NOT NULL THEN truncated END AS truncated, CASE WHEN kind IS NOT NULL THEN CAST(coalesce(n, 0) AS INTEGER) END AS entry_count
+FROM chain c LEFT JOIN pf ON pf.feed_id = c.capture_url LEFT JOIN n ON n.feed_id = c.capture_url
+""")
+
+sql("web_feed_entries", f"""
+WITH RECURSIVE {FEED_READS}, {_items("pf", "it", 50, True)}
+SELECT c.page_id, c.final_url, it.pos, it.title, it.url, it.published, it.author, it.summary, it.content
+FROM chain c JOIN it ON it.feed_id = c.capture_url
+""")
+
 sql("fetch_outcome", f"""
-WITH {_redirect_ctes()},
+WITH RECURSIVE {RLOG}, {_redirect_ctes()},
 {U.gate_ctes("chain", "url", "cg", out="_u", reason="_w")}
 SELECT coalesce({U.host_of('_u')}, '') AS host, outcome, count(*) AS n FROM cg GROUP BY ALL
 """)
@@ -655,14 +723,8 @@ SQL["stream_pages"] = SQL["page_markdown"]
 SQL["stream_feed_entries"] = SQL["feed_entries"]
 
 
-def _published_utc(x: str) -> str:
-    s = f"regexp_replace({x}, '^[A-Za-z]{{3}},[ ]*', '')"
-    return (f"coalesce(strftime(try_strptime({s}, '%Y-%m-%dT%H:%M:%SZ'), '%Y-%m-%d %H:%M:%S'), "
-            f"strftime(timezone('UTC', try_strptime({s}, '%d %b %Y %H:%M:%S %z')), '%Y-%m-%d %H:%M:%S'), "
-            f"strftime(try_strptime({s}, '%d %b %Y %H:%M:%S GMT'), '%Y-%m-%d %H:%M:%S'))")
-
-
+# every form of date is read back to the moment that it was made from
 sql("published_ts", f"""
-WITH {FEEDS}, {_parsed("feeds", "pf")}, {_entries("pf", "en")}
-SELECT feed_id, pos, published, {_published_utc('published')} AS published_utc FROM en
+WITH d AS (SELECT {_GRP} || '/' || lang || '/' || CAST({_BUCKET} AS VARCHAR) AS feed_id, doc_id, {_TS} AS published, {_MOMENT} AS published_utc FROM documents)
+SELECT feed_id, CAST(row_number() OVER (PARTITION BY feed_id ORDER BY doc_id) - 1 AS INTEGER) AS pos, published, published_utc FROM d
 """)

@@ -22,11 +22,39 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "pages")
 
 
-# Feeds are built from ``documents``: one feed per (source, lang, doc_id bucket);
-# lang 'en' -> RSS 2.0, other languages -> Atom.  The bucket bounds every feed
-# to FEED_BUCKET documents, so no group grows with the data.  Descriptions and
-# titles carry the whole document text (the 500 / 2,000 caps are web_feed's).
-FEED_BUCKET = 50
+# Fixed values of the fixture: what a page gets at its end, by page_id modulo their number (``{url}``: its own URL).
+SNIPPETS = (
+    '<p>one<br>two<br><br><a href="../up/x?a=1&amp;b=2">up <b>bold</b><br>down</a><br>tail</p>',
+    "<pre>x = 1\n  y = 2</pre></pre><p>after</p>",
+    '<img src="pic.png" alt=" a pic "><img alt=only ALT="last wins"><a href="/img"><img src=i.gif alt=in></a>',
+    '<ol><li>soup<li><a href="//cdn.example.net/s">bread</a></ol><hr><h5>Deep &lt;head&gt;</h5>',
+    '<a href="mailto:a@b.test">m</a><a href="javascript:void(0)">j</a><a href="#x">h</a><a href=" tel:1">t</a><a href="data:,x">d</a><a>none</a>',
+    'see <a href="{url}">itself</a> and <a href="{url}">again</a>',
+    '<a href="http:/one-slash">1</a><a href="https:two">2</a><a href="http://h%41.example.com/p">3</a><a href="http://u:p@example.com/">4</a><a href="http://e%zz.com/">5</a>',
+    '<svg><title>Drawn</title><a href="/in-svg">no label</a></svg><script>var a = "<p>";</script><!-- <a href="/gone"> --><p>shown',
+    "<pre>a<code>b</code></pre>c<code>d</code><blockquote>q</blockquote>",
+    "<p>&#65;&#x42;&nbsp;&copy;&bogus;&#xD800;&amp;lt;</p>",
+    '<a href="?only=query">q</a><a href="a/./b/../c">rel</a><a href="\\back">bs</a><a href="/sp ace/\u00e9?q=1 2#fr ag">enc</a>',
+    "",
+)
+
+
+def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` with a snippet at the end of each, so that fences, images, soft breaks, all kinds of hrefs and links
+    to captured pages occur."""
+    from pyspark.sql import functions as F
+    k, extra = F.col("page_id") % len(SNIPPETS), F.lit("")
+    for i, text in enumerate(SNIPPETS):
+        extra = F.when(k == i, F.replace(F.lit(text), F.lit("{url}"), F.col("url")) if "{url}" in text else F.lit(text)).otherwise(extra)
+    return pages(spark, sf_dir).select("page_id", "url", F.concat(F.coalesce("html", F.lit("")), extra).alias("html"))
+
+
+# Feeds are built from ``documents``: one feed per (group, lang, doc_id bucket); the first sources share the group
+# 'mixed', whose feeds are longer than any limit of entries. lang 'en' -> RSS 2.0, other languages -> Atom.  The bucket
+# bounds every feed, so no group grows with the data.  Descriptions and titles carry the whole document text (the 500 /
+# 2,000 caps are web_feed's), dates come in six forms.
+FEED_BUCKET, MIXED_BUCKET = 50, 400
+MIXED = ("src0", "src1", "src2", "src3", "src4")
 
 
 def _esc(c):
@@ -36,14 +64,17 @@ def _esc(c):
 
 
 def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``feeds(feed_id, url, xml, final_url, truncated)``"""
+    """``feeds(feed_id, url, xml, final_url, truncated, first_doc)``"""
     from pyspark.sql import functions as F
 
     from ..functions import urls
     d = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     t = F.col("text")
-    ts = F.date_format(F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0,0,0,0,cast(doc_id as int),0,0)"),
-                       "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    at = F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0,0,0,0,cast(doc_id as int),0,0)")
+    k = F.col("doc_id") % 6
+    ts = (F.when(k == 1, F.date_format(at, "EEE, dd MMM yyyy HH:mm:ss 'GMT'")).when(k == 2, F.date_format(at, "dd MMM yy HH:mm '+0000'"))
+          .when(k == 3, F.date_format(at, "dd MMMM yyyy")).when(k == 4, F.date_format(at, "yyyy-MM-dd"))
+          .when(k == 5, F.date_format(at + F.expr("interval 2 hours"), "yyyy-MM-dd'T'HH:mm:ss'+02:00'")).otherwise(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")))
     did = F.col("doc_id").cast("string")
     rss_item = F.concat(
         F.lit("<item><title>"), _esc(t), F.lit("</title><link>/doc/"), did,
@@ -56,12 +87,14 @@ def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("\"/><link rel=\"alternate\" href=\"/doc/"), did, F.lit("\"/><updated>"), ts,
         F.lit("</updated><author><name>"), F.col("source"), F.lit("</name></author><summary type=\"html\">&lt;p&gt;"),
         _esc(t), F.lit("&lt;/p&gt;</summary></entry>"))
-    g = d.select("source", "lang", F.floor(F.col("doc_id") / FEED_BUCKET).cast("bigint").alias("bucket"), "doc_id",
+    mixed = F.col("source").isin(*MIXED)
+    g = d.select(F.when(mixed, F.lit("mixed")).otherwise(F.col("source")).alias("grp"), "lang",
+                 F.floor(F.col("doc_id") / F.when(mixed, MIXED_BUCKET).otherwise(FEED_BUCKET)).cast("bigint").alias("bucket"), "doc_id",
                  F.when(F.col("lang") == "en", rss_item).otherwise(atom_entry).alias("x"))
-    agg = g.groupBy("source", "lang", "bucket").agg(
+    agg = g.groupBy("grp", "lang", "bucket").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "x"))), lambda r: r["x"]), "")
-        .alias("body"))
-    head = F.concat(F.col("source"), F.lit(" "), F.col("lang"))
+        .alias("body"), F.min("doc_id").alias("first_doc"))
+    head = F.concat(F.col("grp"), F.lit(" "), F.col("lang"))
     xml = F.when(F.col("lang") == "en", F.concat(
         F.lit('<?xml version="1.0" encoding="UTF-8"?><rss version="2.0"><channel><title>'), head,
         F.lit("</title>"), F.col("body"), F.lit("</channel></rss>"))).otherwise(F.concat(
@@ -69,18 +102,40 @@ def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("</title>"), F.col("body"), F.lit("</feed>")))
     b = F.col("bucket").cast("string")
     f = agg.select(
-        F.concat_ws("/", "source", "lang", b).alias("feed_id"),
-        F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/"), F.col("lang"), F.lit("/feed-"), b,
+        F.concat_ws("/", "grp", "lang", b).alias("feed_id"),
+        F.concat(F.lit("https://"), F.col("grp"), F.lit(".example.com/"), F.col("lang"), F.lit("/feed-"), b,
                  F.lit(".xml")).alias("url"),
-        xml.alias("xml"))
-    return urls.gate(f, "url").select("feed_id", "url", "xml", "final_url", F.lit(False).alias("truncated"))
+        xml.alias("xml"), "first_doc")
+    return urls.gate(f, "url").select("feed_id", "url", "xml", "final_url", F.lit(False).alias("truncated"), "first_doc")
+
+
+def feed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captured responses of feed URLs, with the columns of ``response_log``; page_id is -1 - the feed's first doc_id.
+
+    By first doc_id modulo 8: moved to another URL (two captures), the dialect's own type, ``text/xml``, a feed sent
+    as HTML, JSON, an HTML page in its place, a body that could not be read, ``application/xml``.
+    """
+    from pyspark.sql import functions as F
+    f = feeds(spark, sf_dir).select((-1 - F.col("first_doc")).alias("page_id"), "url", "xml", (F.col("first_doc") % 8).alias("k"), "feed_id")
+    k, url = F.col("k"), F.col("url")
+    own = F.when(F.split("feed_id", "/")[1] == "en", F.lit("application/rss+xml")).otherwise(F.lit("application/atom+xml; charset=UTF-8"))
+    ctype = (F.when(k == 1, own).when(k == 2, F.lit("text/xml")).when(k == 3, F.lit("text/html; charset=utf-8")).when(k == 4, F.lit("application/json"))
+             .when(k == 5, F.lit("text/html")).otherwise(F.lit(" Application/XML ")))
+    body = F.when(k == 5, F.lit("<html><title>moved away</title></html>")).otherwise(F.col("xml"))
+    plain = f.select("page_id", F.when(k == 0, F.concat(url, F.lit("?v=2"))).otherwise(url).alias("url"), F.lit(200).alias("status"),
+                     F.lit(None).cast("string").alias("location"), ctype.alias("content_type"), F.lit(20).alias("elapsed_ms"),
+                     F.when(k == 6, F.lit("reset")).alias("body_error"), F.encode(body, "UTF-8").alias("body"))
+    moved = f.filter(k == 0).select("page_id", "url", F.lit(301).alias("status"), F.lit("?v=2").alias("location"), F.lit("text/html").alias("content_type"),
+                                    F.lit(10).alias("elapsed_ms"), F.lit(None).cast("string").alias("body_error"), F.encode(F.lit(""), "UTF-8").alias("body"))
+    return plain.unionByName(moved)
 
 
 def response_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captured responses derived from ``pages``: redirect chains of 0-3 hops, a self-loop, a missing
-    Location, 404s, wrong / missing content types and slow responses.
+    Location, 404s, wrong / missing content types, plain text, labels of other charsets (on ASCII pages, where the
+    text is the same), bodies that could not be read and slow responses.
 
-    ``response_log(page_id, url, status, location, content_type, elapsed_ms, body BINARY)``
+    ``response_log(page_id, url, status, location, content_type, elapsed_ms, body_error, body BINARY)``
     """
     from pyspark.sql import functions as F
     p = pages(spark, sf_dir).alias("p")
@@ -91,11 +146,13 @@ def response_log(spark: SparkSession, sf_dir: str) -> DataFrame:
               .when(pid % 25 == 7, 404).when(pid % 25 == 8, 302).otherwise(200))
     location = (F.when(pid % 50 == 49, F.col("url"))
                 .when((pid % 10 == 0) | (pid % 20 == 1), F.coalesce("next_url", F.lit("https://gone.example.com/"))))
-    ctype = (F.when(pid % 15 == 4, F.lit("application/json")).when(pid % 15 == 5, F.lit(None))
-             .otherwise(F.lit("text/html; charset=utf-8")))
+    ascii_only = F.length("html") == F.octet_length("html")
+    ctype = (F.when(pid % 15 == 4, F.lit("application/json")).when(pid % 15 == 5, F.lit(None)).when(pid % 15 == 6, F.lit("Text/Plain"))
+             .when(ascii_only & (pid % 15 == 7), F.lit("text/html; charset=ISO-8859-1")).when(ascii_only & (pid % 15 == 9), F.lit('text/html;charset="windows-1251"'))
+             .when(ascii_only & (pid % 15 == 11), F.lit("application/xhtml+xml; charset=big5")).otherwise(F.lit("text/html; charset=utf-8")))
     return j.select("page_id", "url", status.cast("int").alias("status"), location.alias("location"),
                     ctype.cast("string").alias("content_type"),
-                    ((pid * 37) % 12000).cast("int").alias("elapsed_ms"),
+                    ((pid * 37) % 12000).cast("int").alias("elapsed_ms"), F.when(pid % 40 == 13, F.lit("reset")).alias("body_error"),
                     F.encode("html", "UTF-8").alias("body"))
 
 

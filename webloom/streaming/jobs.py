@@ -51,7 +51,7 @@ def stream_pages(spark: SparkSession, source_dir: str, out_dir: str, ckpt: str,
 def stream_pages_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST1 over the captured pages: arrive in four files (page_id % 4), extracted per micro-batch."""
     run = _run_dir(spark, "st1")
-    pages = tables.pages(spark, sf_dir)
+    pages = tables.web_pages(spark, sf_dir)
     for k in range(4):  # four arrivals, each its own file set
         pages.filter(F.col("page_id") % 4 == k).write.parquet(f"{run}/in/part={k}")
     stream_pages(spark, f"{run}/in/*", f"{run}/out", f"{run}/ckpt", ExtractOptions.of("markdown"))
