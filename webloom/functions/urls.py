@@ -128,7 +128,7 @@ def settled(df: DataFrame, kept: list[str], new: dict[str, Column]) -> DataFrame
 def gate(df: DataFrame, src: str, out: str = "final_url", reason: str = "reason") -> DataFrame:
     """Accept http/https URLs without credentials; reasons in the reference's order."""
     kept = df.columns
-    df = df.withColumn("_g_in", clean_input(src))
+    df = df.withColumn("_g_in", clean_input(F.coalesce(F.col(src), F.lit(""))))  # a null is no URL either
     df = with_parsed_url(df, "_g_in", "_g")
     has_scheme = F.col("_g_in").rlike(SCHEME_RE)
     why = (F.when(~has_scheme, F.lit("invalid URL"))

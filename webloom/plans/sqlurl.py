@@ -61,7 +61,8 @@ def clean_input(x: str) -> str:
 
 def gate_ctes(src_cte: str, col: str, out_cte: str, out: str = "final_url", reason: str = "reason") -> str:
     """CTE ``out_cte`` = ``src_cte`` plus ``{out}`` and ``{reason}``."""
-    return f"""{out_cte}__0 AS (SELECT *, {clean_input(col)} AS _g_in FROM {src_cte}),
+    given = clean_input(f"coalesce({col}, '')")
+    return f"""{out_cte}__0 AS (SELECT *, {given} AS _g_in FROM {src_cte}),
 {out_cte}__1 AS (SELECT *, {parsed_url('_g_in', '_g')} FROM {out_cte}__0),
 {out_cte} AS (
   SELECT * EXCLUDE (_g_in, _g_scheme, _g__auth, _g__path, _g__query, _g__frag, _g__userinfo, _g__hostport,
