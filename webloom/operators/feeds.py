@@ -29,7 +29,7 @@ REL_RE = "(?i)rel" + WS + "*=" + WS + "*(?:\"([^\"]*)\"|'([^']*)')"
 
 def tag_re(tag: str) -> str:
     """First ``<tag ...>…</tag>`` (case-insensitive), group 1 = inner text."""
-    return f"(?i)<{tag}\\b[^>]*>([\\s\\S]*?)</{tag}>"
+    return f"(?is)<{tag}\\b[^>]*>(.*?)</{tag}>"
 
 
 def field(block: Column, pattern: str) -> Column:
@@ -43,21 +43,39 @@ def feed_kind(xml: Column) -> Column:
 def parse_feeds(feeds: DataFrame) -> DataFrame:
     """``(feed_id, url, xml)`` -> adds ``kind`` (NULL = not a feed), ``feed_title``, ``error``."""
     x, kind = F.col("xml"), F.col("kind")
-    channel = F.when(x.rlike(CHANNEL_RE), F.regexp_extract(x, CHANNEL_RE, 1)).otherwise(x)
-    title = (F.when(kind == "rss", field(channel, tag_re("title")))
-             .when(kind == "atom", field(x, tag_re("title"))))
+    # one cleaning expression for the title of either kind
+    title = field(F.when(kind == "rss", channel_of(x)).when(kind == "atom", x), tag_re("title"))
     # the kind is settled first: later filters on it do not search the document again
     return urls.settled(feeds, feeds.columns, {"kind": feed_kind(x)}).select(
         "*", title.alias("feed_title"), F.when(kind.isNull(), F.lit(NOT_A_FEED)).alias("error"))
 
 
+def tag_blocks(xml: Column, tag: str) -> Column:
+    """Inner texts of all ``<tag ...>...</tag>``: cut at the closing tags, then behind the first opening one of each cut.
+
+    The same as matching opening, shortest text, closing one after the other, without a regex that tries its end at
+    every character. Only where an opening tag itself holds a closing one does the pattern decide.
+    """
+    opening, closing = f"(?i)<{tag}(?:{WS}[^>]*)?>", f"(?i)</{tag}>"
+    cuts = F.split(xml, closing, -1)
+    cut = F.transform(F.slice(cuts, F.lit(1), F.size(cuts) - 1), lambda c: F.split(c, opening, 2))
+    plain = F.transform(F.filter(cut, lambda c: F.size(c) == 2), lambda c: c[1])
+    return F.when(xml.rlike(f"(?i)<{tag}{WS}[^>]*</{tag}"), F.regexp_extract_all(xml, F.lit(f"{opening}([\\s\\S]*?)</{tag}>"), 1)).otherwise(plain)
+
+
 def _blocks(max_items: int | None) -> Column:
     k = F.col("kind")
-    blocks = (F.when(k == "rss", F.regexp_extract_all("xml", F.lit(ITEM_RE), 1))
-              .when(k == "atom", F.regexp_extract_all("xml", F.lit(ENTRY_RE), 1)))
+    blocks = F.when(k == "rss", tag_blocks(F.col("xml"), "item")).when(k == "atom", tag_blocks(F.col("xml"), "entry"))
     return blocks if max_items is None else F.slice(blocks, 1, max_items)
 
 
+def channel_of(xml: Column) -> Column:
+    """Text of the first closed ``<channel>``, the whole document where there is none."""
+    behind = F.split(xml, "(?i)<channel[" + WS[1:-1] + ">]", 2)
+    inner = F.split(F.get(behind, F.lit(1)), "(?i)</channel>", 2)
+    return F.when(F.size(inner) == 2, inner[0]).otherwise(xml)
+
+
 def _atom_link(b: Column) -> Column:
     tags = F.regexp_extract_all(b, F.lit(LINK_TAG_RE), 0)
     links = F.filter(F.transform(tags, lambda t: F.struct(
