@@ -110,9 +110,12 @@ def test_classifier_edges(frame, edge_docs, empty_docs):
 
 
 def test_identity_swaps():
-    got = toxicity.swapped("Nothing. Some Women spoke! The women left.", 10)
+    got = toxicity.swapped("Nothing. Some Women spoke! The women left.")
     assert [a for a, _ in got] == ["Some Women spoke!"] * 3 + ["The women left."] * 3
-    assert got[0][1] == "Some men spoke!" and toxicity.swapped("womenfolk", 10) == []
+    assert got[0][1] == "Some men spoke!" and toxicity.swapped("womenfolk") == []
+    text = "A christian met a muslim. Two women and a gay man."
+    assert collections.Counter(s for s, _ in toxicity.swapped(text)) == {"A christian met a muslim.": 10, "Two women and a gay man.": 3 + 4 + 3}
+    assert len(toxicity.swapped("men. " * 3000)) == 9000
 
 
 def test_counterfactual_penalty_takes_weight_off_group_names(frame):
@@ -138,6 +141,41 @@ def test_counterfactual_penalty_takes_weight_off_group_names(frame):
     assert plain[0] > 0.1 and abs(fair[0]) < plain[0] / 4 and fair[1] > 0.8
 
 
+def test_changes_of_swaps_are_those_of_swapped_sentences():
+    rng = random.Random(8)
+    place = np.random.default_rng(0).permutation(1 << toxicity.BITS).astype(np.int64) % (3 * toxicity.KEPT)
+    place = np.where(place < toxicity.KEPT, place, -1).astype(np.int32)
+    words = ["Women", "men", "old", "older", "boys,", "womenfolk", "musulmanes", "the", "é", "12", "young!", "gay-men", "girls.", "\n", "jews?", "-"]
+    for _ in range(300):
+        text = " ".join(rng.choices(words, k=rng.randrange(14)))
+        want = []
+        for pair in toxicity.swapped(text):
+            _, at = toxicity._features_of([pair[0]], place)
+            _, then = toxicity._features_of([pair[1]], place)
+            want.append(tuple(sorted([-1 - f for f in set(at.tolist()) - set(then.tolist())] + list(set(then.tolist()) - set(at.tolist())))))
+        assert toxicity.swap_changes(text, place, {}) == want, text
+
+
+def test_penalty_gradient_is_that_of_weighted_swaps(frame):
+    """Every text counts once in the penalty, whatever number of swaps it has; equal changes are added up."""
+    rng = np.random.default_rng(1)
+    rows, at = np.repeat(np.arange(60), 3), rng.integers(0, 8, 180)
+    key = np.unique(rows * 8 + at)
+    rows, at, y = key // 8, key % 8, (rng.random(60) > 0.5).astype(float)
+    many = (np.array([0, 0, 1, 1, 2, 2]), np.array([0, 1, 0, 1, 2, 3]), np.array([1.0, -1, 1, -1, 1, -1]), np.array([0.5, 0.5, 1.0]))
+    few = (np.array([0, 0, 1, 1]), np.array([0, 1, 2, 3]), np.array([1.0, -1, 1, -1]), np.array([1.0, 1.0]))
+    a, b = toxicity.fit(rows, at, y, 8, many, 5.0), toxicity.fit(rows, at, y, 8, few, 5.0)
+    assert np.allclose(a[0], b[0]) and np.isclose(a[1], b[1])
+    # at the optimum of the smooth part no small step lowers the plain objective
+    def loss(w, c):
+        z = c + np.bincount(rows, w[at], 60)
+        p = 1 / (1 + np.exp(-z))
+        fair = np.mean([(w[0] - w[1]) ** 2, (w[2] - w[3]) ** 2])
+        return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p)) + toxicity.RIDGE * (w ** 2).sum() + 5.0 * fair + toxicity.PULL / 60 * np.abs(w).sum()
+    least = loss(*b)
+    assert all(loss(b[0] + d * np.eye(8)[k], b[1]) >= least - 1e-7 for k in range(8) for d in (-1e-3, 1e-3))
+
+
 def test_word_hashes_and_windows_are_those_of_a_plain_split():
     import re
     rng = random.Random(2)

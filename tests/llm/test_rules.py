@@ -145,7 +145,7 @@ def test_bit_parallel_distance():
 def test_edit_matching_against_plain_distance(spark, frame):
     rng = random.Random(2)
     items = [(i, t) for i, t in table("sf0.001", "benchmark").itertuples(index=False)][:8] + [(90, "short one"), (91, None), (92, ""), (93, "!!!")]
-    docs = [(0, None), (1, ""), (2, "Short... ONE"), (3, "a short one")]
+    docs = [(0, None), (1, ""), (2, "Short... ONE"), (3, "a short one"), (4, "shorter ones are no match, nor ashort one")]
     for k, (_, t) in enumerate(items[:8]):
         for edits in (0, 5, 18, 22, 24, 30, 60):
             words = list(t)
@@ -154,7 +154,7 @@ def test_edit_matching_against_plain_distance(spark, frame):
                 words[at:at + 1] = [] if kind == 0 else [rng.choice("abcdefgh")] if kind == 1 else [words[at], rng.choice("xyz")]
             docs.append((len(docs), PROSE + " " + "".join(words) + " " + PROSE))
     got = {(r.doc_id, r.item_id): r.distance for r in decontam.contaminated_pairs(frame(docs), frame(items, "item_id bigint, text string")).collect()}
-    want = {(2, 90): 0}
+    want = {(2, 90): 0, (3, 90): 0}
     for i, text in docs:
         for j, item in items[:8]:
             p = decontam.normalise(item)
@@ -166,6 +166,61 @@ def test_edit_matching_against_plain_distance(spark, frame):
     assert {r.doc_id for r in clean.collect()} == {i for i, _ in docs} - {i for i, _ in want}
 
 
+def test_short_items_against_every_run_of_words(frame):
+    """Items of a few words inside texts: least distance to a run of whole words."""
+    rng = random.Random(4)
+    short = ["What is the capital of France?", "two plus two", "Paris", "Name a noble gas", "how many legs has a spider"]
+    docs = ["We asked: what is the capital of France? Nobody knew.", "whatis the capitol of france", "is it Paris or parish", "comparisons", "two plus two is four", "two and two",
+            "what is the capital of the france", "a nobel gas"]
+    for _ in range(120):
+        words = decontam.normalise(rng.choice(short)).split(" ")
+        text = list(" ".join(rng.choices(["red", "x", "is", "the"], k=rng.randrange(4)) + words + rng.choices(["two", "b"], k=rng.randrange(3))))
+        for _ in range(rng.randrange(5)):
+            at = rng.randrange(len(text))
+            text[at:at + 1] = rng.choice([[], [rng.choice("abc ")], [text[at], rng.choice("xy ")]])
+        docs.append("".join(text))
+    want = {}
+    for i, doc in enumerate(docs):
+        words = decontam.normalise(doc).split(" ")
+        for j, item in enumerate(short):
+            p = decontam.normalise(item)
+            runs = [" ".join(words[a:b]) for a in range(len(words)) for b in range(a + 1, len(words) + 1)]
+            d = min(whole_distance(p, r) for r in runs)
+            if d <= int(len(p) * decontam.RATE):
+                want[i, j] = d
+    got = decontam.contaminated_pairs(frame(list(enumerate(docs))), frame(list(enumerate(short)), "item_id bigint, text string"))
+    assert {(r.doc_id, r.item_id): r.distance for r in got.collect()} == want
+    assert want[0, 0] == 0 and want[1, 0] == 2 and (3, 2) not in want and (2, 2) in want
+
+
+def whole_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_item_ids_called_like_document_ids(frame):
+    items = frame([(7, PROSE)], "doc_id bigint, text string")
+    got = decontam.contaminated_pairs(frame([(1, PROSE), (2, "x")]), items, item_col="doc_id")
+    assert got.columns == ["doc_id", "_doc_id", "distance", "match_end"] and [tuple(r)[:3] for r in got.collect()] == [(1, 7, 0)]
+
+
+def test_many_copies_of_an_item_take_linear_time():
+    matcher = decontam.Matcher([(1, PROSE)])
+    wrong = PROSE.replace("quick", "quack")
+    import time
+    took = []
+    for n in (300, 2400):
+        start = time.time()
+        assert matcher.matches(f"{wrong} " * n)[0][1] == 1
+        took.append(time.time() - start)
+    assert took[1] < 20 * took[0] + 0.5
+
+
 def test_decontamination_blocks_and_edges(frame, edge_docs, empty_docs, monkeypatch):
     items = frame([(k, f"item {k} " + PROSE[k:]) for k in range(12)] + [(5, PROSE), (6, PROSE)], "item_id bigint, text string")
     whole = sorted(map(tuple, decontam.contaminated_pairs(edge_docs, items).collect()), key=str)
@@ -193,6 +248,15 @@ def test_surrogates_keep_type_and_format(text, kind):
     assert pii.replace(text, b"k", {}) == (made, n) and pii.replace(text, b"other", {})[0] != made
 
 
+def test_many_mentions_and_a_taken_count_column(frame):
+    import time
+    start = time.time()
+    got = pii.mentions(" ".join(f"u{k}.x@mail{k % 7}.org" for k in range(60_000)))
+    assert len(got) == 60_000 and time.time() - start < 15
+    out = pii.pseudonymise(frame([(1, "a.b@x.org", "n")], "doc_id bigint, text string, n_found string"), "k", count_col="n_found")
+    assert out.columns == ["doc_id", "text", "n_found", "_n_found"] and out.first()._n_found == 1 and out.first().n_found == "n"
+
+
 def test_gender_script_case_and_checksum():
     made = pii.replace("Peter Braun, Елена Смирнова, 4111111111111111, Mrs. Smith-Jones", b"k", {})[0]
     names = re.findall(r"[^\W\d]+", made)

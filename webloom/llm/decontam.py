@@ -11,6 +11,7 @@ The items are a stated query set matched against every text, in blocks of bounde
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections.abc import Iterator
@@ -22,9 +23,11 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from webloom.llm.storage import arrow_map
+from webloom.llm.words import free_name
 
-#: Edits that an item may differ by, as a share of its characters; characters from which an item is matched inside
-#: texts (a shorter one must be the whole text); item characters of a block, about.
+#: Edits that an item may differ by, as a share of its characters; characters from which an item may lie anywhere in a
+#: text (a shorter one must begin and end with words, as short strings occur inside others); item characters of a block,
+#: about.
 RATE, LEAST, BLOCK_CHARS = 0.1, 40, 4_000_000
 
 _WORD = re.compile(r"\w+")
@@ -66,6 +69,26 @@ def best_match(bits: dict[str, int], m: int, text: str) -> tuple[int, int]:
     return best, end
 
 
+def match_at_words(bits: dict[str, int], m: int, text: str, start: int, budget: int) -> tuple[int, int]:
+    """(least edit distance of the pattern to a stretch from ``start`` to the end of a word, that end); m + 1 if none
+    is near. The same recurrence as ``best_match`` with the start held fixed."""
+    full, top = (1 << m) - 1, 1 << (m - 1)
+    pv, mv, score, best, end, size = full, 0, m, m + 1, 0, len(text)
+    for at in range(start, min(size, start + m + budget)):
+        eq = bits.get(text[at], 0)
+        xv = eq | mv
+        xh = (((eq & pv) + pv) ^ pv) | eq
+        ph = mv | (full & ~(xh | pv))
+        mh = pv & xh
+        score += 1 if ph & top else -1 if mh & top else 0
+        ph, mh = (ph << 1 | 1) & full, mh << 1 & full
+        pv = mh | (full & ~(xv | ph))
+        mv = ph & xv
+        if score < best and (at + 1 == size or text[at + 1] == " ") and text[at] != " ":
+            best, end = score, at + 1
+    return best, end
+
+
 class Node:
     """A stretch of an item with its budget of edits; a leaf (budget 0) is a piece that must be found whole."""
 
@@ -93,12 +116,10 @@ class Matcher:
     def __init__(self, items: list[tuple], rate: float = RATE):
         import ahocorasick
 
-        self.items, self.whole, self.rate, pieces = [], {}, rate, {}
+        self.items, self.rate, pieces = [], rate, {}
         for ident, text in items:
             norm = normalise(text or "")
-            if len(norm) < LEAST:
-                if norm:
-                    self.whole.setdefault(norm, []).append(ident)
+            if not norm:
                 continue
             self.items.append((ident, norm))
             for leaf in leaves(0, len(norm), int(len(norm) * rate)):
@@ -112,11 +133,10 @@ class Matcher:
     def matches(self, text: str) -> list[tuple]:
         """(item id, distance, end in the normalised text) of each item that is in the text within its budget."""
         norm = normalise(text)
-        out = [(ident, 0, len(norm)) for ident in self.whole.get(norm, ())]
         if not self.items or not norm:
-            return out
+            return []
         best: dict[int, tuple[int, int]] = {}
-        done: dict[int, list[int]] = {}
+        done: dict[int, list[int]] = {}  # starts of accepted matches, in order
         for last, (size, where) in self.finder.iter(norm):
             at = last + 1 - size
             for k, leaf in where:
@@ -125,7 +145,14 @@ class Matcher:
                 item = self.items[k][1]
                 begin, node, got = at - leaf.start, leaf, (0, 0)
                 budget = int(len(item) * self.rate)
-                if any(abs(begin - b) <= budget for b in done.get(k, ())):
+                if len(item) < LEAST:
+                    got = self._short(item, leaf, norm, begin, budget)
+                    if got[0] <= budget and (k not in best or got < best[k]):
+                        best[k] = got
+                    continue
+                near = done.setdefault(k, [])
+                place = bisect.bisect_left(near, begin - budget)
+                if place < len(near) and near[place] <= begin + budget:
                     continue  # an accepted match already covers every alignment of this hit
                 while node.parent is not None:
                     node = node.parent
@@ -141,10 +168,21 @@ class Matcher:
                 else:
                     if leaf.parent is None:
                         got = (0, last + 1)
-                    done.setdefault(k, []).append(begin)
+                    bisect.insort(near, begin)
                     if k not in best or got < best[k]:
                         best[k] = got
-        return out + [(self.items[k][0], d, end) for k, (d, end) in sorted(best.items())]
+        return [(self.items[k][0], d, end) for k, (d, end) in sorted(best.items())]
+
+    @staticmethod
+    def _short(item: str, leaf: Node, norm: str, begin: int, budget: int) -> tuple[int, int]:
+        """Best match of a short item from the words that begin within the budget of the hit's alignment."""
+        root = leaf
+        while root.parent is not None:
+            root = root.parent
+        if root.bits is None:
+            root.bits = masks(item)
+        starts = [at for at in range(max(0, begin - budget), min(len(norm), begin + budget + 1)) if at == 0 or norm[at - 1] == " "]
+        return min((match_at_words(root.bits, len(item), norm, at, budget) for at in starts), default=(budget + 1, 0))
 
 
 def item_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple]]:
@@ -164,12 +202,14 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     """(doc id, item id, distance, match_end) for each row of ``docs`` and each item that its whole text holds.
 
     ``match_end`` counts characters of the normalised text. Null and empty texts, and items without a word, match
-    nothing; equal items each give their row, repeated rows of ``docs`` too. Items shorter than LEAST characters match only a text
-    that is nothing else. Other columns are not read. An empty table on either side gives an empty result.
+    nothing; equal items each give their row, repeated rows of ``docs`` too. Items shorter than LEAST characters have
+    the same budget but must begin and end with words. Other columns are not read; a name that occurs twice in the
+    result (both ids called alike) gets underscores before it. An empty table on either side gives an empty result.
     """
     spark = docs.sparkSession
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField(item_col, benchmark.schema[item_col].dataType),
-                           T.StructField("distance", T.IntegerType()), T.StructField("match_end", T.LongType())])
+    schema, kinds = T.StructType([]), (docs.schema[id_col].dataType, benchmark.schema[item_col].dataType, T.IntegerType(), T.LongType())
+    for name, kind in zip((id_col, item_col, "distance", "match_end"), kinds, strict=True):
+        schema = schema.add(free_name(schema.names, name), kind)
     out = spark.createDataFrame([], schema)
     for block in item_blocks(benchmark, item_col, item_text_col):
         found = _match(docs.select(id_col, F.col(text_col).cast("string").alias("text")), block, schema)

@@ -14,6 +14,7 @@ while they are few and by a join on the mentions of each text beyond that.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import hmac
 import re
@@ -109,8 +110,11 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
                 parts = [(*m.span("v" if m["v"] else "w"), kind)]
             else:
                 parts = [(*m.span(), kind)]
-            found += [p for p in parts if not any(p[0] < e and s < p[1] for s, e, _ in found)]
-    return [(s, e, k, canonical(k, text[s:e])) for s, e, k in sorted(found)]
+            for p in parts:  # spans so far are apart and in order: only the neighbours can overlap
+                at = bisect.bisect_left(found, p)
+                if not (at and found[at - 1][1] > p[0] or at < len(found) and found[at][0] < p[1]):
+                    found.insert(at, p)
+    return [(s, e, k, canonical(k, text[s:e])) for s, e, k in found]
 
 
 class Draw:
@@ -247,14 +251,14 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: s
     """``docs`` with every mention in the text replaced; all other columns as they were.
 
     ``key`` is the secret of the surrogates: the same key gives the same surrogates in every run over one corpus.
-    ``count_col``: name of an added column with the number of mentions. A null text stays null and counts 0; a text
+    ``count_col``: name of an added column with the number of mentions (underscores before it where ``docs`` has it). A null text stays null and counts 0; a text
     without mentions is unchanged; repeated rows stay repeated and equal; an empty table stays empty.
     """
     found = saved(entities(docs, text_col))
     redrawn = saved(assign(found, key).filter("attempt > 0").select("kind", "value", "made"))
     at, secret = docs.columns.index(text_col), key.encode()
     schema = T.StructType([T.StructField(f.name, T.StringType()) if k == at else f for k, f in enumerate(docs.schema)]
-                          + ([T.StructField(count_col, T.LongType())] if count_col else []))
+                          + ([T.StructField(free_name(docs.columns, count_col), T.LongType())] if count_col else []))
     n_out = len(docs.columns)
     if redrawn.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         rows = docs

@@ -8,6 +8,7 @@ the same sentence about another, and group names carry no weight of their own.
 
 from __future__ import annotations
 
+import collections
 import re
 from collections.abc import Iterator
 
@@ -25,8 +26,8 @@ from webloom.llm.words import slices, text_bytes
 #: Labelled rows to learn from, about; hashed features; features kept; ridge; counterfactual penalty; texts that a
 #: weight needs; steps.
 TRAIN_ROWS, BITS, KEPT, RIDGE, FAIRNESS, PULL, STEPS = 20_000, 22, 4_096, 1e-5, 1.0, 3.0, 400
-#: A kept feature is in this many sampled texts at least. Swapped sentences to learn from at most.
-MIN_TEXTS, MAX_SWAPS, SAMPLE_PARTS = 5, 5_000, 12
+#: A kept feature is in this many sampled texts at least; parts that the sample is read in.
+MIN_TEXTS, SAMPLE_PARTS = 5, 12
 RUNS = (5, 7)
 
 # Identity terms by kind; terms of one kind stand in for each other.
@@ -83,19 +84,57 @@ def _presence(rows: np.ndarray, feats: np.ndarray, place: np.ndarray) -> tuple[n
     return key // KEPT, key % KEPT
 
 
-def swapped(text: str, limit: int) -> list[tuple[str, str]]:
-    """(sentence, the same with one identity term swapped) of a text, ``limit`` at most."""
+def swapped(text: str) -> list[tuple[str, str]]:
+    """(sentence, the same with one identity term swapped): every mention of the text, every other term of its kind."""
     out: list[tuple[str, str]] = []
     for sentence in re.split(r"(?<=[.!?])\s+|\n", text) if _TERM.search(text) else ():
         for m in _TERM.finditer(sentence):
             k, i = _KIND[m.group().lower()]
             for other in IDENTITY[k][:i] + IDENTITY[k][i + 1:]:
-                if len(out) == limit:
-                    return out
                 out.append((sentence, sentence[:m.start()] + other + sentence[m.end():]))
     return out
 
 
+def _term_features(word: str, behind: bool, place: np.ndarray, known: dict) -> dict[int, int]:
+    """Kept features of one word with their number; ``behind``: letters stand before it, so its space counts."""
+    if (word, behind) not in known:
+        feats = text_features(*text_bytes(pa.array(["q " + word if behind else word])))[1]
+        if behind:  # without those of the letter that stands for what is before
+            lone = text_features(*text_bytes(pa.array(["q"])))[1]
+            feats = np.delete(feats, np.flatnonzero(feats == lone[0])[:1])
+        at = place[feats]
+        values, n = np.unique(at[at >= 0], return_counts=True)
+        known[word, behind] = dict(zip(values.tolist(), n.tolist(), strict=True))
+    return known[word, behind]
+
+
+def swap_changes(text: str, place: np.ndarray, known: dict) -> list[tuple[int, ...]]:
+    """For each swap of ``swapped`` the kept features that it takes from the sentence (-1 - feature) and brings to it.
+
+    Features lie inside words, so a swap changes those of the term alone: a sentence is read once, whatever its length
+    and the number of its mentions.
+    """
+    out: list[tuple[int, ...]] = []
+    for sentence in re.split(r"(?<=[.!?])\s+|\n", text) if _TERM.search(text) else ():
+        mentions = list(_TERM.finditer(sentence))
+        if not mentions:
+            continue
+        at = place[text_features(*text_bytes(pa.array([sentence])))[1]]
+        values, n = np.unique(at[at >= 0], return_counts=True)
+        have = dict(zip(values.tolist(), n.tolist(), strict=True))
+        first = next((k for k, c in enumerate(sentence) if c.isalpha()), 0)
+        for m in mentions:
+            word, behind = m.group().lower(), m.start() > first
+            old = _term_features(word, behind, place, known)
+            k, i = _KIND[word]
+            for other in IDENTITY[k][:i] + IDENTITY[k][i + 1:]:
+                new = _term_features(other, behind, place, known)
+                gone = [-1 - f for f, c in old.items() if have.get(f, 0) == c and f not in new]
+                come = [f for f in new if f not in have]
+                out.append(tuple(sorted(gone + come)))
+    return out
+
+
 class ToxicityModel:
     """Weights of the kept features. ``place`` finds a kept feature by its hash."""
 
@@ -114,13 +153,14 @@ def _features_of(texts: list[str], place: np.ndarray) -> tuple[np.ndarray, np.nd
     return _presence(*text_features(data, offs), place)
 
 
-def fit(rows: np.ndarray, at: np.ndarray, y: np.ndarray, n_features: int, swaps: tuple[np.ndarray, np.ndarray, np.ndarray, int],
+def fit(rows: np.ndarray, at: np.ndarray, y: np.ndarray, n_features: int, swaps: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray],
         fairness: float = FAIRNESS) -> tuple[np.ndarray, float]:
     """Weights and intercept by accelerated proximal gradient steps on
 
     log loss + RIDGE |w|^2 + fairness * mean((score(sentence) - score(swapped sentence))^2) + PULL / n * |w|_1.
 
-    (rows, at): presence pairs of the texts; swaps: (pair number, feature, +1 or -1) triples and the number of pairs.
+    (rows, at): presence pairs of the texts; swaps: (pair number, feature, +1 or -1) triples and the weight of each pair;
+    the mean is by weight, and the pairs of one text have a weight of one together, however many they are.
     The 1-norm keeps only weights that more than about PULL texts speak for.
     """
     n = len(y)
@@ -128,14 +168,15 @@ def fit(rows: np.ndarray, at: np.ndarray, y: np.ndarray, n_features: int, swaps:
     w, c = np.zeros(n_features), float(np.log(share / (1 - share)))
     if not n_features:
         return w, c
-    pair, feat, sign, n_pairs = swaps
+    pair, feat, sign, weight = swaps
+    weight = weight / max(weight.sum(), 1e-12)
 
     def smooth(v: np.ndarray) -> np.ndarray:
         """Gradient of ridge and counterfactual penalty."""
         out = 2 * RIDGE * v
-        if n_pairs:
-            change = np.bincount(pair, sign * v[feat], n_pairs)
-            out += 2 * fairness / n_pairs * np.bincount(feat, sign * change[pair], n_features)
+        if len(weight):
+            change = weight * np.bincount(pair, sign * v[feat], len(weight))
+            out += 2 * fairness * np.bincount(feat, sign * change[pair], n_features)
         return out
 
     u = np.ones(n_features)  # largest curvature, by power steps; the log loss curves by a quarter at most
@@ -199,28 +240,37 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     kept = np.array(sorted(r.f for r in best), np.int64)
     empty = ToxicityModel(kept, np.zeros(len(kept)), 0.0)
     place = docs.sparkSession.sparkContext.broadcast(empty.place)
-    per_text = 4  # swaps of one text at most, so that no text rules the penalty
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = batch_texts(batch, 2)
             for i, j in slices(offs):
                 rows, at = _presence(*text_features(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i]), place.value)
                 cut = np.searchsorted(rows, np.arange(j - i + 1))
-                ids = batch.column(0).slice(i, j - i).to_pylist()
-                swaps = [[list(s) for s in swapped(t.as_py() or "", per_text)] for t in batch.column(2).slice(i, j - i)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.string()), batch.column(1).slice(i, j - i), pa.array([at[cut[k]:cut[k + 1]].astype(np.int32) for k in range(j - i)], pa.list_(pa.int32())),
-                     pa.array(swaps, pa.list_(pa.list_(pa.string())))], names=["id", "y", "at", "swaps"])
+                    [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i),
+                     pa.array([at[cut[k]:cut[k + 1]].astype(np.int32) for k in range(j - i)], pa.list_(pa.int32()))], names=["id", "y", "at"])
 
-    table = arrow_map(chosen, pairs, "id string, y int, at array<int>, swaps array<array<string>>").toArrow().sort_by("id")
+    def changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What each swap does to the kept features, with the swap's share of its text."""
+        known: dict = {}
+        for batch in batches:
+            for text in batch.column(0):
+                made = swap_changes(text.as_py() or "", place.value, known)
+                same = collections.Counter(made)
+                if same:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(map(list, same)), pa.list_(pa.int32())), pa.array([n / len(made) for n in same.values()])],
+                                                     names=["change", "weight"])
+
+    table = arrow_map(chosen, presence, "id string, y int, at array<int>").toArrow().sort_by("id")
     lists = table["at"].combine_chunks()
     sizes = np.diff(lists.offsets.to_numpy())
     rows, at = np.repeat(np.arange(len(sizes)), sizes), lists.flatten().to_numpy().astype(np.int64)
-    both = [s for one in table["swaps"].to_pylist() for s in one][:MAX_SWAPS]
-    first, second = _features_of([a for a, _ in both], empty.place), _features_of([b for _, b in both], empty.place)
-    swaps = (np.concatenate([first[0], second[0]]), np.concatenate([first[1], second[1]]),
-             np.concatenate([np.ones(len(first[0])), -np.ones(len(second[0]))]), len(both))
+    # swaps that change the same kept features are one, with their weights added: their number follows the features
+    made = arrow_map(chosen.select("text"), changes, "change array<int>, weight double").groupBy("change").agg(F.sum("weight").alias("weight")).orderBy("change").toArrow()
+    lists = made["change"].combine_chunks()
+    sizes, codes = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy().astype(np.int64)
+    swaps = (np.repeat(np.arange(len(sizes)), sizes), np.where(codes < 0, -1 - codes, codes), np.where(codes < 0, -1.0, 1.0), made["weight"].to_numpy())
     w, c = fit(rows, at, (table["y"].to_numpy() > 0).astype(float), len(kept), swaps, fairness)
     return ToxicityModel(kept, w, c)
 
