@@ -130,25 +130,24 @@ def decode_body(body, charset) -> tuple[Column, Column]:
 
 
 def header_map(heads: DataFrame) -> DataFrame:
-    """``(page_id, head)`` -> ``(page_id, ok, status, status_text, key, value)``; duplicate keys joined ', '."""
-    lines = heads.select("page_id", F.posexplode(F.split("head", "\r\n", -1)).alias("ln", "line"))
-    first = lines.filter(F.col("ln") == 0).select(
-        "page_id", F.col("line").rlike(STATUS_LINE_RE).alias("ok"),
-        F.regexp_extract("line", STATUS_LINE_RE, 1).alias("_st"),
-        F.regexp_extract("line", STATUS_LINE_RE, 2).alias("status_text"))
-    colon = F.instr("line", ":")
-    kv = lines.filter((F.col("ln") > 0) & (colon > 1)).select(
-        "page_id", "ln", F.lower(js_trim(F.substring("line", F.lit(1), colon - 1))).alias("key"),
-        js_trim(F.substr(F.col("line"), colon + 1)).alias("value"))
-    merged = kv.groupBy("page_id", "key").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ln", "value"))), lambda x: x["value"]),
-                     ", ").alias("value"))
-    good = first.filter(F.col("ok")).join(merged, "page_id", "left").select(
-        "page_id", "ok", F.col("_st").cast("int").alias("status"), "status_text", "key", "value")
-    bad = first.filter(~F.col("ok")).select(
-        "page_id", "ok", F.lit(None).cast("int").alias("status"), F.lit(None).cast("string").alias("status_text"),
-        F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value"))
-    return good.unionByName(bad)
+    """``(page_id, head)`` -> ``(page_id, ok, status, status_text, key, value)``; duplicate keys joined ', '.
+
+    A head is split once; its status line goes along with each header, so one shuffle (the join of equal keys) is all.
+    A head without headers, or with a bad status line, is one row without a key.
+    """
+    heads = heads.select("page_id", F.split("head", "\r\n", -1).alias("lines"))
+    first = F.col("lines")[0]
+    colon = F.instr("l", ":")
+    h = heads.select("page_id", first.rlike(STATUS_LINE_RE).alias("ok"), F.regexp_extract(first, STATUS_LINE_RE, 1).alias("st"),
+                     F.regexp_extract(first, STATUS_LINE_RE, 2).alias("status_text"),
+                     F.filter(F.transform("lines", lambda l, i: F.struct(i.alias("ln"), l.alias("l"))), lambda x: (x["ln"] > 0) & (F.instr(x["l"], ":") > 1)).alias("kv"))
+    none = F.array(F.lit(None).cast("struct<ln:int,l:string>"))
+    h = h.select("page_id", "ok", F.when(F.col("ok"), F.col("st").cast("int")).alias("status"), F.when(F.col("ok"), F.col("status_text")).alias("status_text"),
+                 F.explode(F.when(F.col("ok") & (F.size("kv") > 0), F.col("kv")).otherwise(none)).alias("x")).select("*", "x.ln", "x.l")
+    h = h.select("page_id", "ok", "status", "status_text", "ln", F.lower(js_trim(F.substring("l", F.lit(1), colon - 1))).alias("key"),
+                 js_trim(F.substr(F.col("l"), colon + 1)).alias("value"))
+    merged = h.groupBy("page_id", "ok", "status", "status_text", "key").agg(F.array_sort(F.collect_list(F.struct("ln", "value"))).alias("v"))
+    return merged.select("page_id", "ok", "status", "status_text", "key", F.when(F.col("key").isNotNull(), F.array_join(F.transform("v", lambda x: x["value"]), ", ")).alias("value"))
 
 
 def profiles(spark: SparkSession) -> DataFrame:

@@ -425,13 +425,31 @@ from ..sources import sinks  # noqa: E402
 from ..streaming import jobs as ST  # noqa: E402
 
 
+def _written_twice(spark, df, name, fmt, url_col):
+    """Written, written again as the same run, and read by the manifest."""
+    path = ST._run_dir(spark, "s5") + "/" + name
+    for _ in range(2):
+        sinks.write_by_host(df, path, "1", url_col, fmt)
+    return sinks.read_committed(spark, path, fmt)
+
+
 @job("write_pages")
 def write_pages_job(spark, sf_dir):
-    """page_extract written as Parquet partitioned by host, read back."""
-    path = ST._run_dir(spark, "s5") + "/pages"
-    sinks.write_by_host(L.page_extract(spark, sf_dir, ExtractOptions.of("markdown")), path)
-    return spark.read.parquet(path).select("page_id", "url", "final_url", "status", "title", "content", "length",
-                                           "truncated", "link_count", "links_text", "host")
+    """page_extract written as Parquet, clustered by host, read back."""
+    return _written_twice(spark, L.page_extract(spark, sf_dir, ExtractOptions.of("markdown")).drop("reject_reason"), "pages", "parquet", "final_url")
+
+
+@job("write_links")
+def write_links_job(spark, sf_dir):
+    """Resolved links written as JSON, clustered by their target's host, read back."""
+    links = L.page_links(L.resolved_links(spark, sf_dir)).select("page_id", F.col("link_pos").cast("int").alias("link_pos"), "text", "href")
+    return _written_twice(spark, links, "links", "json", "href")
+
+
+@job("write_entries")
+def write_entries_job(spark, sf_dir):
+    """Feed entries written as JSON, clustered by their link's host, read back."""
+    return _written_twice(spark, FD.feed_items(FD.parse_feeds(tables.feeds(spark, sf_dir))), "entries", "json", "url")
 
 
 @job("stream_pages")

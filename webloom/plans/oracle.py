@@ -719,6 +719,16 @@ SELECT page_id, url, final_url, status, title, content, length, truncated, link_
   {U.host_of('final_url')} AS host FROM pe
 """)
 
+sql("write_links", f"""
+WITH {RESOLVED}
+SELECT page_id, CAST(link_pos AS INTEGER) AS link_pos, text, resolved AS href, {U.host_of('resolved')} AS host FROM rs WHERE resolved IS NOT NULL
+""")
+
+sql("write_entries", f"""
+WITH {FEEDS}, {_parsed("feeds", "pf")}, {_items("pf", "it", 10, False)}
+SELECT *, {U.host_of('url')} AS host FROM it
+""")
+
 SQL["stream_pages"] = SQL["page_markdown"]
 SQL["stream_feed_entries"] = SQL["feed_entries"]
 
