@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import js_trim
+from ..functions.urls import settled
 
 # Fixed test option: the rule list of the host jobs (exact, suffix, wildcard, port, CIDR entries).
 DEFAULT_NO_PROXY = ("tiontion.example.net,.example.org,*.example.com,blog.tionsh.example.com:8080,"
@@ -42,8 +43,8 @@ def parsed_rules(rules: DataFrame) -> DataFrame:
         .when(F.col("length").rlike("^0x[0-9a-f]+$"), F.conv(F.substr(F.col("length"), F.lit(3)), 16, 10).try_cast("int"))
     shift = F.lit(32) - F.col("bits")
     none = F.lit(None)
-    network = parts.filter(F.contains("e", F.lit("/"))).withColumn("bits", bits).filter("bits between 0 and 32") \
-        .withColumn("ip", ipv4_int(F.col("base"))).filter("ip is not null") \
+    network = settled(parts.filter(F.contains("e", F.lit("/"))), [], {"bits": bits, "ip": ipv4_int(F.col("base"))}) \
+        .filter("bits between 0 and 32 and ip is not null") \
         .select(F.lit("cidr").alias("kind"), none.cast("string").alias("key"), "bits", F.expr("shiftleft(shiftright(ip, 32 - bits), 32 - bits)").alias("net"))
     plain = parts.filter(~F.contains("e", F.lit("/")))
     dotted = F.col("name").startswith(".")
@@ -134,7 +135,7 @@ def match_cidr_table(df: DataFrame, ip_col: str, rules: DataFrame) -> DataFrame:
         return df.withColumns({"cidr_match": F.lit(True), "cidr_bits": F.lit(None).cast("int")})
     nets = rules.filter("kind = 'cidr'").select("bits", "net").distinct()
     lengths = sorted(r.bits for r in nets.select("bits").distinct().collect())  # 33 at most
-    ips = df.select(ipv4_int(F.col(ip_col)).alias("_ip")).filter("_ip is not null").distinct()
+    ips = settled(df.select(ip_col), [], {"_ip": ipv4_int(F.col(ip_col))}).filter("_ip is not null").distinct()
     parts = []
     for of_table in ([b for b in lengths if b <= WIDE_BITS], [b for b in lengths if b > WIDE_BITS]):
         if of_table:
