@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from webloom.llm import ngram_join as N
@@ -153,16 +154,39 @@ def test_thresholds_are_the_contract():
         assert N.prefix(a) == a - min(s for s in range(a + 1) if 10 * s >= 8 * a) + 1
 
 
-def test_frequency_summary_keeps_what_is_frequent():
+def test_cells_count_every_shingle(monkeypatch):
+    """Packed and added up again, the counts of all cells are those of a plain count, whatever the ranges and flushes."""
     rng = np.random.default_rng(0)
-    one = N.Summary(50)
-    stream = np.concatenate([np.repeat(np.arange(20, dtype=np.uint64), 3000), rng.integers(1 << 20, 1 << 40, 50_000).astype(np.uint64)])
-    rng.shuffle(stream)
-    for part in np.array_split(stream, 40):
-        one.add(part)
-        one.settle()
-    counts = dict(zip(one.keys.tolist(), one.counts.tolist(), strict=True))
-    assert len(counts) <= 50 and all(3000 >= counts[k] >= 3000 - len(stream) / 50 for k in range(20))
+    for ranges, bits, flush in ((1, 8, 50), (7, 12, 1 << 22), (64, 27, 1000), (211, 27, 1 << 22)):
+        monkeypatch.setattr(N, "CELL_BITS", bits)
+        monkeypatch.setattr(N, "CELLS", 1 << bits)
+        monkeypatch.setattr(N, "FLUSH", flush)
+        sets = [np.unique(rng.integers(0, 1 << 64, 300, np.uint64)) for _ in range(20)] + [np.array([0, 5, (1 << 64) - 1], np.uint64)] * 300
+        cells = N.Cells(ranges)
+        packed = [v for s in sets for v in cells.add(s)] + cells.settle()
+        got = collections.Counter()
+        for r, v in packed:
+            at, count = N.unpack_cells(v)
+            assert 0 <= at.min() and at.max() < cells.width and 0 <= r < ranges
+            got.update(dict(zip((at + r * cells.width).tolist(), count.tolist(), strict=True)))
+        want = collections.Counter(int(x) >> (64 - bits) for s in sets for x in s)
+        assert got == want and cells.settle() == []
+
+
+def test_fullest_cells_are_listed(spark, frame, monkeypatch):
+    """What is frequent is listed with its count; at most LISTED cells are, the fullest first."""
+    docs = [(k, f"alpha beta gamma delta epsilon own{k} x{k} y{k}") for k in range(200)] + [(1000 + k, f"some other words that meet z{k}") for k in range(50)]
+
+    def listed():
+        first = N.documents_and_counts(frame(docs), "doc_id", "text", 64)
+        return N.frequent(first.filter("packed is not null"), first.filter("packed is null").agg({"n": "sum"}).first()[0], 64, 8)
+
+    keys, counts = listed()
+    assert sorted(counts.tolist()) == [50, 200] and (np.diff(keys.astype(np.int64)) > 0).all()
+    common = next(N.shingle_sets(pa.array(["alpha beta gamma delta epsilon"])))[1]
+    assert N.count_of(common, (keys, counts)).tolist() == [200] and N.count_of(common ^ np.uint64(1 << 63), (keys, counts)).tolist() == [0]
+    monkeypatch.setattr(N, "LISTED", 1)
+    assert listed()[1].tolist() == [200]
 
 
 def test_components(spark):

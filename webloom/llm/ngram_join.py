@@ -3,9 +3,9 @@
 A document's set holds 64-bit hashes of its distinct word 5-grams. Two sets of a and b members link when they share
 at least T = ceil(4 (a + b) / 9) of them, which is a Jaccard similarity of 0.8.
 
-1. One pass gives each document its set size and a digest of its set (equal sets are one *node* from here on), and a
-   mergeable frequency summary of all shingles (Misra-Gries). The summary is merged by Spark; the shingles that hold
-   more than a fixed share of all postings, a bounded number, are broadcast with their counts.
+1. One pass gives each document its set size and a digest of its set (equal sets are one *node* from here on), and
+   counts all shingles in a fixed number of cells (leading bits of the hash). Spark adds the counts up by range of
+   cells; the fullest cells, a bounded number, are broadcast. They order shingles only: any order gives the same links.
 2. Inverted lists. A set is ordered by (count, hash), so that its shingles with long lists come last. Two sets that link
    share one of the first n - ceil(4n/5) + 1 of each, so only these short lists are built: postings are dealt by
    shingle, and a list that a large share of all documents is in is dealt in salted parts.
@@ -38,8 +38,9 @@ from webloom.llm.storage import arrow_map, saved
 from webloom.llm.words import U64, Words, free_name, mix, slices, text_bytes
 
 SHINGLE = 5
-#: Entries of a task's frequency summary; shingles broadcast with their counts at most; count from which one is.
-SUMMARY, LISTED, LEAST_COUNT = 1 << 17, 1 << 20, 4
+#: Cells that shingles are counted in; shingles counted at once; cells broadcast with their counts at most; count from which one is.
+CELL_BITS, FLUSH, LISTED, LEAST_COUNT = 27, 1 << 22, 1 << 20, 4
+CELLS = 1 << CELL_BITS
 #: Members of a part of a salted list, about; candidates searched together.
 PART_ROWS, BLOCK = 50_000, 128
 #: Postings of a packed value, about; a list is never cut.
@@ -85,27 +86,61 @@ def digest(members: np.ndarray) -> int:
     return int(mix(np.array([total ^ U64(len(members))], U64)).view(np.int64)[0])
 
 
-class Summary:
-    """Misra-Gries counts of at most ``size`` shingles: whatever holds more than 1/size of all has a count."""
+class Cells:
+    """Counts of shingles by cell, the leading bits of their hash, as values that hold about a byte for each cell.
 
-    def __init__(self, size: int = SUMMARY):
-        self.size, self.keys, self.counts, self.waiting, self.n = size, np.zeros(0, U64), np.zeros(0, np.int64), [], 0
+    A cell's count is at least that of any of its shingles. A value is cut for each range of cells, so that ranges are
+    added up apart; ``waiting`` is emptied at FLUSH shingles, so a task's size does not matter.
+    """
+
+    def __init__(self, ranges: int):
+        self.width, self.waiting, self.n = -(-CELLS // ranges), [], 0
 
-    def add(self, members: np.ndarray) -> None:
-        self.waiting.append(members)
+    def add(self, members: np.ndarray) -> list[tuple[int, bytes]]:
+        self.waiting.append(cell_of(members).astype("<u4"))
         self.n += len(members)
-        if self.n > 1 << 20:
-            self.settle()
+        return self.settle() if self.n >= FLUSH else []
+
+    def settle(self) -> list[tuple[int, bytes]]:
+        """(range, packed cells and counts) of what waits."""
+        if not self.n:
+            return []
+        cells, counts = np.unique(np.concatenate(self.waiting), return_counts=True)
+        self.waiting, self.n = [], 0
+        cut = np.searchsorted(cells, np.arange(0, CELLS + self.width, self.width))
+        return [(r, pack_cells(cells[i:j] - np.uint32(r * self.width), counts[i:j])) for r, (i, j) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)) if i < j]
+
+
+def cell_of(members: np.ndarray) -> np.ndarray:
+    return members >> U64(64 - CELL_BITS)
+
+
+def pack_cells(cells: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending cells as steps of a byte each (255: the step is in the list that follows), then the counts over 1."""
+    step = np.diff(cells, prepend=np.uint32(0))
+    far, many = step >= 255, np.flatnonzero(counts > 1)
+    return b"".join([np.array([len(cells), far.sum(), len(many)], "<u4").tobytes(), step[far].astype("<u4").tobytes(), many.astype("<u4").tobytes(),
+                     counts[many].astype("<u4").tobytes(), np.where(far, 255, step).astype(np.uint8).tobytes()])
+
 
-    def settle(self) -> None:
-        if self.waiting:
-            keys, counts = np.unique(np.concatenate(self.waiting), return_counts=True)
-            keys, where = np.unique(np.concatenate([self.keys, keys]), return_inverse=True)
-            counts = np.bincount(where, np.concatenate([self.counts, counts])).astype(np.int64)
-            if len(keys) > self.size:
-                over = np.partition(counts, len(counts) - self.size - 1)[len(counts) - self.size - 1]
-                keys, counts = keys[counts > over], counts[counts > over] - over
-            self.keys, self.counts, self.waiting, self.n = keys, counts, [], 0
+def unpack_cells(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n, far, many = np.frombuffer(packed, "<u4", 3).tolist()
+    wide = np.frombuffer(packed, "<u4", far + 2 * many, 12)
+    step = np.frombuffer(packed, np.uint8, n, 12 + 4 * len(wide)).astype(np.int64)
+    step[step == 255] = wide[:far]
+    counts = np.ones(n, np.int64)
+    counts[wide[far:far + many]] = wide[far + many:]
+    return np.cumsum(step), counts
+
+
+def count_of(h: np.ndarray, listed: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Count of the cell of each shingle, 0 where it is not listed."""
+    keys, counts = listed
+    if not len(keys):
+        return np.zeros(len(h), np.int64)
+    cells = cell_of(h)
+    at = np.minimum(np.searchsorted(keys, cells), len(keys) - 1)
+    return np.where(keys[at] == cells, counts[at], 0)
 
 
 def _deal(parts: np.ndarray, rows: np.ndarray, n_parts: int) -> Iterator[tuple[int, bytes]]:
@@ -128,53 +163,68 @@ def _whole(batches: Iterator[pa.RecordBatch], column: int, dtype: np.dtype) -> n
     return np.concatenate(found) if found else np.zeros(0, dtype)
 
 
-def documents_and_counts(docs: DataFrame, id_col: str, text_col: str, parts: int) -> DataFrame:
-    """Rows (id, text_hash, n, node, part, packed): a row for each document, and packed (shingle, count) summaries by part."""
+def documents_and_counts(docs: DataFrame, id_col: str, text_col: str, ranges: int) -> DataFrame:
+    """Rows (id, text_hash, n, node, part, packed): a row for each document, and packed counts of cells by range of cells."""
     schema = "id long, text_hash long, n long, node long, part int, packed binary"
     names, types = ["id", "text_hash", "n", "node", "part", "packed"], [pa.int64()] * 4 + [pa.int32(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        summary = Summary()
+        cells = Cells(ranges)
         for batch in batches:
             n, node = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
             for row, members in shingle_sets(batch.column(1)):
                 n[row], node[row] = len(members), digest(members)
-                summary.add(members)
+                if full := cells.add(members):
+                    yield _batch([(None, None, None, None, *v) for v in full], names, types)
             none = pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n), pa.array(node), *none], names=names)
-        summary.settle()
-        rows = np.empty(len(summary.keys), np.dtype([("h", "<u8"), ("c", "<i8")]))
-        rows["h"], rows["c"] = summary.keys, summary.counts
-        yield _batch([(None, None, None, None, p, b) for p, b in _deal((rows["h"] % U64(parts)).astype(int), rows, parts)], names, types)
+        yield _batch([(None, None, None, None, *v) for v in cells.settle()], names, types)
 
     text = F.col(text_col).cast("string")
     return arrow_map(docs.select(F.col(id_col).cast("long"), text, F.xxhash64(text)), run, schema)
 
 
-def frequent(summaries: DataFrame, total: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ascending shingles, counts) of the most frequent, LISTED at most.
+def frequent(packed: DataFrame, total: int, ranges: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ascending cells, counts over the mean) of the fullest cells, LISTED at most.
 
-    The least count comes from a histogram of the merged counts, so that as many as fit are listed; at the latest a
-    share of 1 / LISTED of all postings fits, as shares add up to 1.
+    The least count stands clear of chance (four deviations over the mean) and comes from a histogram of the counts, so
+    that as many as fit are listed; a cell that holds more than 1 / LISTED of all shingles always is.
     """
+    width, mean = -(-CELLS // ranges), total / CELLS
+    least = max(LEAST_COUNT, math.ceil(mean + 4 * math.sqrt(mean)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = _whole(batches, 1, np.dtype([("h", "<u8"), ("c", "<i8")]))
-        keys, where = np.unique(got["h"], return_inverse=True)
-        counts = np.bincount(where, got["c"], len(keys)).astype(np.int64)
-        on = counts >= LEAST_COUNT
-        yield pa.RecordBatch.from_arrays([pa.array(keys[on].view(np.int64)), pa.array(counts[on])], names=["h", "c"])
+        part, counts = None, np.zeros(width, np.int64)
+
+        def full() -> pa.RecordBatch:
+            on = np.flatnonzero(counts >= least)
+            return pa.RecordBatch.from_arrays([pa.array(on + part * width), pa.array(counts[on])], names=["h", "c"])
+
+        for batch in batches:
+            for p, v in zip(*batch.columns, strict=True):
+                if p.as_py() != part:
+                    if part is not None:
+                        yield full()
+                        counts[:] = 0
+                    part = p.as_py()
+                cells, own = unpack_cells(v.as_py())
+                counts[cells] += own
+        if part is not None:
+            yield full()
 
     top = 4096
-    merged = saved(arrow_map(summaries.select("part", "packed").repartition(parts, "part"), run, "h long, c long"))
-    least, held = max(LEAST_COUNT, -(-total // LISTED)), 0
-    bins = {r.c: r["count"] for r in merged.groupBy(F.least("c", F.lit(top)).alias("c")).count().collect()}
+    merged = saved(arrow_map(packed.select("part", "packed").repartition(parts, "part").sortWithinPartitions("part"), run, "h long, c long"))
+    bins = {r.c: r["count"] for r in merged.groupBy(F.least(F.col("c") - least, F.lit(top)).alias("c")).count().collect()}
+    held, over = 0, top + 1
     for c in sorted(bins, reverse=True):
         held += bins[c]
         if held > LISTED:
             break
-        least = min(least, c)
-    got = merged.filter(F.col("c") >= least).toArrow()
-    keys, counts = got["h"].to_numpy().view(U64), got["c"].to_numpy()
+        over = c
+    if over > top and bins:  # more cells than are listed stand that far out: those that hold more than 1 / LISTED of all
+        over = max(top, -(-total // LISTED) - least)
+    got = merged.filter(F.col("c") >= least + over).toArrow()
+    keys, counts = got["h"].to_numpy().astype(U64), got["c"].to_numpy() - int(mean)
     order = np.argsort(keys)
     return keys[order], counts[order]
 
@@ -184,13 +234,12 @@ def postings(docs: DataFrame, text_col: str, listed: tuple[np.ndarray, np.ndarra
     shared = docs.sparkSession.sparkContext.broadcast(listed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = shared.value
         seen: set[int] = set()
         rows, held = [], 0
 
         def flush() -> pa.RecordBatch:
             got = np.concatenate(rows)
-            return _batch(list(_deal(list_part(got["h"], got["node"], keys, counts, parts), got, parts)), ["part", "packed"], [pa.int32(), pa.binary()])
+            return _batch(list(_deal(list_part(got["h"], got["node"], shared.value, parts), got, parts)), ["part", "packed"], [pa.int32(), pa.binary()])
 
         for batch in batches:
             for _, members in shingle_sets(batch.column(0)):
@@ -198,10 +247,7 @@ def postings(docs: DataFrame, text_col: str, listed: tuple[np.ndarray, np.ndarra
                 if node in seen:
                     continue
                 seen.add(node)
-                count = np.zeros(n, np.int64)
-                if len(keys):
-                    at = np.minimum(np.searchsorted(keys, members), len(keys) - 1)
-                    count = np.where(keys[at] == members, counts[at], 0)
+                count = count_of(members, shared.value)
                 own = prefix(n)
                 order = np.lexsort((members, count))[:own]
                 one = np.empty(own, POSTING)
@@ -219,18 +265,14 @@ def postings(docs: DataFrame, text_col: str, listed: tuple[np.ndarray, np.ndarra
     return arrow_map(docs.select(F.col(text_col).cast("string")), run, "part int, packed binary")
 
 
-def salt(h: np.ndarray, node: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def salt(h: np.ndarray, node: np.ndarray, listed: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Part of its list that a posting is in: 0, or one of count / PART_ROWS for a long list."""
-    out = np.zeros(len(h), np.int64)
-    if len(keys):
-        at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-        many = np.where(keys[at] == h, -(-counts[at] // PART_ROWS), 1)
-        out = (mix(node.view(U64)) % many.astype(U64)).astype(np.int64)
-    return out
+    many = np.maximum(1, -(-count_of(h, listed) // PART_ROWS))
+    return (mix(node.view(U64)) % many.astype(U64)).astype(np.int64)
 
 
-def list_part(h: np.ndarray, node: np.ndarray, keys: np.ndarray, counts: np.ndarray, parts: int) -> np.ndarray:
-    return (mix(h + salt(h, node, keys, counts).astype(U64) * U64(0x9E3779B97F4A7C15)) % U64(parts)).astype(int)
+def list_part(h: np.ndarray, node: np.ndarray, listed: tuple[np.ndarray, np.ndarray], parts: int) -> np.ndarray:
+    return (mix(h + salt(h, node, listed).astype(U64) * U64(0x9E3779B97F4A7C15)) % U64(parts)).astype(int)
 
 
 def _may_link(n1, at1, n2, at2):
@@ -323,24 +365,20 @@ def lists_with_leaders(dealt: DataFrame, listed: tuple[np.ndarray, np.ndarray],
     shared = dealt.sparkSession.sparkContext.broadcast(listed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = shared.value
         got = _whole(batches, 1, POSTING)
         if len(got):
             got = got[np.lexsort((got["node"], got["h"]))]
             once = np.ones(len(got), bool)  # equal sets of several tasks become one
             once[1:] = (got["h"][1:] != got["h"][:-1]) | (got["node"][1:] != got["node"][:-1])
             got = got[once]
-            s = salt(got["h"], got["node"].copy(), keys, counts)
+            s = salt(got["h"], got["node"].copy(), shared.value)
             if s.any():
                 got, s = got[order := np.lexsort((got["node"], s, got["h"]))], s[order]
             new = np.ones(len(got), bool)
             new[1:] = (got["h"][1:] != got["h"][:-1]) | (s[1:] != s[:-1])
             group = np.cumsum(new) - 1
             size = np.bincount(group)
-            salted = s > 0
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, got["h"]), len(keys) - 1)
-                salted = (keys[at] == got["h"]) & (counts[at] > PART_ROWS)
+            salted = count_of(got["h"], shared.value) > PART_ROWS
             keep = (size[group] > 1) | salted
             got, group, salted = got[keep], group[keep], salted[keep]
         if not len(got):
@@ -558,20 +596,15 @@ def open_pairs(kept: DataFrame, stars: DataFrame, comps: DataFrame, listed: tupl
     shared = kept.sparkSession.sparkContext.broadcast(listed)
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = shared.value
         for batch in batches:
             for v in batch.column(0):
                 got = np.frombuffer(v.as_buffer(), POSTING)
                 hit = bloom.value.has(got["node"].copy())
-                if len(keys):
-                    at = np.minimum(np.searchsorted(keys, got["h"]), len(keys) - 1)
-                    many = np.where(keys[at] == got["h"], -(-counts[at] // PART_ROWS), 1)
-                else:
-                    many = np.ones(len(got), np.int64)
+                many = np.maximum(1, -(-count_of(got["h"], shared.value) // PART_ROWS))
                 lists, which = np.unique(got["h"], return_inverse=True)
                 on = (np.bincount(which, hit, len(lists)) > 0)[which] | (many > 1)
                 got, many = got[on], many[on]
-                own = salt(got["h"], got["node"].copy(), keys, counts)
+                own = salt(got["h"], got["node"].copy(), shared.value)
                 yield pa.RecordBatch.from_arrays([pa.array(got["h"].view(np.int64) if got["h"].flags["C_CONTIGUOUS"] else got["h"].copy().view(np.int64)),
                                                   *(pa.array(got[c].astype(np.int64)) for c in ("node", "n", "at")), pa.array(own), pa.array(many)],
                                                  names=["h", "node", "n", "at", "own", "many"])
@@ -640,10 +673,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty table. Sets are told apart by 64-bit hashes.
     """
     parts = parts_of(docs.sparkSession)
-    first = saved(documents_and_counts(docs, id_col, text_col, parts))
+    ranges = min(max(64, parts), 4096)
+    first = saved(documents_and_counts(docs, id_col, text_col, ranges))
     rows = first.filter("packed is null").select("id", "text_hash", "n", "node")
     total = rows.agg(F.sum("n")).first()[0] or 0
-    listed = frequent(first.filter("packed is not null"), total, parts)
+    listed = frequent(first.filter("packed is not null"), total, ranges, parts)
     nodes = rows.filter("n > 0").groupBy("node").agg(F.min("id").alias("rep"), F.min(_row_hash(F.col("id"), F.col("text_hash"))).alias("row"))
     dealt = saved(lists_with_leaders(postings(docs, text_col, listed, parts), listed, parts))
     salted = saved(leaders_of_salted(dealt.filter("kind = 2").select("part", "packed"), parts))
