@@ -64,10 +64,10 @@ class TokenAutomaton:
         ends = lambda t: bool(end) and self.labels[t].endswith(end)
         # state class 0: start (never split); 1: behind a base symbol; 2: final. The table grows by a quarter when
         # a side is full; a merge adds at most one class to each side.
-        allow = np.zeros((3 + len({u for u, _ in merges}), 2 + len({v for _, v in merges})), bool)
-        allow[0:2, 0:2] = True
+        allow = np.zeros((3 + len({u for u, _ in merges}), len({v for _, v in merges}) // 8 + 1), np.uint8)  # a bit for each pair
+        allow[0:2, 0] = 3
         to, arc = [-1] * n, [-1] * n  # class behind a token; class of its arcs
-        members_r, members_c = [0] * len(allow), [0] * allow.shape[1]
+        members_r, members_c = [0] * len(allow), [0] * (8 * allow.shape[1])
         for t in base:
             to[t], arc[t] = (2 if ends(t) else 1), (1 if ends(t) else 0)
             members_r[to[t]] += 1
@@ -77,7 +77,7 @@ class TokenAutomaton:
         for a, b in merges:
             u, v, w = vocab[a], vocab[b], vocab[a + b]
             r, c = to[u], arc[v]
-            if r < 0 or c < 0 or not allow[r, c]:
+            if r < 0 or c < 0 or not allow[r, c >> 3] >> (c & 7) & 1:
                 continue  # the parts never meet
             behind, joins = to[v], arc[u]
             members_r[behind] += 1  # w is led to where v led, before u's own state is split
@@ -85,26 +85,26 @@ class TokenAutomaton:
                 if rows == len(allow):
                     allow = np.pad(allow, ((0, rows // 4 + 8), (0, 0)))
                     members_r += [0] * (len(allow) - rows)
-                allow[rows, :cols] = allow[r, :cols]
+                allow[rows] = allow[r]
                 members_r[r] -= 1
                 to[u], members_r[rows], rows = rows, 1, rows + 1
             if u != v:
                 members_c[joins] += 1  # w's arcs join u's class before v's class is split
             if members_c[c] > 1:
-                if cols == allow.shape[1]:
-                    allow = np.pad(allow, ((0, 0), (0, cols // 4 + 8)))
-                    members_c += [0] * (allow.shape[1] - cols)
-                allow[:rows, cols] = allow[:rows, c]
+                if cols == 8 * allow.shape[1]:
+                    allow = np.pad(allow, ((0, 0), (0, cols // 32 + 8)))
+                    members_c += [0] * (8 * allow.shape[1] - cols)
+                allow[:rows, cols >> 3] |= (allow[:rows, c >> 3] >> (c & 7) & 1) << (cols & 7)
                 members_c[c] -= 1
                 arc[v], members_c[cols], cols = cols, 1, cols + 1
             if u == v:
                 joins = arc[u]  # [u, uu] is not a path, so w joins the class that lost the arc
                 members_c[joins] += 1
-            allow[to[u], arc[v]] = False
+            allow[to[u], arc[v] >> 3] &= 255 - (1 << (arc[v] & 7))
             to[w], arc[w] = behind, joins
         self.to, self.arc = to, arc
-        self.rows = [x.tobytes() for x in np.packbits(allow[:rows, :cols], axis=1, bitorder="little")]
-        self._index()
+        self.rows = [x.tobytes() for x in allow[:rows, :(cols + 7) // 8]]
+        self.ids = None  # the driver only builds and sends the table: workers index it when they first encode
 
     def _index(self) -> None:
         self.ids = {label: t for t, label in enumerate(self.labels) if label and self.arc[t] >= 0}
@@ -122,10 +122,12 @@ class TokenAutomaton:
 
     def __setstate__(self, got: dict) -> None:
         self.__dict__.update(got)
-        self._index()
+        self.ids = None
 
     def encode(self, symbols: str) -> list[int]:
         """Token ids of one pre-split word, given as base symbols; the end marker is added here."""
+        if self.ids is None:
+            self._index()
         end, ids, trie, arc, to, rows = self.end, self.ids, self.trie, self.arc, self.to, self.rows
         n, at, state = len(symbols), 0, 0
         path: list[tuple[int, int, list[tuple[int, int]]]] = []  # (position, state, shorter pieces not yet tried)
@@ -168,8 +170,6 @@ class WordBpe:
     """A tokenizer file of the word-end kind: splits texts, encodes by the automaton, decodes by labels."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -181,8 +181,7 @@ class WordBpe:
         for label, t in self.added.items():
             self.labels += [""] * (t + 1 - len(self.labels))
             self.labels[t] = label
-        self._path, self._bytes, self.memo = path, byte_alphabet(), {}
-        self._split = Tokenizer.from_file(path)
+        self._path, self._bytes, self.memo, self._split = path, byte_alphabet(), {}, None
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k not in ("_split", "memo")}
