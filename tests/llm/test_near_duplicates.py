@@ -146,6 +146,35 @@ def test_divide_skip_counts_like_a_plain_merge():
         assert N.divide_skip(lists, need) == sorted((k, c) for k, c in counts.items() if c >= need[k])
 
 
+def test_search_is_decided_by_divide_skip(monkeypatch):
+    rng = np.random.default_rng(11)
+    pool = np.unique(rng.integers(0, 1 << 63, 400).astype(np.uint64))
+    query = np.sort(rng.choice(pool, 60, replace=False))
+    sets = []
+    for _ in range(200):  # from copies with a few members changed to unlike sets, of several sizes
+        own = rng.choice(query, rng.integers(30, 61), replace=False)
+        sets.append(np.unique(np.concatenate([own, rng.choice(pool, rng.integers(0, 12))])))
+    need = [int(N.least_overlap(len(query), len(s))) for s in sets]
+    shared = [len(np.intersect1d(query, s)) for s in sets]
+    expected = [k for k, c in enumerate(shared) if c >= need[k]]
+    assert 0 < len(expected) < len(sets)
+    assert N.search(query, sets) == expected
+    merged, plain = [], N.divide_skip
+    monkeypatch.setattr(N, "divide_skip", lambda lists, need: merged.append(sum(map(len, lists))) or plain(lists, need)[1:])
+    assert len(N.search(query, sets)) == len(expected) - 1  # nothing beside it decides
+    assert merged == [sum(shared)]
+    assert N.search(query, []) == []
+
+
+@pytest.mark.parametrize("block_members", [1, 50])
+def test_blocks_end_at_many_members(frame, monkeypatch, block_members):
+    monkeypatch.setattr(N, "BLOCK_MEMBERS", block_members)
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(50)}" for _ in range(40)]
+    docs = [(k, " ".join(base + [f"x{j}" for j in range(k % 4)])) for k in range(30)]
+    assert result(N.near_duplicates(frame(docs))) == brute(docs)
+
+
 def test_thresholds_are_the_contract():
     for a in range(1, 120):
         for b in range(1, 120):

@@ -14,8 +14,9 @@ at least T = ceil(4 (a + b) / 9) of them, which is a Jaccard similarity of 0.8.
 4. Components of the links so far are found. Only lists that still hold members of different components go on: pairs of
    members of different components whose sizes and places in the order allow T, and whose counts by hash bucket do,
    are searched as well.
-5. A search is DivideSkip: over the lists of a block of candidates, the longest lists are put aside, the short ones are
-   heap-merged with skips, and those candidates that can still reach T are looked up in the long lists by binary search.
+5. A search is DivideSkip: the whole sets of a block of candidates are turned into inverted lists; of the lists of the
+   query's members the longest are put aside, the short ones are heap-merged with skips, and those candidates that can
+   still reach T are looked up in the long lists by binary search. Only this decides which candidates link.
 
 Sets are fetched for the nodes that have candidates only: their documents are picked by a Bloom filter of bounded size
 while the text is read, so that the texts of other documents are not shuffled.
@@ -41,8 +42,8 @@ SHINGLE = 5
 #: Cells that shingles are counted in; shingles counted at once; cells broadcast with their counts at most; count from which one is.
 CELL_BITS, FLUSH, LISTED, LEAST_COUNT = 27, 1 << 22, 1 << 20, 4
 CELLS = 1 << CELL_BITS
-#: Members of a part of a salted list, about; candidates searched together.
-PART_ROWS, BLOCK = 50_000, 128
+#: Members of a part of a salted list, about; candidates searched together, and members of their sets from which a search begins.
+PART_ROWS, BLOCK, BLOCK_MEMBERS = 50_000, 128, 1 << 20
 #: Postings of a packed value, about; a list is never cut.
 PACKED_ROWS = 1 << 18
 BLOOM_BITS = 1 << 26
@@ -490,14 +491,25 @@ def divide_skip(lists: list[list[int]], need: list[int]) -> list[tuple[int, int]
     return out
 
 
+class Inverted:
+    """Inverted lists over the whole sets of a block: the ascending numbers of the sets that hold each shingle."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        members = np.concatenate(sets) if sets else np.zeros(0, U64)
+        order = np.argsort(members, kind="stable")
+        self.members, self.sets = members[order], np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])[order]
+
+    def lists(self, query: np.ndarray) -> list[list[int]]:
+        """The list of each member of the query that has one."""
+        low, high = np.searchsorted(self.members, query, "left"), np.searchsorted(self.members, query, "right")
+        on = low < high
+        return [self.sets[i:j].tolist() for i, j in zip(low[on].tolist(), high[on].tolist(), strict=True)]
+
+
 def search(query: np.ndarray, sets: list[np.ndarray]) -> list[int]:
-    """Numbers of the sets that link with the query, by DivideSkip over the lists of the query's members."""
-    lists: list[list[int]] = [[] for _ in range(len(query))]
-    for k, members in enumerate(sets):
-        at = np.minimum(np.searchsorted(query, members), len(query) - 1)
-        for p in at[query[at] == members].tolist():
-            lists[p].append(k)
-    return [k for k, _ in divide_skip(lists, [int(least_overlap(len(query), len(s))) for s in sets])]
+    """Numbers of the sets that link with the query: a T-occurrence search by DivideSkip over inverted lists. No overlap
+    is counted before it; which sets reach their T is known from its merge and its probes alone."""
+    return sorted(k for k, _ in divide_skip(Inverted(sets).lists(query), [int(least_overlap(len(query), len(s))) for s in sets]))
 
 
 def sketch(members: np.ndarray) -> bytes:
@@ -556,7 +568,7 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str,
     rows = queries.unionByName(members).repartition(parts, "a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, query, ids, block = None, None, [], []
+        key, query, ids, block, held = None, None, [], [], 0
 
         def settle() -> pa.RecordBatch:
             links = search(query, block) if query is not None and block else []
@@ -567,16 +579,17 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str,
                 if (a.as_py(), blk.as_py()) != key:
                     if key is not None:
                         yield settle()
-                    key, query, ids, block = (a.as_py(), blk.as_py()), None, [], []
+                    key, query, ids, block, held = (a.as_py(), blk.as_py()), None, [], [], 0
                 got = np.frombuffer(m.as_py(), "<u8")
                 if not b.is_valid:
                     query = got
                 else:
                     ids.append(b.as_py())
                     block.append(got)
-                    if len(block) == 4 * BLOCK:
+                    held += len(got)
+                    if len(block) == 4 * BLOCK or held >= BLOCK_MEMBERS:
                         yield settle()
-                        ids, block = [], []
+                        ids, block, held = [], [], 0
         if key is not None:
             yield settle()
 
