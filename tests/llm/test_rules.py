@@ -119,6 +119,16 @@ def test_small_sources_have_their_own_estimate(frame):
     assert all(r.kept for r in got if r.doc_id >= 2000)
 
 
+def test_many_groups_are_joined_with_equal_verdicts(spark, monkeypatch):
+    few = {r.doc_id: r for r in queries.op5_robust_outliers(spark, SF).collect()}
+    monkeypatch.setattr(outliers, "BROADCAST_GROUPS", 1)
+    many = {r.doc_id: r for r in queries.op5_robust_outliers(spark, SF).collect()}
+    assert few.keys() == many.keys()
+    for k, r in few.items():
+        assert r.kept == many[k].kept
+        assert r.distance == pytest.approx(many[k].distance, rel=1e-6)
+
+
 def test_chi_square_quantiles():
     assert abs(outliers.chi2_quantile(0.05, 5) - 11.0705) < 1e-3 and abs(outliers.chi2_quantile(0.001, 5) - 20.515) < 1e-3
 

@@ -37,6 +37,8 @@ FLOOR = (0.12, 0.04, 0.1, 0.05, 0.2)
 CUTOFF_P = 1e-8
 #: Rows of the core of all rows that each group's core is joined by, as a weight.
 PRIOR_ROWS = P
+#: Groups whose estimates (30 numbers each) are broadcast; more are joined.
+BROADCAST_GROUPS = 20_000
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in SYMBOLS]] = True
@@ -193,22 +195,31 @@ def mcd(vectors: DataFrame, group: str | None, prior: tuple[np.ndarray, np.ndarr
     spread = [F.greatest((F.col(f"r{k}")[1] - F.col(f"r{k}")[0]) / 2, F.lit(FLOOR[k])) for k in range(P)]
     inv = [(1 / (spread[a] * spread[a])) if a == b else F.lit(0.0) for a in range(P) for b in range(P)]
     est = start.select(*keys, "n", F.array(*(F.col(f"m{k}").cast("double") for k in range(P)), *inv).alias("est"))
-    for step in range(STEPS):
+    for _ in range(STEPS):
         est = saved(est)
-        joined = with_estimate(vectors, est, keys)
+        few = few_groups(est)
+        joined = with_estimate(vectors, est, keys, few)
         near = joined.withColumn("d", distance(F.col("est")))
         cut = near.groupBy(*keys).agg(F.percentile_approx("d", F.lit(CORE), 10_000).alias("cut"))
-        core = with_estimate(near.drop("est", "n"), cut, keys)
+        core = with_estimate(near.drop("est", "n"), cut, keys, few)
         sums = core.groupBy(*keys).agg(*_sums(F.col("d") <= F.col("cut")))
         est = _estimates(sums, keys, consistency(CORE), prior)
     sizes = vectors.groupBy(*keys).agg(F.count("*").alias("n"))
     return saved(est.drop("n").join(sizes, keys)) if keys else saved(est)
 
 
-def with_estimate(rows: DataFrame, est: DataFrame, keys: list[str]) -> DataFrame:
-    """``rows`` with the columns of their group's estimate; without keys that is one row, taken as literals."""
+def few_groups(est: DataFrame) -> bool:
+    """Whether the rows of ``est``, one a group, may be broadcast."""
+    return est.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+
+
+def with_estimate(rows: DataFrame, est: DataFrame, keys: list[str], few: bool) -> DataFrame:
+    """``rows`` with the columns of their group's estimate; without keys that is one row, taken as literals.
+
+    ``few`` estimates are broadcast: rows are not dealt by group, so a group that holds most rows is in no one task.
+    """
     if keys:
-        return rows.join(est, keys)
+        return rows.join(F.broadcast(est) if few else est, keys)
     one = est.first()
     return rows.withColumns({f.name: F.lit(None if one is None else one[f.name]).cast(f.dataType) for f in est.schema})
 
@@ -231,7 +242,7 @@ def robust_outliers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     whole = mcd(vectors, None).first()
     prior = moments(whole["est"], consistency(CORE)) if whole is not None and whole["n"] else None
     each = mcd(vectors, "grp", prior).select("grp", "est")
-    judged = rows.join(each, "grp", "left").withColumn("distance", F.sqrt(F.greatest(F.lit(0.0), distance(F.col("est")))))
+    judged = rows.join(F.broadcast(each) if few_groups(each) else each, "grp", "left").withColumn("distance", F.sqrt(F.greatest(F.lit(0.0), distance(F.col("est")))))
     keep = ~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= chi2_quantile(cutoff_p, P) ** 0.5)
     return judged.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", keep.alias("kept"), "distance")
