@@ -12,6 +12,7 @@ from webloom.operators import feeds as FD
 from webloom.operators import hosts as H
 from webloom.operators import links as L
 from webloom.operators import responses as RS
+from webloom.sources import tables
 
 RSS = ("<rss version='2.0'><channel><title>Lighthouse &amp; Co</title>"
        "<item><title>Fog &lt;again&gt;</title><link>/fog</link><guid>https://ignored.test/1</guid><pubDate>Sat, 02 Mar 2024 07:30:00 +0200</pubDate>"
@@ -60,6 +61,34 @@ def test_blocks_equal_the_pattern_on_broken_feeds(spark):
     assert [r.c for r in got] == ["<title>a</title>", "in", "<channel>open", "<channels></channels>", "no", "b"] or [r.c for r in got][1].endswith("in")
 
 
+def test_runs_equal_the_lazy_patterns(spark):
+    rng = random.Random(12)
+    parts = ["<title>", "<Title x='1'>", "</title>", "</TITLE>", "</titles>", "<", "</", ">", "text", "<![CDATA[", "]]>", "]", "]]", "\n", " ", "  ", "\u00a0", "\u2003", "\u3000", "\ufeff", "\t", "\u180e", "\x1c", "\x85", "é"]
+    docs = ["".join(rng.choices(parts, k=rng.randint(0, 20))) for _ in range(2000)]
+    df = spark.createDataFrame([(d,) for d in docs], "d string")
+    got = df.select("d", F.regexp_extract("d", FD.run_re("title"), 1).alias("run"), F.regexp_extract("d", FD.tag_re("title"), 1).alias("lazy"), T.unwrap_cdata("d").alias("cdata"),
+                    T.collapse_ws("d").alias("ws"), T.js_trim("d").alias("trim"), T.strip_tags("d").alias("tags")).collect()
+    space = "[\t-\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]"
+    for r in got:
+        assert r.run == r.lazy == next(iter(re.findall(r"(?is)<title\b[^>]*>(.*?)</title>", r.d)), ""), r.d
+        assert r.cdata == re.sub(r"(?s)<!\[CDATA\[(.*?)\]\]>", r"\1", r.d), r.d
+        assert r.trim == re.sub(f"\\A{space}+|{space}+\\Z", "", r.d) and r.ws == re.sub(f"^{space}+|{space}+$", "", re.sub(f"{space}+", " ", r.d)), repr(r.d)
+        assert r.tags == re.sub("<[^>]*>", "", r.d), r.d
+
+
+def test_texts_of_a_feed_are_shuffled_once(spark, tmp_path):
+    """Entries hold a text up to three times: they are put together behind the shuffle, which carries plain texts."""
+    rows = [(3, "b & <c> ]]>", "en", "src9"), (1, "a", "en", "src9"), (1, "z", "en", "src9"), (2, None, "en", "src9"), (4, "d", "fr", None), (None, "e", None, "src0")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    feeds = tables.feeds(spark, str(tmp_path))
+    plan = feeds._jdf.queryExecution().optimizedPlan().toString()
+    assert "<description>" in plan and "<description>" not in plan[plan.index("\n", plan.index("Aggregate [")):]
+    xml = {r.feed_id: r.xml for r in feeds.collect()}
+    assert re.findall("<description>(.*?)</description>", xml["src9/en/0"]) == ["a", "z", "b &amp; &lt;c&gt; ]]&gt;"]
+    assert "<![CDATA[<p>b & <c>  </p>]]>" in xml["src9/en/0"] and xml["src9/en/0"].count("<item>") == 3
+    assert len(xml) == 3 and sorted(map(str, xml.values()))[1:] == ["None", "None"]
+
+
 def test_feed_items(parsed):
     rows = {(r.feed_id, r.pos): r for r in FD.feed_items(parsed, max_items=2, include_content=True).collect()}
     assert ("f1", 2) not in rows and rows["f1", 0].url == "https://coast.test/a/1" and rows["f0", 0].url == "https://coast.test/fog"
