@@ -72,3 +72,10 @@ def test_outline_reads_headings_of_the_whole_page(pages_df):
 def test_long_pages_do_not_end_the_job(pages_df):
     many = html.extract(pages_df("<p>" + "é" * 100_000 + "</p>", "<" * 20_000, "&" * 20_000, "<a href='" + "ü" * 20_000 + "'>x</a>"), MD)
     assert sorted(r.page_id for r in many.collect()) == [0, 1, 2, 3]
+
+
+def test_tokens_are_sorted_once(pages_df):
+    """All state of a page comes from one order of its tokens: a second sort would hold every row of a task twice."""
+    for links in (True, False):
+        plan = html.extract(pages_df("<a href='/x'>x<p>y</a><img alt=z>"), with_links=links)._jdf.queryExecution().executedPlan().toString()
+        assert "DESC" not in plan and plan.count("Sort [") == 1

@@ -9,10 +9,11 @@ prefix computation over ``Window.partitionBy('page_id').orderBy('pos')``:
 * ``in_anchor``  with ``lwb``, "last output was a break": two states that depend on each other, settled edge by edge
                  (last_value of what each stretch between two edges does, see ``document_state``)
 * ``marker``     pending list marker                    (last_value)
-* ``flush``      next anchor-closing token              (running min, descending)
 
 Each token then emits ordered output *pieces*; one ``groupBy(page_id)``
 concatenates them in order and a fixed chain of regexes finishes the text.
+An anchor's pieces come out where it ends: at the first closing token of its
+stretch (``_segments``), so tokens are sorted once, in one direction.
 Pages are shuffled once, as compact rows, on ``page_id`` before the
 generator; every window and the final aggregate reuse that partitioning.
 Page size is bounded by the body cap, so no page is an unbounded group.
@@ -30,14 +31,10 @@ from ..functions.text import (collapse_ws, decode_html_entities, js_trim,
                               normalize_ws)
 from ..options import ExtractOptions
 
-BIG = 1 << 62  # order key of the end-of-document anchor flush
 
-
-
-def _w(frame_end: int = 0, desc: bool = False):
+def _w(frame_end: int = 0):
     """Running frame over the page's tokens (built lazily: needs a session)."""
-    order = F.col("pos").desc() if desc else F.col("pos")
-    return Window.partitionBy("page_id").orderBy(order).rowsBetween(Window.unboundedPreceding, frame_end)
+    return Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, frame_end)
 
 # Events of a token for anchors and breaks; the first three end whatever anchor is open.
 EV_ANCHOR, EV_BREAK, EV_CLOSE, EV_SOFT, EV_TEXT = 1, 2, 3, 4, 5
@@ -96,8 +93,6 @@ def tokenize(pages: DataFrame, clustered: bool = False) -> DataFrame:
 def document_state(tokens: DataFrame) -> DataFrame:
     """Add every state column of the reference walker to the token relation."""
     W_INC, W_EXC = _w(0), _w(-1)
-    # rows after the current one, as a running frame over the reversed order
-    W_AFTER = _w(-1, desc=True)
     tag = F.col("kind") == "tag"
     text = F.col("kind") == "text"
     name, closing = F.col("name"), F.col("closing")
@@ -161,15 +156,14 @@ def document_state(tokens: DataFrame) -> DataFrame:
     s = s.withColumns({"direct": F.coalesce("direct", F.lit(False)), "label": F.coalesce("label", F.lit(False)), "brk_call": brk_call,
                        "brk": brk_call & ~F.col("lwb"), "closer": F.coalesce(F.col("edge") | ((ev == EV_SOFT) & ~F.col("lwb")), F.lit(False))})
     li_open = o & (name == "li")
-    s = s.select(
+    return s.select(
         "*", F.coalesce(F.last(F.when(F.col("a_open"), True).when(F.col("label"), False), True).over(W_EXC), F.lit(False)).alias("label_first"),
         F.coalesce(F.last(F.when(li_open, True).when(F.col("brk") | F.col("direct"), False), True).over(W_EXC), F.lit(False)).alias("marker"),
     )
-    return s.withColumn("flush", F.coalesce(F.min(F.when(F.col("closer"), F.col("pos"))).over(W_AFTER), F.lit(BIG)))
 
 
 def _piece(k1, k2, k3, s) -> Column:
-    """Output piece ordered by (k1, k2, k3): anchor pieces sort at their flush token."""
+    """Output piece ordered by (k1, k2, k3): anchor pieces sort at the token that ends the anchor, see ``_segments``."""
     def num(v):
         return (F.col(v) if isinstance(v, str) else F.lit(v)).cast("bigint")
     return F.struct(num(k1).alias("k1"), F.lit(k2).alias("k2"), num(k3).alias("k3"), s.alias("s"))
@@ -205,12 +199,12 @@ def _pieces(s: DataFrame, md: bool) -> DataFrame:
     )
     s = s.withColumn("href", F.when(F.col("a_open"), href))
     anchor_a = (
-        F.when(F.col("a_open"), _piece("flush", 0, "pos", F.when(linked, F.lit("[")).otherwise(F.lit(""))))
-        .when(F.col("label"), _piece("flush", 1, "pos",
+        F.when(F.col("a_open"), _piece(None, 0, "pos", F.when(linked, F.lit("[")).otherwise(F.lit(""))))
+        .when(F.col("label"), _piece(None, 1, "pos",
                                      F.concat(F.when(F.col("label_first"), F.lit("")).otherwise(F.lit(" ")),
                                               collapse_ws("clean"))))
     )
-    anchor_b = F.when(F.col("a_open"), _piece("flush", 2, "pos",
+    anchor_b = F.when(F.col("a_open"), _piece(None, 2, "pos",
                                               F.when(linked, F.concat(F.lit("]("), F.col("href"), F.lit(")")))
                                               .otherwise(F.lit(""))))
     return s.select(
@@ -220,6 +214,33 @@ def _pieces(s: DataFrame, md: bool) -> DataFrame:
     )
 
 
+def _segments(s: DataFrame, with_links: bool) -> DataFrame:
+    """Per ``(page_id, anchor_seq)``: its output pieces, what it holds of the title, and its link.
+
+    No token between an anchor's opening and its last label ends it, so all its pieces come out at the first closer
+    behind the opening. If the segment holds none, that is the opening of the next one, or the page ends: behind the
+    segment's last token either way.
+    """
+    title_txt = (F.col("kind") == "text") & F.col("in_title")
+    title_done = (F.col("kind") == "tag") & F.col("closing") & (F.col("name") == "title") & F.col("in_title")
+    link = [F.max(F.when(F.col("a_open"), F.col("pos"))).alias("link_pos"), F.max("href").alias("href"),
+            F.collect_list(F.when(F.col("label"), F.struct("pos", collapse_ws("clean").alias("t")))).alias("lparts")]
+    seg = s.groupBy("page_id", "anchor_seq").agg(
+        F.collect_list("piece_a").alias("pa"),
+        F.collect_list("piece_b").alias("pb"),
+        F.coalesce(F.min(F.when(F.col("closer") & ~F.col("a_open"), F.col("pos"))), F.max("pos") + 1).cast("bigint").alias("end"),
+        F.max(F.when(title_done, F.col("title_seg"))).alias("tseg"),
+        F.collect_list(F.when(title_txt, F.struct("title_seg", "pos", "tok"))).alias("tparts"),
+        *(link if with_links else ()),
+    )
+    pieces = F.transform(F.concat("pa", "pb"), lambda p: F.struct(F.coalesce(p["k1"], F.col("end")).alias("k1"), p["k2"].alias("k2"), p["k3"].alias("k3"), p["s"].alias("s")))
+    links = [F.when(F.col("href") != "", F.struct(
+        F.col("link_pos").alias("link_pos"),
+        F.array_join(F.transform(F.array_sort("lparts"), lambda x: x["t"]), " ").alias("text"),
+        F.col("href").alias("href"))).alias("link")]
+    return seg.select("page_id", pieces.alias("pieces"), "tseg", "tparts", *(links if with_links else ()))
+
+
 def finish_content(raw: Column, max_chars: int):
     """Resolve output markers, normalise, re-space markdown links, cap. Returns (content, truncated)."""
     r = F.regexp_replace(raw, "[ \\t]*" + STRIP, "")
@@ -252,38 +273,14 @@ def extract(pages: DataFrame | None = None, opts: ExtractOptions = ExtractOption
     the link label and the output pieces, then per page the ordered text.
     """
     s = _pieces(state if state is not None else page_state(pages), opts.markdown)
-    title_txt = (F.col("kind") == "text") & F.col("in_title")
-    title_done = (F.col("kind") == "tag") & F.col("closing") & (F.col("name") == "title") & F.col("in_title")
-    if not with_links:
-        # content only: one aggregation level (the anchor pieces are already in the page stream)
-        agg = s.groupBy("page_id").agg(
-            F.concat(F.collect_list("piece_a"), F.collect_list("piece_b")).alias("pieces"),
-            F.max(F.when(title_done, F.col("title_seg"))).alias("tseg"),
-            F.collect_list(F.when(title_txt, F.struct("title_seg", "pos", "tok"))).alias("tparts"),
-        ).withColumn("links", F.array().cast("array<struct<link_pos:bigint,text:string,href:string>>"))
-        return _finish(agg, opts)
-    seg = s.groupBy("page_id", "anchor_seq").agg(
-        F.collect_list("piece_a").alias("pa"),
-        F.collect_list("piece_b").alias("pb"),
-        F.max(F.when(title_done, F.col("title_seg"))).alias("tseg"),
-        F.collect_list(F.when(title_txt, F.struct("title_seg", "pos", "tok"))).alias("tparts"),
-        F.max(F.when(F.col("a_open"), F.col("pos"))).alias("link_pos"),
-        F.max("href").alias("href"),
-        F.collect_list(F.when(F.col("label"), F.struct("pos", collapse_ws("clean").alias("t")))).alias("lparts"),
-    )
-    seg = seg.select(
-        "page_id", F.concat("pa", "pb").alias("pieces"), "tseg", "tparts",
-        F.when(F.col("href") != "", F.struct(
-            F.col("link_pos").alias("link_pos"),
-            F.array_join(F.transform(F.array_sort("lparts"), lambda x: x["t"]), " ").alias("text"),
-            F.col("href").alias("href"))).alias("link"),
-    )
-    agg = seg.groupBy("page_id").agg(
+    agg = _segments(s, with_links).groupBy("page_id").agg(
         F.flatten(F.collect_list("pieces")).alias("pieces"),
         F.max("tseg").alias("tseg"),
         F.flatten(F.collect_list("tparts")).alias("tparts"),
-        F.array_sort(F.collect_list("link")).alias("links"),
+        *([F.array_sort(F.collect_list("link")).alias("links")] if with_links else ()),
     )
+    if not with_links:
+        agg = agg.withColumn("links", F.array().cast("array<struct<link_pos:bigint,text:string,href:string>>"))
     return _finish(agg, opts)
 
 
