@@ -132,3 +132,29 @@ def test_op10_against_the_library(spark):
         ids = lib.encode(docs[r.doc_id], add_special_tokens=False).ids
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_new_words_go_to_the_library_end_to_end():
+    """A text's new words cost the library a call or two, not one string a word, and its ids are still the library's."""
+    own, lib, rng = records.ByteBpeEncoder(BYTE), Tokenizer.from_file(BYTE), random.Random(8)
+    sent = []
+
+    class Counting:
+        def encode_batch_fast(self, words, **kw):
+            sent.extend(words)
+            return lib.encode_batch_fast(words, **kw)
+    own.tokenizer = Counting()
+    for alphabet in ("abcdefghij", "aé çÀ1! ,'", "ab \n\t\v"):
+        text = " ".join("".join(rng.choices(alphabet, k=rng.randint(1, 12))) for _ in range(2000))
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids
+        if alphabet == "abcdefghij":
+            assert len(sent) <= 2
+
+
+def test_a_full_memo_keeps_the_words_in_use(monkeypatch):
+    own, lib = records.ByteBpeEncoder(BYTE), Tokenizer.from_file(BYTE)
+    monkeypatch.setattr(records, "MEMO_WORDS", 50)
+    for k in range(40):
+        text = "The harbour log of day " + " ".join(f"w{c}" for c in "abcdefghijklmnop"[k % 7:]) + f" x{'y' * k}"
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids
+        assert len(own.memo) + len(own.aged) <= 2 * (50 + 30)

@@ -95,6 +95,8 @@ class ByteBpeEncoder:
 
     BPE works inside pre-split words, so the library encodes each distinct word once and the ids are kept in a
     bounded memo. Texts with characters outside PLAIN, or with the opening of an added token, go to the library whole.
+    New words of a text that begin with a space go to it end to end, as one string: the splitter cuts before each such
+    space, and as tokens are byte strings, their lengths tell where the ids of each word end.
     """
 
     def __init__(self, path: str):
@@ -106,6 +108,31 @@ class ByteBpeEncoder:
         self.tokenizer.no_padding()
         self.openings = {t.content[0] for t in self.tokenizer.get_added_tokens_decoder().values() if t.content}
         self.memo: dict[str, bytes] = {}
+        self.aged: dict[str, bytes] = {}  # the memo before this one: words still in use are taken over from it
+        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.n_bytes = np.zeros(max(vocab.values(), default=-1) + 1, np.int64)
+        for token, k in vocab.items():  # in the byte-level alphabet a character stands for a byte
+            self.n_bytes[k] = len(token)
+
+    def learn(self, words: list[str]) -> None:
+        """Ids of ``words`` into the memo."""
+        known = {w: ids for w in words if (ids := self.aged.get(w)) is not None}
+        if known:
+            self.memo.update(known)
+            words = [w for w in words if w not in known]
+        spaced = [w for w in words if len(w) > 1 and w[0] == " " and w[1] not in "\t\n\v\f\r "]
+        if len(spaced) > 1:
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(spaced)], add_special_tokens=False)[0].ids, "<u4")
+            reached = self.n_bytes[ids].cumsum()
+            ends = np.array([len(w) if w.isascii() else len(w.encode()) for w in spaced]).cumsum()
+            last = np.searchsorted(reached, ends)
+            if len(reached) and last[-1] < len(reached) and (reached[last] == ends).all():
+                raw, at = ids.tobytes(), 0
+                for w, to in zip(spaced, ((last + 1) * 4).tolist(), strict=True):
+                    self.memo[w], at = raw[at:to], to
+                words = [w for w in words if w not in self.memo]
+        for w, got in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
+            self.memo[w] = np.array(got.ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         memo = self.memo
@@ -113,14 +140,13 @@ class ByteBpeEncoder:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         words = FAST.findall(text)
         if len(memo) > MEMO_WORDS:
-            memo.clear()
-        try:
-            return b"".join([memo[w] for w in words])
-        except KeyError:
-            new = [w for w in dict.fromkeys(words) if w not in memo]
-            for w, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                memo[w] = np.array(got.ids, "<u4").tobytes()
-            return b"".join([memo[w] for w in words])
+            self.memo, self.aged = {}, memo
+            memo = self.memo
+        got = list(map(memo.get, words))
+        if None in got:
+            self.learn(list(dict.fromkeys(w for w, ids in zip(words, got, strict=True) if ids is None)))
+            got = map(memo.__getitem__, words)
+        return b"".join(got)
 
 
 _encoders: dict[str, ByteBpeEncoder] = {}
