@@ -37,6 +37,8 @@ from webloom.llm.storage import arrow_map
 # Fixed values of the checksum mask.
 MASK_ROTATE, MASK_ADD = 15, 0xA282EAD8
 MEMO_WORDS = 400_000
+# Texts, and characters of them, that are encoded together, and words in a string for the library: they bound memory.
+TOGETHER, TOGETHER_CHARS, STRING_WORDS = 64, 1_000_000, 1_000
 
 # The pattern of the byte-level splitter; FAST has its classes written out for texts of PLAIN characters.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -95,7 +97,7 @@ class ByteBpeEncoder:
 
     BPE works inside pre-split words, so the library encodes each distinct word once and the ids are kept in a
     bounded memo. Texts with characters outside PLAIN, or with the opening of an added token, go to the library whole.
-    New words of a text that begin with a space go to it end to end, as one string: the splitter cuts before each such
+    New words that begin with a space go to it end to end, as one string: the splitter cuts before each such
     space, and as tokens are byte strings, their lengths tell where the ids of each word end.
     """
 
@@ -120,33 +122,61 @@ class ByteBpeEncoder:
         if known:
             self.memo.update(known)
             words = [w for w in words if w not in known]
-        spaced = [w for w in words if len(w) > 1 and w[0] == " " and w[1] not in "\t\n\v\f\r "]
-        if len(spaced) > 1:
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(spaced)], add_special_tokens=False)[0].ids, "<u4")
-            reached = self.n_bytes[ids].cumsum()
+        spaced, rest = [], []
+        for w in words:
+            (spaced if len(w) > 1 and w[0] == " " and w[1] not in "\t\n\v\f\r " else rest).append(w)
+        if spaced:
             ends = np.array([len(w) if w.isascii() else len(w.encode()) for w in spaced]).cumsum()
+            strings = ["".join(spaced[k:k + STRING_WORDS]) for k in range(0, len(spaced), STRING_WORDS)]
+            ids = np.array([i for got in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False) for i in got.ids], "<u4")
+            reached = self.n_bytes[ids].cumsum()
             last = np.searchsorted(reached, ends)
             if len(reached) and last[-1] < len(reached) and (reached[last] == ends).all():
-                raw, at = ids.tobytes(), 0
-                for w, to in zip(spaced, ((last + 1) * 4).tolist(), strict=True):
-                    self.memo[w], at = raw[at:to], to
-                words = [w for w in words if w not in self.memo]
-        for w, got in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
+                raw, to = ids.tobytes(), ((last + 1) * 4).tolist()
+                self.memo.update(zip(spaced, [raw[i:j] for i, j in zip([0, *to[:-1]], to, strict=True)], strict=True))
+            else:
+                rest = words
+        for w, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             self.memo[w] = np.array(got.ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
-        memo = self.memo
-        if not PLAIN.fullmatch(text) or any(c in text for c in self.openings):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words = FAST.findall(text)
-        if len(memo) > MEMO_WORDS:
-            self.memo, self.aged = {}, memo
-            memo = self.memo
-        got = list(map(memo.get, words))
-        if None in got:
-            self.learn(list(dict.fromkeys(w for w, ids in zip(words, got, strict=True) if ids is None)))
-            got = map(memo.__getitem__, words)
-        return b"".join(got)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; the new words of all of them are learned together."""
+        if len(self.memo) > MEMO_WORDS:
+            self.memo, self.aged = {}, self.memo
+        memo, out, split = self.memo, [], []
+        for k, text in enumerate(texts):
+            if not PLAIN.fullmatch(text) or any(c in text for c in self.openings):
+                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+                continue
+            words = FAST.findall(text)
+            got = list(map(memo.get, words))
+            if None in got:
+                split.append((k, got, [(i, words[i]) for i, ids in enumerate(got) if ids is None]))
+            out.append(b"" if None in got else b"".join(got))
+        if split:
+            self.learn(list(dict.fromkeys([w for _, _, missing in split for _, w in missing])))
+        for k, got, missing in split:
+            for i, w in missing:
+                got[i] = memo[w]
+            out[k] = b"".join(got)
+        return out
+
+
+def encoded_rows(encoder: ByteBpeEncoder | None, batch: pa.RecordBatch) -> Iterator[tuple[int | None, bytes]]:
+    """(id, ids of the text) of each row, some rows at a time."""
+    idents, texts, chars = [], [], 0
+    for ident, text in zip(batch.column(0), batch.column(1), strict=True):
+        idents.append(ident.as_py())
+        texts.append(text.as_py() or "")
+        chars += len(texts[-1])
+        if len(texts) == TOGETHER or chars > TOGETHER_CHARS:
+            yield from zip(idents, encoder.encode_all(texts), strict=True)
+            idents, texts, chars = [], [], 0
+    if texts:
+        yield from zip(idents, encoder.encode_all(texts), strict=True)
 
 
 _encoders: dict[str, ByteBpeEncoder] = {}
@@ -185,13 +215,12 @@ def write_records(docs: DataFrame, folder: str, path: str, end_id: int, shards:
         name, mark = f"part-{shard:05d}", f"{context.taskAttemptId()}-{uuid.uuid4().hex[:8]}"
         tail = struct.pack("<I", end_id)
         for batch in batches:
-            for ident, text in zip(batch.column(0), batch.column(1), strict=True):
-                if out is None:
-                    store, base = _store(folder)
-                    store.create_dir(base, recursive=True)
-                    encoder, out = worker_encoder(path), store.open_output_stream(f"{base}/_{name}-{mark}.rec")
-                value = ident.as_py()
-                ids = encoder.encode(text.as_py() or "") + tail
+            if out is None and batch.num_rows:
+                store, base = _store(folder)
+                store.create_dir(base, recursive=True)
+                encoder, out = worker_encoder(path), store.open_output_stream(f"{base}/_{name}-{mark}.rec")
+            for value, encoded in encoded_rows(encoder, batch):
+                ids = encoded + tail
                 record = frame(struct.pack("<q", value or 0) + pack_ids(ids, value is None))
                 out.write(record)
                 offsets.append(at)
